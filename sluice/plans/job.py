@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import logging
 import time
 import uuid
 from dataclasses import replace
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,9 +24,9 @@ from sluice.operators.rules import (
 )
 from sluice.plans.audit import RunReport, append_audit, last_bound, read_audit, report_rows
 from sluice.plans.sink import sink_for
-from sluice.runtime import clock_column, clock_now
+from sluice.runtime import Folder, clock_column, clock_now
 from sluice.sources import ReadContext, read_source
-from sluice.spec import JobSpec, load_spec
+from sluice.spec import JobSpec, parse_spec
 
 log = logging.getLogger(__name__)
 
@@ -118,7 +118,7 @@ def _audited(spark: SparkSession, report: RunReport, started: float, path: str)
 
 def run_all(
     spark: SparkSession,
-    folder: str | Path,
+    folder: str,
     audit_path: str,
     *,
     resume: bool = False,
@@ -126,27 +126,28 @@ def run_all(
 ) -> DataFrame:
     """Run every spec of a folder, one after the other; a failing one does not stop the rest."""
     reports = []
-    for path in sorted(Path(folder).glob("*.json")):
-        run_id = str(uuid.uuid4())
+    specs = Folder(spark, folder)
+    for name in sorted(name for name, *_ in specs.listing("*.json")):
+        report = RunReport(str(uuid.uuid4()), name.removesuffix(".json"), "", "FAILED", ts=clock)
         try:
-            spec = load_spec(path)
+            spec = parse_spec(json.loads(specs.read_text(name)))
         except ValueError as err:
-            reports.append(RunReport(run_id, path.stem, "", "FAILED", error=str(err), ts=clock))
-            append_audit(report_rows(spark, reports[-1:]), audit_path)
-            continue
-        try:
-            reports.append(
-                run_job(spark, spec, audit_path, resume=resume, run_id=run_id, clock=clock)
+            report = replace(report, error=str(err))
+            append_audit(report_rows(spark, [report]), audit_path)
+        else:
+            report = replace(
+                report, job_name=spec.job_name, ingestion_type=spec.ingestion_type.upper()
             )
-        except Exception as err:
-            reports.append(
-                RunReport(
-                    run_id,
-                    spec.job_name,
-                    spec.ingestion_type.upper(),
-                    "FAILED",
-                    error=str(err),
-                    ts=clock,
+            try:
+                report = run_job(
+                    spark,
+                    spec,
+                    audit_path,
+                    resume=resume,
+                    run_id=report.ingestion_id,
+                    clock=clock,
                 )
-            )
+            except Exception as err:
+                report = replace(report, error=str(err))  # run_job wrote the audit row
+        reports.append(report)
     return report_rows(spark, reports)

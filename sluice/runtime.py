@@ -57,6 +57,9 @@ class Folder:
     def exists(self, relative: str = "") -> bool:
         return self._fs.exists(self._at(relative))
 
+    def is_file(self, relative: str = "") -> bool:
+        return self.exists(relative) and self._fs.getFileStatus(self._at(relative)).isFile()
+
     def listing(self, pattern: str) -> list[tuple[str, bool, int, int]]:
         """``(relative path, is_dir, bytes, modified ms)`` of everything that matches a glob."""
         base = len(self.uri_path()) + 1

@@ -17,7 +17,7 @@ from sluice.operators.rules import (
     with_run_metadata,
 )
 from sluice.plans.table import Table
-from sluice.runtime import clock_now
+from sluice.runtime import Folder, clock_now
 from sluice.spec import JobSpec, SpecError
 
 STREAMED_FORMATS = ("csv", "json", "orc", "parquet", "text")
@@ -62,7 +62,10 @@ def stream_upsert(
 def stream_files(
     spark: SparkSession, fmt: str, path: str, schema: str | None = None, files_per_batch: int = 0
 ) -> DataFrame:
-    """New files of a folder as a stream; the checkpoint remembers which ones were read."""
+    """New files of a folder as a stream; the checkpoint remembers which ones were read.
+
+    A path may also name one file, which Spark streams only as a pattern that matches it.
+    """
     if fmt not in STREAMED_FORMATS:
         raise SpecError(f"{fmt!r} cannot be streamed; use one of {', '.join(STREAMED_FORMATS)}")
     kind = schema or spark.read.format(fmt).load(path).schema
@@ -71,6 +74,9 @@ def stream_files(
         reader = reader.option("header", "true")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if Folder(spark, path).is_file():
+        folder, _, name = path.rstrip("/").rpartition("/")
+        path = f"{folder}/{{{name}}}"
     return reader.load(path)
 
 
