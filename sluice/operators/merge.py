@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,10 +88,15 @@ def evolved(table: T.StructType, batch: T.StructType, prefix: str = "") -> T.Str
     return T.StructType(fields)
 
 
+def empty_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows of a schema, as a plan the optimizer removes from a union."""
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).filter(F.lit(False)).select(*nulls)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows in the shape of a schema: by name, missing columns and fields NULL."""
-    empty = df.sparkSession.createDataFrame([], schema)
-    return empty.unionByName(df, allowMissingColumns=True)
+    return empty_rows(df.sparkSession, schema).unionByName(df, allowMissingColumns=True)
 
 
 def append_rows(table: DataFrame, batch: DataFrame) -> DataFrame:
@@ -164,18 +169,21 @@ def untouched_rows(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
 
 
 def drop_stale(
-    batch: DataFrame, target: DataFrame, key: str, order_by: Sequence[str]
+    batch: DataFrame,
+    target: DataFrame,
+    key: str,
+    order_by: Sequence[str],
+    batch_is_small: bool = False,
 ) -> DataFrame:
     """Batch rows that are newer than the target's row of the same key, or have none there."""
     k = quoted(key)
-    order = F.struct(*[F.col(quoted(c)) for c in order_by])
+    columns = [F.col(quoted(c)) for c in order_by]
+    order = columns[0] if len(columns) == 1 else F.struct(*columns)
     keyed = batch.filter(F.col(k).isNotNull())
-    newest = (
-        target.filter(F.col(k).isNotNull())
-        .join(keyed.select(F.col(k)), key, "left_semi")
-        .groupBy(F.col(k).alias("__key"))
-        .agg(F.max(order).alias("__newest"))
-    )
+    known = target.filter(F.col(k).isNotNull())
+    if batch_is_small:
+        known = known.join(keyed.select(F.col(k)), key, "left_semi")
+    newest = known.groupBy(F.col(k).alias("__key")).agg(F.max(order).alias("__newest"))
     fresh = (
         keyed.join(newest, F.col(k) == F.col("__key"), "left")
         .filter(F.col("__newest").isNull() | (order > F.col("__newest")))

@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 
 from sluice.operators.merge import latest_per_key
 from sluice.operators.quality import duplicate_keys
-from sluice.plans.table import RETENTION_HOURS, DuplicateKeyError, Table, WriteResult
+from sluice.plans.table import (
+    RETENTION_HOURS,
+    ROUTINE_MIN_FILES,
+    DuplicateKeyError,
+    Table,
+    WriteResult,
+)
 from sluice.runtime import Folder, scratch_dir
 from sluice.spec import JobSpec
 
@@ -48,7 +54,7 @@ class SnapshotSink:
         return self.table.read()
 
     def maintain(self, clock: dt.datetime) -> None:
-        self.table.compact(only_newest=True, clock=clock)
+        self.table.compact(min_files=ROUTINE_MIN_FILES, only_newest=True, clock=clock)
         self.table.expire(RETENTION_HOURS, clock=clock)
 
 

@@ -1,9 +1,10 @@
-"""Target tables on plain Parquet: partition directories, and a small file that lists the live ones.
+"""Target tables on plain Parquet: data directories, and a small file that lists the live ones.
 
 Every write goes to new ``_commit=<id>/<partitions>`` directories that no reader sees until a
 snapshot file naming them appears. A failed or killed write therefore leaves the table as it
-was, and a lost executor costs only its own tasks. An upsert rewrites just the partition
-directories that hold a matching key; a batch of new keys is a plain append.
+was, and a lost executor costs only its own tasks. A snapshot names whole directories. Only
+where an upsert hits few files of a directory does it name the other files one by one, so an
+upsert rewrites the files that hold a matching key, and a batch of new keys is a plain append.
 
 Where the Delta library is installed, ``plans.sink`` uses that instead.
 """
@@ -26,9 +27,9 @@ from pyspark.sql import types as T
 
 from sluice.functions import quoted
 from sluice.operators.merge import (
-    append_rows,
     conform,
     drop_stale,
+    empty_rows,
     evolved,
     latest_per_key,
     untouched_rows,
@@ -40,10 +41,12 @@ from sluice.spec import SpecError
 
 RETENTION_HOURS = 168
 TARGET_FILE_BYTES = 512 * 1024 * 1024
+ROUTINE_MIN_FILES = 32  # small files a partition may gather before a run merges them
 SMALL_BATCH_BYTES = 64 * 1024 * 1024
 
 _SNAPSHOTS = "_snapshots"
 _COMMIT = "_commit="
+_SUCCESS_MARK = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 _RANGED_KEYS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.DateType)
 
 
@@ -64,7 +67,7 @@ class Snapshot:
     operation: str
     schema: Mapping[str, Any]
     partition_by: tuple[str, ...] = ()
-    dirs: tuple[str, ...] = ()
+    paths: tuple[str, ...] = ()
     unique_key: str | None = None
     streams: Mapping[str, int] = field(default_factory=dict)
 
@@ -75,7 +78,7 @@ class Snapshot:
 
 @dataclass(frozen=True)
 class WriteResult:
-    """What a write sent: rows, and the greatest value of the watched column as text."""
+    """What a write sent: rows, the greatest value of the watched column as text, files hit."""
 
     rows: int
     watermark: str | None = None
@@ -113,7 +116,7 @@ class Table:
                 doc = json.loads(self._folder.read_text(f"{_SNAPSHOTS}/{v:010d}.json"))
             except json.JSONDecodeError:
                 continue  # still being written by another session
-            doc.update(partition_by=tuple(doc["partition_by"]), dirs=tuple(doc["dirs"]))
+            doc.update(partition_by=tuple(doc["partition_by"]), paths=tuple(doc["paths"]))
             return Snapshot(**doc)
         return None
 
@@ -142,13 +145,13 @@ class Table:
         snap = self.snapshot(version)
         if snap is None:
             raise FileNotFoundError(f"no table at {self.path}")
-        return self._rows(snap.dirs, snap.struct).select(*_columns(snap.struct))
+        return self._rows(snap.paths, snap.struct).select(*_columns(snap.struct))
 
-    def _rows(self, dirs: Sequence[str], schema: T.StructType) -> DataFrame:
-        if not dirs:
-            return self.spark.createDataFrame([], schema)
+    def _rows(self, paths: Sequence[str], schema: T.StructType) -> DataFrame:
+        if not paths:
+            return empty_rows(self.spark, schema)
         reader = self.spark.read.schema(schema).option("basePath", self.path)
-        return reader.parquet(*[f"{self.path}/{d}" for d in dirs])
+        return reader.parquet(*[f"{self.path}/{p}" for p in paths])
 
     # -- writing -----------------------------------------------------------------
 
@@ -162,7 +165,7 @@ class Table:
         commit = _COMMIT + uuid.uuid4().hex[:16]
         seen = Observation()
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *_aliased(stats))
-        writer = counted.write.mode("errorifexists")
+        writer = counted.write.mode("errorifexists").option(_SUCCESS_MARK, "false")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.path}/{commit}")
@@ -201,7 +204,7 @@ class Table:
             operation="append",
             schema=schema.jsonValue(),
             partition_by=tuple(partition_by),
-            dirs=(base.dirs if base else ()) + staged.dirs,
+            paths=(base.paths if base else ()) + staged.dirs,
             unique_key=None,
         )
         return WriteResult(staged.rows, staged.stats.get("watermark"), version=new.version)
@@ -223,7 +226,7 @@ class Table:
             operation="overwrite",
             schema=df.schema.jsonValue(),
             partition_by=tuple(partition_by),
-            dirs=staged.dirs,
+            paths=staged.dirs,
             unique_key=None,
         )
         return WriteResult(staged.rows, staged.stats.get("watermark"), version=new.version)
@@ -266,21 +269,22 @@ class Table:
         unique = dedupe != "none"
         streams = {**(base.streams if base else {}), **({stream[0]: stream[1]} if stream else {})}
 
-        dirs, touched = staged.dirs, ()
+        kept, added, hits = (), staged.dirs, 0
         if base:
-            target = self._rows(base.dirs, base.struct)
-            batch = self._rows(staged.dirs, staged.schema).select(*_columns(staged.schema))
+            target = self._rows(base.paths, base.struct)
             if newest_only:
                 near = self._near(target, key, staged).select(*_columns(base.struct))
-                fresh = self._stage(
-                    drop_stale(batch, near, key, order_by), partition_by, _key_range(df, key)
+                newer = drop_stale(
+                    self._staged_rows(staged), near, key, order_by, self._is_small(staged)
                 )
+                fresh = self._stage(newer, partition_by, _key_range(df, key))
                 self._discard(staged.dirs)
-                staged, dirs = fresh, fresh.dirs
-                batch = self._rows(staged.dirs, staged.schema).select(*_columns(staged.schema))
-            touched = self._touched(base, target, batch, key, staged)
-            if touched:
-                dirs = self._rewrite(base, schema, touched, staged, batch, key, unique)
+                staged, added = fresh, fresh.dirs
+            touched = self._touched(base, target, key, staged)
+            kept, old = self._split(base, touched)
+            hits = len(touched)
+            if old:
+                added = self._rewrite(base, schema, old, staged, key, unique)
             unique = unique and base.unique_key == key
         new = self._publish(
             base,
@@ -288,11 +292,17 @@ class Table:
             operation="upsert",
             schema=schema.jsonValue(),
             partition_by=tuple(partition_by),
-            dirs=tuple(d for d in (base.dirs if base else ()) if d not in touched) + dirs,
+            paths=kept + added,
             unique_key=key if unique else None,
             streams=streams,
         )
-        return WriteResult(staged.rows, watermark, len(touched), new.version)
+        return WriteResult(staged.rows, watermark, hits, new.version)
+
+    def _staged_rows(self, staged: _Staged) -> DataFrame:
+        return self._rows(staged.dirs, staged.schema).select(*_columns(staged.schema))
+
+    def _is_small(self, staged: _Staged) -> bool:
+        return sum(self._folder.usage(d)[1] for d in staged.dirs) <= SMALL_BATCH_BYTES
 
     def _check_key_type(self, base: Snapshot, df: DataFrame, key: str) -> None:
         if key not in df.columns:
@@ -314,21 +324,29 @@ class Table:
         mode: str,
         order_by: Sequence[str],
     ) -> _Staged:
-        """One row per key, at the price of a key-only count unless a key does repeat."""
+        """One row per key, at the price of a key-only count unless a key does repeat.
+
+        Mode ``error`` drops exact copies of a row and refuses rows that differ.
+        """
         if mode == "none" or not staged.dirs:
             return staged
-        rows = self._rows(staged.dirs, staged.schema).select(*_columns(staged.schema))
+        rows = self._staged_rows(staged)
         named = F.col(quoted(key)).isNotNull()
-        if duplicate_keys(rows.filter(named), key).isEmpty():
+        keyed = rows.filter(named)
+        if duplicate_keys(keyed, key).isEmpty():
             return staged
-        if mode == "error":
-            self._discard(staged.dirs)
-            raise DuplicateKeyError(
-                f"{key} repeats within the batch; set target.order_by or target.dedupe"
-            )
-        keyed = latest_per_key(rows.filter(named), key, order_by)
-        ranges = {c: e for c, e in _key_range(rows, key).items()}
-        kept = self._stage(keyed.unionByName(rows.filter(~named)), partition_by, ranges)
+        if mode == "latest":
+            single = latest_per_key(keyed, key, order_by)
+        else:
+            single = keyed.dropDuplicates()
+            if not duplicate_keys(single, key).isEmpty():
+                self._discard(staged.dirs)
+                raise DuplicateKeyError(
+                    f"{key} repeats with differing rows; set target.order_by or target.dedupe"
+                )
+        kept = self._stage(
+            single.unionByName(rows.filter(~named)), partition_by, _key_range(rows, key)
+        )
         self._discard(staged.dirs)
         return kept
 
@@ -344,57 +362,73 @@ class Table:
         return target.filter(F.col(quoted(key)).between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
 
     def _touched(
-        self, base: Snapshot, target: DataFrame, batch: DataFrame, key: str, staged: _Staged
-    ) -> tuple[str, ...]:
-        """Live directories that hold a key of the batch; only the key column is read."""
-        if not base.dirs or not staged.dirs:
-            return ()
+        self, base: Snapshot, target: DataFrame, key: str, staged: _Staged
+    ) -> set[str]:
+        """Live files that hold a key of the batch; of the target only the key is read."""
+        if not base.paths or not staged.dirs:
+            return set()
         k = quoted(key)
-        near = self._near(target, key, staged).select(
-            F.col(k), F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("__dir")
-        )
-        keys = batch.select(F.col(k)).filter(F.col(k).isNotNull())
-        hit = near.filter(F.col(k).isNotNull()).join(keys, key, "left_semi").select("__dir").distinct()
-        # At most one row per live directory, whose names the driver holds already.
+        near = self._near(target, key, staged).select(F.col(k), F.col("_metadata.file_path"))
+        keys = self._staged_rows(staged).select(F.col(k)).filter(F.col(k).isNotNull())
+        hit = near.filter(F.col(k).isNotNull()).join(keys, key, "left_semi")
+        # File names only: never more than the table has files.
+        names = hit.select("file_path").distinct().collect()
         skip = len(self._folder.uri_path()) + 1
-        found = {unquote(urlparse(row["__dir"]).path)[skip:] for row in hit.collect()}
-        return tuple(d for d in base.dirs if d in found)
+        return {unquote(urlparse(row["file_path"]).path)[skip:] for row in names}
+
+    def _split(self, base: Snapshot, touched: set[str]) -> tuple[tuple[str, ...], tuple[str, ...]]:
+        """Live paths to keep, and those to rewrite, given the files that are hit.
+
+        A directory with few files hit is replaced by the names of its other files; one with
+        most of them hit is rewritten whole, which keeps the list of paths short.
+        """
+        by_dir: dict[str, list[str]] = {}
+        for name in sorted(touched):
+            by_dir.setdefault(name.rsplit("/", 1)[0], []).append(name)
+        kept, old = [], []
+        for path in base.paths:
+            if path in touched:
+                old.append(path)
+            elif path not in by_dir:
+                kept.append(path)
+            else:
+                files = self._folder.data_files(path)
+                if 2 * len(by_dir[path]) > len(files):
+                    old.append(path)
+                else:
+                    old += by_dir[path]
+                    kept += [f for f in files if f not in touched]
+        return tuple(kept), tuple(old)
 
     def _rewrite(
         self,
         base: Snapshot,
         schema: T.StructType,
-        touched: Sequence[str],
+        paths: Sequence[str],
         staged: _Staged,
-        batch: DataFrame,
         key: str,
         unique: bool,
     ) -> tuple[str, ...]:
-        """Write the touched directories anew; returns the directories that replace them."""
-        old = self._rows(touched, base.struct).select(*_columns(base.struct))
+        """Write the rows of these paths anew, merged; returns what replaces paths and batch."""
+        old = self._rows(paths, base.struct).select(*_columns(base.struct))
+        batch = self._staged_rows(staged)
         covers = set(base.struct.names) <= set(staged.schema.names)
         if covers and unique and base.unique_key == key:
             # The batch is in place already: only the rows it does not replace move.
-            kept = self._stage(
-                self._balanced(conform(untouched_rows(old, batch, key), schema), base, touched),
-                base.partition_by,
-            )
-            return staged.dirs + kept.dirs
-        size = sum(sum(self._folder.files(d)) for d in staged.dirs)
-        merged = upsert_rows(old, batch, key, batch_is_small=size <= SMALL_BATCH_BYTES)
-        result = self._stage(
-            self._balanced(conform(merged, schema), base, touched), base.partition_by
-        )
+            left = conform(untouched_rows(old, batch, key), schema)
+            return staged.dirs + self._stage(self._balanced(left, base, paths), base.partition_by).dirs
+        merged = conform(upsert_rows(old, batch, key, self._is_small(staged)), schema)
+        result = self._stage(self._balanced(merged, base, paths), base.partition_by)
         self._discard(staged.dirs)
         return result.dirs
 
-    def _balanced(self, df: DataFrame, base: Snapshot, dirs: Sequence[str]) -> DataFrame:
+    def _balanced(self, df: DataFrame, base: Snapshot, paths: Sequence[str]) -> DataFrame:
         """Rows grouped by partition before a write that spans several.
 
         The rebalance hint leaves the sizes to adaptive execution: small partitions share a
         task and a hot one is split over many.
         """
-        if not base.partition_by or len({_partition_of(d) for d in dirs}) < 2:
+        if not base.partition_by or len({_partition_of(p) for p in paths}) < 2:
             return df
         return df.hint("rebalance", *base.partition_by)
 
@@ -403,29 +437,33 @@ class Table:
     def compact(
         self,
         target_bytes: int = TARGET_FILE_BYTES,
+        min_files: int = 2,
         only_newest: bool = False,
         clock: dt.datetime | None = None,
     ) -> int:
-        """Rewrite partitions that hold more files than their bytes need; returns how many.
+        """Merge small files, partition by partition; returns how many partitions had some.
 
-        ``only_newest`` looks just at partitions the newest snapshot wrote to, which bounds
+        Files of at least half the wanted size stay as they are, and so do fewer than
+        ``min_files`` small ones. ``only_newest`` looks just at partitions the newest snapshot wrote to, which bounds
         the work of a run by what the run did.
         """
         base = self.snapshot()
         if base is None:
             return 0
         groups: dict[str, list[str]] = {}
-        for d in base.dirs:
-            groups.setdefault(_partition_of(d), []).append(d)
+        for path in base.paths:
+            groups.setdefault(_partition_of(path), []).append(path)
         if only_newest and base.version > 1:
             before = self.snapshot(base.version - 1)
-            fresh = {_partition_of(d) for d in set(base.dirs) - set(before.dirs if before else ())}
-            groups = {p: ds for p, ds in groups.items() if p in fresh}
+            fresh = {_partition_of(p) for p in set(base.paths) - set(before.paths if before else ())}
+            groups = {p: paths for p, paths in groups.items() if p in fresh}
         loose = []
-        for dirs in groups.values():
-            sizes = [size for d in dirs for size in self._folder.files(d)]
-            if len(sizes) > 2 * math.ceil(sum(sizes) / target_bytes):
-                loose += dirs
+        for paths in groups.values():
+            usage = {p: self._folder.usage(p) for p in paths}
+            small = [p for p, (files, size) in usage.items() if size < files * target_bytes / 2]
+            files, size = (sum(usage[p][i] for p in small) for i in (0, 1))
+            if files >= min_files and files > math.ceil(size / target_bytes):
+                loose += small
         if not loose:
             return 0
 
@@ -445,9 +483,9 @@ class Table:
             base,
             clock,
             operation="compact",
-            dirs=tuple(d for d in base.dirs if d not in gone) + staged.dirs,
+            paths=tuple(p for p in base.paths if p not in gone) + staged.dirs,
         )
-        return len({_partition_of(d) for d in loose})
+        return len({_partition_of(p) for p in loose})
 
     def expire(self, hours: float = RETENTION_HOURS, clock: dt.datetime | None = None) -> int:
         """Drop snapshots older than the retention, never the newest, and what only they hold.
@@ -465,33 +503,38 @@ class Table:
             for s in snapshots
             if s is newest or dt.datetime.fromisoformat(s.committed_at) >= cutoff
         ]
-        live = {d for s in kept for d in s.dirs}
-        named = {d for s in snapshots for d in s.dirs}
-        dead = named - live
-        live_commits = {d.split("/", 1)[0] for d in live}
-        named_commits = {d.split("/", 1)[0] for d in named}
+        live = {p for s in kept for p in s.paths}
+        dead = {p for s in snapshots for p in s.paths} - live
+        commits = {p.split("/", 1)[0] for p in live | dead}
         for commit, _, _, modified in self._folder.listing(_COMMIT + "*"):
-            abandoned = commit not in named_commits
-            if abandoned and dt.datetime.fromtimestamp(modified / 1000) < cutoff:
+            if commit not in commits and dt.datetime.fromtimestamp(modified / 1000) < cutoff:
                 self._folder.delete(commit)
-        for commit in sorted({d.split("/", 1)[0] for d in dead} - live_commits):
+        in_use = {commit for p in live for commit in _ancestors(p)}
+        for path in sorted(dead):
+            if path not in in_use:
+                if not live.intersection(_ancestors(path)):
+                    self._folder.delete(path)
+            else:  # a directory some files of which are still named one by one
+                for name in self._folder.data_files(path):
+                    if name not in live:
+                        self._folder.delete(name)
+        for commit in {p.split("/", 1)[0] for p in dead} - {p.split("/", 1)[0] for p in live}:
             self._folder.delete(commit)
-        for d in sorted(dead):
-            if d.split("/", 1)[0] in live_commits:
-                self._folder.delete(d)
         for s in snapshots:
             if s not in kept:
                 self._folder.delete(f"{_SNAPSHOTS}/{s.version:010d}.json")
         return len(dead)
 
 
-def union_with_schema(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Two differently shaped batches as one, by name."""
-    return append_rows(left, right)
+def _partition_of(path: str) -> str:
+    """Partition part of a live path: neither the commit nor, if it is a file, its name."""
+    return "/".join(step for step in path.split("/")[1:] if "=" in step)
 
 
-def _partition_of(directory: str) -> str:
-    return directory.split("/", 1)[1] if "/" in directory else ""
+def _ancestors(path: str) -> list[str]:
+    """The path's parent directories within the table."""
+    steps = path.split("/")
+    return ["/".join(steps[:i]) for i in range(1, len(steps))]
 
 
 def _columns(schema: T.StructType) -> list[Column]:

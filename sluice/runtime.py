@@ -69,13 +69,16 @@ class Folder:
             for s in found
         ]
 
-    def files(self, relative: str) -> list[int]:
-        """Sizes of the data files directly inside a folder."""
-        return [
-            s.getLen()
-            for s in self._fs.listStatus(self._at(relative))
-            if s.isFile() and not s.getPath().getName().startswith(("_", "."))
-        ]
+    def data_files(self, relative: str) -> list[str]:
+        """Relative paths of the data files directly inside a folder."""
+        base = len(self.uri_path()) + 1
+        names = [s.getPath().toUri().getPath()[base:] for s in self._fs.listStatus(self._at(relative))]
+        return [n for n in names if not n.rsplit("/", 1)[-1].startswith(("_", "."))]
+
+    def usage(self, relative: str) -> tuple[int, int]:
+        """Number and bytes of the files at a path, in one call."""
+        summary = self._fs.getContentSummary(self._at(relative))
+        return summary.getFileCount(), summary.getLength()
 
     def read_text(self, relative: str) -> str:
         stream = self._fs.open(self._at(relative))

@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import random
 
 import pytest
 from conftest import rows
@@ -47,28 +48,73 @@ def test_overwrite_keeps_the_old_snapshot_readable(spark, path):
 def test_upsert_rewrites_only_touched_partitions(spark, path):
     t = Table(spark, path)
     t.upsert(make(spark, [(1, "a", "x"), (2, "b", "y"), (3, "c", "y"), (4, "d", "z")]), "k", ["p"])
-    before = set(t.snapshot().dirs)
+    before = set(t.snapshot().paths)
     result = t.upsert(make(spark, [(2, "B", "new"), (5, "e", "z")]), "k")
     assert result.touched == 1
     assert rows(t.read()) == [(1, "a", "x"), (2, "B", "new"), (3, "c", "y"), (4, "d", "z"), (5, "e", "z")]
-    gone = before - set(t.snapshot().dirs)
+    gone = before - set(t.snapshot().paths)
     assert [d.split("/")[1] for d in gone] == ["p=y"]
 
 
+def many_files(spark, n=6):
+    """Rows 0..99 in n files, each with its own range of keys."""
+    return spark.range(0, 100, 1, n).selectExpr("id AS k", "'old' AS v", "id % 2 AS p")
+
+
+def test_upsert_rewrites_only_the_files_that_hold_a_key(spark, path):
+    t = Table(spark, path)
+    t.upsert(many_files(spark), "k")
+    whole = t.snapshot().paths
+    assert len(whole) == 1 and len(t._folder.data_files(whole[0])) == 6
+    assert t.upsert(spark.sql("SELECT 5L AS k, 'new' AS v, 1L AS p"), "k").touched == 1
+    kept = [p for p in t.snapshot().paths if p.endswith(".parquet")]
+    assert len(kept) == 5 and all(p.startswith(whole[0]) for p in kept)
+    want = [(i, "new" if i == 5 else "old", i % 2) for i in range(100)]
+    assert sorted(map(tuple, t.read().collect())) == want
+    # Files named one by one can be hit, compacted and expired like directories.
+    assert t.upsert(spark.sql("SELECT 50L AS k, 'new' AS v, 0L AS p"), "k").touched == 1
+    want[50] = (50, "new", 0)
+    assert sorted(map(tuple, t.read().collect())) == want
+    before = len(os.listdir(f"{path}/{whole[0]}"))
+    t.expire(0, clock=dt.datetime.now() + dt.timedelta(minutes=1))
+    assert len(os.listdir(f"{path}/{whole[0]}")) < before
+    assert sorted(map(tuple, t.read().collect())) == want
+    assert t.compact() == 1
+    t.expire(0, clock=dt.datetime.now() + dt.timedelta(minutes=1))
+    assert not os.path.exists(f"{path}/{whole[0]}")
+    assert sorted(map(tuple, t.read().collect())) == want
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_many_upserts_equal_a_dict(spark, path, seed):
+    rng = random.Random(seed)
+    t, want = Table(spark, path), {}
+    for step in range(6):
+        batch = {rng.randrange(60): (f"s{step}", rng.choice("xyz")) for _ in range(rng.choice([3, 25]))}
+        df = make(spark, [(k, v, p) for k, (v, p) in batch.items()]).repartition(3, "k")
+        t.upsert(df, "k", ["p"])
+        want.update(batch)
+        if rng.random() < 0.4:
+            t.compact()
+        if rng.random() < 0.4:
+            t.expire(0, clock=dt.datetime.now() + dt.timedelta(minutes=1))
+        assert sorted(map(tuple, t.read().collect())) == sorted((k, v, p) for k, (v, p) in want.items())
+
+
 def test_upsert_can_empty_a_partition(spark, path):
     t = Table(spark, path)
     t.upsert(make(spark, [(1, "a", "x"), (2, "b", "y")]), "k", ["p"])
     t.upsert(make(spark, [(1, "a2", "y")]), "k")
     assert rows(t.read()) == [(1, "a2", "y"), (2, "b", "y")]
-    assert not any(d.endswith("p=x") for d in t.snapshot().dirs)
+    assert not any(d.endswith("p=x") for d in t.snapshot().paths)
 
 
 def test_new_keys_are_a_plain_append(spark, path):
     t = Table(spark, path)
     t.upsert(make(spark, [(1, "a", "x")]), "k", ["p"])
-    old = t.snapshot().dirs
+    old = t.snapshot().paths
     assert t.upsert(make(spark, [(2, "b", "x")]), "k").touched == 0
-    assert set(old) < set(t.snapshot().dirs)
+    assert set(old) < set(t.snapshot().paths)
 
 
 def test_odd_partition_values(spark, path):
@@ -108,6 +154,13 @@ def test_repeated_keys(spark, path):
     assert rows(t.read()) == [(1, "b", "x")]
 
 
+def test_exact_copies_are_one_row(spark, path):
+    t = Table(spark, path)
+    copies = make(spark, [(1, "a", "x"), (1, "a", "x"), (None, "n", "x"), (None, "n", "x")])
+    assert t.upsert(copies, "k").rows == 3
+    assert rows(t.read()) == [(None, "n", "x"), (None, "n", "x"), (1, "a", "x")]
+
+
 def test_undeduplicated_first_load_updates_every_copy(spark, path):
     t = Table(spark, path)
     t.upsert(make(spark, [(1, "a", "x"), (1, "b", "x"), (2, "c", "x")]), "k", dedupe="none")
@@ -174,7 +227,7 @@ def test_compaction_changes_files_not_rows(spark, path):
         t.append(make(spark, [(i, "a", p) for p in "xy"]), ["p"])
     before = rows(t.read())
     assert t.compact() == 2
-    assert len(t.snapshot().dirs) == 2
+    assert len(t.snapshot().paths) == 2
     assert rows(t.read()) == before
     assert t.compact() == 0
 
@@ -186,7 +239,7 @@ def test_compaction_of_the_newest_write_leaves_other_partitions(spark, path):
     for _ in range(3):
         t.append(make(spark, [(2, "b", "y")]))
     assert t.compact(only_newest=True) == 1
-    assert sorted(d.split("/")[1] for d in t.snapshot().dirs) == ["p=x"] * 3 + ["p=y"]
+    assert sorted(d.split("/")[1] for d in t.snapshot().paths) == ["p=x"] * 3 + ["p=y"]
 
 
 def test_expiry_drops_what_only_old_snapshots_hold(spark, path):
