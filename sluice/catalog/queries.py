@@ -107,8 +107,7 @@ def rest_page_scan(spark, sf):
         "url": url,
         "transport": "files",
         "data_path": "result.data",
-        "pagination": {"strategy": "page", "page_param": "page", "max_pages": pages,
-                       "num_partitions": 1000},
+        "pagination": {"strategy": "page", "page_param": "page", "max_pages": pages},
     }
     return read_source(spark, SourceSpec("api", feed)).select(*chat.columns)
 
@@ -624,7 +623,7 @@ def job_from_rest(spark, sf):
         "job_name": "feed", "source_type": "api",
         "source_config": {
             "url": url, "transport": "files", "data_path": "result.data",
-            "pagination": {"strategy": "page", "max_pages": pages, "num_partitions": 1000}},
+            "pagination": {"strategy": "page", "max_pages": pages}},
         "target": {"path": target, "primary_key": "data.id"},
     })
     run_job(spark, spec, scratch_dir(spark, "audit"), run_id=RUN, clock=CLOCK)

@@ -7,15 +7,26 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from sluice.operators.merge import conform, empty_rows
 from sluice.runtime import Folder
 
-AUDIT_SCHEMA = (
-    "ingestion_id string, job_name string, ingestion_type string, status string, "
-    "source_count bigint, target_count bigint, duration double, error string, "
-    "next_value string, page_errors bigint, ts timestamp"
+AUDIT_SCHEMA = T.StructType(
+    [
+        T.StructField("ingestion_id", T.StringType()),
+        T.StructField("job_name", T.StringType()),
+        T.StructField("ingestion_type", T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("source_count", T.LongType()),
+        T.StructField("target_count", T.LongType()),
+        T.StructField("duration", T.DoubleType()),
+        T.StructField("error", T.StringType()),
+        T.StructField("next_value", T.StringType()),
+        T.StructField("page_errors", T.LongType()),
+        T.StructField("ts", T.TimestampType()),
+    ]
 )
-_COLUMNS = [part.strip().split(" ")[0] for part in AUDIT_SCHEMA.split(",")]
 
 
 @dataclass(frozen=True)
@@ -41,20 +52,19 @@ class RunReport:
 
 def report_rows(spark: SparkSession, reports: list[RunReport]) -> DataFrame:
     """Run reports as rows of the audit schema."""
-    rows = [tuple(getattr(r, name) for name in _COLUMNS) for r in reports]
-    return spark.createDataFrame(rows, AUDIT_SCHEMA)
+    rows = [tuple(getattr(r, name) for name in AUDIT_SCHEMA.names) for r in reports]
+    return spark.createDataFrame(rows, AUDIT_SCHEMA).coalesce(1)
 
 
 def append_audit(df: DataFrame, path: str) -> None:
     """Add rows to the log; columns they lack are NULL."""
-    empty = df.sparkSession.createDataFrame([], AUDIT_SCHEMA)
-    empty.unionByName(df, allowMissingColumns=True).write.mode("append").parquet(path)
+    conform(df, AUDIT_SCHEMA).write.mode("append").parquet(path)
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
     """The log; empty before the first run."""
     if not Folder(spark, path).exists():
-        return spark.createDataFrame([], AUDIT_SCHEMA)
+        return empty_rows(spark, AUDIT_SCHEMA)
     return spark.read.schema(AUDIT_SCHEMA).parquet(path)
 
 

@@ -1,7 +1,8 @@
 """REST feeds. Executors request the pages; the answers are written once and read as JSON.
 
-Requests go out in the tasks of a Python data source: one page range per task for numbered
-pages, one task per chain for cursors, whose pages only the chain itself can name. What they
+Requests go out in the tasks of a Python data source: a range of numbered pages per task, as
+many tasks as the cluster runs at once unless the spec says otherwise, or one task per chain
+for cursors, whose pages only the chain itself can name. What they
 answer is written to scratch before anything else looks at it, so that schema inference, the
 write and the checks never request a page a second time.
 """
@@ -235,6 +236,7 @@ def fetch_pages(spark: SparkSession, request: Mapping[str, Any]) -> DataFrame:
 def read_rest(spark: SparkSession, source: SourceSpec, context: ReadContext) -> DataFrame:
     """The records of a feed, one row each, with the schema inferred over all pages or given."""
     request = request_of(source)
+    request["num_partitions"] = request["num_partitions"] or spark.sparkContext.defaultParallelism
     folder = scratch_dir(spark, "records")
     context.scratch.append(folder)
     seen = Observation()
