@@ -125,10 +125,9 @@ _add(
     count_by_type="SELECT event_type, COUNT(*) AS n FROM events GROUP BY event_type",
     audit_append=f"""SELECT job_name, ingestion_type, source_count, NULL::BIGINT AS target_count, ts
         FROM ({_LOG})""",
-    # The speed is rounded half up by its decimal digits, so DuckDB is told to round a decimal.
     audit_throughput=f"""SELECT ts, job_name, status, source_count, duration,
-        CASE WHEN duration > 0 THEN CAST(round(CAST(source_count / duration AS DECIMAL(28, 10)), 2)
-        AS DOUBLE) END AS speed_rec_per_sec FROM ({_LOG})""",
+        CASE WHEN duration > 0 THEN round(source_count / duration, 2) END AS speed_rec_per_sec
+        FROM ({_LOG})""",
     compare_load_types=f"""SELECT full_avg, incr_avg, round(full_avg - incr_avg, 2) AS saved,
         round((full_avg - incr_avg) / full_avg * 100, 2) AS saved_pct FROM (
         SELECT round(avg(duration) FILTER (WHERE ingestion_type = 'FULL'), 2) AS full_avg,

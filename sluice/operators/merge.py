@@ -177,7 +177,7 @@ def drop_stale(
 ) -> DataFrame:
     """Batch rows that are newer than the target's row of the same key, or have none there."""
     k = quoted(key)
-    columns = [F.col(quoted(c)) for c in order_by]
+    columns = [F.col(c) for c in order_by]
     order = columns[0] if len(columns) == 1 else F.struct(*columns)
     keyed = batch.filter(F.col(k).isNotNull())
     known = target.filter(F.col(k).isNotNull())

@@ -51,9 +51,16 @@ class RunReport:
 
 
 def report_rows(spark: SparkSession, reports: list[RunReport]) -> DataFrame:
-    """Run reports as rows of the audit schema."""
-    rows = [tuple(getattr(r, name) for name in AUDIT_SCHEMA.names) for r in reports]
-    return spark.createDataFrame(rows, AUDIT_SCHEMA).coalesce(1)
+    """Run reports as rows of the audit schema; their clock is read in the session's zone."""
+    text = T.StructType(
+        [T.StructField("ts", T.StringType()) if f.name == "ts" else f for f in AUDIT_SCHEMA]
+    )
+    rows = [
+        tuple(str(r.ts) if n == "ts" and r.ts else getattr(r, n) for n in AUDIT_SCHEMA.names)
+        for r in reports
+    ]
+    written = spark.createDataFrame(rows, text).coalesce(1)
+    return written.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def append_audit(df: DataFrame, path: str) -> None:

@@ -63,7 +63,7 @@ def run_job(
     of from the spec. Maintenance follows only a load whose counts agree.
     """
     run_id = run_id or str(uuid.uuid4())
-    clock = clock or clock_now()
+    clock = clock or clock_now(spark)
     started = time.monotonic()
     context = ReadContext(run_id)
     report = RunReport(run_id, spec.job_name, spec.ingestion_type.upper(), "FAILED", ts=clock)

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.functions import quoted
 from sluice.operators.merge import latest_per_key
 from sluice.operators.quality import duplicate_keys
 from sluice.plans.table import (
@@ -38,12 +39,13 @@ class SnapshotSink:
     def write(self, df, partition_by, key, clock) -> WriteResult:
         watch = self.spec.incremental_column if self.spec.incremental_column in df.columns else None
         if key:
+            order_by = self.spec.order_columns(df.columns, key)
             return self.table.upsert(
                 df,
                 key,
                 partition_by,
-                dedupe=self.spec.dedupe,
-                order_by=self.spec.order_by,
+                dedupe=self.spec.dedupe_mode(order_by),
+                order_by=order_by,
                 watch=watch,
                 clock=clock,
             )
@@ -80,12 +82,15 @@ class DeltaSink:
         counted.write.parquet(copy)
         result = _result(seen)
         batch = self.spark.read.parquet(copy)
-        named = F.col(key).isNotNull()
-        if self.spec.dedupe != "none" and not duplicate_keys(batch.filter(named), key).isEmpty():
-            if self.spec.dedupe == "error":
-                raise DuplicateKeyError(f"{key} repeats within the batch")
-            newest = latest_per_key(batch.filter(named), key, self.spec.order_by)
-            batch = newest.unionByName(batch.filter(~named))
+        named = F.col(quoted(key)).isNotNull()
+        order_by = self.spec.order_columns(df.columns, key)
+        mode = self.spec.dedupe_mode(order_by)
+        if mode != "none" and not duplicate_keys(batch.filter(named), key).isEmpty():
+            keyed = batch.filter(named)
+            single = latest_per_key(keyed, key, order_by) if mode == "latest" else keyed.dropDuplicates()
+            if mode == "error" and not duplicate_keys(single, key).isEmpty():
+                raise DuplicateKeyError(f"{key} repeats with differing rows")
+            batch = single.unionByName(batch.filter(~named))
             result = WriteResult(batch.count(), result.watermark)
         if exists:
             merge = DeltaTable.forPath(self.spark, self.path).alias("t")

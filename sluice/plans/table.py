@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import math
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
@@ -127,7 +128,7 @@ class Table:
         new = replace(
             base or Snapshot(0, "", "", {}),
             version=(base.version if base else 0) + 1,
-            committed_at=(clock or clock_now()).isoformat(),
+            committed_at=(clock or clock_now(self.spark)).isoformat(),
             **changes,
         )
         try:
@@ -260,12 +261,14 @@ class Table:
             self._check_key_type(base, df, key)
             df = conform(df, schema).select(*_columns(df.schema))
         lacking = [c for c in partition_by if c not in df.columns]
-        if lacking:
+        if lacking and not base:
             raise SpecError(f"the batch lacks partition columns: {', '.join(lacking)}")
+        # Without its partition columns the batch cannot lie where its rows will stay.
+        layout = () if lacking else partition_by
 
-        staged = self._stage(df, partition_by, {**_watch(df, watch), **_key_range(df, key)})
+        staged = self._stage(df, layout, {**_watch(df, watch), **_key_range(df, key)})
         watermark = staged.stats.get("watermark")
-        staged = self._dedupe(staged, partition_by, key, dedupe, order_by)
+        staged = self._dedupe(staged, layout, key, dedupe, order_by)
         unique = dedupe != "none"
         streams = {**(base.streams if base else {}), **({stream[0]: stream[1]} if stream else {})}
 
@@ -277,13 +280,13 @@ class Table:
                 newer = drop_stale(
                     self._staged_rows(staged), near, key, order_by, self._is_small(staged)
                 )
-                fresh = self._stage(newer, partition_by, _key_range(df, key))
+                fresh = self._stage(newer, layout, _key_range(df, key))
                 self._discard(staged.dirs)
                 staged, added = fresh, fresh.dirs
             touched = self._touched(base, target, key, staged)
             kept, old = self._split(base, touched)
             hits = len(touched)
-            if old:
+            if old or lacking:
                 added = self._rewrite(base, schema, old, staged, key, unique)
             unique = unique and base.unique_key == key
         new = self._publish(
@@ -492,7 +495,7 @@ class Table:
 
         Directories that no snapshot ever named, left by failed writes, go when they are as old.
         """
-        now = clock or clock_now()
+        now = clock or clock_now(self.spark)
         cutoff = now - dt.timedelta(hours=hours)
         snapshots = [s for v in self._versions() if (s := self.snapshot(v))]
         if not snapshots:
@@ -507,7 +510,7 @@ class Table:
         dead = {p for s in snapshots for p in s.paths} - live
         commits = {p.split("/", 1)[0] for p in live | dead}
         for commit, _, _, modified in self._folder.listing(_COMMIT + "*"):
-            if commit not in commits and dt.datetime.fromtimestamp(modified / 1000) < cutoff:
+            if commit not in commits and modified < (time.time() - hours * 3600) * 1000:
                 self._folder.delete(commit)
         in_use = {commit for p in live for commit in _ancestors(p)}
         for path in sorted(dead):

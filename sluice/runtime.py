@@ -25,9 +25,9 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/sluice/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def clock_now() -> dt.datetime:
-    """The run clock: wall time of the session zone's host, whole microseconds, no zone."""
-    return dt.datetime.now()
+def clock_now(spark: SparkSession) -> dt.datetime:
+    """The run clock: wall time in the session's time zone, whatever zone the driver is in."""
+    return spark.sql("SELECT CAST(current_timestamp() AS timestamp_ntz) AS now").head()["now"]
 
 
 def clock_column(clock: dt.datetime) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from sluice.functions import json_records
+from sluice.functions import with_json_records
 from sluice.runtime import scratch_dir
 from sluice.sources.registry import ReadContext, register
 from sluice.spec import SourceSpec, SpecError
@@ -240,9 +240,8 @@ def read_rest(spark: SparkSession, source: SourceSpec, context: ReadContext) ->
     folder = scratch_dir(spark, "records")
     context.scratch.append(folder)
     seen = Observation()
-    pages = fetch_pages(spark, request).select(
-        "error", json_records(F.col("body"), request["data_path"]).alias("records")
-    )
+    pages = fetch_pages(spark, request).select("error", "body")
+    pages = with_json_records(pages, "body", request["data_path"], "records")
     counted = pages.observe(
         seen,
         F.count("error").alias("errors"),

@@ -10,7 +10,7 @@ import json
 import os
 import re
 import warnings
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from pathlib import Path
 from types import MappingProxyType
@@ -98,19 +98,21 @@ class JobSpec:
             and self.last_ingestion_value
         )
 
-    @property
-    def order_by(self) -> tuple[str, ...]:
-        """Columns that say which of two rows with one key is the newer."""
+    def order_columns(self, columns: Iterable[str], key: str | None) -> tuple[str, ...]:
+        """Columns that say which of two rows with one key is the newer.
+
+        The incremental column stands in for ``order_by`` if the rows have it and it is not
+        the key itself, which orders nothing among rows that share it.
+        """
         if self.target.order_by:
             return self.target.order_by
-        return (self.incremental_column,) if self.incremental_column else ()
+        stand_in = self.incremental_column
+        known = stand_in and stand_in != key and stand_in.split(".")[0] in set(columns)
+        return (stand_in,) if known else ()
 
-    @property
-    def dedupe(self) -> str:
+    def dedupe_mode(self, order_by: tuple[str, ...]) -> str:
         """How a keyed batch treats repeated keys: newest row if that is known, else refuse."""
-        if self.target.dedupe:
-            return self.target.dedupe
-        return "latest" if self.order_by else "error"
+        return self.target.dedupe or ("latest" if order_by else "error")
 
 
 def _substitute(node: Any, env: Mapping[str, str]) -> Any:

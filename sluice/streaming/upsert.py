@@ -85,8 +85,8 @@ def stream_job(
 ) -> StreamingQuery:
     """A spec over a folder of files as a stream. The checkpoint takes the place of the bound."""
     source, target = spec.source, spec.target
-    if not target.primary_key or not spec.order_by:
-        raise SpecError("a streamed job needs target.primary_key and an order column")
+    if not target.primary_key:
+        raise SpecError("a streamed job needs target.primary_key")
     path = source.options.get("path") or source.options.get("file_path")
     rows = stream_files(
         spark,
@@ -98,9 +98,12 @@ def stream_job(
     rows = strings_in_arrays(rows, source.array_columns)
     rows = rebuilt_structs(rows, source.struct_columns)
     rows, key = flat_key(rows, target.primary_key)
+    order_by = spec.order_columns(rows.columns, key)
+    if not order_by:
+        raise SpecError("a streamed job needs a column that orders the rows of a key")
 
     def shape(batch: DataFrame, number: int) -> DataFrame:
-        now = clock or clock_now()
+        now = clock or clock_now(batch.sparkSession)
         run_id = f"{spec.job_name}-{number}"
         batch = with_run_metadata(batch, run_id, spec.ingestion_type, source.type, now)
         batch = apply_rules(batch, target.transformations, now)
@@ -113,7 +116,7 @@ def stream_job(
         rows,
         target.path,
         key,
-        spec.order_by,
+        order_by,
         checkpoint,
         name=spec.job_name,
         partition_by=partition_by,

@@ -100,6 +100,26 @@ def test_newest_row_of_a_key_wins(spark, env):
     assert rows(env.table(), "id", "v") == [(1, "b"), (2, "c")]
 
 
+def test_an_incremental_column_the_rows_lack_matters_only_with_a_bound(spark, env):
+    env.put([(1, "a"), (2, "b")])
+    spec = env.spec({"primary_key": "id"}, ingestion_type="incremental", incremental_column="after")
+    assert run_job(spark, spec, env.audit).ok
+
+
+def test_the_clock_follows_the_session_zone(spark, env):
+    env.put([(1, "a"), (2, "b")])
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")
+        run_job(spark, env.spec(), env.audit)
+        off = "abs(unix_timestamp(current_timestamp()) - unix_timestamp({})) > 600"
+        assert env.table().filter(off.format("_ingested_at")).count() == 0
+        assert env.log().filter(off.format("ts")).count() == 0
+        assert env.table().filter("_ingest_date <> to_date(current_timestamp())").count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_overwrite_and_partitions(spark, env):
     env.put([(1, "a"), (2, "b")])
     spec = env.spec({"mode": "overwrite", "partition_by": ["v"]})

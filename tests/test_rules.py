@@ -2,9 +2,8 @@ import datetime as dt
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
-from sluice.functions import json_records
+from sluice.functions import with_json_records
 from sluice.operators import filters, rules
 from sluice.spec import Rule, SpecError
 
@@ -128,4 +127,4 @@ def test_next_bound(spark):
 )
 def test_records_at_a_path(spark, body, path, expected):
     df = spark.createDataFrame([(body,)], "body string")
-    assert df.select(json_records(F.col("body"), path).alias("r")).head()["r"] == expected
+    assert with_json_records(df, "body", path, "r").head()["r"] == expected

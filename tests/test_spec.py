@@ -22,7 +22,7 @@ def test_defaults():
     assert spec.target.format == "delta"
     assert spec.target.mode == "append"
     assert not spec.incremental
-    assert spec.dedupe == "error"
+    assert spec.dedupe_mode(spec.order_columns(["a"], "a")) == "error"
 
 
 def test_environment_fills_strings_and_leaves_unknown_names():
@@ -39,11 +39,21 @@ def test_load_spec_survives_quotes_in_values(tmp_path):
 
 def test_zero_is_a_bound_but_none_is_not():
     spec = parse_spec(doc(ingestion_type="INCREMENTAL", incremental_column="id", last_ingestion_value="0"))
-    assert spec.incremental and spec.order_by == ("id",) and spec.dedupe == "latest"
+    assert spec.incremental
     assert not parse_spec(doc(ingestion_type="incremental", incremental_column="id")).incremental
     assert not parse_spec(doc(incremental_column="id", last_ingestion_value="5")).incremental
 
 
+def test_order_columns():
+    spec = parse_spec(doc(incremental_column="at.day"))
+    assert spec.order_columns(["id", "at"], "id") == ("at.day",)
+    assert spec.dedupe_mode(("at.day",)) == "latest"
+    assert spec.order_columns(["id"], "id") == ()  # the rows do not have it
+    assert parse_spec(doc(incremental_column="id")).order_columns(["id"], "id") == ()
+    given = parse_spec(doc(target={"path": "/t", "order_by": ["v"], "dedupe": "none"}))
+    assert given.order_columns([], "id") == ("v",) and given.dedupe_mode(("v",)) == "none"
+
+
 def test_dead_keys_only_warn():
     with pytest.warns(UserWarning, match="batch_size"):
         parse_spec(doc(batch_size=5))

@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 import random
+import time
 
 import pytest
 from conftest import rows
@@ -143,6 +144,14 @@ def test_upsert_keeps_columns_the_batch_lacks(spark, path):
     assert rows(t.read()) == [(1, "a", "x", None), (2, "b", "X", 5), (3, None, "Y", 6)]
 
 
+def test_a_batch_may_lack_the_partition_column(spark, path):
+    t = Table(spark, path)
+    t.upsert(make(spark, [(1, "a", "x"), (2, "b", "y")]), "k", ["p"])
+    t.upsert(make(spark, [(2, "B")], "k int, v string"), "k")
+    t.upsert(make(spark, [(9, "N")], "k int, v string"), "k")
+    assert rows(t.read()) == [(1, "a", "x"), (2, "B", "y"), (9, "N", None)]
+
+
 def test_repeated_keys(spark, path):
     t = Table(spark, path)
     twice = make(spark, [(1, "a", "x"), (1, "b", "x")])
@@ -259,7 +268,11 @@ def test_expiry_never_drops_the_newest_and_clears_abandoned_writes(spark, path):
     t = Table(spark, path)
     t.append(make(spark, [(1, "a", "x")]), clock=dt.datetime(2020, 1, 1))
     make(spark, [(5, "z", "x")]).write.parquet(f"{path}/_commit=abandoned")
-    t.expire(clock=dt.datetime.now() + dt.timedelta(days=30))
+    make(spark, [(6, "z", "x")]).write.parquet(f"{path}/_commit=inflight")
+    old = time.time() - 8 * 24 * 3600
+    os.utime(f"{path}/_commit=abandoned", (old, old))
+    t.expire()
+    assert os.path.exists(f"{path}/_commit=inflight")
     assert rows(t.read()) == [(1, "a", "x")]
     assert not os.path.exists(f"{path}/_commit=abandoned")
 
