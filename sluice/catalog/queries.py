@@ -18,7 +18,7 @@ from sluice.plans.table import Table
 from sluice.runtime import Folder, scratch_dir
 from sluice.sources import ReadContext, read_source, register
 from sluice.spec import Rule, SourceSpec, parse_spec
-from sluice.functions import with_json_records
+from sluice.functions import json_records
 from sluice.streaming.upsert import stream_files, stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,8 +130,7 @@ def rest_cursor_scan(spark, sf):
 def extract_records_by_path(spark, sf):
     body = F.concat(F.lit('{"result":{"data":['), F.col("props"), F.lit("]}}"))
     bodies = load(spark, sf, "events").select("event_id", body.alias("body"))
-    records = with_json_records(bodies, "body", "result.data", "records")
-    records = records.select("event_id", F.explode("records").alias("record"))
+    records = json_records(bodies, "body", "result.data", "record")
     return records.select("event_id", F.from_json("record", "k bigint").getField("k").alias("k"))
 
 

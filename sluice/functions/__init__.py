@@ -2,18 +2,18 @@
 
 from sluice.functions.columns import (
     array_of_strings,
+    json_records,
     present_columns,
     quoted,
     rebuilt_struct,
     typed_bound,
-    with_json_records,
 )
 
 __all__ = [
     "array_of_strings",
+    "json_records",
     "present_columns",
     "quoted",
     "rebuilt_struct",
     "typed_bound",
-    "with_json_records",
 ]

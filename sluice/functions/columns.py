@@ -64,20 +64,19 @@ def rebuilt_struct(df: DataFrame, name: str) -> Column:
     return F.when(column.isNotNull(), F.struct(*fields))
 
 
-def with_json_records(df: DataFrame, body: str, path: str, name: str) -> DataFrame:
-    """The body column replaced by JSON texts of the records at a dotted path, as an array.
+def json_records(df: DataFrame, body: str, path: str, name: str) -> DataFrame:
+    """A row per record at a dotted path of a JSON body, its JSON text in place of the body.
 
-    An array gives its elements and any other value gives itself; a missing path, or one
-    that leads through something that is not an object, gives no records. The path is looked
-    up in a projection of its own, so that each body is parsed for it once.
+    An array gives its elements and any other value gives itself. A missing path, one that
+    leads through something that is not an object, or an empty array gives one row with NULL.
+    The path is looked up in a projection of its own, and the outer explode brings no filter
+    that would repeat it below, so each body is parsed for it once.
     """
     steps = "".join(f"['{step}']" for step in path.split(".")) if path else ""
     found = df.withColumn(body, F.get_json_object(F.col(body), "$" + steps))
-    return found.withColumn(name, _texts(F.col(body))).drop(body)
-
-
-def _texts(found: Column) -> Column:
-    is_list = F.ltrim(found).startswith("[")
-    return F.when(is_list, F.from_json(found, "array<string>")).otherwise(
-        F.when(found.isNotNull(), F.array(found)).otherwise(F.array().cast("array<string>"))
-    )
+    text = F.col(body)
+    records = F.when(
+        F.ltrim(text).startswith("["), F.from_json(text, "array<string>")
+    ).otherwise(F.when(text.isNotNull(), F.array(text)))
+    others = [F.col(quoted(c)) for c in df.columns if c != body]
+    return found.select(*others, F.explode_outer(records).alias(name))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import importlib.util
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -22,6 +23,8 @@ from sluice.plans.table import (
 from sluice.runtime import Folder, scratch_dir
 from sluice.spec import JobSpec
 
+log = logging.getLogger(__name__)
+
 
 def delta_available(spark: SparkSession) -> bool:
     """True where the Delta package is installed and the session loads its extension."""
@@ -135,8 +138,11 @@ class FileSink:
 
 def sink_for(spark: SparkSession, spec: JobSpec) -> SnapshotSink | DeltaSink | FileSink:
     if spec.target.format in ("delta", "snapshot"):
-        wants_delta = spec.target.format == "delta" and delta_available(spark)
-        return DeltaSink(spark, spec) if wants_delta else SnapshotSink(spark, spec)
+        if spec.target.format == "delta":
+            if delta_available(spark):
+                return DeltaSink(spark, spec)
+            log.info("%s: no Delta in this session, writing Parquet snapshots", spec.target.path)
+        return SnapshotSink(spark, spec)
     return FileSink(spark, spec)
 
 

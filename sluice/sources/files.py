@@ -6,6 +6,7 @@ from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluice.plans.sink import delta_available
 from sluice.plans.table import Table
 from sluice.sources.registry import ReadContext, register
 from sluice.spec import SourceSpec, SpecError
@@ -38,9 +39,11 @@ def read_files(spark: SparkSession, source: SourceSpec, context: ReadContext) ->
     return _read(spark, source, source.type.lower(), _path(source))
 
 
-@register("table")
+@register("table", "delta")
 def read_table(spark: SparkSession, source: SourceSpec, context: ReadContext) -> DataFrame:
     """The current rows of a table that another job writes."""
+    if delta_available(spark):
+        return spark.read.format("delta").load(_path(source))
     return Table(spark, _path(source)).read()
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from sluice.functions import with_json_records
+from sluice.functions import json_records
 from sluice.runtime import scratch_dir
 from sluice.sources.registry import ReadContext, register
 from sluice.spec import SourceSpec, SpecError
@@ -241,13 +241,10 @@ def read_rest(spark: SparkSession, source: SourceSpec, context: ReadContext) ->
     context.scratch.append(folder)
     seen = Observation()
     pages = fetch_pages(spark, request).select("error", "body")
-    pages = with_json_records(pages, "body", request["data_path"], "records")
-    counted = pages.observe(
-        seen,
-        F.count("error").alias("errors"),
-        F.coalesce(F.sum(F.when(F.col("error").isNull(), F.size("records"))), F.lit(0)).alias("rows"),
+    records = json_records(pages, "body", request["data_path"], "value").observe(
+        seen, F.count("error").alias("errors"), F.count("value").alias("rows")
     )
-    counted.select(F.explode("records").alias("value")).write.text(folder)
+    records.select("value").filter("value IS NOT NULL").write.text(folder)
     context.page_errors += seen.get.get("errors", 0)
     if seen.get.get("errors"):
         warnings.warn(f"{seen.get['errors']} pages could not be read", stacklevel=2)
