@@ -19,7 +19,7 @@ def duplicate_rate(df: DataFrame, key: str) -> DataFrame:
     per_key = df.groupBy(F.col(quoted(key))).agg(F.count(F.lit(1)).alias("n"))
     totals = per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total"),
-        F.coalesce(F.sum(F.when(F.col("n") > 1, 1).otherwise(0)), F.lit(0)).cast("bigint").alias("dups"),
+        F.count_if(F.col("n") > 1).alias("dups"),
     )
     rate = F.when(F.col("total") > 0, F.round(F.col("dups") / F.col("total") * 100, 2)).otherwise(
         F.lit(0.0)
@@ -55,10 +55,14 @@ def reconcile(
             landed_count(table, run_id).select(F.lit("tc").alias("side"), F.col("tc").alias("n"))
         )
     side = lambda name: F.coalesce(F.sum(F.when(F.col("side") == name, F.col("n"))), F.lit(0))
-    both = sides.agg(side("sc").cast("bigint").alias("sc"), side("tc").cast("bigint").alias("found"))
+    both = sides.agg(
+        side("sc").cast("bigint").alias("sc"), side("tc").cast("bigint").alias("found")
+    )
     enough = F.col("sc") >= min_rows
     return both.select(
         "sc",
         F.when(enough, F.col("found")).otherwise(F.lit(0)).cast("bigint").alias("tc"),
-        F.when(enough & (F.col("sc") == F.col("found")), "SUCCESS").otherwise("FAILED").alias("status"),
+        F.when(enough & (F.col("sc") == F.col("found")), "SUCCESS")
+        .otherwise("FAILED")
+        .alias("status"),
     )

@@ -31,7 +31,9 @@ def with_run_metadata(
     )
 
 
-def with_ingest_date(df: DataFrame, partition_by: Iterable[str]) -> tuple[DataFrame, tuple[str, ...]]:
+def with_ingest_date(
+    df: DataFrame, partition_by: Iterable[str]
+) -> tuple[DataFrame, tuple[str, ...]]:
     """Date of the load, and the partition columns with that date among them."""
     columns = tuple(partition_by)
     if "_ingested_at" not in df.columns:
@@ -52,7 +54,8 @@ def upper_case(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 def cast_type(df: DataFrame, columns: Iterable[str], data_type: str) -> DataFrame:
     """Change types; a value that does not fit becomes NULL."""
-    return _replace(df, {c: F.col(quoted(c)).try_cast(data_type) for c in present_columns(df, columns)})
+    names = present_columns(df, columns)
+    return _replace(df, {c: F.col(quoted(c)).try_cast(data_type) for c in names})
 
 
 def add_ingestion_timestamp(df: DataFrame, clock: dt.datetime) -> DataFrame:

@@ -9,7 +9,8 @@ import time
 import uuid
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from sluice.operators.filters import incremental
 from sluice.operators.quality import judge_counts, landed_count
@@ -32,22 +33,35 @@ log = logging.getLogger(__name__)
 
 
 def prepare(
-    df: DataFrame, spec: JobSpec, run_id: str, clock: dt.datetime
+    df: DataFrame,
+    spec: JobSpec,
+    run_id: str,
+    clock: dt.datetime,
+    watermark: Observation | None = None,
 ) -> tuple[DataFrame, tuple[str, ...], str | None]:
     """Source rows as the target takes them, with its partition columns and key.
 
-    The order is fixed: shape, bound, run metadata, rules, load date.
+    The order is fixed: shape, bound, run metadata, rules, load date. ``watermark`` notes the
+    greatest value of the incremental column as the source typed it, before a rule changes it.
     """
     df = strings_in_arrays(df, spec.source.array_columns)
     df = rebuilt_structs(df, spec.source.struct_columns)
     df, key = flat_key(df, spec.target.primary_key)
     df = incremental(df, spec)
+    if watermark is not None:
+        df = df.observe(watermark, F.max(_bounded(df, spec)).cast("string").alias("next_value"))
     df = with_run_metadata(df, run_id, spec.ingestion_type, spec.source.type, clock)
     df = apply_rules(df, spec.target.transformations, clock)
     df, partition_by = with_ingest_date(df, spec.target.partition_by)
     return df, partition_by, key
 
 
+def _bounded(df: DataFrame, spec: JobSpec) -> Column:
+    """The incremental column, or NULL if the spec names none that the rows have."""
+    name = spec.incremental_column
+    return F.col(name) if name and name.split(".")[0] in df.columns else F.lit(None)
+
+
 def run_job(
     spark: SparkSession,
     spec: JobSpec,
@@ -72,7 +86,8 @@ def run_job(
             bound = last_bound(read_audit(spark, audit_path), spec.job_name)
             spec = replace(spec, last_ingestion_value=bound or spec.last_ingestion_value)
         source = read_source(spark, spec, context)
-        batch, partition_by, key = prepare(source, spec, run_id, clock)
+        watermark = Observation()
+        batch, partition_by, key = prepare(source, spec, run_id, clock, watermark)
         sink = sink_for(spark, spec)
         written = sink.write(batch, partition_by, key, clock)
         tc, status = judge_counts(
@@ -85,7 +100,7 @@ def run_job(
             status=status,
             source_count=written.rows,
             target_count=tc,
-            next_value=written.watermark,
+            next_value=watermark.get.get("next_value"),
             page_errors=context.page_errors,
         )
         return _audited(spark, report, started, audit_path)

@@ -40,7 +40,6 @@ class SnapshotSink:
         self.table = Table(spark, spec.target.path)
 
     def write(self, df, partition_by, key, clock) -> WriteResult:
-        watch = self.spec.incremental_column if self.spec.incremental_column in df.columns else None
         if key:
             order_by = self.spec.order_columns(df.columns, key)
             return self.table.upsert(
@@ -49,11 +48,10 @@ class SnapshotSink:
                 partition_by,
                 dedupe=self.spec.dedupe_mode(order_by),
                 order_by=order_by,
-                watch=watch,
                 clock=clock,
             )
         write = self.table.overwrite if self.spec.target.mode == "overwrite" else self.table.append
-        return write(df, partition_by, watch=watch, clock=clock)
+        return write(df, partition_by, clock=clock)
 
     def read(self) -> DataFrame:
         return self.table.read()
@@ -76,12 +74,12 @@ class DeltaSink:
 
         exists = DeltaTable.isDeltaTable(self.spark, self.path)
         if not key:
-            counted, seen = _counted(df, self.spec)
+            counted, seen = _counted(df)
             _writer(counted, "delta", self.spec.target.mode, partition_by).save(self.path)
             return _result(seen)
         # MERGE reads its source more than once: give it a written copy.
         copy = scratch_dir(self.spark, "batch")
-        counted, seen = _counted(df, self.spec)
+        counted, seen = _counted(df)
         counted.write.parquet(copy)
         result = _result(seen)
         batch = self.spark.read.parquet(copy)
@@ -90,11 +88,14 @@ class DeltaSink:
         mode = self.spec.dedupe_mode(order_by)
         if mode != "none" and not duplicate_keys(batch.filter(named), key).isEmpty():
             keyed = batch.filter(named)
-            single = latest_per_key(keyed, key, order_by) if mode == "latest" else keyed.dropDuplicates()
+            if mode == "latest":
+                single = latest_per_key(keyed, key, order_by)
+            else:
+                single = keyed.dropDuplicates()
             if mode == "error" and not duplicate_keys(single, key).isEmpty():
                 raise DuplicateKeyError(f"{key} repeats with differing rows")
             batch = single.unionByName(batch.filter(~named))
-            result = WriteResult(batch.count(), result.watermark)
+            result = WriteResult(batch.count())
         if exists:
             merge = DeltaTable.forPath(self.spark, self.path).alias("t")
             merge = merge.merge(batch.alias("s"), f"t.`{key}` = s.`{key}`").withSchemaEvolution()
@@ -121,7 +122,7 @@ class FileSink:
 
     def write(self, df, partition_by, key, clock) -> WriteResult:
         target = self.spec.target
-        counted, seen = _counted(df, self.spec)
+        counted, seen = _counted(df)
         _writer(counted, target.format, target.mode, partition_by).save(target.path)
         return _result(seen)
 
@@ -146,16 +147,13 @@ def sink_for(spark: SparkSession, spec: JobSpec) -> SnapshotSink | DeltaSink | F
     return FileSink(spark, spec)
 
 
-def _counted(df: DataFrame, spec: JobSpec) -> tuple[DataFrame, Observation]:
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     seen = Observation()
-    metrics = [F.count(F.lit(1)).alias("rows")]
-    if spec.incremental_column in df.columns:
-        metrics.append(F.max(F.col(spec.incremental_column)).cast("string").alias("watermark"))
-    return df.observe(seen, *metrics), seen
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
 def _result(seen: Observation) -> WriteResult:
-    return WriteResult(seen.get.get("rows", 0), seen.get.get("watermark"))
+    return WriteResult(seen.get.get("rows", 0))
 
 
 def _writer(df: DataFrame, fmt: str, mode: str, partition_by: Sequence[str]):

@@ -21,7 +21,6 @@ from dataclasses import asdict, dataclass, field, replace
 from typing import Any
 from urllib.parse import unquote, urlparse
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,10 +78,9 @@ class Snapshot:
 
 @dataclass(frozen=True)
 class WriteResult:
-    """What a write sent: rows, the greatest value of the watched column as text, files hit."""
+    """What a write sent, how many live files it hit, and the version it made."""
 
     rows: int
-    watermark: str | None = None
     touched: int = 0
     version: int | None = None
 
@@ -110,21 +108,20 @@ class Table:
         return sorted(int(name.rsplit("/", 1)[1][:-5]) for name, *_ in found)
 
     def snapshot(self, version: int | None = None) -> Snapshot | None:
-        """The given or the newest complete snapshot; None if there is no table yet."""
+        """The given or the newest snapshot; None if there is no table yet."""
         versions = self._versions() if version is None else [version]
-        for v in reversed(versions):
-            try:
-                doc = json.loads(self._folder.read_text(f"{_SNAPSHOTS}/{v:010d}.json"))
-            except json.JSONDecodeError:
-                continue  # still being written by another session
-            doc.update(partition_by=tuple(doc["partition_by"]), paths=tuple(doc["paths"]))
-            return Snapshot(**doc)
-        return None
+        if not versions:
+            return None
+        doc = json.loads(self._folder.read_text(f"{_SNAPSHOTS}/{versions[-1]:010d}.json"))
+        doc.update(partition_by=tuple(doc["partition_by"]), paths=tuple(doc["paths"]))
+        return Snapshot(**doc)
 
     def exists(self) -> bool:
         return self.snapshot() is not None
 
-    def _publish(self, base: Snapshot | None, clock: dt.datetime | None, **changes: Any) -> Snapshot:
+    def _publish(
+        self, base: Snapshot | None, clock: dt.datetime | None, **changes: Any
+    ) -> Snapshot:
         new = replace(
             base or Snapshot(0, "", "", {}),
             version=(base.version if base else 0) + 1,
@@ -133,10 +130,8 @@ class Table:
         )
         try:
             self._folder.write_new(f"{_SNAPSHOTS}/{new.version:010d}.json", json.dumps(asdict(new)))
-        except Py4JJavaError as err:
-            if "FileAlreadyExists" in str(err.java_exception):
-                raise ConcurrentWriteError(f"{self.path}: version {new.version} exists") from err
-            raise
+        except FileExistsError as err:
+            raise ConcurrentWriteError(f"{self.path}: version {new.version} exists") from err
         return new
 
     # -- reading -----------------------------------------------------------------
@@ -187,7 +182,6 @@ class Table:
         df: DataFrame,
         partition_by: Sequence[str] = (),
         *,
-        watch: str | None = None,
         clock: dt.datetime | None = None,
     ) -> WriteResult:
         """Add rows. New columns are taken up, missing ones are NULL."""
@@ -198,7 +192,7 @@ class Table:
             df = conform(df, schema)
         else:
             schema = df.schema
-        staged = self._stage(df, partition_by, _watch(df, watch))
+        staged = self._stage(df, partition_by)
         new = self._publish(
             base,
             clock,
@@ -208,19 +202,18 @@ class Table:
             paths=(base.paths if base else ()) + staged.dirs,
             unique_key=None,
         )
-        return WriteResult(staged.rows, staged.stats.get("watermark"), version=new.version)
+        return WriteResult(staged.rows, version=new.version)
 
     def overwrite(
         self,
         df: DataFrame,
         partition_by: Sequence[str] = (),
         *,
-        watch: str | None = None,
         clock: dt.datetime | None = None,
     ) -> WriteResult:
         """Replace all rows, schema and partitioning. Older snapshots stay readable."""
         base = self.snapshot()
-        staged = self._stage(df, partition_by, _watch(df, watch))
+        staged = self._stage(df, partition_by)
         new = self._publish(
             base,
             clock,
@@ -230,7 +223,7 @@ class Table:
             paths=staged.dirs,
             unique_key=None,
         )
-        return WriteResult(staged.rows, staged.stats.get("watermark"), version=new.version)
+        return WriteResult(staged.rows, version=new.version)
 
     def upsert(
         self,
@@ -241,7 +234,6 @@ class Table:
         dedupe: str = "error",
         order_by: Sequence[str] = (),
         newest_only: bool = False,
-        watch: str | None = None,
         clock: dt.datetime | None = None,
         stream: tuple[str, int] | None = None,
     ) -> WriteResult:
@@ -255,6 +247,8 @@ class Table:
         base = self.snapshot()
         if stream and base and base.streams.get(stream[0], -1) >= stream[1]:
             return WriteResult(0, version=base.version)
+        if key not in df.columns:
+            raise SpecError(f"key {key!r} is not a column of the batch")
         schema = evolved(base.struct, df.schema) if base else df.schema
         if base:
             partition_by = base.partition_by
@@ -266,8 +260,7 @@ class Table:
         # Without its partition columns the batch cannot lie where its rows will stay.
         layout = () if lacking else partition_by
 
-        staged = self._stage(df, layout, {**_watch(df, watch), **_key_range(df, key)})
-        watermark = staged.stats.get("watermark")
+        staged = self._stage(df, layout, _key_range(df, key))
         staged = self._dedupe(staged, layout, key, dedupe, order_by)
         unique = dedupe != "none"
         streams = {**(base.streams if base else {}), **({stream[0]: stream[1]} if stream else {})}
@@ -299,7 +292,7 @@ class Table:
             unique_key=key if unique else None,
             streams=streams,
         )
-        return WriteResult(staged.rows, watermark, hits, new.version)
+        return WriteResult(staged.rows, hits, new.version)
 
     def _staged_rows(self, staged: _Staged) -> DataFrame:
         return self._rows(staged.dirs, staged.schema).select(*_columns(staged.schema))
@@ -308,8 +301,6 @@ class Table:
         return sum(self._folder.usage(d)[1] for d in staged.dirs) <= SMALL_BATCH_BYTES
 
     def _check_key_type(self, base: Snapshot, df: DataFrame, key: str) -> None:
-        if key not in df.columns:
-            raise SpecError(f"key {key!r} is not a column of the batch")
         if key not in base.struct.names:
             raise SpecError(f"key {key!r} is not a column of the table")
         ours, theirs = base.struct[key].dataType, df.schema[key].dataType
@@ -362,7 +353,8 @@ class Table:
         if low is None or high is None:
             return target
         kind = target.schema[key].dataType
-        return target.filter(F.col(quoted(key)).between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
+        bounds = F.lit(low).cast(kind), F.lit(high).cast(kind)
+        return target.filter(F.col(quoted(key)).between(*bounds))
 
     def _touched(
         self, base: Snapshot, target: DataFrame, key: str, staged: _Staged
@@ -419,7 +411,8 @@ class Table:
         if covers and unique and base.unique_key == key:
             # The batch is in place already: only the rows it does not replace move.
             left = conform(untouched_rows(old, batch, key), schema)
-            return staged.dirs + self._stage(self._balanced(left, base, paths), base.partition_by).dirs
+            moved = self._stage(self._balanced(left, base, paths), base.partition_by)
+            return staged.dirs + moved.dirs
         merged = conform(upsert_rows(old, batch, key, self._is_small(staged)), schema)
         result = self._stage(self._balanced(merged, base, paths), base.partition_by)
         self._discard(staged.dirs)
@@ -548,12 +541,6 @@ def _aliased(stats: Mapping[str, Column] | None) -> list[Column]:
     return [column.alias(name) for name, column in (stats or {}).items()]
 
 
-def _watch(df: DataFrame, column: str | None) -> dict[str, Column]:
-    if not column:
-        return {}
-    return {"watermark": F.max(F.col(column)).cast("string")}
-
-
 def _key_range(df: DataFrame, key: str) -> dict[str, Column]:
     """Least and greatest key, for key types that Parquet statistics order the same way."""
     if not isinstance(df.schema[key].dataType, _RANGED_KEYS):

@@ -6,6 +6,7 @@ import datetime as dt
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,7 @@ class Folder:
 
     def __init__(self, spark: SparkSession, path: str):
         self._jvm = spark._jvm
+        self._gateway = spark.sparkContext._gateway
         self._root = self._path(path)
         self._fs = self._root.getFileSystem(spark._jsc.hadoopConfiguration())
         self.path = path.rstrip("/")
@@ -64,15 +66,14 @@ class Folder:
         """``(relative path, is_dir, bytes, modified ms)`` of everything that matches a glob."""
         base = len(self.uri_path()) + 1
         found = self._fs.globStatus(self._at(pattern)) or []
-        return [
-            (s.getPath().toUri().getPath()[base:], s.isDirectory(), s.getLen(), s.getModificationTime())
-            for s in found
-        ]
+        path = lambda status: status.getPath().toUri().getPath()[base:]
+        return [(path(s), s.isDirectory(), s.getLen(), s.getModificationTime()) for s in found]
 
     def data_files(self, relative: str) -> list[str]:
         """Relative paths of the data files directly inside a folder."""
         base = len(self.uri_path()) + 1
-        names = [s.getPath().toUri().getPath()[base:] for s in self._fs.listStatus(self._at(relative))]
+        found = self._fs.listStatus(self._at(relative))
+        names = [s.getPath().toUri().getPath()[base:] for s in found]
         return [n for n in names if not n.rsplit("/", 1)[-1].startswith(("_", "."))]
 
     def usage(self, relative: str) -> tuple[int, int]:
@@ -88,12 +89,27 @@ class Folder:
             stream.close()
 
     def write_new(self, relative: str, text: str) -> None:
-        """Create a file; an existing one of that name is an error, never overwritten."""
-        stream = self._fs.create(self._at(relative), False)
+        """Create a whole file at once; one that has the name already is an error.
+
+        The text goes to a hidden file first, so a writer that dies leaves no half of it.
+        """
+        folder, _, name = relative.rpartition("/")
+        draft = f"{folder}/.{uuid.uuid4().hex}" if folder else f".{uuid.uuid4().hex}"
+        stream = self._fs.create(self._at(draft), False)
         try:
             stream.write(bytearray(text.encode("utf-8")))
         finally:
             stream.close()
+        hadoop = self._jvm.org.apache.hadoop.fs
+        context = hadoop.FileContext.getFileContext(self._fs.getUri(), self._fs.getConf())
+        plain = self._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+        try:
+            context.rename(self._at(draft), self._at(relative), plain)
+        except Py4JJavaError as err:
+            self._fs.delete(self._at(draft), False)
+            if "FileAlreadyExists" in str(err.java_exception):
+                raise FileExistsError(f"{self.path}/{relative}") from err
+            raise
 
     def delete(self, relative: str = "") -> None:
         self._fs.delete(self._at(relative), True)

@@ -142,7 +142,8 @@ class PagedRestReader(DataSourceReader):
         r = self.request
         for number in numbers:
             try:
-                body = pages.get({**r["params"], r["page_param"]: number}, (r["page_param"], number))
+                step = (r["page_param"], number)
+                body = pages.get({**r["params"], step[0]: number}, step)
                 found = dig(json.loads(body), r["data_path"])
             except Exception as err:
                 if r["on_page_error"] == "fail":

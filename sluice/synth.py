@@ -48,11 +48,13 @@ def benchmark_rows(spark: SparkSession, n: int, seed: int = 0) -> DataFrame:
 
 def feed_users(ids: DataFrame, seed: int = 0) -> DataFrame:
     name = _text("User_", _between(1000, 9999, seed))
-    return ids.select("id", name.alias("name"), F.concat(F.lower(name), F.lit("@example.com")).alias("email"))
+    email = F.concat(F.lower(name), F.lit("@example.com"))
+    return ids.select("id", name.alias("name"), email.alias("email"))
 
 
 def feed_orders(ids: DataFrame, updated_at: Column, seed: int = 0) -> DataFrame:
-    status = F.element_at(F.array(*[F.lit(s) for s in STATUSES]), _between(1, len(STATUSES), seed + 2))
+    known = F.array(*[F.lit(s) for s in STATUSES])
+    status = F.element_at(known, _between(1, len(STATUSES), seed + 2))
     return ids.select(
         _between(10000, 99999, seed).cast("string").alias("order_id"),
         F.round(_uniform(seed + 1) * 990 + 10, 2).alias("amount"),

@@ -75,6 +75,14 @@ def test_bound_carries_over_when_asked(spark, env, clock):
     assert last_bound(env.log(), "other") is None
 
 
+def test_watermark_is_taken_before_rules_change_the_type(spark, env):
+    env.put([(9, "a"), (10, "b"), (100, "c")])
+    rule = [{"type": "cast_type", "columns": ["id"], "data_type": "string"}]
+    spec = env.spec({"primary_key": "id", "transformations": rule}, ingestion_type="incremental",
+                    incremental_column="id", last_ingestion_value="0")
+    assert run_job(spark, spec, env.audit).next_value == "100"
+
+
 @pytest.mark.parametrize("data", [[], [(1, "a")]])
 def test_too_few_rows_is_a_failure(spark, env, data):
     env.put(data)

@@ -1,0 +1,49 @@
+"""Tasks that fail after they wrote rows: the table and its counts stay exact."""
+
+import subprocess
+import sys
+from pathlib import Path
+
+SCRIPT = """
+import sys
+from pyspark.sql import SparkSession, functions as F
+from sluice.plans.table import Table
+
+spark = (
+    SparkSession.builder.master("local[4,4]")
+    .config("spark.sql.shuffle.partitions", "4")
+    .config("spark.ui.enabled", "false")
+    .getOrCreate()
+)
+spark.sparkContext.setLogLevel("OFF")
+
+def shaky(batches):
+    from pyspark import TaskContext
+    yield from batches
+    task = TaskContext.get()
+    if task.attemptNumber() == 0 and task.partitionId() % 2 == 0:
+        raise RuntimeError("lost")
+
+def rows(low, high, value):
+    ids = spark.range(low, high, 1, 8).withColumnRenamed("id", "k")
+    return ids.mapInArrow(shaky, "k bigint").withColumn("v", F.lit(value))
+
+table = Table(spark, sys.argv[1])
+assert table.upsert(rows(0, 10000, "a"), "k").rows == 10000
+assert table.upsert(rows(5000, 15000, "b"), "k").rows == 10000
+counts = {r["v"]: r["count"] for r in table.read().groupBy("v").count().collect()}
+assert counts == {"a": 5000, "b": 10000}, counts
+assert table.read().select("k").distinct().count() == 15000
+print("exact")
+"""
+
+
+def test_counts_survive_lost_tasks(path):
+    done = subprocess.run(
+        [sys.executable, "-c", SCRIPT, path],
+        cwd=Path(__file__).resolve().parents[1],
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    assert done.stdout.strip().endswith("exact"), done.stderr[-2000:]

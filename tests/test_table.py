@@ -221,13 +221,18 @@ def test_the_second_of_two_writers_is_refused(spark, path):
     t.append(make(spark, [(2, "b", "x")]))
     with pytest.raises(ConcurrentWriteError):
         t._publish(base, None, operation="append")
+    assert t.read().count() == 2
+    hidden = [f for f in os.listdir(f"{path}/_snapshots") if not f.endswith(".crc")]
+    assert sorted(hidden) == ["0000000001.json", "0000000002.json"]
 
 
-def test_an_unfinished_snapshot_file_is_ignored(spark, path):
+def test_a_writer_that_died_before_publishing_is_ignored(spark, path):
     t = Table(spark, path)
     t.append(make(spark, [(1, "a", "x")]))
-    t._folder.write_new("_snapshots/0000000002.json", '{"version": 2, "di')
-    assert t.snapshot().version == 1
+    with open(f"{path}/_snapshots/.draft", "w") as half:
+        half.write('{"version": 2, "pa')
+    t.append(make(spark, [(2, "b", "x")]))
+    assert t.snapshot().version == 2 and t.read().count() == 2
 
 
 def test_compaction_changes_files_not_rows(spark, path):
