@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,16 +51,21 @@ class RunReport:
 
 
 def report_rows(spark: SparkSession, reports: list[RunReport]) -> DataFrame:
-    """Run reports as rows of the audit schema; their clock is read in the session's zone."""
-    text = T.StructType(
-        [T.StructField("ts", T.StringType()) if f.name == "ts" else f for f in AUDIT_SCHEMA]
-    )
-    rows = [
-        tuple(str(r.ts) if n == "ts" and r.ts else getattr(r, n) for n in AUDIT_SCHEMA.names)
-        for r in reports
+    """Run reports as rows of the audit schema; their clock is read in the session's zone.
+
+    They are constants of a plan, so that writing one row starts no Python worker.
+    """
+    structs = [
+        F.struct(*[_constant(report, f).alias(f.name) for f in AUDIT_SCHEMA]) for report in reports
     ]
-    written = spark.createDataFrame(rows, text).coalesce(1)
-    return written.withColumn("ts", F.col("ts").cast("timestamp"))
+    if not structs:
+        return empty_rows(spark, AUDIT_SCHEMA)
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
+def _constant(report: RunReport, column: T.StructField) -> Column:
+    value = getattr(report, column.name)
+    return F.lit(str(value) if column.name == "ts" and value else value).cast(column.dataType)
 
 
 def append_audit(df: DataFrame, path: str) -> None:
