@@ -42,19 +42,20 @@ class Folder:
     def __init__(self, spark: SparkSession, path: str):
         self._jvm = spark._jvm
         self._gateway = spark.sparkContext._gateway
-        self._root = self._path(path)
-        self._fs = self._root.getFileSystem(spark._jsc.hadoopConfiguration())
+        root = self._path(path)
+        self._fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        self._root = self._fs.makeQualified(root)
         self.path = path.rstrip("/")
 
     def _path(self, path: str):
         return self._jvm.org.apache.hadoop.fs.Path(path)
 
     def _at(self, relative: str):
-        return self._path(f"{self.path}/{relative}") if relative else self._root
+        return self._jvm.org.apache.hadoop.fs.Path(self._root, relative) if relative else self._root
 
     def uri_path(self, relative: str = "") -> str:
         """Path part of the full URI, as file metadata columns report it."""
-        return self._fs.makeQualified(self._at(relative)).toUri().getPath()
+        return self._at(relative).toUri().getPath()
 
     def exists(self, relative: str = "") -> bool:
         return self._fs.exists(self._at(relative))

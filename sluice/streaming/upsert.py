@@ -16,7 +16,7 @@ from sluice.operators.rules import (
     with_ingest_date,
     with_run_metadata,
 )
-from sluice.plans.table import Table
+from sluice.plans.table import ROUTINE_MIN_FILES, Table
 from sluice.runtime import Folder, clock_now
 from sluice.spec import JobSpec, SpecError
 
@@ -34,16 +34,19 @@ def stream_upsert(
     partition_by: Sequence[str] = (),
     shape: Callable[[DataFrame, int], DataFrame] | None = None,
     available_now: bool = True,
+    maintain_every: int = 25,
 ) -> StreamingQuery:
     """Upsert every micro-batch into a table; the newest row of a key wins, however late it comes.
 
     A batch that Spark replays after a failure is recognised by its number and applied once.
-    ``shape`` prepares a micro-batch, given its number, before it is written.
+    ``shape`` prepares a micro-batch, given its number, before it is written. Small files are
+    merged and old snapshots dropped after every ``maintain_every`` batches; 0 means never.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
         batch = shape(batch, number) if shape else batch
-        Table(batch.sparkSession, path).upsert(
+        table = Table(batch.sparkSession, path)
+        table.upsert(
             batch,
             key,
             partition_by,
@@ -52,6 +55,9 @@ def stream_upsert(
             newest_only=True,
             stream=(name, number),
         )
+        if maintain_every and (number + 1) % maintain_every == 0:
+            table.compact(min_files=ROUTINE_MIN_FILES)
+            table.expire()
 
     writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
     if available_now:

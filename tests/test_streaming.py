@@ -30,6 +30,18 @@ def test_late_files_do_not_undo_newer_rows(spark, tmp_path, path):
     assert rows(Table(spark, path).read()) == [(1, 5, "a"), (2, 9, "z"), (3, 1, "d")]
 
 
+def test_maintenance_runs_between_batches(spark, tmp_path, path, monkeypatch):
+    done = []
+    monkeypatch.setattr(Table, "expire", lambda self: done.append(self.snapshot().version))
+    folder = str(tmp_path / "in")
+    for i in range(4):
+        put(spark, folder, [(i, i, "a")])
+    rows_in = stream_files(spark, "parquet", folder, "k int, o int, v string", 1)
+    stream_upsert(rows_in, path, "k", ["o"], str(tmp_path / "c"), maintain_every=2).awaitTermination()
+    assert len(done) == 2
+    assert Table(spark, path).read().count() == 4
+
+
 def test_stream_equals_batch(spark, sf, tmp_path, path):
     folder = str(tmp_path / "in")
     spark.read.parquet(f"{sf}/events.parquet").repartition(5, "value").write.parquet(folder)

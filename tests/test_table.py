@@ -130,6 +130,17 @@ def test_odd_partition_values(spark, path):
     )
 
 
+def test_odd_table_paths(spark, tmp_path):
+    t = Table(spark, f"file:{tmp_path}/a b/50% ü/t/")
+    for value in ("old", "new"):
+        t.upsert(make(spark, [(1, value, "x"), (2, value, "y z")]), "k", ["p"])
+    assert rows(t.read()) == [(1, "new", "x"), (2, "new", "y z")]
+    relative = Table(spark, os.path.relpath(f"{tmp_path}/rel"))
+    for value in ("old", "new"):
+        relative.upsert(make(spark, [(1, value, "x")]), "k", ["p"])
+    assert rows(relative.read()) == [(1, "new", "x")]
+
+
 def test_rows_without_key_are_always_inserted(spark, path):
     t = Table(spark, path)
     for _ in range(2):
