@@ -36,6 +36,7 @@ from sluice.operators.merge import (
     upsert_rows,
 )
 from sluice.operators.quality import duplicate_keys
+from sluice.operators.rules import INGEST_DATE
 from sluice.runtime import Folder, clock_now
 from sluice.spec import SpecError
 
@@ -51,7 +52,7 @@ _RANGED_KEYS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType
 
 
 class DuplicateKeyError(ValueError):
-    """A keyed batch holds a key more than once and nothing says which row to keep."""
+    """A keyed batch holds a key more than once and nothing says which row counts."""
 
 
 class ConcurrentWriteError(RuntimeError):
@@ -152,12 +153,23 @@ class Table:
     # -- writing -----------------------------------------------------------------
 
     def _stage(
-        self, df: DataFrame, partition_by: Sequence[str], stats: Mapping[str, Column] | None = None
+        self,
+        df: DataFrame,
+        partition_by: Sequence[str],
+        stats: Mapping[str, Column] | None = None,
+        mixed: bool | None = None,
     ) -> _Staged:
         """Write rows to directories nobody reads yet, counting them on the way.
 
-        The counters sit right below the writer, in the stage whose tasks report once each.
+        Where a task would write to many partitions, the rows are first grouped by partition;
+        otherwise tasks times partitions files appear. The rebalance hint leaves the sizes to
+        adaptive execution: small partitions share a task, a hot one is split over many. A load
+        that is partitioned by its date alone goes to one partition and is not shuffled;
+        ``mixed`` overrides that guess. The counters sit right below the writer, in the stage
+        whose tasks report once each.
         """
+        if mixed if mixed is not None else any(c != INGEST_DATE for c in partition_by):
+            df = df.hint("rebalance", *partition_by)
         commit = _COMMIT + uuid.uuid4().hex[:16]
         seen = Observation()
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *_aliased(stats))
@@ -279,6 +291,8 @@ class Table:
             touched = self._touched(base, target, key, staged)
             kept, old = self._split(base, touched)
             hits = len(touched)
+            if dedupe == "none" and old:
+                self._refuse_ambiguous(base, old, key, staged)
             if old or lacking:
                 added = self._rewrite(base, schema, old, staged, key, unique)
             unique = unique and base.unique_key == key
@@ -344,6 +358,17 @@ class Table:
         self._discard(staged.dirs)
         return kept
 
+    def _refuse_ambiguous(
+        self, base: Snapshot, paths: Sequence[str], key: str, staged: _Staged
+    ) -> None:
+        """Repeated new keys are all inserted, but one row cannot be updated by two."""
+        k = F.col(quoted(key))
+        keys = self._staged_rows(staged).select(k).filter(k.isNotNull())
+        known = self._rows(paths, base.struct).select(k).filter(k.isNotNull()).distinct()
+        if not duplicate_keys(keys.join(known, key, "left_semi"), key).isEmpty():
+            self._discard(staged.dirs)
+            raise DuplicateKeyError(f"several rows of the batch update one {key}")
+
     def _near(self, target: DataFrame, key: str, staged: _Staged) -> DataFrame:
         """Target rows within the batch's key range; statistics let Parquet skip the others.
 
@@ -363,13 +388,22 @@ class Table:
         if not base.paths or not staged.dirs:
             return set()
         k = quoted(key)
-        near = self._near(target, key, staged).select(F.col(k), F.col("_metadata.file_path"))
+        path = F.col("_metadata.file_path")
+        near = self._near(target, key, staged).filter(F.col(k).isNotNull())
         keys = self._staged_rows(staged).select(F.col(k)).filter(F.col(k).isNotNull())
-        hit = near.filter(F.col(k).isNotNull()).join(keys, key, "left_semi")
+        if self._is_small(staged):
+            hit = near.select(F.col(k), path).join(keys, key, "left_semi")
+            names = hit.select("file_path").distinct()
+        else:
+            # The join shuffles these rows: eight bytes stand for a file, its name comes after.
+            # Two files of one hash would both be rewritten, which changes no row.
+            short = near.select(F.col(k), F.xxhash64(path).alias("__file"))
+            hit = short.join(keys, key, "left_semi").select("__file").distinct()
+            files = target.select(path).distinct()
+            names = files.join(hit, F.xxhash64("file_path") == F.col("__file"), "left_semi")
         # File names only: never more than the table has files.
-        names = hit.select("file_path").distinct().collect()
         skip = len(self._folder.uri_path()) + 1
-        return {unquote(urlparse(row["file_path"]).path)[skip:] for row in names}
+        return {unquote(urlparse(row["file_path"]).path)[skip:] for row in names.collect()}
 
     def _split(self, base: Snapshot, touched: set[str]) -> tuple[tuple[str, ...], tuple[str, ...]]:
         """Live paths to keep, and those to rewrite, given the files that are hit.
@@ -407,27 +441,18 @@ class Table:
         """Write the rows of these paths anew, merged; returns what replaces paths and batch."""
         old = self._rows(paths, base.struct).select(*_columns(base.struct))
         batch = self._staged_rows(staged)
+        mixed = len({_partition_of(p) for p in paths}) > 1 or None
         covers = set(base.struct.names) <= set(staged.schema.names)
         if covers and unique and base.unique_key == key:
             # The batch is in place already: only the rows it does not replace move.
             left = conform(untouched_rows(old, batch, key), schema)
-            moved = self._stage(self._balanced(left, base, paths), base.partition_by)
+            moved = self._stage(left, base.partition_by, mixed=mixed)
             return staged.dirs + moved.dirs
         merged = conform(upsert_rows(old, batch, key, self._is_small(staged)), schema)
-        result = self._stage(self._balanced(merged, base, paths), base.partition_by)
+        result = self._stage(merged, base.partition_by, mixed=mixed)
         self._discard(staged.dirs)
         return result.dirs
 
-    def _balanced(self, df: DataFrame, base: Snapshot, paths: Sequence[str]) -> DataFrame:
-        """Rows grouped by partition before a write that spans several.
-
-        The rebalance hint leaves the sizes to adaptive execution: small partitions share a
-        task and a hot one is split over many.
-        """
-        if not base.partition_by or len({_partition_of(p) for p in paths}) < 2:
-            return df
-        return df.hint("rebalance", *base.partition_by)
-
     # -- maintenance -------------------------------------------------------------
 
     def compact(
@@ -468,7 +493,7 @@ class Table:
         before = self.spark.conf.get(advisory, None)
         self.spark.conf.set(advisory, str(target_bytes))
         try:
-            staged = self._stage(rows.hint("rebalance", *base.partition_by), base.partition_by)
+            staged = self._stage(rows, base.partition_by, mixed=True)
         finally:
             if before is None:
                 self.spark.conf.unset(advisory)

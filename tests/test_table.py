@@ -86,9 +86,11 @@ def test_upsert_rewrites_only_the_files_that_hold_a_key(spark, path):
     assert sorted(map(tuple, t.read().collect())) == want
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_many_upserts_equal_a_dict(spark, path, seed):
+@pytest.mark.parametrize("seed", range(4))
+def test_many_upserts_equal_a_dict(spark, path, seed, monkeypatch):
     rng = random.Random(seed)
+    if seed % 2:
+        monkeypatch.setattr("sluice.plans.table.SMALL_BATCH_BYTES", -1)
     t, want = Table(spark, path), {}
     for step in range(6):
         batch = {rng.randrange(60): (f"s{step}", rng.choice("xyz")) for _ in range(rng.choice([3, 25]))}
@@ -130,6 +132,12 @@ def test_odd_partition_values(spark, path):
     )
 
 
+def test_files_do_not_multiply_by_tasks_and_partitions(spark, path):
+    t = Table(spark, path)
+    t.append(spark.range(0, 1000, 1, 20).selectExpr("id AS k", "id % 5 AS p"), ["p"])
+    assert sum(t._folder.usage(p)[0] for p in t.snapshot().paths) == 5
+
+
 def test_odd_table_paths(spark, tmp_path):
     t = Table(spark, f"file:{tmp_path}/a b/50% ü/t/")
     for value in ("old", "new"):
@@ -188,6 +196,16 @@ def test_undeduplicated_first_load_updates_every_copy(spark, path):
     assert rows(t.read()) == [(1, "N", "x"), (1, "N", "x"), (2, "c", "x")]
 
 
+def test_without_dedupe_new_keys_may_repeat_but_updates_may_not(spark, path):
+    t = Table(spark, path)
+    t.upsert(make(spark, [(1, "a", "x")]), "k")
+    t.upsert(make(spark, [(1, "b", "x"), (2, "c", "x"), (2, "d", "x")]), "k", dedupe="none")
+    assert rows(t.read()) == [(1, "b", "x"), (2, "c", "x"), (2, "d", "x")]
+    with pytest.raises(DuplicateKeyError, match="several rows"):
+        t.upsert(make(spark, [(1, "y", "x"), (1, "z", "x")]), "k", dedupe="none")
+    assert rows(t.read()) == [(1, "b", "x"), (2, "c", "x"), (2, "d", "x")]
+
+
 def test_newest_only_ignores_late_rows(spark, path):
     t = Table(spark, path)
     schema = "k int, o int, v string"
