@@ -106,7 +106,7 @@ _add(
     dedupe_latest=_LATEST,
     compact_table="SELECT o_orderkey, o_totalprice, o_orderstatus, o_orderpriority FROM orders",
     expire_snapshots=f"{_ORDERS} UNION ALL {_ORDERS} WHERE o_orderstatus = 'F'",
-    stream_latest=_LATEST,
+    stream_upsert=_LATEST,
 )
 _add(
     row_count="SELECT COUNT(*) AS total FROM lineitem",

@@ -11,15 +11,15 @@ from pyspark.sql import functions as F
 
 from sluice import synth
 from sluice.catalog import feeds
+from sluice.functions import json_records
 from sluice.operators import filters, merge, quality, reports, rules
 from sluice.plans.audit import append_audit, read_audit
-from sluice.plans.job import prepare, run_all, run_job
+from sluice.plans.job import run_all, run_job
 from sluice.plans.table import Table
 from sluice.runtime import Folder, scratch_dir
-from sluice.sources import ReadContext, read_source, register
+from sluice.sources import read_source, register
 from sluice.spec import Rule, SourceSpec, parse_spec
-from sluice.functions import json_records
-from sluice.streaming.upsert import stream_files, stream_upsert
+from sluice.streaming import upsert as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -549,11 +549,12 @@ def expire_snapshots(spark, sf):
 
 
 @query
-def stream_latest(spark, sf):
-    target = scratch_dir(spark, "table")
-    rows = stream_files(spark, "parquet", f"{sf}/events.parquet")
-    stream = stream_upsert(rows, target, "user_id", ["ts", "event_id"], scratch_dir(spark, "stream"))
-    stream.awaitTermination()
+def stream_upsert(spark, sf):
+    target, checkpoint = scratch_dir(spark, "table"), scratch_dir(spark, "stream")
+    rows = streaming.stream_files(spark, "parquet", f"{sf}/events.parquet")
+    streaming.stream_upsert(
+        rows, target, "user_id", ["ts", "event_id"], checkpoint
+    ).awaitTermination()
     return Table(spark, target).read().select("user_id", "event_id", "event_type")
 
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import math
+import random
 import time
 import uuid
 from collections.abc import Mapping, Sequence
@@ -43,6 +44,7 @@ from sluice.spec import SpecError
 RETENTION_HOURS = 168
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 ROUTINE_MIN_FILES = 32  # small files a partition may gather before a run merges them
+APPEND_TRIES = 10
 SMALL_BATCH_BYTES = 64 * 1024 * 1024
 
 _SNAPSHOTS = "_snapshots"
@@ -196,24 +198,36 @@ class Table:
         *,
         clock: dt.datetime | None = None,
     ) -> WriteResult:
-        """Add rows. New columns are taken up, missing ones are NULL."""
+        """Add rows. New columns are taken up, missing ones are NULL.
+
+        Appends of several writers may interleave: one that comes second publishes again on
+        top of the other.
+        """
         base = self.snapshot()
         if base:
             partition_by = base.partition_by
-            schema = evolved(base.struct, df.schema)
-            df = conform(df, schema)
-        else:
-            schema = df.schema
+            df = conform(df, evolved(base.struct, df.schema))
         staged = self._stage(df, partition_by)
-        new = self._publish(
-            base,
-            clock,
-            operation="append",
-            schema=schema.jsonValue(),
-            partition_by=tuple(partition_by),
-            paths=(base.paths if base else ()) + staged.dirs,
-            unique_key=None,
-        )
+        for left in reversed(range(APPEND_TRIES)):
+            base = self.snapshot()
+            if base and base.partition_by != tuple(partition_by):
+                raise ConcurrentWriteError(f"{self.path}: partitioning changed during the write")
+            schema = evolved(base.struct, df.schema) if base else df.schema
+            try:
+                new = self._publish(
+                    base,
+                    clock,
+                    operation="append",
+                    schema=schema.jsonValue(),
+                    partition_by=tuple(partition_by),
+                    paths=(base.paths if base else ()) + staged.dirs,
+                    unique_key=None,
+                )
+                break
+            except ConcurrentWriteError:
+                if not left:
+                    raise
+                time.sleep(random.uniform(0, 0.5 * (APPEND_TRIES - left)))
         return WriteResult(staged.rows, version=new.version)
 
     def overwrite(

@@ -1,3 +1,5 @@
+from unittest.mock import MagicMock
+
 import pytest
 from conftest import rows
 
@@ -84,3 +86,29 @@ def test_a_table_is_a_source(spark, path):
     assert read_source(spark, SourceSpec("table", {"path": path})).count() == 3
     with pytest.raises(SpecError):
         read_source(spark, SourceSpec("table"))
+
+
+@pytest.mark.parametrize(
+    "kind, fmt, options",
+    [
+        ("postgres", "jdbc", {"url": "u", "dbtable": "t"}),
+        ("mongo", "mongodb", {"connection_uri": "m", "database": "d", "collection": "c"}),
+    ],
+)
+def test_database_reads_go_through_their_format(kind, fmt, options):
+    session = MagicMock()
+    read_source(session, SourceSpec(kind, options))
+    session.read.format.assert_called_once_with(fmt)
+    given = session.read.format.return_value.options.call_args.kwargs
+    assert "u" in given.values() or "m" in given.values()
+
+
+def test_sftp_reads_the_host_through_the_file_system():
+    session = MagicMock()
+    options = {"host": "h", "username": "u", "password": "secret", "file_path": "up load/a.csv"}
+    read_source(session, SourceSpec("sftp", options))
+    reader = session.read.format.return_value.options.return_value.options.return_value
+    loaded = [call.args[0] for call in reader.option.return_value.option.return_value.load.call_args_list]
+    assert loaded == ["sftp://h/up%20load/a.csv"]
+    given = session.read.format.return_value.options.call_args.kwargs
+    assert given["fs.sftp.password.h.u"] == "secret" and "secret" not in loaded[0]

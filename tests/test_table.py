@@ -255,6 +255,28 @@ def test_the_second_of_two_writers_is_refused(spark, path):
     assert sorted(hidden) == ["0000000001.json", "0000000002.json"]
 
 
+def test_an_append_that_comes_second_publishes_on_top(spark, path, monkeypatch):
+    t = Table(spark, path)
+    t.append(make(spark, [(1, "a", "x")]))
+    publish, raced = Table._publish, []
+
+    def lose_twice(self, base, clock, **changes):
+        if len(raced) < 2:
+            raced.append(1)
+            other = make(spark, [(1 + len(raced), "o", 5)], "k int, v string, extra int")
+            monkeypatch.setattr(Table, "_publish", publish)
+            Table(spark, path).append(other)
+            monkeypatch.setattr(Table, "_publish", lose_twice)
+        return publish(self, base, clock, **changes)
+
+    monkeypatch.setattr(Table, "_publish", lose_twice)
+    monkeypatch.setattr("sluice.plans.table.time.sleep", lambda seconds: None)
+    t.append(make(spark, [(9, "i", "z")]))
+    assert rows(t.read(), "k", "p", "extra") == [
+        (1, "x", None), (2, None, 5), (3, None, 5), (9, "z", None)]
+    assert t.snapshot().version == 4
+
+
 def test_a_writer_that_died_before_publishing_is_ignored(spark, path):
     t = Table(spark, path)
     t.append(make(spark, [(1, "a", "x")]))
