@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,28 +51,39 @@ def dedupe_batch(df: DataFrame, key: str, mode: str, order_by: Sequence[str] = (
     raise SpecError(f"unknown dedupe mode {mode!r}")
 
 
-def widened(left: T.DataType, right: T.DataType, where: str) -> T.DataType:
-    """The type that holds values of both, or an error naming the column."""
-    if left == right:
-        return left
-    if isinstance(left, T.NullType):
-        return right
-    if isinstance(right, T.NullType):
-        return left
-    if isinstance(left, T.StructType) and isinstance(right, T.StructType):
-        return evolved(left, right, where + ".")
-    if isinstance(left, T.ArrayType) and isinstance(right, T.ArrayType):
-        return T.ArrayType(widened(left.elementType, right.elementType, where + "[]"), True)
-    order = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
-    if left in order and right in order:
-        return order[max(order.index(left), order.index(right))]
-    floats = {T.FloatType(), T.DoubleType()}
-    small = {T.ByteType(), T.ShortType(), T.IntegerType()}
-    if {left, right} <= floats | small and {left, right} & floats:
+_WHOLE = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
+_FLOAT = (T.FloatType(), T.DoubleType())
+
+
+def widened(table: T.DataType, batch: T.DataType, where: str) -> T.DataType:
+    """The type a table column takes when a batch brings another one, or an error naming it.
+
+    The batch's values are cast to the table's type where that holds them all. The table's type
+    grows only where its files can be read as the wider one: among whole numbers, to double
+    from float and from whole numbers below bigint, and by fields of structs.
+    """
+    if table == batch or isinstance(batch, T.NullType):
+        return table
+    if isinstance(table, T.NullType):
+        return batch
+    if isinstance(table, T.StructType) and isinstance(batch, T.StructType):
+        return evolved(table, batch, where + ".")
+    if isinstance(table, T.ArrayType) and isinstance(batch, T.ArrayType):
+        return T.ArrayType(widened(table.elementType, batch.elementType, where + "[]"), True)
+    if table in _WHOLE and batch in _WHOLE:
+        return _WHOLE[max(_WHOLE.index(table), _WHOLE.index(batch))]
+    if table == T.DoubleType() and batch in _WHOLE + _FLOAT:
+        return table
+    if batch in _FLOAT and table in _WHOLE[:3] + _FLOAT:
         return T.DoubleType()
+    if table == T.FloatType() and batch in _WHOLE[:3]:
+        return T.DoubleType()
+    nested = (T.StructType, T.ArrayType, T.MapType, T.BinaryType)
+    if isinstance(table, T.StringType) and not isinstance(batch, nested):
+        return table
     raise SpecError(
-        f"column {where} is {left.simpleString()} in the table "
-        f"but {right.simpleString()} in the batch"
+        f"column {where} is {table.simpleString()} in the table "
+        f"but {batch.simpleString()} in the batch"
     )
 
 
@@ -96,7 +107,42 @@ def empty_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows in the shape of a schema: by name, missing columns and fields NULL."""
-    return empty_rows(df.sparkSession, schema).unionByName(df, allowMissingColumns=True)
+    if df.schema == schema:
+        return df
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(
+        *[
+            _shaped(F.col(quoted(f.name)), have[f.name], f.dataType).alias(f.name)
+            if f.name in have
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+    )
+
+
+def _shaped(column: Column, have: T.DataType, want: T.DataType) -> Column:
+    """A value as another type; structs by field name, at any depth."""
+    if have == want:
+        return column
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        inner = {f.name: f.dataType for f in have.fields}
+        fields = [
+            _shaped(column.getField(f.name), inner[f.name], f.dataType).alias(f.name)
+            if f.name in inner
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in want.fields
+        ]
+        return F.when(column.isNotNull(), F.struct(*fields))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(column, lambda x: _shaped(x, have.elementType, want.elementType))
+    return column.cast(want)
+
+
+def common_types(target: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both with their own columns, those they share in one type."""
+    schema = {f.name: f for f in evolved(target.schema, batch.schema).fields}
+    pick = lambda df: conform(df, T.StructType([schema[c] for c in df.columns]))
+    return pick(target), pick(batch)
 
 
 def append_rows(table: DataFrame, batch: DataFrame) -> DataFrame:
@@ -116,6 +162,7 @@ def upsert_rows(
     those of the batch before they are made distinct, otherwise after.
     """
     _check_key(target, batch, key)
+    target, batch = common_types(target, batch)
     k = quoted(key)
     known = target.filter(F.col(k).isNotNull())
     keyed = batch.filter(F.col(k).isNotNull())
@@ -156,6 +203,7 @@ def replace_rows(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     missing = [c for c in target.columns if c not in batch.columns]
     if missing:
         raise SpecError(f"the batch lacks {', '.join(missing)}; use upsert_rows")
+    target, batch = common_types(target, batch)
     return untouched_rows(target, batch, key).unionByName(batch, allowMissingColumns=True)
 
 
@@ -200,9 +248,13 @@ def _check_key(target: DataFrame, batch: DataFrame, key: str) -> None:
     for name, df in (("target", target), ("batch", batch)):
         if key not in df.columns:
             raise SpecError(f"key {key!r} is not a column of the {name}")
-    ours, theirs = target.schema[key].dataType, batch.schema[key].dataType
-    if ours != theirs:
+    check_key_type(target.schema[key].dataType, batch.schema[key].dataType, key)
+
+
+def check_key_type(table: T.DataType, batch: T.DataType, key: str) -> None:
+    """Keys are compared in the table's type; a batch whose keys do not fit it is refused."""
+    if widened(table, batch, key) != table:
         raise SpecError(
-            f"key {key!r} is {ours.simpleString()} in the target but "
-            f"{theirs.simpleString()} in the batch"
+            f"key {key!r} is {table.simpleString()} in the table "
+            f"but {batch.simpleString()} in the batch"
         )

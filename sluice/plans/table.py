@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from sluice.functions import quoted
 from sluice.operators.merge import (
+    check_key_type,
     conform,
     drop_stale,
     empty_rows,
@@ -279,7 +280,7 @@ class Table:
         if base:
             partition_by = base.partition_by
             self._check_key_type(base, df, key)
-            df = conform(df, schema).select(*_columns(df.schema))
+            df = conform(df, _typed(df.schema, schema))
         lacking = [c for c in partition_by if c not in df.columns]
         if lacking and not base:
             raise SpecError(f"the batch lacks partition columns: {', '.join(lacking)}")
@@ -331,12 +332,7 @@ class Table:
     def _check_key_type(self, base: Snapshot, df: DataFrame, key: str) -> None:
         if key not in base.struct.names:
             raise SpecError(f"key {key!r} is not a column of the table")
-        ours, theirs = base.struct[key].dataType, df.schema[key].dataType
-        if ours != theirs:
-            raise SpecError(
-                f"key {key!r} is {ours.simpleString()} in the table "
-                f"but {theirs.simpleString()} in the batch"
-            )
+        check_key_type(base.struct[key].dataType, df.schema[key].dataType, key)
 
     def _dedupe(
         self,
@@ -453,7 +449,7 @@ class Table:
         unique: bool,
     ) -> tuple[str, ...]:
         """Write the rows of these paths anew, merged; returns what replaces paths and batch."""
-        old = self._rows(paths, base.struct).select(*_columns(base.struct))
+        old = self._rows(paths, _typed(base.struct, schema)).select(*_columns(base.struct))
         batch = self._staged_rows(staged)
         mixed = len({_partition_of(p) for p in paths}) > 1 or None
         covers = set(base.struct.names) <= set(staged.schema.names)
@@ -572,6 +568,11 @@ def _ancestors(path: str) -> list[str]:
     return ["/".join(steps[:i]) for i in range(1, len(steps))]
 
 
+def _typed(names: T.StructType, types: T.StructType) -> T.StructType:
+    """The columns of one schema in the types of another."""
+    return T.StructType([types[name] for name in names.names])
+
+
 def _columns(schema: T.StructType) -> list[Column]:
     return [F.col(quoted(name)) for name in schema.names]
 

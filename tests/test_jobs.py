@@ -168,8 +168,16 @@ def test_key_may_be_retyped_by_a_rule_from_the_start(spark, env):
     for _ in range(2):
         run_job(spark, env.spec({"primary_key": "id", "transformations": rule}), env.audit)
     assert rows(env.table(), "id", "v") == [("1", "a"), ("2", "b")]
-    with pytest.raises(SpecError, match="string in the table but int"):
-        run_job(spark, env.spec({"primary_key": "id"}), env.audit)
+    run_job(spark, env.spec({"primary_key": "id"}), env.audit)  # compared in the table's type
+    assert rows(env.table(), "id", "v") == [("1", "a"), ("2", "b")]
+
+
+def test_key_may_not_outgrow_the_table(spark, env):
+    env.put([(1, "a"), (2, "b")])
+    run_job(spark, env.spec({"primary_key": "id"}), env.audit)
+    rule = [{"type": "cast_type", "columns": ["id"], "data_type": "string"}]
+    with pytest.raises(SpecError, match="is int in the table but string"):
+        run_job(spark, env.spec({"primary_key": "id", "transformations": rule}), env.audit)
 
 
 def test_run_all_goes_on_after_a_failure(spark, env, tmp_path, clock):

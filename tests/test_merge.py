@@ -47,10 +47,14 @@ def test_replace_equals_upsert_on_unique_targets(spark):
         merge.replace_rows(t, b.drop("v"), "k")
 
 
-def test_key_must_exist_and_keep_its_type(spark):
+def test_key_must_exist_and_fit_the_tables_type(spark):
     t = spark.createDataFrame([(1, "a")], "k int, v string")
-    with pytest.raises(SpecError, match="int in the target but string"):
-        merge.upsert_rows(t, spark.createDataFrame([("1", "a")], "k string, v string"), "k")
+    for schema, value in (("k string", "1"), ("k bigint", 1)):
+        with pytest.raises(SpecError, match="int in the table but"):
+            merge.upsert_rows(t, spark.createDataFrame([(value,)], schema), "k")
+    text = spark.createDataFrame([("1", "a"), ("x", "b")], "k string, v string")
+    assert rows(merge.upsert_rows(text, spark.createDataFrame([(1, "n")], "k int, v string"), "k")) == [
+        ("1", "n"), ("x", "b")]
     with pytest.raises(SpecError, match="not a column"):
         merge.upsert_rows(t, t.drop("k"), "k")
 
@@ -94,6 +98,34 @@ def test_append_rows_by_name_with_wider_types(spark):
     assert rows(out, "i", "s", "n.p", "n.q") == [(1, "x", 1, None), (2**40, None, 2, 3)]
 
 
+def test_upsert_unites_nested_fields_and_types(spark):
+    t = spark.createDataFrame([(1, (1,), [(1,)], 5.0), (2, (2,), None, 6.0)],
+                              "k bigint, n struct<a:int>, l array<struct<x:int>>, d double")
+    b = spark.createDataFrame([(2, (7, "z"), [("y", 3)], 8)],
+                              "k int, n struct<a:bigint,b:string>, l array<struct<w:string,x:int>>, d bigint")
+    for merged in (merge.upsert_rows(t, b, "k"), merge.replace_rows(t, b, "k")):
+        assert merged.schema["n"].dataType.simpleString() == "struct<a:bigint,b:string>"
+        assert rows(merged, "k", "n.a", "n.b", "l.x", "l.w", "d") == [
+            (1, 1, None, [1], [None], 5.0), (2, 7, "z", [3], ["y"], 8.0)]
+
+
+@pytest.mark.parametrize("table, batch, result", [
+    ("int", "bigint", "bigint"), ("bigint", "int", "bigint"), ("double", "bigint", "double"),
+    ("int", "double", "double"), ("float", "double", "double"), ("float", "int", "double"),
+    ("string", "int", "string"), ("string", "timestamp", "string"), ("void", "int", "int"),
+    ("int", "void", "int"), ("bigint", "double", None), ("int", "string", None),
+    ("date", "timestamp", None), ("string", "array<string>", None), ("boolean", "int", None),
+    ("decimal(10,2)", "decimal(10,2)", "decimal(10,2)"), ("decimal(10,2)", "int", None),
+])
+def test_widening(spark, table, batch, result):
+    kind = lambda t: spark.range(1).selectExpr(f"CAST(NULL AS {t}) AS c").schema["c"].dataType
+    if result is None:
+        with pytest.raises(SpecError, match="column c"):
+            merge.widened(kind(table), kind(batch), "c")
+    else:
+        assert merge.widened(kind(table), kind(batch), "c") == kind(result)
+
+
 def test_types_that_cannot_meet_are_named(spark):
     a = spark.createDataFrame([(1,)], "i int")
     b = spark.createDataFrame([("x",)], "i string")

@@ -38,6 +38,15 @@ def test_nested_fields_may_be_added(spark, path):
     assert rows(t.read(), "k", "n.a", "n.b") == [(1, 1, None), (2, 2, "z")]
 
 
+def test_upsert_may_widen_and_nest(spark, path):
+    t = Table(spark, path)
+    t.upsert(make(spark, [(1, 1, (1,)), (2, 2, (2,))], "k int, i int, n struct<a:int>"), "k")
+    wide = "k int, i bigint, n struct<a:bigint,b:string>"
+    t.upsert(make(spark, [(2, 2**40, (3, "z"))], wide), "k")
+    t.upsert(make(spark, [(1, 7)], "k int, i int"), "k")
+    assert rows(t.read(), "k", "i", "n.a", "n.b") == [(1, 7, 1, None), (2, 2**40, 3, "z")]
+
+
 def test_overwrite_keeps_the_old_snapshot_readable(spark, path):
     t = Table(spark, path)
     t.append(make(spark, [(1, "a", "x")]))
