@@ -474,8 +474,10 @@ class Table:
     ) -> int:
         """Merge small files, partition by partition; returns how many partitions had some.
 
-        Files of at least half the wanted size stay as they are, and so do fewer than
-        ``min_files`` small ones. ``only_newest`` looks just at partitions the newest snapshot wrote to, which bounds
+        Directories whose files have a quarter of the wanted size on average stay as they are,
+        and so do fewer than ``min_files`` small files. Shuffled rows take more room than
+        Parquet, so twice the wanted size is asked of the shuffle: what comes out is then large
+        enough not to be merged again. ``only_newest`` looks just at partitions the newest snapshot wrote to, which bounds
         the work of a run by what the run did.
         """
         base = self.snapshot()
@@ -491,7 +493,7 @@ class Table:
         loose = []
         for paths in groups.values():
             usage = {p: self._folder.usage(p) for p in paths}
-            small = [p for p, (files, size) in usage.items() if size < files * target_bytes / 2]
+            small = [p for p, (files, size) in usage.items() if size < files * target_bytes / 4]
             files, size = (sum(usage[p][i] for p in small) for i in (0, 1))
             if files >= min_files and files > math.ceil(size / target_bytes):
                 loose += small
@@ -501,7 +503,7 @@ class Table:
         rows = self._rows(loose, base.struct).select(*_columns(base.struct))
         advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
         before = self.spark.conf.get(advisory, None)
-        self.spark.conf.set(advisory, str(target_bytes))
+        self.spark.conf.set(advisory, str(2 * target_bytes))
         try:
             staged = self._stage(rows, base.partition_by, mixed=True)
         finally:

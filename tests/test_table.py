@@ -316,6 +316,20 @@ def test_compaction_of_the_newest_write_leaves_other_partitions(spark, path):
     assert sorted(d.split("/")[1] for d in t.snapshot().paths) == ["p=x"] * 3 + ["p=y"]
 
 
+def test_merged_files_are_not_merged_again(spark, path):
+    t = Table(spark, path)
+    pad = F.sha2(F.col("id").cast("string"), 256).alias("pad")
+    for i in range(4):
+        t.append(spark.range(i * 50_000, (i + 1) * 50_000, 1, 16).select("id", pad))
+    target = 3 << 20
+    assert t.compact(target_bytes=target) == 1
+    sizes = [t._folder.usage(p) for p in t.snapshot().paths]
+    assert sum(n for n, _ in sizes) > 2  # several files, as the rows need
+    version = t.snapshot().version
+    assert t.compact(target_bytes=target) == 0 and t.snapshot().version == version
+    assert t.read().count() == 200_000
+
+
 def test_expiry_drops_what_only_old_snapshots_hold(spark, path):
     t = Table(spark, path)
     day = lambda n: dt.datetime(2025, 6, 1) + dt.timedelta(days=n)
