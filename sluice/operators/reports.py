@@ -16,8 +16,8 @@ def _speed(rows: str, seconds: str) -> Column:
 
 
 def throughput(audit: DataFrame) -> DataFrame:
-    """Speed of every run in the audit log."""
-    return audit.select(
+    """Speed of every run in the audit log, newest run first."""
+    speeds = audit.select(
         "ts",
         "job_name",
         "status",
@@ -25,6 +25,7 @@ def throughput(audit: DataFrame) -> DataFrame:
         "duration",
         _speed("source_count", "duration").alias("speed_rec_per_sec"),
     )
+    return newest_first(speeds, "ts")
 
 
 def newest_first(df: DataFrame, *columns: str) -> DataFrame:

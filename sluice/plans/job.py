@@ -128,6 +128,14 @@ def _landed(sink, run_id: str, clock: dt.datetime) -> int:
 def _audited(spark: SparkSession, report: RunReport, started: float, path: str) -> RunReport:
     report = replace(report, duration=round(time.monotonic() - started, 6))
     append_audit(report_rows(spark, [report]), path)
+    log.info(
+        "%s: %s, %d rows sent, %d landed, %.1f s",
+        report.job_name,
+        report.status,
+        report.source_count,
+        report.target_count,
+        report.duration,
+    )
     return report
 
 

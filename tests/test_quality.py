@@ -28,6 +28,8 @@ def test_throughput_without_a_duration_is_null(spark, clock):
         "ts timestamp, job_name string, status string, source_count bigint, duration double",
     )
     assert rows(reports.throughput(log), "job_name", "speed_rec_per_sec") == [("a", 2.5), ("b", None)]
+    later = log.withColumn("ts", F.expr("ts + INTERVAL 1 DAY")).withColumn("job_name", F.lit("new"))
+    assert reports.throughput(log.unionByName(later)).head()["job_name"] == "new"
 
 
 def test_top_n_sorts_no_whole_table(spark, sf):
