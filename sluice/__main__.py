@@ -20,6 +20,7 @@ def main(argv: list[str] | None = None) -> int:
     what.add_argument("--config-dir", help="a folder of job specs")
     parser.add_argument("--audit", required=True, help="path of the audit log")
     parser.add_argument("--resume", action="store_true", help="start at the last run's bound")
+    parser.add_argument("--parallel", type=int, default=1, help="jobs of a folder at a time")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
 
@@ -32,7 +33,9 @@ def main(argv: list[str] | None = None) -> int:
     try:
         if spec:
             return 0 if run_job(spark, spec, args.audit, resume=args.resume).ok else 1
-        report = run_all(spark, args.config_dir, args.audit, resume=args.resume)
+        report = run_all(
+            spark, args.config_dir, args.audit, resume=args.resume, parallel=args.parallel
+        )
         return 0 if report.filter("status <> 'SUCCESS'").isEmpty() else 1
     except Exception:
         logging.exception("job failed")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,15 +70,19 @@ def _constant(report: RunReport, column: T.StructField) -> Column:
 
 
 def append_audit(df: DataFrame, path: str) -> None:
-    """Add rows to the log; columns they lack are NULL."""
-    conform(df, AUDIT_SCHEMA).write.mode("append").parquet(path)
+    """Add rows to the log; columns they lack are NULL.
+
+    Every call writes a folder of its own: jobs that end at the same moment must not share the
+    committer's temporary folder, which the first to finish removes.
+    """
+    conform(df, AUDIT_SCHEMA).write.parquet(f"{path.rstrip('/')}/{uuid.uuid4().hex}")
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
     """The log; empty before the first run."""
     if not Folder(spark, path).exists():
         return empty_rows(spark, AUDIT_SCHEMA)
-    return spark.read.schema(AUDIT_SCHEMA).parquet(path)
+    return spark.read.schema(AUDIT_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
 
 
 def last_bound(audit: DataFrame, job_name: str) -> str | None:

@@ -7,6 +7,7 @@ import json
 import logging
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -146,31 +147,34 @@ def run_all(
     *,
     resume: bool = False,
     clock: dt.datetime | None = None,
+    parallel: int = 1,
 ) -> DataFrame:
-    """Run every spec of a folder, one after the other; a failing one does not stop the rest."""
-    reports = []
+    """Run every spec of a folder, ``parallel`` at a time; a failing one does not stop the rest."""
     specs = Folder(spark, folder)
-    for name in sorted(name for name, *_ in specs.listing("*.json")):
+
+    def run(name: str) -> RunReport:
         report = RunReport(str(uuid.uuid4()), name.removesuffix(".json"), "", "FAILED", ts=clock)
         try:
             spec = parse_spec(json.loads(specs.read_text(name)))
         except ValueError as err:
             report = replace(report, error=str(err))
             append_audit(report_rows(spark, [report]), audit_path)
-        else:
-            report = replace(
-                report, job_name=spec.job_name, ingestion_type=spec.ingestion_type.upper()
+            return report
+        report = replace(
+            report, job_name=spec.job_name, ingestion_type=spec.ingestion_type.upper()
+        )
+        try:
+            return run_job(
+                spark,
+                spec,
+                audit_path,
+                resume=resume,
+                run_id=report.ingestion_id,
+                clock=clock,
             )
-            try:
-                report = run_job(
-                    spark,
-                    spec,
-                    audit_path,
-                    resume=resume,
-                    run_id=report.ingestion_id,
-                    clock=clock,
-                )
-            except Exception as err:
-                report = replace(report, error=str(err))  # run_job wrote the audit row
-        reports.append(report)
-    return report_rows(spark, reports)
+        except Exception as err:
+            return replace(report, error=str(err))  # run_job wrote the audit row
+
+    names = sorted(name for name, *_ in specs.listing("*.json"))
+    with ThreadPoolExecutor(max(1, parallel)) as pool:
+        return report_rows(spark, list(pool.map(run, names)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,6 @@ def stream_upsert(
     order_by: Sequence[str],
     checkpoint: str,
     *,
-    name: str = "upsert",
     partition_by: Sequence[str] = (),
     shape: Callable[[DataFrame, int], DataFrame] | None = None,
     available_now: bool = True,
@@ -38,13 +38,15 @@ def stream_upsert(
 ) -> StreamingQuery:
     """Upsert every micro-batch into a table; the newest row of a key wins, however late it comes.
 
-    A batch that Spark replays after a failure is recognised by its number and applied once.
+    A batch that Spark replays after a failure is recognised by the id that the checkpoint
+    holds for its query and by its number, and applied once.
     ``shape`` prepares a micro-batch, given its number, before it is written. Small files are
     merged and old snapshots dropped after every ``maintain_every`` batches; 0 means never.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
         batch = shape(batch, number) if shape else batch
+        query = json.loads(Folder(batch.sparkSession, checkpoint).read_text("metadata"))["id"]
         table = Table(batch.sparkSession, path)
         table.upsert(
             batch,
@@ -53,7 +55,7 @@ def stream_upsert(
             dedupe="latest",
             order_by=order_by,
             newest_only=True,
-            stream=(name, number),
+            stream=(query, number),
         )
         if maintain_every and (number + 1) % maintain_every == 0:
             table.compact(min_files=ROUTINE_MIN_FILES)
@@ -124,7 +126,6 @@ def stream_job(
         key,
         order_by,
         checkpoint,
-        name=spec.job_name,
         partition_by=partition_by,
         shape=shape,
     )

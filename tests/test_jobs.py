@@ -196,6 +196,20 @@ def test_run_all_goes_on_after_a_failure(spark, env, tmp_path, clock):
     assert rows(env.log(), "job_name", "status") == expected
 
 
+def test_jobs_of_a_folder_may_run_at_once(spark, env, tmp_path):
+    env.put([(1, "a"), (2, "b")])
+    folder = tmp_path / "specs"
+    folder.mkdir()
+    for i in range(6):
+        doc = {"job_name": f"j{i}", "source_type": "parquet", "source_config": {"path": env.source},
+               "target": {"path": f"{env.target}-{i}", "primary_key": "id"}}
+        (folder / f"{i}.json").write_text(json.dumps(doc))
+    report = run_all(spark, str(folder), env.audit, parallel=4)
+    expected = [(f"j{i}", "SUCCESS", 2) for i in range(6)]
+    assert rows(report, "job_name", "status", "source_count") == expected
+    assert rows(env.log(), "job_name", "status", "source_count") == expected
+
+
 def test_audit_rows_survive_without_all_columns(spark, env, clock):
     append_audit(report_rows(spark, [RunReport("i", "j", "FULL", "SUCCESS", 5, 5, 1.5, ts=clock)]), env.audit)
     append_audit(spark.createDataFrame([("k", "FAILED")], "job_name string, status string"), env.audit)

@@ -30,6 +30,19 @@ def test_late_files_do_not_undo_newer_rows(spark, tmp_path, path):
     assert rows(Table(spark, path).read()) == [(1, 5, "a"), (2, 9, "z"), (3, 1, "d")]
 
 
+def test_streams_into_one_table_do_not_hide_each_other(spark, tmp_path, path):
+    for i in (1, 2):
+        folder = str(tmp_path / f"in{i}")
+        put(spark, folder, [(i, 1, "a"), (7, i, f"from-{i}")])
+        stream = stream_files(spark, "parquet", folder, "k int, o int, v string")
+        stream_upsert(stream, path, "k", ["o"], str(tmp_path / f"c{i}")).awaitTermination()
+    assert rows(Table(spark, path).read()) == [(1, 1, "a"), (2, 1, "a"), (7, 2, "from-2")]
+    # A new checkpoint reads everything again, which changes nothing.
+    before = rows(Table(spark, path).read())
+    stream_upsert(stream, path, "k", ["o"], str(tmp_path / "c3")).awaitTermination()
+    assert rows(Table(spark, path).read()) == before
+
+
 def test_maintenance_runs_between_batches(spark, tmp_path, path, monkeypatch):
     done = []
     monkeypatch.setattr(Table, "expire", lambda self: done.append(self.snapshot().version))
