@@ -160,8 +160,6 @@ def _writer(df: DataFrame, fmt: str, mode: str, partition_by: Sequence[str]):
     writer = df.write.format(fmt).mode(mode)
     if fmt == "delta":
         writer = writer.option("mergeSchema", "true")
-        if mode == "overwrite":
-            writer = writer.option("overwriteSchema", "true")
     if fmt == "csv":
         writer = writer.option("header", "true")
     return writer.partitionBy(*partition_by) if partition_by else writer

@@ -238,8 +238,13 @@ class Table:
         *,
         clock: dt.datetime | None = None,
     ) -> WriteResult:
-        """Replace all rows, schema and partitioning. Older snapshots stay readable."""
+        """Replace all rows and the partitioning; older snapshots stay readable.
+
+        The table keeps columns that the new rows lack, as it does on an append.
+        """
         base = self.snapshot()
+        if base:
+            df = conform(df, evolved(base.struct, df.schema))
         staged = self._stage(df, partition_by)
         new = self._publish(
             base,

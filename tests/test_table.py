@@ -47,11 +47,12 @@ def test_upsert_may_widen_and_nest(spark, path):
     assert rows(t.read(), "k", "i", "n.a", "n.b") == [(1, 7, 1, None), (2, 2**40, 3, "z")]
 
 
-def test_overwrite_keeps_the_old_snapshot_readable(spark, path):
+def test_overwrite_keeps_old_columns_and_the_old_snapshot(spark, path):
     t = Table(spark, path)
     t.append(make(spark, [(1, "a", "x")]))
-    t.overwrite(make(spark, [(9,)], "z int"))
-    assert rows(t.read()) == [(9,)]
+    t.overwrite(make(spark, [(9, 5)], "k int, z int"), ["k"])
+    assert rows(t.read(), "k", "v", "p", "z") == [(9, None, None, 5)]
+    assert t.snapshot().partition_by == ("k",)
     assert rows(t.read(version=1)) == [(1, "a", "x")]
 
 
