@@ -112,8 +112,8 @@ class Table:
         return sorted(int(name.rsplit("/", 1)[1][:-5]) for name, *_ in found)
 
     def snapshot(self, version: int | None = None) -> Snapshot | None:
-        """The given or the newest snapshot; None if there is no table yet."""
-        versions = self._versions() if version is None else [version]
+        """The given or the newest snapshot; None if there is no such version or no table."""
+        versions = [v for v in self._versions() if version is None or v == version]
         if not versions:
             return None
         doc = json.loads(self._folder.read_text(f"{_SNAPSHOTS}/{versions[-1]:010d}.json"))
@@ -403,22 +403,22 @@ class Table:
         if not base.paths or not staged.dirs:
             return set()
         k = quoted(key)
-        path = F.col("_metadata.file_path")
+        file = lambda df: df.metadataColumn("_metadata").getField("file_path")
         near = self._near(target, key, staged).filter(F.col(k).isNotNull())
         keys = self._staged_rows(staged).select(F.col(k)).filter(F.col(k).isNotNull())
         if self._is_small(staged):
-            hit = near.select(F.col(k), path).join(keys, key, "left_semi")
-            names = hit.select("file_path").distinct()
+            hit = near.select(F.col(k), file(near).alias("__path")).join(keys, key, "left_semi")
+            names = hit.select("__path").distinct()
         else:
             # The join shuffles these rows: eight bytes stand for a file, its name comes after.
             # Two files of one hash would both be rewritten, which changes no row.
-            short = near.select(F.col(k), F.xxhash64(path).alias("__file"))
+            short = near.select(F.col(k), F.xxhash64(file(near)).alias("__file"))
             hit = short.join(keys, key, "left_semi").select("__file").distinct()
-            files = target.select(path).distinct()
-            names = files.join(hit, F.xxhash64("file_path") == F.col("__file"), "left_semi")
+            files = target.select(file(target).alias("__path")).distinct()
+            names = files.join(hit, F.xxhash64("__path") == F.col("__file"), "left_semi")
         # File names only: never more than the table has files.
         skip = len(self._folder.uri_path()) + 1
-        return {unquote(urlparse(row["file_path"]).path)[skip:] for row in names.collect()}
+        return {unquote(urlparse(row["__path"]).path)[skip:] for row in names.collect()}
 
     def _split(self, base: Snapshot, touched: set[str]) -> tuple[tuple[str, ...], tuple[str, ...]]:
         """Live paths to keep, and those to rewrite, given the files that are hit.
@@ -482,8 +482,8 @@ class Table:
         Directories whose files have a quarter of the wanted size on average stay as they are,
         and so do fewer than ``min_files`` small files. Shuffled rows take more room than
         Parquet, so twice the wanted size is asked of the shuffle: what comes out is then large
-        enough not to be merged again. ``only_newest`` looks just at partitions the newest snapshot wrote to, which bounds
-        the work of a run by what the run did.
+        enough not to be merged again. ``only_newest`` looks just at partitions the newest
+        snapshot wrote to, which bounds the work of a run by what the run did.
         """
         base = self.snapshot()
         if base is None:
@@ -493,7 +493,8 @@ class Table:
             groups.setdefault(_partition_of(path), []).append(path)
         if only_newest and base.version > 1:
             before = self.snapshot(base.version - 1)
-            fresh = {_partition_of(p) for p in set(base.paths) - set(before.paths if before else ())}
+            known = set(before.paths) if before else set()
+            fresh = {_partition_of(p) for p in base.paths if p not in known}
             groups = {p: paths for p, paths in groups.items() if p in fresh}
         loose = []
         for paths in groups.values():

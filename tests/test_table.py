@@ -6,6 +6,7 @@ import time
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.plans.table import ConcurrentWriteError, DuplicateKeyError, Table
 from sluice.spec import SpecError
@@ -159,6 +160,30 @@ def test_odd_table_paths(spark, tmp_path):
     assert rows(relative.read()) == [(1, "new", "x")]
 
 
+@pytest.mark.parametrize("small", [1 << 26, -1])
+def test_a_key_may_have_any_name(spark, path, small, monkeypatch):
+    monkeypatch.setattr("sluice.plans.table.SMALL_BATCH_BYTES", small)
+    for i, key in enumerate(["file_path", "a.b", "rows", "back`tick", "_metadata"]):
+        t = Table(spark, f"{path}{i}")
+        for value in ("old", "new"):
+            df = spark.createDataFrame([(1, value), (2, value)], T.StructType(
+                [T.StructField(key, T.LongType()), T.StructField("v", T.StringType())]))
+            t.upsert(df, key)
+        assert sorted(map(tuple, t.read().collect())) == [(1, "new"), (2, "new")]
+
+
+def test_maintenance_survives_missing_versions(spark, path):
+    t = Table(spark, path)
+    for i in range(3):
+        t.append(make(spark, [(i, "a", "x")]))
+    t.expire(0, clock=dt.datetime.now() + dt.timedelta(minutes=1))
+    assert t.snapshot(2) is None
+    assert t.compact(only_newest=True) == 1
+    assert t.read().count() == 3
+    with pytest.raises(FileNotFoundError):
+        t.read(version=1)
+
+
 def test_rows_without_key_are_always_inserted(spark, path):
     t = Table(spark, path)
     for _ in range(2):
