@@ -86,6 +86,8 @@ def run_job(
         if resume:
             bound = last_bound(read_audit(spark, audit_path), spec.job_name)
             spec = replace(spec, last_ingestion_value=bound or spec.last_ingestion_value)
+        if spec.incremental:
+            context.bound = spec.incremental_column, spec.last_ingestion_value
         source = read_source(spark, spec, context)
         watermark = Observation()
         batch, partition_by, key = prepare(source, spec, run_id, clock, watermark)

@@ -13,9 +13,10 @@ from sluice.spec import JobSpec, SourceSpec, SpecError
 
 @dataclass
 class ReadContext:
-    """What one run learns while reading, and the scratch folders to drop after it."""
+    """What one run knows and learns while reading, and the scratch folders to drop after it."""
 
     run_id: str = "adhoc"
+    bound: tuple[str, str] | None = None
     page_errors: int = 0
     scratch: list[str] = field(default_factory=list)
 

@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 
 from sluice.plans.table import Table
-from sluice.sources import read_source, register, source_types
+from sluice.sources import ReadContext, read_source, register, source_types
 from sluice.sources.documents import mongo_options
 from sluice.sources.files import sftp_options
 from sluice.sources.jdbc import jdbc_options
@@ -34,8 +34,12 @@ def test_jdbc_options_pass_only_what_is_given():
 
 
 def test_jdbc_options_that_cannot_work():
-    with pytest.raises(SpecError, match="also needs lower_bound"):
-        jdbc_options({"url": "u", "dbtable": "t", "partition_column": "id"})
+    base = {"url": "u", "dbtable": "t"}
+    for lame in ({"partition_column": "id"}, {"num_partitions": 4}, {"lower_bound": 1},
+                 {"lower_bound": 1, "upper_bound": 2},
+                 {"partition_column": "id", "num_partitions": 4, "upper_bound": 2}):
+        with pytest.raises(SpecError, match="as well"):
+            jdbc_options({**base, **lame})
     with pytest.raises(SpecError, match="dbtable is missing"):
         jdbc_options({"url": "u"})
 
@@ -112,3 +116,28 @@ def test_sftp_reads_the_host_through_the_file_system():
     assert loaded == ["sftp://h/up%20load/a.csv"]
     given = session.read.format.return_value.options.call_args.kwargs
     assert given["fs.sftp.password.h.u"] == "secret" and "secret" not in loaded[0]
+
+
+@pytest.mark.parametrize(
+    "ends, bound, expected",
+    [
+        ((5, 900), None, ("5", "900")),
+        ((5, 900), ("id", "600"), ("600", "900")),
+        ((5, 900), ("id", "2"), ("5", "900")),
+        ((5, 900), ("id", "2000"), ("900", "900")),
+        ((5, 900), ("other", "600"), ("5", "900")),
+        ((None, None), ("id", "600"), None),
+    ],
+)
+def test_range_ends_are_asked_of_the_table(ends, bound, expected):
+    session = MagicMock()
+    session.read.format.return_value.options.return_value.load.return_value.head.return_value = ends
+    options = {"url": "u", "dbtable": "(SELECT * FROM t) x", "partition_column": "id", "num_partitions": 4}
+    read_source(session, SourceSpec("jdbc", options), ReadContext(bound=bound))
+    asked, read = [call.kwargs for call in session.read.format.return_value.options.call_args_list]
+    assert asked["dbtable"] == "(SELECT MIN(id) AS low, MAX(id) AS high FROM (SELECT * FROM t) x) ends"
+    assert "partitionColumn" not in asked
+    if expected is None:
+        assert "partitionColumn" not in read and "numPartitions" not in read
+    else:
+        assert (read["lowerBound"], read["upperBound"], read["numPartitions"]) == (*expected, "4")
