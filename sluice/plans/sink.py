@@ -70,24 +70,28 @@ class DeltaSink:
         self.path = spec.target.path
 
     def write(self, df, partition_by, key, clock) -> WriteResult:
-        from delta.tables import DeltaTable
-
-        exists = DeltaTable.isDeltaTable(self.spark, self.path)
+        counted, seen = _counted(df)
         if not key:
-            counted, seen = _counted(df)
             _writer(counted, "delta", self.spec.target.mode, partition_by).save(self.path)
             return _result(seen)
         # MERGE reads its source more than once: give it a written copy.
         copy = scratch_dir(self.spark, "batch")
-        counted, seen = _counted(df)
-        counted.write.parquet(copy)
-        result = _result(seen)
-        batch = self.spark.read.parquet(copy)
+        try:
+            counted.write.parquet(copy)
+            return self._merge(self.spark.read.parquet(copy), _result(seen), partition_by, key)
+        finally:
+            Folder(self.spark, copy).delete()
+
+    def _merge(
+        self, batch: DataFrame, result: WriteResult, partition_by: Sequence[str], key: str
+    ) -> WriteResult:
+        from delta.tables import DeltaTable
+
         named = F.col(quoted(key)).isNotNull()
-        order_by = self.spec.order_columns(df.columns, key)
+        order_by = self.spec.order_columns(batch.columns, key)
         mode = self.spec.dedupe_mode(order_by)
-        if mode != "none" and not duplicate_keys(batch.filter(named), key).isEmpty():
-            keyed = batch.filter(named)
+        keyed = batch.filter(named)
+        if mode != "none" and not duplicate_keys(keyed, key).isEmpty():
             if mode == "latest":
                 single = latest_per_key(keyed, key, order_by)
             else:
@@ -96,13 +100,13 @@ class DeltaSink:
                 raise DuplicateKeyError(f"{key} repeats with differing rows")
             batch = single.unionByName(batch.filter(~named))
             result = WriteResult(batch.count())
-        if exists:
+        if DeltaTable.isDeltaTable(self.spark, self.path):
             merge = DeltaTable.forPath(self.spark, self.path).alias("t")
-            merge = merge.merge(batch.alias("s"), f"t.`{key}` = s.`{key}`").withSchemaEvolution()
-            merge.whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()
+            merge = merge.merge(batch.alias("s"), f"t.{quoted(key)} = s.{quoted(key)}")
+            merge = merge.withSchemaEvolution().whenMatchedUpdateAll()
+            merge.whenNotMatchedInsertAll().execute()
         else:
             _writer(batch, "delta", "overwrite", partition_by).save(self.path)
-        Folder(self.spark, copy).delete()
         return result
 
     def read(self) -> DataFrame:

@@ -1,0 +1,79 @@
+"""The Delta branch against a stand-in for the library: what it asks Delta to do."""
+
+import sys
+from types import ModuleType
+from unittest.mock import MagicMock
+
+import pytest
+from conftest import rows
+
+from sluice.plans import sink as sinks
+from sluice.plans.sink import DeltaSink
+from sluice.plans.table import DuplicateKeyError
+from sluice.spec import parse_spec
+
+
+@pytest.fixture
+def delta(monkeypatch):
+    """Stand-in for ``delta.tables.DeltaTable`` and for the writer; notes the rows they get."""
+    table = MagicMock()
+    package, tables = ModuleType("delta"), ModuleType("delta.tables")
+    tables.DeltaTable = table
+    monkeypatch.setitem(sys.modules, "delta", package)
+    monkeypatch.setitem(sys.modules, "delta.tables", tables)
+    seen = {}
+
+    def merge(batch, condition):
+        seen.update(rows=rows(batch), condition=condition)
+        return seen["merge"]
+
+    def writer(df, fmt, mode, partition_by):
+        seen.update(rows=rows(df), write=(fmt, mode, tuple(partition_by)))
+        return MagicMock()
+
+    seen["merge"] = MagicMock()
+    table.forPath.return_value.alias.return_value.merge.side_effect = merge
+    monkeypatch.setattr(sinks, "_writer", writer)
+    return table, seen
+
+
+def spec(**target):
+    return parse_spec({"source_type": "csv", "target": {"path": "/lake/t", **target}})
+
+
+def test_existing_tables_are_merged(spark, delta, clock):
+    table, seen = delta
+    table.isDeltaTable.return_value = True
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "n"), (None, "n")], "k int, v string")
+    result = DeltaSink(spark, spec(primary_key="k")).write(df, ["v"], "k", clock)
+    assert seen["condition"] == "t.`k` = s.`k`"
+    assert seen["rows"] == [(None, "n"), (None, "n"), (1, "a"), (2, "b")] and result.rows == 4
+    evolved = seen["merge"].withSchemaEvolution.return_value
+    updated = evolved.whenMatchedUpdateAll.return_value
+    updated.whenNotMatchedInsertAll.return_value.execute.assert_called_once_with()
+    assert "write" not in seen
+
+
+def test_first_load_overwrites_and_newest_rows_win(spark, delta, clock):
+    table, seen = delta
+    table.isDeltaTable.return_value = False
+    df = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "k int, o int")
+    sink = DeltaSink(spark, spec(primary_key="k", order_by=["o"]))
+    assert sink.write(df, ["o"], "k", clock).rows == 2
+    assert seen["write"] == ("delta", "overwrite", ("o",)) and seen["rows"] == [(1, 2), (2, 1)]
+    with pytest.raises(DuplicateKeyError):
+        DeltaSink(spark, spec(primary_key="k")).write(df, [], "k", clock)
+
+
+def test_loads_without_key_follow_the_mode(spark, delta, clock):
+    _, seen = delta
+    df = spark.createDataFrame([(1,), (2,)], "k int")
+    assert DeltaSink(spark, spec(mode="overwrite")).write(df, [], None, clock).rows == 2
+    assert seen["write"] == ("delta", "overwrite", ())
+
+
+def test_maintenance_is_deltas_own(delta, clock):
+    session = MagicMock()
+    DeltaSink(session, spec()).maintain(clock)
+    assert [call.args[0] for call in session.sql.call_args_list] == [
+        "OPTIMIZE delta.`/lake/t`", "VACUUM delta.`/lake/t` RETAIN 168 HOURS"]
