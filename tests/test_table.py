@@ -132,7 +132,7 @@ def test_new_keys_are_a_plain_append(spark, path):
 
 
 def test_odd_partition_values(spark, path):
-    odd = ["a b", "a/b", "a=b", "50%", "ü:*?", "x'y"]
+    odd = ["a b", "a/b", "a=b", "50%", "ü:*?", "x'y", "01", "1", "2024-01-01", "{x}[y]"]
     t = Table(spark, path)
     t.upsert(make(spark, [(i, "old", p) for i, p in enumerate(odd)] + [(99, "n", None)]), "k", ["p"])
     result = t.upsert(make(spark, [(i, "new", p) for i, p in enumerate(odd)] + [(99, "m", None)]), "k")
@@ -145,10 +145,29 @@ def test_odd_partition_values(spark, path):
 
 def test_files_do_not_multiply_by_tasks_and_partitions(spark, path):
     t = Table(spark, path)
-    t.append(spark.range(0, 1000, 1, 20).selectExpr("id AS k", "id % 5 AS p"), ["p"])
+    rows_in = spark.range(0, 1000, 1, 20).selectExpr("id AS k", "id % 5 AS p")
+    assert t.append(rows_in, ["p"]).rows == 1000
     assert sum(t._folder.usage(p)[0] for p in t.snapshot().paths) == 5
 
 
+@pytest.mark.parametrize("kind, values", [
+    ("date", ["2024-02-29", "1999-12-31"]),
+    ("timestamp", ["2024-02-29 01:02:03.5", "1999-12-31 00:00:00"]),
+    ("timestamp_ntz", ["2024-02-29 01:02:03.5", "1999-12-31 00:00:00"]),
+    ("decimal(10,2)", ["1.50", "-3.00"]),
+    ("double", ["0.1", "1e300"]),
+    ("boolean", ["true", "false"]),
+])
+def test_partition_values_keep_their_type(spark, path, kind, values):
+    t = Table(spark, path)
+    df = spark.createDataFrame(list(enumerate([*values, None])), "k int, raw string")
+    df = df.withColumn("p", F.col("raw").cast(kind))
+    for _ in range(2):
+        t.upsert(df, "k", ["p"])
+    assert t.read().schema["p"].dataType == df.schema["p"].dataType
+    assert rows(t.read(), "k", "p") == rows(df, "k", "p")
+
+
 def test_odd_table_paths(spark, tmp_path):
     t = Table(spark, f"file:{tmp_path}/a b/50% ü/t/")
     for value in ("old", "new"):
