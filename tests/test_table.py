@@ -4,7 +4,7 @@ import random
 import time
 
 import pytest
-from conftest import rows
+from conftest import frame, rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +13,7 @@ from sluice.spec import SpecError
 
 
 def make(spark, data, schema="k int, v string, p string"):
-    return spark.createDataFrame(data, schema)
+    return frame(spark, data, schema)
 
 
 def test_append_takes_up_new_columns(spark, path):
