@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from sluice.operators.filters import incremental
 from sluice.operators.quality import judge_counts, landed_count
 from sluice.operators.rules import (
-    INGEST_DATE,
     apply_rules,
     flat_key,
     rebuilt_structs,
@@ -26,7 +25,7 @@ from sluice.operators.rules import (
 )
 from sluice.plans.audit import RunReport, append_audit, last_bound, read_audit, report_rows
 from sluice.plans.sink import sink_for
-from sluice.runtime import Folder, clock_column, clock_now
+from sluice.runtime import Folder, clock_now
 from sluice.sources import ReadContext, read_source
 from sluice.spec import JobSpec, parse_spec
 
@@ -117,12 +116,9 @@ def run_job(
 
 
 def _landed(sink, run_id: str, clock: dt.datetime) -> int:
-    """Rows of this run in the target; the load date keeps the scan to one partition."""
+    """Rows of this run in the target; only the partition of the load date is looked at."""
     try:
-        table = sink.read()
-        if INGEST_DATE in table.columns:
-            table = table.filter(table[INGEST_DATE] == clock_column(clock).cast("date"))
-        return landed_count(table, run_id).head()["tc"]
+        return landed_count(sink.read_day(clock.date()), run_id).head()["tc"]
     except Exception as err:
         log.warning("target cannot be read: %s", err)
         return 0

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sluice.functions import quoted
 from sluice.operators.merge import latest_per_key
 from sluice.operators.quality import duplicate_keys
+from sluice.operators.rules import INGEST_DATE
 from sluice.plans.table import (
     RETENTION_HOURS,
     ROUTINE_MIN_FILES,
@@ -56,6 +57,9 @@ class SnapshotSink:
     def read(self) -> DataFrame:
         return self.table.read()
 
+    def read_day(self, day: dt.date) -> DataFrame:
+        return self.table.read_partition(INGEST_DATE, day.isoformat())
+
     def maintain(self, clock: dt.datetime) -> None:
         self.table.compact(min_files=ROUTINE_MIN_FILES, only_newest=True, clock=clock)
         self.table.expire(RETENTION_HOURS, clock=clock)
@@ -112,6 +116,9 @@ class DeltaSink:
     def read(self) -> DataFrame:
         return self.spark.read.format("delta").load(self.path)
 
+    def read_day(self, day: dt.date) -> DataFrame:
+        return self.read().filter(F.col(INGEST_DATE) == F.lit(day))
+
     def maintain(self, clock: dt.datetime) -> None:
         self.spark.sql(f"OPTIMIZE delta.`{self.path}`")
         self.spark.sql(f"VACUUM delta.`{self.path}` RETAIN {RETENTION_HOURS} HOURS")
@@ -137,6 +144,9 @@ class FileSink:
             reader = reader.option("header", "true")
         return reader.load(target.path)
 
+    def read_day(self, day: dt.date) -> DataFrame:
+        return self.read().filter(F.col(INGEST_DATE) == F.lit(day))
+
     def maintain(self, clock: dt.datetime) -> None:
         """Plain files have no versions to compact or expire."""
 

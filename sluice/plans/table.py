@@ -15,6 +15,7 @@ import datetime as dt
 import json
 import math
 import random
+import re
 import time
 import uuid
 from collections.abc import Mapping, Sequence
@@ -50,6 +51,7 @@ SMALL_BATCH_BYTES = 64 * 1024 * 1024
 
 _SNAPSHOTS = "_snapshots"
 _COMMIT = "_commit="
+_PLAIN_VALUE = re.compile(r"[A-Za-z0-9_.-]+")  # written into a path as it is
 _SUCCESS_MARK = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 _RANGED_KEYS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.DateType)
 
@@ -147,6 +149,17 @@ class Table:
             raise FileNotFoundError(f"no table at {self.path}")
         return self._rows(snap.paths, snap.struct).select(*_columns(snap.struct))
 
+    def read_partition(self, column: str, value: str) -> DataFrame:
+        """The rows of one partition value, without a look at the directories of the others."""
+        snap = self.snapshot()
+        if snap is None:
+            raise FileNotFoundError(f"no table at {self.path}")
+        if column not in snap.partition_by or not _PLAIN_VALUE.fullmatch(value):
+            return self.read().filter(F.col(quoted(column)) == F.lit(value))
+        step = f"{column}={value}"
+        paths = [p for p in snap.paths if step in _partition_of(p).split("/")]
+        return self._rows(paths, snap.struct).select(*_columns(snap.struct))
+
     def _rows(self, paths: Sequence[str], schema: T.StructType) -> DataFrame:
         if not paths:
             return empty_rows(self.spark, schema)

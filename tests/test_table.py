@@ -168,6 +168,18 @@ def test_partition_values_keep_their_type(spark, path, kind, values):
     assert rows(t.read(), "k", "p") == rows(df, "k", "p")
 
 
+def test_one_partition_is_read_without_the_others(spark, path):
+    t = Table(spark, path)
+    t.append(make(spark, [(1, "a", "x"), (2, "b", "y"), (3, "c", "x=y")]), ["p"])
+    t.append(make(spark, [(4, "d", "x")]))
+    assert rows(t.read_partition("p", "x")) == [(1, "a", "x"), (4, "d", "x")]
+    assert rows(t.read_partition("v", "b")) == [(2, "b", "y")]
+    assert rows(t.read_partition("p", "z")) == []
+    assert rows(t.read_partition("p", "x=y")) == [(3, "c", "x=y")]
+    files = t.read_partition("p", "x").inputFiles()
+    assert len(files) == 2 and all("p=x/" in f for f in files)
+
+
 def test_odd_table_paths(spark, tmp_path):
     t = Table(spark, f"file:{tmp_path}/a b/50% ü/t/")
     for value in ("old", "new"):
