@@ -1,12 +1,13 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Documents are cut into passages of two neighbouring blocks of words, one block apart. TF-IDF passages
-over hashed words form a matrix that is never built whole: each task multiplies its passages with a
-random test matrix and back, and the sum over all passages is a sketch of the Gram matrix. Its
+Documents are cut into blocks of words; a passage is a block, or a block with the next. TF-IDF
+passages over hashed words form a matrix that is never built whole: each task multiplies its passages
+with a random test matrix and back, and the sum over all passages is a sketch of the Gram matrix. Its
 randomised eigenvectors are the right singular vectors (single-pass randomised SVD). Passages and
-benchmark items are projected on them, and each passage takes its nearest items by cosine. A
-candidate is decided on words: the longest common subsequence of the item and the passage with the
-blocks around it, and the share of the item's last words (its answer) in that subsequence.
+benchmark items are projected on them, scaled by the inverse singular values, and each passage takes
+its nearest items by cosine. A candidate is decided on words: the longest common subsequence of the
+item and first the block, then the stretch around it that could hold the item, and the share of the
+item's last words (its answer) in that subsequence.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from sluice.llm.common import Words, mapped, text_slices
 
 #: Hash buckets of words, words in a block, rank of the latent space.
-BUCKETS, STRIDE, RANK = 1 << 14, 24, 32
+BUCKETS, STRIDE, RANK = 1 << 14, 12, 96
 #: Words of one comparison piece of an item: the width of a machine word.
 PIECE = 64
 
@@ -29,33 +30,32 @@ def _buckets(hashes: np.ndarray) -> np.ndarray:
 
 
 class _Passages:
-    """Blocks of a slice of documents; passage ``i`` is block ``i`` and the next of the same document."""
+    """Blocks of a slice of documents, the last of a document as long as its words last."""
 
     def __init__(self, data: np.ndarray, bounds: np.ndarray):
         words = Words(data, bounds)
         self.hash = words.hashes()
         self.bucket = _buckets(self.hash)
+        self.first = words.first
         per = -(-words.count // STRIDE)
         self.row = np.repeat(np.arange(per.size), per)
         order = np.arange(self.row.size) - np.repeat(np.cumsum(per) - per, per)
         self.start = words.first[self.row] + order * STRIDE
         self.end = np.minimum(self.start + STRIDE, words.first[self.row + 1])
         n = self.row.size
+        #: Whether the next block belongs to the same document.
         self.joined = np.zeros(n, dtype=bool)
         if n > 1:
             self.joined[:-1] = self.row[1:] == self.row[:-1]
-        #: The last block of a document is a passage of its own only when it is the only block.
-        self.live = self.joined.copy()
-        if n:
-            self.live[np.flatnonzero(per[self.row] == 1)] = True
 
-    def vectors(self, axes: np.ndarray) -> np.ndarray:
-        """Sums of the words' rows of ``axes``, per passage."""
+    def vectors(self, axes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of the words' rows of ``axes``, per block and per pair of blocks."""
         if not self.row.size:
-            return np.zeros((0, axes.shape[1]), dtype=axes.dtype)
+            return (np.zeros((0, axes.shape[1]), dtype=axes.dtype),) * 2
         block = np.add.reduceat(axes.take(self.bucket, axis=0), self.start, axis=0)
-        block[:-1] += np.where(self.joined[:-1, None], block[1:], 0)
-        return block
+        pair = block.copy()
+        pair[:-1] += np.where(self.joined[:-1, None], block[1:], 0)
+        return block, pair
 
 
 def _document_frequencies(rows: DataFrame) -> np.ndarray:
@@ -91,7 +91,7 @@ def latent_axes(rows: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int =
                 if not p.row.size:
                     continue
                 seen = True
-                y = p.vectors(scaled.value) * p.live[:, None]
+                y = p.vectors(scaled.value)[1]
                 back = y.copy()
                 back[1:] += np.where(p.joined[:-1, None], y[:-1], 0)
                 owner = np.repeat(np.arange(p.row.size), p.end - p.start)
@@ -171,9 +171,21 @@ def common_subsequence(word: np.ndarray, start: np.ndarray, size: np.ndarray, pi
     return ~v & full
 
 
+def _nearest(vectors: tuple[np.ndarray, np.ndarray], targets: np.ndarray, nearest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Blocks and the pieces nearest to them, alone or with the next block; each pair once."""
+    k, n = min(nearest, targets.shape[0]), targets.shape[0]
+    found = []
+    for z in map(_unit, vectors):
+        for a in range(0, z.shape[0], 4096):
+            near = np.argpartition(z[a : a + 4096] @ targets.T, n - k, axis=1)[:, n - k :]
+            found.append((np.arange(a, a + near.shape[0])[:, None] * n + near).ravel())
+    pairs = np.unique(np.concatenate(found))
+    return pairs // n, pairs % n
+
+
 def contaminations(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-    nearest: int = 4, least_common: float = 0.6, verbatim: float = 0.8, answer_share: float = 0.25, least_answer: float = 0.5, block_items: int = 1000,
+    nearest: int = 8, least_common: float = 0.6, verbatim: float = 0.8, answer_share: float = 0.25, least_answer: float = 0.5, block_items: int = 1000,
 ) -> DataFrame:
     """Per row of ``docs`` with a hit: ``(id, item_id, common, answer, n_passages)`` of its best item.
 
@@ -194,8 +206,8 @@ def contaminations(
         return spark.createDataFrame([], schema)
     frequency = _document_frequencies(rows)
     idf = np.log((1 + frequency[-1]) / (1 + frequency[:BUCKETS])) + 0.05
-    axes, _ = latent_axes(rows, idf)
-    scaled = (axes * idf[:, None]).astype(np.float32)
+    axes, strength = latent_axes(rows, idf)
+    scaled = (axes * idf[:, None] / np.maximum(strength, 1e-9)).astype(np.float32)
     found = None
     for block in range(blocks):
         part = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).distinct().orderBy("item_id", "text").collect()
@@ -206,34 +218,30 @@ def contaminations(
 
         def search(batches, model=model):
             scaled, items, targets = model.value
-            k = min(nearest, targets.shape[0])
             for batch in batches:
                 ids = batch.column(0)
                 for lo, hi, data, bounds in text_slices(batch.column(1)):
                     p = _Passages(data, bounds)
-                    live = np.flatnonzero(p.live)
-                    if not live.size:
+                    if not p.row.size:
                         continue
-                    z, word = _unit(p.vectors(scaled)[live]), items.look_up(p.hash)
-                    # The passage with one block before it and one after.
-                    first = live - ((live > 0) & p.joined[live - 1])
-                    last = live + p.joined[live]
-                    last += p.joined[last]
-                    begin, size = p.start[first], p.end[last] - p.start[first]
+                    word = items.look_up(p.hash)
+                    at, piece = _nearest(p.vectors(scaled), targets, nearest)
+                    inside = np.bitwise_count(common_subsequence(word, p.start[at], p.end[at] - p.start[at], piece, items))
+                    some = 2 * inside >= np.minimum(p.end[at] - p.start[at], items.size[piece])
+                    at, piece = at[some], piece[some]
+                    begin = np.maximum(p.start[at] - PIECE, p.first[p.row[at]])
+                    end = np.minimum(p.end[at] + PIECE, p.first[p.row[at] + 1])
+                    bits = common_subsequence(word, begin, end - begin, piece, items)
+                    common = np.bitwise_count(bits) / items.size[piece]
+                    answer = np.bitwise_count(bits & items.answer[piece]) / np.bitwise_count(items.answer[piece])
+                    hit = (common >= verbatim) | (common >= least_common) & (answer >= least_answer)
                     best: dict[int, tuple] = {}
                     count: dict[int, int] = {}
-                    for a in range(0, live.size, 4096):
-                        near = np.argpartition(-(z[a : a + 4096] @ targets.T), k - 1, axis=1)[:, :k]
-                        for piece in near.T:
-                            bits = common_subsequence(word, begin[a : a + 4096], size[a : a + 4096], piece, items)
-                            common = np.bitwise_count(bits) / items.size[piece]
-                            answer = np.bitwise_count(bits & items.answer[piece]) / np.bitwise_count(items.answer[piece])
-                            hit = (common >= verbatim) | (common >= least_common) & (answer >= least_answer)
-                            for i in np.flatnonzero(hit).tolist():
-                                doc, item = int(p.row[live[a + i]]), items.item[piece[i]]
-                                count[doc] = count.get(doc, 0) + 1
-                                key = (-float(common[i]), -float(answer[i]), item)
-                                best[doc] = min(best.get(doc, key), key)
+                    for i in np.flatnonzero(hit).tolist():
+                        doc, item = int(p.row[at[i]]), items.item[piece[i]]
+                        count[doc] = count.get(doc, 0) + 1
+                        key = (-float(common[i]), -float(answer[i]), item)
+                        best[doc] = min(best.get(doc, key), key)
                     if best:
                         own = sorted(best)
                         yield pa.RecordBatch.from_arrays(
