@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, lsh_forest, mixing, quality_knn, range_coder
+from sluice.llm import bucket_dedup, decontaminate, html_extract, line_rules, lsh_forest, mixing, pii, ppm, quality_knn, range_coder
 from sluice.llm.common import table
 
 
@@ -20,6 +20,14 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return range_coder.token_index(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extracted(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.judged(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its best benchmark item, if any; ``kept`` where there is none."""
     docs = table(spark, sf_dir, "documents")
@@ -32,6 +40,10 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op6_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.language_scores(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_knn.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -40,11 +52,24 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op10_byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bucket_dedup.without_repeats(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_html_main_text": op2_html_main_text,
+    "op3_line_frequency": op3_line_frequency,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_source_mix": op5_source_mix,
+    "op6_ppm_scores": op6_ppm_scores,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_personal_data": op9_personal_data,
+    "op10_byte_repeats": op10_byte_repeats,
 }
 ORACLE: dict[str, str] = {}
