@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Running, mapped, mix, saved, text_slices
+from sluice.llm.common import Running, mapped, mix, release, saved, text_slices
 
 _MOST = np.uint64(2**64 - 1)
 
@@ -141,13 +141,29 @@ def _removed(length: int, q: int, with_bytes: bool):
     return run
 
 
-def _released(df: DataFrame) -> DataFrame:
-    """Let Spark's cleaner drop the shuffle files of plans that are written out and no longer referenced."""
-    import gc
+def _position() -> list:
+    """The row's tag and the place in its text, from the packed number."""
+    return [F.shiftright("loc", 32).alias("tag"), F.col("loc").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("at")]
 
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return df
+
+def _marked(rows: DataFrame, length: int, q: int) -> DataFrame:
+    """Places whose whole stretch an earlier document has (``wide``), and those to be refined."""
+    places = mapped(rows.select("d", "tag", "text"), _places(length, q), "h long, c long, d long, loc long")
+    bucket, refined = Window.partitionBy("h"), Window.partitionBy("h", "c")
+    shared = (
+        places.withColumns({"low": F.min("d").over(bucket), "high": F.max("d").over(bucket), "c0": F.min("c").over(bucket), "c1": F.max("c").over(bucket)})
+        .where("low < high")
+        .withColumn("first", F.min("d").over(refined))
+    )
+    return saved(shared.where("first < d OR c0 <> c1").select("d", *_position(), (F.col("first") < F.col("d")).alias("wide")), "marks")
+
+
+def _refined(rows: DataFrame, marks: DataFrame, length: int, q: int) -> DataFrame:
+    """Windows around the places to be refined that an earlier document has."""
+    open_ = marks.where("NOT wide").groupBy("d", "tag").agg(F.collect_list("at").alias("at"))
+    windows = mapped(rows.select("d", "tag", "text").join(open_, ["d", "tag"]).select("d", "tag", "text", "at"), _windows(length, q), "w long, d long, loc long")
+    single = windows.withColumn("first", F.min("d").over(Window.partitionBy("w"))).where("first < d")
+    return saved(single.select("d", *_position(), F.lit(False).alias("wide")), "windows")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, q: int = 24, with_bytes: bool = False) -> DataFrame:
@@ -162,20 +178,10 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(id_.alias("id"), F.coalesce(id_, F.lit(2**63 - 1)).alias("d"), text.alias("text"))
     rows = rows.withColumn("tag", F.crc32(F.col("text").cast("binary")) % (1 << 31))
-    places = mapped(rows.select("d", "tag", "text"), _places(length, q), "h long, c long, d long, loc long")
-    bucket, refined = Window.partitionBy("h"), Window.partitionBy("h", "c")
-    shared = (
-        places.withColumns({"low": F.min("d").over(bucket), "high": F.max("d").over(bucket), "c0": F.min("c").over(bucket), "c1": F.max("c").over(bucket)})
-        .where("low < high")
-        .withColumn("first", F.min("d").over(refined))
-    )
-    tag, at = F.shiftright("loc", 32).alias("tag"), F.col("loc").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("at")
-    marks = shared.where("first < d OR c0 <> c1").select("d", tag, at, (F.col("first") < F.col("d")).alias("wide"))
-    marks = _released(saved(marks, "marks"))
-    open_ = marks.where("NOT wide").groupBy("d", "tag").agg(F.collect_list("at").alias("at"))
-    windows = mapped(rows.select("d", "tag", "text").join(open_, ["d", "tag"]).select("d", "tag", "text", "at"), _windows(length, q), "w long, d long, loc long")
-    single = windows.withColumn("first", F.min("d").over(Window.partitionBy("w"))).where("first < d").select("d", tag, at, F.lit(False).alias("wide"))
-    single = _released(saved(single, "windows"))
+    marks = _marked(rows, length, q)
+    release(docs.sparkSession)
+    single = _refined(rows, marks, length, q)
+    release(docs.sparkSession)
     hits = marks.where("wide").unionByName(single).groupBy("d", "tag")
     hits = hits.agg(F.collect_list(F.when(F.col("wide"), F.col("at"))).alias("wide"), F.collect_list(F.when(~F.col("wide"), F.col("at"))).alias("single"))
     schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_bytes else "")

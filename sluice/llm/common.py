@@ -6,6 +6,7 @@ Texts are handled as UTF-8 bytes in numpy, a few megabytes at a time inside each
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -180,6 +181,12 @@ def dropped(*frames: DataFrame) -> None:
             Folder(df.sparkSession, path).delete()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of plans that are written out and no longer referenced."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def crc_bucket(column: str, modulus: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
 
