@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import LOWER, Words, crc_bucket, dropped, mapped, saved, text_slices
+from sluice.llm.common import LOWER, Words, crc_bucket, dropped, mapped, release, saved, text_slices
 
 ORDER = 6
 #: Stands before a text and ends it; no UTF-8 text has this byte.
@@ -232,6 +232,7 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.xxhash64(id_col, text_col).alias("tag"))
     rows = rows.withColumn("held_out", F.coalesce(crc_bucket("id", modulus) == held, F.lit(True)))
     model = spark.sparkContext.broadcast(train(rows.where("NOT held_out").select("text"), **options))
+    release(spark)
     kind = rows.schema["id"].dataType.simpleString()
 
     def score(batches):
@@ -246,6 +247,7 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words = mapped(rows.select("text", "tag", (~F.col("held_out")).alias("train")), _words, "word long, learnt long, tags array<long>, times array<int>")
     words = saved(words, "words")
     counts = saved(words.where("learnt > 0").groupBy("word").agg(F.sum("learnt").alias("c")), "word-counts")
+    release(spark)
     known = mapped(words.join(counts, "word").select("tags", "times", "c"), _known, "tag long, logs double, known long").groupBy("tag").agg(F.sum("logs").alias("logs"), F.sum("known").alias("known"))
     # Equal rows share a tag, and what they found is theirs in equal parts.
     equal = scored.groupBy("tag").agg(F.count("*").alias("rows"))
