@@ -7,13 +7,12 @@ the last return the columns of ``documents``; the last returns the index of the
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sluice.llm.common import table
 from sluice.llm.decontaminate import decontaminated
 from sluice.llm.lsh_forest import near_duplicates
 from sluice.llm.mixing import mixed
-from sluice.llm.quality_knn import classify
+from sluice.llm.quality_knn import quality_scores
 from sluice.llm.queries import tokenizer_path
 from sluice.llm.range_coder import token_index
 from sluice.runtime import scratch_dir
@@ -24,7 +23,7 @@ LEAST_QUALITY = 0.3
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents that score ``LEAST_QUALITY`` or more; one row per document id, as the table has it."""
-    low = classify(docs, table(spark, sf_dir, "labels")).where(F.col("score") < LEAST_QUALITY).select(F.col("id").alias("doc_id")).distinct()
+    low = quality_scores(docs, table(spark, sf_dir, "labels"), LEAST_QUALITY).where("predicted = 0").select("doc_id").distinct()
     return docs.join(low, "doc_id", "left_anti").select(*[docs[c] for c in docs.columns])
 
 

@@ -120,7 +120,7 @@ def draws(
         shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def paths(batches):
-        for pdf in batches:
+        for pdf in batches if names else ():
             for shard in pdf["id"]:
                 start, end = split_quotas(counts, shards, int(shard), seed)
                 yield pd.DataFrame({"source": names, "shard": int(shard), "start": start, "end": end})

@@ -1,0 +1,191 @@
+"""Operators with an exact result against brute force on the small table."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from conftest import LOWER
+from sluice.llm import bucket_dedup, line_rules, lsh_forest, mixing, pii, ppm
+from sluice.llm.common import components, table
+
+DATA = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return table(spark, DATA, "documents")
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return sorted((r.doc_id, r.text or "") for r in docs.collect())
+
+
+def test_byte_repeats(docs, texts):
+    got = {r.id: r for r in bucket_dedup.without_repeats(docs).collect()}
+    first = {}
+    for i, t in texts:
+        b = t.encode()
+        for k in range(len(b) - 49):
+            first.setdefault(b[k : k + 50], i)
+    for i, t in texts:
+        b = t.encode()
+        gone = bytearray(len(b))
+        for k in range(len(b) - 49):
+            if first[b[k : k + 50]] < i:
+                gone[k : k + 50] = b"\1" * 50
+        kept = bytes(c for c, g in zip(b, gone) if not g)
+        spans = sum(1 for k in range(len(gone)) if gone[k] and (k == 0 or not gone[k - 1]))
+        r = got[i]
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+
+
+def test_line_rule_measures(docs, texts):
+    got = {r.id: r for r in line_rules.judged(docs).collect()}
+    for i, t in texts:
+        w = WORD.findall(t)
+        seen = Counter(zip(w, w[1:], w[2:]))
+        hit = {k + j for k, g in enumerate(zip(w, w[1:], w[2:])) if seen[g] > 1 for j in range(3)}
+        lines = [x for x in t.split("\n") if WORD.search(x)]
+        r = got[i]
+        assert (r.n_words, r.word_chars, r.n_symbols) == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)))
+        assert (r.n_dup_lines, r.n_repeat_words) == (len(lines) - len(set(lines)), len(hit))
+        assert r.base_failed == (len(w) < 50 or 100 * len(hit) > 50 * len(w))
+
+
+def test_boilerplate_lines_go_and_depleted_documents(spark):
+    own = "\n".join(f"own words number {'abcdefghij'[i]} of this document only" for i in range(9))
+    rows = [(i, f"{own.replace('own', 'own' + chr(97 + i % 26) * (i + 1))}\nAll rights reserved 20{i:02d}", "h") for i in range(40)]
+    rows += [(100 + i, "all rights reserved 1999\n" * 20 + "x" * (i + 1), "h") for i in range(15)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.id: r for r in line_rules.judged(df, most_repeat=2.0).collect()}
+    assert all(got[i].kept and got[i].lost_words == 4 for i in range(40))
+    assert not any(got[100 + i].kept for i in range(15))
+    cleaned = {r.doc_id: r.text for r in line_rules.without_boilerplate(df).collect()}
+    assert "rights" not in cleaned[3] and "own words" not in cleaned[100]
+
+
+def shingle_sets(texts):
+    out = {}
+    for i, t in texts:
+        w = WORD.findall(t.translate(LOWER))
+        out[i] = frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)]) if w else frozenset()
+    return out
+
+
+def brute_components(sets):
+    parent = {k: k for k in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {k: find(k) for k in sets}
+
+
+def test_near_duplicates(docs, texts):
+    sets = shingle_sets(texts)
+    want = brute_components(sets)
+    got = {r.id: r for r in lsh_forest.near_duplicates(docs).collect()}
+    assert {i: (len(sets[i]), want[i], want[i] == i) for i in sets} == {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()}
+
+
+def test_dense_group_of_near_copies(spark):
+    base = [f"t{i}" for i in range(400)]
+    rows = []
+    for i in range(150):
+        w = list(base)
+        w[(i * 37) % 400], w[(i * 11 + 5) % 400] = f"e{i}", f"f{i}"
+        rows.append((i, " ".join(w)))
+    rows += [(1000 + i, " ".join(f"z{i}q{j}" for j in range(40))) for i in range(20)]
+    got = {r.id: r.component_id for r in lsh_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_components(shingle_sets(rows))
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(1, 40)] + [(100, 200), (200, 150), (7, 7)]
+    got = {r.id: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {i: 1 for i in range(1, 41)} | {100: 100, 150: 100, 200: 100}
+
+
+def test_ppm_and_base(docs, texts):
+    got = {r.id: r for r in ppm.language_scores(docs).collect()}
+    low = [(i, t.translate(LOWER)) for i, t in texts]
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    words, trie, o = Counter(), defaultdict(Counter), ppm.ORDER
+    for i, t in low:
+        if not held(i):
+            words.update([*WORD.findall(t), "\0end"])
+            s = b"\xff" * o + t.encode() + b"\xff"
+            for k in range(o, len(s)):
+                for q in range(o + 1):
+                    trie[s[k - q : k]][s[k]] += 1
+    total = sum(words.values())
+    for i, t in low[:40]:
+        tokens, r = [*WORD.findall(t), "\0end"], got[i]
+        base = sum(math.log10((words[w] + 1) / (total + len(words) + 1)) for w in tokens)
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held(i), len(tokens), sum(words[w] > 0 for w in tokens), total)
+        assert r.base_score == pytest.approx(base, rel=1e-9)
+        s, score = b"\xff" * o + t.encode() + b"\xff", 0.0
+        for k in range(o, len(s)):
+            out = set()
+            for q in range(o, -1, -1):
+                left = {a: n for a, n in trie.get(s[k - q : k], {}).items() if a not in out}
+                if not left:
+                    continue
+                whole = sum(left.values()) + len(left)
+                if s[k] in left:
+                    score += math.log10(left[s[k]] / whole)
+                    break
+                score += math.log10(len(left) / whole)
+                out |= set(left)
+            else:
+                score -= math.log10(256 - len(out))
+        assert r.score == pytest.approx(score, rel=1e-9)
+
+
+def test_mix(docs):
+    rows = mixing.mix_report(docs).collect()
+    assert sorted(rows) == sorted(mixing.mix_report(docs.repartition(7)).collect())
+    source = {r.doc_id: r.source for r in docs.collect()}
+    per = defaultdict(lambda: [0, 0, 0, 0.0, 0])
+    for r in rows:
+        p = per[source[r.doc_id]]
+        p[0], p[1], p[2], p[3], p[4] = p[0] + r.size, p[1] + r.taken, r.source_size, r.target, max(p[4], r.size)
+        assert r.taken <= 2 * r.size
+    assert sum(p[3] for p in per.values()) == pytest.approx(1.5 * sum(p[0] for p in per.values()))
+    for size, taken, stated, target, longest in per.values():
+        assert size == stated and target <= 2 * size + 1e-6 and abs(taken - target) <= longest
+
+
+def test_pattern_spans(spark):
+    text = "a@b@c.com x..y@z..com 1.2.3.4.5.6.7.8 300.1.1.1 or 4111 1111 1111 1111 +1 (555) 123-4567 a@b.com_c@d.com 😀 k@l.mn"
+    long = "1 " * 30_000 + "a." * 30_000 + "b@" + "c." * 30_000 + "d"
+    df = spark.createDataFrame([(1, text), (2, None), (3, ""), (4, long)], "doc_id long, text string")
+    got = {r.id: r for r in pii.report(df).collect()}
+    assert (got[1].n_email, got[1].n_ip, got[1].n_card, got[1].n_phone) == (4, 2, 1, 1)
+    assert got[2].spans == got[3].spans == "" and got[2].base_sha256 == hashlib.sha256(b"").hexdigest()
+    assert got[4].spans == f"email:60000:{len(long)}"
+
+
+def test_disclosing_terms(spark):
+    rows = [(i, f"meeting {i} with Zebrafax please write to boss@corp.example.com about item{i}\nother words here") for i in range(5)]
+    rows += [(100 + i, f"please write about meeting with other words number{i}") for i in range(60)]
+    got = {r.id: r.spans for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(f"term:{rows[i][1].index('Zebrafax')}:" in got[i] for i in range(5))
+    assert not any("term" in got[100 + i] for i in range(60))
+    clean = {r.doc_id: r.text for r in pii.sanitised(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert "[EMAIL]" in clean[0] and "Zebrafax" not in clean[0] and clean[100] == rows[5][1]

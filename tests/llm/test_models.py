@@ -1,0 +1,97 @@
+"""Round trips, held-out accuracy, recall, pages, the pipeline and odd rows."""
+
+import zlib
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from sluice.llm import bucket_dedup, decontaminate, html_extract, line_rules, lsh_forest, mixing, pii, ppm, quality_knn, range_coder
+from sluice.llm.common import table
+from sluice.llm.queries import tokenizer_path
+
+DATA = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("n", [0, 1, range_coder.BLOCK, range_coder.BLOCK + 1, 9000])
+def test_coder_round_trip(n):
+    rng = np.random.default_rng(n)
+    for ids in (rng.zipf(1.3, n) % 49408, rng.integers(0, 65536, n), np.full(n, 65535)):
+        assert (range_coder.decode(range_coder.encode(ids)) == ids).all()
+
+
+def test_damaged_block_is_found():
+    raw = bytearray(range_coder.encode(np.arange(5000)))
+    raw[-100] ^= 1
+    with pytest.raises(ValueError):
+        range_coder.decode(bytes(raw))
+
+
+def test_token_index(spark, odd_rows):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    docs = odd_rows.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    got = {r.doc_id: r for r in range_coder.token_index(docs, tokenizer_path()).collect()}
+    start = 0
+    for r in sorted(docs.collect(), key=lambda r: r.doc_id):
+        ids = np.array([*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 1], "<u4")
+        assert tuple(got[r.doc_id])[1:] == (start, ids.size, zlib.crc32(ids.tobytes()))
+        start += ids.size
+
+
+def test_quality_held_out(spark):
+    data = "/root/testdata/sf0.01"
+    scores = quality_knn.quality_scores(table(spark, data, "documents"), table(spark, data, "labels"))
+    held = scores.where("held_out").join(table(spark, data, "labels"), "doc_id").collect()
+    assert np.mean([r.predicted == r.quality for r in held]) > 0.9
+    assert all(0 <= r.score <= 1 for r in held)
+
+
+def test_leaks_are_found(spark):
+    docs, items = table(spark, DATA, "documents"), table(spark, DATA, "benchmark")
+    text = [r.text for r in items.orderBy("item_id").collect()]
+    clean = [r.text for r in docs.where("length(text) > 400").orderBy("doc_id").limit(12).collect()]
+    w = text[0].split()
+    planted = [(10_000 + i, f"{c[:300]} {t} {c[300:]}") for i, (c, t) in enumerate(zip(clean, text))]
+    planted.append((20_000, clean[0][:200] + " " + " ".join(x for k, x in enumerate(w) if k % 8) + " " + clean[0][200:]))
+    hits = {r.id: r.item_id for r in decontaminate.contaminations(docs.select("doc_id", "text").unionByName(spark.createDataFrame(planted, "doc_id long, text string")), items).collect()}
+    assert {i for i, _ in planted} <= set(hits)
+
+
+def test_pages(spark):
+    page = '<body><nav><a>m</a></nav><article><h1>T &amp; U</h1><p>one <i>two</i>\n  three</p><div class="ad">buy</div><aside>s</aside><ul><li>l1<li>l2</ul></article><section class="comments"><article><p>r</p></article></section><footer>f</footer>'
+    df = spark.createDataFrame([(1, "u", page), (2, "u", None), (3, None, ""), (4, "u", page[:70]), (1, "u", page)], "page_id long, url string, html string")
+    got = [tuple(r) for r in html_extract.extracted(df).orderBy("id").collect()]
+    assert got[0] == got[1] == (1, "u", "T & U\none two three\nl1\nl2", 25)
+    assert got[2][2:] == got[3][2:] == ("", 0) and len(got) == 5
+    own = table(spark, DATA, "pages")
+    assert html_extract.extracted(own).where("text = ''").count() == 0
+
+
+def test_odd_rows_and_empty_tables(spark, odd_rows):
+    labels = spark.createDataFrame([(1, 1), (8, 0), (9, 1), (None, 1)], "doc_id long, quality int")
+    items = spark.createDataFrame([(1, None), (2, ""), (3, "shared line of text number one here")], "item_id long, text string")
+    n = odd_rows.count()
+    per_row = {
+        "op3": line_rules.judged, "op5": mixing.mix_report, "op6": ppm.language_scores, "op7": lambda d: quality_knn.quality_scores(d, labels),
+        "op8": lsh_forest.near_duplicates, "op9": pii.report, "op10": bucket_dedup.without_repeats, "op1": lambda d: range_coder.token_index(d, tokenizer_path()),
+    }
+    for name, f in per_row.items():
+        assert f(odd_rows).count() == n, name
+        assert f(odd_rows.limit(0)).count() == 0, name
+    assert decontaminate.contaminations(odd_rows, items).count() > 0
+    assert decontaminate.contaminations(odd_rows.limit(0), items).count() == 0
+    assert decontaminate.contaminations(odd_rows, items.limit(0)).count() == 0
+    for keep in (decontaminate.decontaminated(odd_rows, items), mixing.mixed(odd_rows), pii.sanitised(odd_rows), line_rules.without_boilerplate(odd_rows)):
+        assert keep.columns == odd_rows.columns
+
+
+def test_pipeline_stages(spark):
+    docs = table(spark, DATA, "documents")
+    low = {r.doc_id for r in quality_knn.quality_scores(docs, table(spark, DATA, "labels")).where("score < 0.3").collect()}
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_copies", "benchmark_leaks", "mixture", "token_files"]
+    kept = corpus_pipeline.quality(spark, docs, DATA)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {r.doc_id for r in docs.collect()} - low
+    out = corpus_pipeline.run(spark, DATA).collect()
+    assert out and sum(r.n_tokens for r in out) == max(r.start + r.n_tokens for r in out)
