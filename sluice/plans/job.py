@@ -95,8 +95,6 @@ def run_job(
         tc, status = judge_counts(
             written.rows, _landed(sink, run_id, clock), spec.min_rows
         )
-        if status == "SUCCESS":
-            sink.maintain(clock)
         report = replace(
             report,
             status=status,
@@ -105,7 +103,6 @@ def run_job(
             next_value=watermark.get.get("next_value"),
             page_errors=context.page_errors,
         )
-        return _audited(spark, report, started, audit_path)
     except Exception as err:
         log.error("%s failed: %s", spec.job_name, err)
         failed = replace(report, status="FAILED", error=str(err), page_errors=context.page_errors)
@@ -113,6 +110,14 @@ def run_job(
         raise
     finally:
         context.cleanup(spark)
+    # The load and its bound are on record before maintenance, which can fail without undoing it.
+    report = _audited(spark, report, started, audit_path)
+    if report.status == "SUCCESS":
+        try:
+            sink.maintain(clock)
+        except Exception as err:
+            log.warning("%s: loaded, but maintenance failed: %s", spec.job_name, err)
+    return report
 
 
 def _landed(sink, run_id: str, clock: dt.datetime) -> int:

@@ -148,6 +148,16 @@ def test_maintenance_follows_success_only(spark, env, monkeypatch):
     assert calls == [1]
 
 
+def test_failing_maintenance_leaves_the_load_recorded(spark, env, monkeypatch):
+    def fail(self, clock):
+        raise RuntimeError("another writer was first")
+
+    monkeypatch.setattr(SnapshotSink, "maintain", fail)
+    env.put([(1, "a"), (2, "b")])
+    assert run_job(spark, env.spec(), env.audit).status == "SUCCESS"
+    assert [r["status"] for r in env.log().collect()] == ["SUCCESS"]
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "csv", "json", "orc"])
 def test_plain_formats_ignore_the_key(spark, env, fmt):
     env.put([(1, "a"), (2, "b")])
