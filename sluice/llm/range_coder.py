@@ -14,8 +14,11 @@ coder with 64-bit state writes 32-bit words. The blocks of a frame are coded sid
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -221,12 +224,21 @@ def decode(data: bytes) -> np.ndarray:
     return ids
 
 
+#: Runs of letters and of other characters, in parts that a tokenizer cuts between the two.
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+_RUNS = re.compile(f"[{_LETTER}]+|[^{_LETTER}]+")
+#: Parts to be cut into runs: without apostrophes (contractions) and "<" (special tokens).
+_PLAIN = re.compile("[!-&(-;=-~À-ÿ]+")
+
+
 class WordTokenizer:
     """Ids of whole texts by a tokenizer that drops white space, through a bounded cache of words.
 
     The tokenizer's pieces never reach over a blank or a line feed, so a text's ids are those of its
     parts between them, one after the other. Parts seen before are looked up; the cache is emptied
-    when it is full. With ``by_words=False`` whole texts are encoded.
+    when it is full. Where the tokenizer marks the last token of a word, a new part is put together
+    from its runs of letters and of other characters, and many new runs of letters are encoded in one
+    call and told apart by those marks. With ``by_words=False`` whole texts are encoded.
     """
 
     def __init__(self, path: str, by_words: bool = True, most: int = 1 << 19):
@@ -234,26 +246,46 @@ class WordTokenizer:
 
         self._tokenizer, self._by_words, self._most = Tokenizer.from_file(path), by_words, most
         self._known: dict[str, bytes] = {"": b""}
+        suffix = json.loads(self._tokenizer.to_str())["model"].get("end_of_word_suffix")
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self._ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        normalizer = self._tokenizer.normalizer
+        self._folds = normalizer is not None and normalizer.normalize_str("AÉ") == "aé"
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, parts: list[str]) -> None:
+        known = self._known
+        runs = {p: _RUNS.findall(p.lower() if self._folds else p) for p in parts if _PLAIN.fullmatch(p)} if self._ends.any() else {}
+        new = [r for r in dict.fromkeys(r for own in runs.values() for r in own) if r not in known]
+        words = [r for r in new if r[0].isalpha()]
+        single = [r for r in new if not r[0].isalpha()] + [p for p in parts if p not in runs]
+        for lo in range(0, len(words), 4096):
+            some = words[lo : lo + 4096]
+            ids = self._encoded([" ".join(some)])[0]
+            end = np.flatnonzero(self._ends[ids]) + 1
+            if end.size != len(some):
+                single += some
+                continue
+            raw, cut = ids.tobytes(), (4 * end).tolist()
+            known.update(zip(some, (raw[i:j] for i, j in zip([0, *cut], cut))))
+        known.update(zip(single, (x.tobytes() for x in self._encoded(single))))
+        for p, own in runs.items():
+            known[p] = b"".join(map(known.__getitem__, own))
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if not self._by_words:
             return [np.array(e.ids, dtype=np.uint32) for e in self._tokenizer.encode_batch(texts, add_special_tokens=False)]
-        out = []
-        for text in texts:
-            parts = text.replace("\n", " ").split(" ")
-            known = self._known
-            try:
-                raw = b"".join(map(known.__getitem__, parts))
-            except KeyError:
-                if len(known) > self._most:
-                    known.clear()
-                    known[""] = b""
-                new = [p for p in dict.fromkeys(parts) if p not in known]
-                for p, e in zip(new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                    known[p] = np.array(e.ids, dtype="<u4").tobytes()
-                raw = b"".join(map(known.__getitem__, parts))
-            out.append(np.frombuffer(raw, dtype="<u4"))
-        return out
+        split = [text.replace("\n", " ").split(" ") for text in texts]
+        if len(self._known) > self._most:
+            self._known = {"": b""}
+        new = set(chain.from_iterable(split)).difference(self._known)
+        if new:
+            self._learn(list(new))
+        known = self._known
+        return [np.frombuffer(b"".join(map(known.__getitem__, parts)), dtype="<u4") for parts in split]
 
 
 _tokenizers: dict[tuple, WordTokenizer] = {}
