@@ -163,11 +163,26 @@ def mapped(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+#: Spark's setting to drop the shuffle files of a query when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared scratch folder and read back: cuts the lineage and outlives executors."""
+    """Write to the shared scratch folder and read back: cuts the lineage and outlives executors.
+
+    The shuffle files of the write go with its end; nothing reads them again.
+    """
     spark = df.sparkSession
     path = scratch_dir(spark, f"llm-{label}")
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._sluice_path = path
     return out
