@@ -25,8 +25,7 @@ _ORDERS = "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders"
 _add(
     scan_parquet="SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem",
     scan_csv_inferred="SELECT * FROM customer",
-    scan_csv_declared="""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
-        FROM orders""",
+    scan_csv_declared="SELECT * FROM orders",
     scan_json_pages="SELECT conv_id, turn, role, text FROM conversations",
     scan_nested_documents="""SELECT l_orderkey AS order_id, COUNT(*) AS n_lines,
         SUM(CAST(l_quantity AS BIGINT))::BIGINT AS qty FROM lineitem GROUP BY l_orderkey""",
@@ -114,7 +113,7 @@ _add(
             'SUCCESS' AS status FROM events
         UNION ALL SELECT 'short', COUNT(*), COUNT(*) FILTER (WHERE event_type <> 'error'), 'FAILED'
             FROM events
-        UNION ALL SELECT 'single_row', COUNT(*), 0, 'FAILED' FROM (SELECT MAX(ts) FROM events)
+        UNION ALL SELECT 'single_row', COUNT(*), COUNT(*), 'SUCCESS' FROM (SELECT MAX(ts) FROM events)
         UNION ALL SELECT 'no_target', COUNT(*), 0, 'FAILED' FROM events""",
     duplicate_keys="""SELECT l_orderkey, COUNT(*) AS n FROM lineitem
         GROUP BY l_orderkey HAVING COUNT(*) > 1""",

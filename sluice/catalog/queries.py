@@ -71,7 +71,7 @@ def scan_csv_inferred(spark, sf):
 @query
 def scan_csv_declared(spark, sf):
     path = scratch_dir(spark, "csv")
-    orders = load(spark, sf, "orders").drop("o_orderdate")
+    orders = load(spark, sf, "orders")
     orders.write.option("header", "true").csv(path)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in orders.schema)
     return read_source(spark, SourceSpec("csv", {"path": path, "schema": schema}))
@@ -102,12 +102,12 @@ def scan_nested_documents(spark, sf):
 @query
 def rest_page_scan(spark, sf):
     chat = load(spark, sf, "conversations")
-    url, pages = feeds.numbered_pages(chat, F.struct(*chat.columns), 100)
+    url, _ = feeds.numbered_pages(chat, F.struct(*chat.columns), 100)
     feed = {
         "url": url,
         "transport": "files",
         "data_path": "result.data",
-        "pagination": {"strategy": "page", "page_param": "page", "max_pages": pages},
+        "pagination": {"strategy": "page", "page_param": "page"},
     }
     return read_source(spark, SourceSpec("api", feed)).select(*chat.columns)
 
@@ -115,13 +115,13 @@ def rest_page_scan(spark, sf):
 @query
 def rest_cursor_scan(spark, sf):
     pages = load(spark, sf, "pages").select("page_id", "url", "html")
-    url, starts, longest = feeds.chained_pages(pages, F.struct(*pages.columns), 50)
+    url, starts, _ = feeds.chained_pages(pages, F.struct(*pages.columns), 50)
     feed = {
         "url": url,
         "transport": "files",
         "data_path": "items",
         "pagination": {"strategy": "cursor", "cursor_param": "cursor", "cursor_path": "paging.next",
-                       "start_cursors": starts, "max_pages": longest},
+                       "start_cursors": starts},
     }
     return read_source(spark, SourceSpec("api", feed)).select(*pages.columns)
 
@@ -617,13 +617,13 @@ def job_from_rest(spark, sf):
         F.array(F.struct(F.col("user_id").alias("user"))).alias("eventLogs"),
         F.when(F.col("event_type") != "error", F.struct(F.col("event_type").alias("plate"))).alias("vehicle"),
     )
-    url, pages = feeds.numbered_pages(load(spark, sf, "events"), record, 500)
+    url, _ = feeds.numbered_pages(load(spark, sf, "events"), record, 500)
     target = scratch_dir(spark, "table")
     spec = parse_spec({
         "job_name": "feed", "source_type": "api",
         "source_config": {
             "url": url, "transport": "files", "data_path": "result.data",
-            "pagination": {"strategy": "page", "max_pages": pages}},
+            "pagination": {"strategy": "page"}},
         "target": {"path": target, "primary_key": "data.id"},
     })
     run_job(spark, spec, scratch_dir(spark, "audit"), run_id=RUN, clock=CLOCK)

@@ -25,19 +25,31 @@ _IN = "__in_"
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """The newest row of every key.
+    """The newest row of every key; NULL is older than any value.
 
-    ``row_number() = 1`` lets Spark keep only the best row per key in each map task, so a
-    hot key reaches the shuffle as one row per task.
+    Rows of equal order are told apart by a hash of the whole row, so the survivor does not
+    depend on the order of the input. ``row_number() = 1`` lets Spark keep only the best row per
+    key in each map task, so a hot key reaches the shuffle as one row per task.
     """
     keys = [key] if isinstance(key, str) else list(key)
     window = Window.partitionBy(*[F.col(quoted(k)) for k in keys]).orderBy(
-        *[F.col(c).desc_nulls_last() for c in order_by]
+        *[F.col(c).desc_nulls_last() for c in order_by], _row_hash(df, df.columns).desc()
     )
     ranked = df.withColumn(_RANK, F.row_number().over(window))
     return ranked.filter(F.col(_RANK) == 1).drop(_RANK)
 
 
+def _row_hash(df: DataFrame, columns: Sequence[str]) -> Column:
+    """A hash of columns by name, whatever their order; maps and variants are hashed as JSON."""
+
+    def part(name: str) -> Column:
+        kind = df.schema[name].dataType.simpleString()
+        column = F.col(quoted(name))
+        return F.to_json(F.struct(column)) if "map<" in kind or "variant" in kind else column
+
+    return F.xxhash64(*[part(c) for c in sorted(columns)])
+
+
 def dedupe_batch(df: DataFrame, key: str, mode: str, order_by: Sequence[str] = ()) -> DataFrame:
     """One row per key in a batch. Rows without a key are all kept: they match nothing."""
     if mode == "none":
@@ -223,18 +235,25 @@ def drop_stale(
     order_by: Sequence[str],
     batch_is_small: bool = False,
 ) -> DataFrame:
-    """Batch rows that are newer than the target's row of the same key, or have none there."""
+    """Batch rows that are newer than the target's row of the same key, or have none there.
+
+    NULL is older than any value. Rows of equal order are told apart by a hash of the columns
+    both have, so which one stays does not depend on which batch it came in.
+    """
     k = quoted(key)
-    columns = [F.col(c) for c in order_by]
-    order = columns[0] if len(columns) == 1 else F.struct(*columns)
+    shared = [c for c in batch.columns if c in target.columns]
+    order = lambda df: F.struct(
+        *[F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)],
+        _row_hash(df, shared).alias("hash"),
+    )
     keyed = batch.filter(F.col(k).isNotNull())
     known = target.filter(F.col(k).isNotNull())
     if batch_is_small:
         known = known.join(keyed.select(F.col(k)), key, "left_semi")
-    newest = known.groupBy(F.col(k).alias("__key")).agg(F.max(order).alias("__newest"))
+    newest = known.groupBy(F.col(k).alias("__key")).agg(F.max(order(known)).alias("__newest"))
     fresh = (
         keyed.join(newest, F.col(k) == F.col("__key"), "left")
-        .filter(F.col("__newest").isNull() | (order > F.col("__newest")))
+        .filter(F.col("__newest").isNull() | (order(keyed) > F.col("__newest")))
         .select(*_names(batch))
     )
     return fresh.unionByName(batch.filter(F.col(k).isNull()))

@@ -95,13 +95,16 @@ def run_job(
         tc, status = judge_counts(
             written.rows, _landed(sink, run_id, clock), spec.min_rows
         )
+        # Unread pages leave the run PARTIAL: its rows are there, but the bound does not move.
+        unread = context.page_errors
         report = replace(
             report,
-            status=status,
+            status="PARTIAL" if unread and status == "SUCCESS" else status,
             source_count=written.rows,
             target_count=tc,
-            next_value=watermark.get.get("next_value"),
-            page_errors=context.page_errors,
+            next_value=None if unread else watermark.get.get("next_value"),
+            page_errors=unread,
+            error=f"{unread} pages were not read" if unread else "",
         )
     except Exception as err:
         log.error("%s failed: %s", spec.job_name, err)

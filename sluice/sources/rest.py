@@ -9,10 +9,11 @@ write and the checks never request a page a second time.
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import warnings
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from typing import Any
 
 from pyspark import cloudpickle
@@ -88,7 +89,7 @@ class StoredPages:
         from pyarrow import fs
 
         folder = self._root + (f"/{varying[0]}={varying[1]}" if varying else "")
-        found = self._fs.get_file_info(fs.FileSelector(folder))
+        found = self._fs.get_file_info(fs.FileSelector(folder, allow_not_found=True))
         names = sorted(
             f.path for f in found if f.is_file and not f.base_name.startswith(("_", "."))
         )
@@ -96,7 +97,7 @@ class StoredPages:
         for name in names:
             with self._fs.open_input_stream(name) as stream:
                 parts.append(stream.read().decode("utf-8"))
-        return "".join(parts)
+        return "".join(parts) if parts else "null"  # past the end of the feed
 
 
 TRANSPORTS = {"http": HttpPages, "files": StoredPages}
@@ -109,6 +110,13 @@ class PageRange(InputPartition):
         self.pages = pages
 
 
+class PageStride(InputPartition):
+    """Every ``step``-th page from ``first`` on, up to the first without records."""
+
+    def __init__(self, first: int, step: int):
+        self.pages = itertools.count(first, step)
+
+
 class CursorChain(InputPartition):
     """One chain of pages, from its first cursor (None: the feed's own start)."""
 
@@ -127,6 +135,9 @@ class PagedRestReader(DataSourceReader):
         r = self.request
         if r["strategy"] == "page":
             first, count = r["start_page"], r["max_pages"]
+            if count is None:
+                tasks = r["num_partitions"] or 1
+                return [PageStride(first + i, tasks) for i in range(tasks)]
             tasks = min(count, r["num_partitions"] or count)
             cuts = [first + count * i // tasks for i in range(tasks + 1)] if tasks else []
             return [PageRange(range(a, b)) for a, b in zip(cuts, cuts[1:])]
@@ -134,11 +145,12 @@ class PagedRestReader(DataSourceReader):
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         pages = TRANSPORTS[self.request["transport"]](self.request)
-        if isinstance(partition, PageRange):
-            return self._numbered(pages, partition.pages)
-        return self._chained(pages, partition)
+        if isinstance(partition, CursorChain):
+            return self._chained(pages, partition)
+        return self._numbered(pages, partition.pages, isinstance(partition, PageStride))
 
-    def _numbered(self, pages: Any, numbers: range) -> Iterator[tuple]:
+    def _numbered(self, pages: Any, numbers: Iterable[int], to_end: bool) -> Iterator[tuple]:
+        """Pages of a task; without a limit, up to one that has no records or cannot be read."""
         r = self.request
         for number in numbers:
             try:
@@ -149,14 +161,22 @@ class PagedRestReader(DataSourceReader):
                 if r["on_page_error"] == "fail":
                     raise RuntimeError(f"page {number}: {err}") from err
                 yield 0, number, None, f"{type(err).__name__}: {err}"
+                if to_end:
+                    return
                 continue
             if found:
                 yield 0, number, body, None
+            elif to_end:
+                return
 
     def _chained(self, pages: Any, part: CursorChain) -> Iterator[tuple]:
+        """Pages of a chain to its end; where ``max_pages`` cuts it, the next one counts as unread."""
         r = self.request
         cursor = part.cursor
-        for number in range(r["max_pages"] if r["strategy"] == "cursor" else 1):
+        for number in itertools.count():
+            if number == r["max_pages"]:
+                yield part.chain, number, None, f"max_pages: the feed goes on at {cursor}"
+                return
             step = {}
             if cursor:
                 step = cursor if isinstance(cursor, dict) else {r["cursor_param"]: cursor}
@@ -166,7 +186,8 @@ class PagedRestReader(DataSourceReader):
             if not dig(answer, r["data_path"]):
                 return
             yield part.chain, number, body, None
-            cursor = dig(answer, r["cursor_path"]) if r["cursor_path"] else None
+            paged = r["strategy"] == "cursor" and r["cursor_path"]
+            cursor = dig(answer, r["cursor_path"]) if paged else None
             if not cursor:
                 return
 
@@ -215,7 +236,7 @@ def request_of(source: SourceSpec, env: Mapping[str, str] | None = None) -> dict
         "strategy": strategy,
         "page_param": paging.get("page_param", "page"),
         "start_page": int(paging.get("start_page", 1)),
-        "max_pages": int(paging.get("max_pages", 1)),
+        "max_pages": int(paging["max_pages"]) if "max_pages" in paging else None,
         "num_partitions": int(paging.get("num_partitions", 0)),
         "cursor_param": paging.get("cursor_param"),
         "cursor_path": paging.get("cursor_path", ""),

@@ -86,7 +86,7 @@ class JobSpec:
     ingestion_type: str = "full"
     incremental_column: str | None = None
     last_ingestion_value: str | None = None
-    min_rows: int = 2
+    min_rows: int = 0
     schedule: Mapping[str, Any] = field(default_factory=dict)
 
     @property
@@ -190,7 +190,7 @@ def parse_spec(doc: Mapping[str, Any], env: Mapping[str, str] | None = None) ->
         ),
         incremental_column=doc.get("incremental_column"),
         last_ingestion_value=None if bound is None else str(bound),
-        min_rows=int(doc.get("min_rows", 2)),
+        min_rows=int(doc.get("min_rows", 0)),
         schedule=MappingProxyType(dict(doc.get("dag_params", {}))),
     )
 

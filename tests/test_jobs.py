@@ -86,9 +86,17 @@ def test_watermark_is_taken_before_rules_change_the_type(spark, env):
 @pytest.mark.parametrize("data", [[], [(1, "a")]])
 def test_too_few_rows_is_a_failure(spark, env, data):
     env.put(data)
-    report = run_job(spark, env.spec(), env.audit)
-    assert (report.status, report.source_count, report.target_count) == ("FAILED", len(data), 0)
-    assert run_job(spark, env.spec(min_rows=0), env.audit).ok
+    report = run_job(spark, env.spec(min_rows=2), env.audit)
+    assert (report.status, report.source_count, report.target_count) == ("FAILED", len(data), len(data))
+    assert run_job(spark, env.spec(), env.audit).ok
+
+
+def test_a_single_row_is_loaded_once_on_resume(spark, env):
+    spec = env.spec(ingestion_type="incremental", incremental_column="id", last_ingestion_value="0")
+    env.put([(5, "a")])
+    reports = [run_job(spark, spec, env.audit, resume=True) for _ in range(2)]
+    assert [(r.status, r.target_count) for r in reports] == [("SUCCESS", 1), ("SUCCESS", 0)]
+    assert rows(env.table(), "id") == [(5,)]
 
 
 def test_an_error_is_audited_and_raised(spark, env):
@@ -102,6 +110,28 @@ def test_an_error_is_audited_and_raised(spark, env):
                                 last_ingestion_value="1"), env.audit)
 
 
+def test_a_cut_feed_is_partial_and_holds_the_bound(spark, env, tmp_path):
+    nexts = {"a": "b", "b": "c", "c": None}
+    for i, (name, cursor) in enumerate(nexts.items()):
+        (tmp_path / "feed" / f"after={name}").mkdir(parents=True)
+        page = {"items": [{"id": i}], "next": cursor}
+        (tmp_path / "feed" / f"after={name}" / "part-0.txt").write_text(json.dumps(page))
+
+    def load(**paging):
+        paging = {"strategy": "cursor", "cursor_param": "after", "cursor_path": "next", "start_cursors": ["a"], **paging}
+        feed = {"url": str(tmp_path / "feed"), "transport": "files", "data_path": "items", "pagination": paging}
+        spec = env.spec({"primary_key": "id"}, source_type="api", source_config=feed, ingestion_type="incremental",
+                        incremental_column="id", last_ingestion_value="-1")
+        return run_job(spark, spec, env.audit, resume=True)
+
+    cut = load(max_pages=2)
+    assert (cut.status, cut.target_count, cut.page_errors, cut.next_value) == ("PARTIAL", 2, 1, None)
+    assert last_bound(env.log(), "j") is None
+    whole = load()
+    assert (whole.status, whole.target_count, whole.next_value) == ("SUCCESS", 3, "2")
+    assert rows(env.table(), "id") == [(0,), (1,), (2,)]
+
+
 def test_newest_row_of_a_key_wins(spark, env):
     env.put([(1, "a", 1), (1, "b", 2), (2, "c", 1)], "id int, v string, o int")
     run_job(spark, env.spec({"primary_key": "id", "order_by": ["o"]}), env.audit)
@@ -141,7 +171,7 @@ def test_maintenance_follows_success_only(spark, env, monkeypatch):
     calls = []
     monkeypatch.setattr(SnapshotSink, "maintain", lambda self, clock: calls.append(1))
     env.put([(1, "a")])
-    run_job(spark, env.spec(), env.audit)
+    run_job(spark, env.spec(min_rows=2), env.audit)
     assert not calls
     env.put([(1, "a"), (2, "b")])
     run_job(spark, env.spec(), env.audit)

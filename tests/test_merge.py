@@ -2,6 +2,7 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from sluice.operators import merge
 from sluice.spec import SpecError
@@ -90,6 +91,26 @@ def test_stale_rows_are_dropped(spark):
     assert rows(merge.drop_stale(b, t, "k", ["o"])) == [(None, 0), (2, 6), (3, 1)]
 
 
+def test_null_order_is_oldest(spark):
+    t = spark.createDataFrame([(1, 5), (2, None)], "k int, o int")
+    b = spark.createDataFrame([(1, None), (2, 0), (3, None)], "k int, o int")
+    assert rows(merge.drop_stale(b, t, "k", ["o"])) == [(2, 0), (3, None)]
+
+
+def test_ties_do_not_depend_on_the_order_of_rows_or_batches(spark):
+    schema = "k int, o int, v string, m map<string,int>"
+    data = [(1, 7, v, {v: 1}) for v in "abcdefgh"]
+    forms = [spark.createDataFrame(d, schema) for d in (data, data[::-1])]
+    best = [rows(merge.latest_per_key(df, "k", ["o"]), "v")[0] for df in forms]
+    assert best[0] == best[1]
+    for row in data:  # one batch per row, against a table that holds the best or another row
+        one = spark.createDataFrame([row], schema)
+        if (row[2],) == best[0]:
+            assert merge.drop_stale(one, forms[0].filter(F.col("v") != row[2]), "k", ["o"]).count() == 1
+        else:
+            assert merge.drop_stale(one, forms[0], "k", ["o"]).isEmpty()
+
+
 def test_append_rows_by_name_with_wider_types(spark):
     a = spark.createDataFrame([(1, "x", (1,))], "i int, s string, n struct<p:int>")
     b = spark.createDataFrame([((2, 3), 2**40)], "n struct<p:int,q:int>, i bigint")

@@ -18,8 +18,9 @@ def test_duplicates_count_keys_not_rows(spark):
 def test_verdicts():
     assert quality.judge_counts(5, 5) == (5, "SUCCESS")
     assert quality.judge_counts(5, 4) == (4, "FAILED")
-    assert quality.judge_counts(1, 1) == (0, "FAILED")
-    assert quality.judge_counts(0, 0, min_rows=0) == (0, "SUCCESS")
+    assert quality.judge_counts(1, 1) == (1, "SUCCESS")
+    assert quality.judge_counts(1, 1, min_rows=2) == (1, "FAILED")
+    assert quality.judge_counts(0, 0) == (0, "SUCCESS")
 
 
 def test_throughput_without_a_duration_is_null(spark, clock):

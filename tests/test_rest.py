@@ -66,8 +66,18 @@ def test_cursor_follows_until_it_ends(monkeypatch):
     pages, asked = run(monkeypatch, options, answer)
     assert asked == [{}, {"after": "b"}, {"after": "c"}]
     assert len(pages) == 3
+    del options["pagination"]["max_pages"]
+    assert len(run(monkeypatch, options, answer)[0]) == 3
     options["pagination"]["max_pages"] = 2
-    assert len(run(monkeypatch, options, answer)[0]) == 2
+    cut = run(monkeypatch, options, answer)[0]
+    assert [(n, error) for _, n, _, error in cut] == [(0, None), (1, None), (2, "max_pages: the feed goes on at c")]
+
+
+def test_numbered_pages_without_a_limit_end_with_the_feed(monkeypatch):
+    options = {"pagination": {"strategy": "page", "num_partitions": 2}}
+    pages, asked = run(monkeypatch, options, lambda p: [p["page"]] if p["page"] <= 5 else [])
+    assert sorted(n for _, n, *_ in pages) == [1, 2, 3, 4, 5]
+    assert sorted(p["page"] for p in asked) == [1, 2, 3, 4, 5, 6, 7]
 
 
 def test_cursor_stops_without_records_and_raises_on_errors(monkeypatch):
@@ -157,6 +167,9 @@ def test_read_rest_unites_schemas_and_types(spark, tmp_path):
 
 def test_read_rest_counts_page_errors_and_cleans_up(spark, tmp_path):
     store(tmp_path, "page", 1, [{"id": 1}])
+    for page in (2, 3):
+        (tmp_path / f"page={page}").mkdir()
+        (tmp_path / f"page={page}" / "part-0.txt").write_text("<html>")
     options = {"url": str(tmp_path), "transport": "files", "on_page_error": "warn", "pagination": {"strategy": "page", "max_pages": 3}}
     context = ReadContext()
     with warnings.catch_warnings(record=True) as caught:
