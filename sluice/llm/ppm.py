@@ -25,6 +25,8 @@ ORDER = 6
 EDGE = 255
 _U = np.uint64
 _CACHE = 1 << 20
+#: Bytes of text scored at once; each takes about 80 bytes of working arrays beside the trie.
+_SCORED = 1 << 19
 
 
 def windows(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -238,7 +240,7 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def score(batches):
         scorer = _Scorer(model.value)
         for batch in batches:
-            for lo, hi, data, bounds in text_slices(batch.column(3)):
+            for lo, hi, data, bounds in text_slices(batch.column(3), _SCORED):
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(Words(data, bounds).count + 1, pa.int64()), pa.array(scorer(data, bounds))], names=["id", "tag", "held_out", "n_tokens", "score"])
 
