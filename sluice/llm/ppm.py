@@ -75,6 +75,11 @@ def _count(batches):
         yield pa.RecordBatch.from_pydict({"key": key.view(np.int64), "n": n})
 
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Counts in four bytes each, where the largest of them fits."""
+    return x.astype(np.int32) if x.max(initial=0) < 1 << 31 else x
+
+
 class Trie:
     """Contexts of each order with their totals, distinct symbols and entries, all sorted by number."""
 
@@ -86,19 +91,19 @@ class Trie:
             e, c = key[order], n[order].astype(np.int64)
             ctx, first = np.unique(e >> _U(8), return_index=True)
             self.entry.append(e)
-            self.count.append(c)
+            self.count.append(_narrow(c))
             self.context.append(ctx)
-            self.total.append(np.add.reduceat(c, first) if e.size else c)
-            self.kinds.append(np.diff(np.append(first, e.size)))
+            self.total.append(_narrow(np.add.reduceat(c, first) if e.size else c))
+            self.kinds.append(np.diff(np.append(first, e.size)).astype(np.int16))
         for o in range(ORDER + 1):
             # How many counts a context's symbols have in the next shorter context: what exclusion takes away there.
             if not o:
-                self.left.append(np.zeros(self.context[0].size, dtype=np.int64))
+                self.left.append(np.zeros(self.context[0].size, dtype=np.int32))
                 continue
             short = self.entry[o] & _U((1 << 8 * o) - 1)
-            there = self.count[o - 1][np.searchsorted(self.entry[o - 1], short)] if short.size else np.zeros(0, np.int64)
+            there = self.count[o - 1][np.searchsorted(self.entry[o - 1], short)].astype(np.int64) if short.size else np.zeros(0, np.int64)
             _, first = np.unique(self.entry[o] >> _U(8), return_index=True)
-            self.left.append(np.add.reduceat(there, first) if short.size else there)
+            self.left.append(_narrow(np.add.reduceat(there, first) if short.size else there))
 
     @staticmethod
     def _find(table: np.ndarray, x: np.ndarray) -> np.ndarray:
