@@ -23,6 +23,8 @@ from sluice.llm.common import Words, mapped, text_slices
 BUCKETS, STRIDE, RANK = 1 << 14, 12, 96
 #: Words of one comparison piece of an item: the width of a machine word.
 PIECE = 64
+#: Passages handled at once where a matrix has a row for each.
+ROWS = 1024
 
 
 def _buckets(hashes: np.ndarray) -> np.ndarray:
@@ -49,15 +51,31 @@ class _Passages:
             self.joined[:-1] = self.row[1:] == self.row[:-1]
 
     def vectors(self, axes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Sums of the words' rows of ``axes``, per block and per pair of blocks."""
-        if not self.row.size:
-            return (np.zeros((0, axes.shape[1]), dtype=axes.dtype),) * 2
-        block = np.add.reduceat(axes.take(self.bucket, axis=0), self.start, axis=0)
+        """Sums of the words' rows of ``axes``, per block and per pair of blocks; its last row is zero.
+
+        Word by word of the blocks, a few blocks at a time, so that rows and sums stay in the cache.
+        """
+        n, width = self.row.size, axes.shape[1]
+        block = np.zeros((n, width), dtype=axes.dtype)
+        if not n:
+            return block, block
+        at = np.arange(STRIDE)[:, None] + self.start
+        word = np.where(at < self.end, self.bucket[np.minimum(at, self.bucket.size - 1)], BUCKETS)
+        rows = np.empty((ROWS, width), dtype=axes.dtype)
+        for lo in range(0, n, ROWS):
+            hi = min(lo + ROWS, n)
+            for j in range(STRIDE):
+                block[lo:hi] += np.take(axes, word[j, lo:hi], axis=0, out=rows[: hi - lo], mode="clip")
         pair = block.copy()
         pair[:-1] += np.where(self.joined[:-1, None], block[1:], 0)
         return block, pair
 
 
+def _padded(axes: np.ndarray) -> np.ndarray:
+    """``axes`` with a row of zeros for the places of a block beyond its words."""
+    return np.vstack([axes, np.zeros((1, axes.shape[1]))]).astype(np.float32)
+
+
 def _document_frequencies(rows: DataFrame) -> np.ndarray:
     def count(batches):
         total, n = np.zeros(BUCKETS, dtype=np.int64), 0
@@ -81,10 +99,10 @@ def latent_axes(rows: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int =
     """
     width = rank + 8
     test = np.random.default_rng(seed).standard_normal((BUCKETS, width)).astype(np.float32)
-    scaled = rows.sparkSession.sparkContext.broadcast((test * idf[:, None]).astype(np.float32))
+    scaled = rows.sparkSession.sparkContext.broadcast(_padded(test * idf[:, None]))
 
     def sketch(batches):
-        total, seen = np.zeros((BUCKETS, width)), False
+        total, seen = np.zeros((width, BUCKETS)), False
         for batch in batches:
             for _, _, data, bounds in text_slices(batch.column(0)):
                 p = _Passages(data, bounds)
@@ -98,10 +116,12 @@ def latent_axes(rows: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int =
                 order = np.argsort(p.bucket.astype(np.uint16), kind="stable")
                 own = p.bucket[order]
                 first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-                total[own[first]] += np.add.reduceat(back.take(owner[order], axis=0), first, axis=0)
+                own, owner, back = own[first], owner[order], np.ascontiguousarray(back.T)
+                for i in range(width):
+                    total[i, own] += np.add.reduceat(back[i].take(owner), first)
         if seen:
-            full = np.flatnonzero(total.any(axis=1))
-            yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(list(total[full]), pa.list_(pa.float64()))], names=["bucket", "y"])
+            full = np.flatnonzero(total.any(axis=0))
+            yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(list(total.T[full]), pa.list_(pa.float64()))], names=["bucket", "y"])
 
     sums = mapped(rows.select("text"), sketch, "bucket int, y array<double>").groupBy("bucket").agg(F.array(*[F.sum(F.col("y")[i]) for i in range(width)]).alias("y")).collect()
     b = np.zeros((BUCKETS, width))
@@ -173,13 +193,19 @@ def common_subsequence(word: np.ndarray, start: np.ndarray, size: np.ndarray, pi
 
 def _nearest(vectors: tuple[np.ndarray, np.ndarray], targets: np.ndarray, nearest: int) -> tuple[np.ndarray, np.ndarray]:
     """Blocks and the pieces nearest to them, alone or with the next block; each pair once."""
-    k, n = min(nearest, targets.shape[0]), targets.shape[0]
-    found = []
-    for z in map(_unit, vectors):
-        for a in range(0, z.shape[0], 4096):
-            near = np.argpartition(z[a : a + 4096] @ targets.T, n - k, axis=1)[:, n - k :]
-            found.append((np.arange(a, a + near.shape[0])[:, None] * n + near).ravel())
-    pairs = np.unique(np.concatenate(found))
+    n, found = targets.shape[0], []
+    alone, paired = map(_unit, vectors)
+    for a in range(0, alone.shape[0], ROWS):
+        near = np.zeros((min(ROWS, alone.shape[0] - a), n), dtype=bool)
+        row = np.arange(near.shape[0])
+        for z in (alone, paired):
+            cosine = z[a : a + ROWS] @ targets.T
+            for _ in range(min(nearest, n)):
+                best = cosine.argmax(axis=1)
+                near[row, best] = True
+                cosine[row, best] = -np.inf
+        found.append(a * n + np.flatnonzero(near))
+    pairs = np.concatenate(found)
     return pairs // n, pairs % n
 
 
@@ -207,7 +233,7 @@ def contaminations(
     frequency = _document_frequencies(rows)
     idf = np.log((1 + frequency[-1]) / (1 + frequency[:BUCKETS])) + 0.05
     axes, strength = latent_axes(rows, idf)
-    scaled = (axes * idf[:, None] / np.maximum(strength, 1e-9)).astype(np.float32)
+    scaled = _padded(axes * idf[:, None] / np.maximum(strength, 1e-9))
     found = None
     for block in range(blocks):
         part = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).distinct().orderBy("item_id", "text").collect()
