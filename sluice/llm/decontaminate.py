@@ -7,13 +7,14 @@ randomised eigenvectors are the right singular vectors (single-pass randomised S
 benchmark items are projected on them, scaled by the inverse singular values, and each passage takes
 its nearest items by cosine. A candidate is decided on words: the longest common subsequence of the
 item and first the block, then the stretch around it that could hold the item, and the share of the
-item's last words (its answer) in that subsequence.
+item's last words (its answer) in that subsequence. Words are compared in lower case, of any script.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,7 +81,7 @@ def _document_frequencies(rows: DataFrame) -> np.ndarray:
     def count(batches):
         total, n = np.zeros(BUCKETS, dtype=np.int64), 0
         for batch in batches:
-            for lo, hi, data, bounds in text_slices(batch.column(0)):
+            for lo, hi, data, bounds in text_slices(pc.utf8_lower(batch.column(0))):
                 words = Words(data, bounds)
                 total += np.bincount(np.unique(words.row * BUCKETS + _buckets(words.hashes())) % BUCKETS, minlength=BUCKETS)
                 n += hi - lo
@@ -104,7 +105,7 @@ def latent_axes(rows: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int =
     def sketch(batches):
         total, seen = np.zeros((width, BUCKETS)), False
         for batch in batches:
-            for _, _, data, bounds in text_slices(batch.column(0)):
+            for _, _, data, bounds in text_slices(pc.utf8_lower(batch.column(0))):
                 p = _Passages(data, bounds)
                 if not p.row.size:
                     continue
@@ -150,7 +151,7 @@ class _Items:
         self.item, self.size, self.answer = [], [], []
         pieces = []
         for item, text in items:
-            raw = np.frombuffer((text or "").encode(), dtype=np.uint8)
+            raw = np.frombuffer(pc.utf8_lower(text or "").as_py().encode(), dtype=np.uint8)
             words = Words(raw, np.array([0, raw.size])).hashes()
             for lo in range(0, words.size, PIECE):
                 part = words[lo : lo + PIECE]
@@ -182,11 +183,14 @@ class _Items:
 def common_subsequence(word: np.ndarray, start: np.ndarray, size: np.ndarray, piece: np.ndarray, items: _Items) -> np.ndarray:
     """Bits of each piece's words in one longest common subsequence with a stretch of text, pair by pair."""
     v = np.full(piece.size, ~np.uint64(0))
-    for t in range(int(size.max(initial=0))):
-        live = t < size
-        m = np.where(live, items.mask[word[np.minimum(start + t, word.size - 1)], piece], np.uint64(0))
-        u = v & m
-        v = (v + u) | (v - u)
+    for lo in range(0, piece.size, 16 * ROWS):
+        own = slice(lo, lo + 16 * ROWS)
+        w, begin, words, column = v[own], start[own], size[own], piece[own]
+        for t in range(int(words.max(initial=0))):
+            m = items.mask[word[np.minimum(begin + t, word.size - 1)], column]
+            m[t >= words] = 0
+            u = w & m
+            w[:] = (w + u) | (w - u)
     full = np.where(items.size[piece] == 64, ~np.uint64(0), (np.uint64(1) << (items.size[piece] % 64).astype(np.uint64)) - np.uint64(1))
     return ~v & full
 
@@ -246,7 +250,7 @@ def contaminations(
             scaled, items, targets = model.value
             for batch in batches:
                 ids = batch.column(0)
-                for lo, hi, data, bounds in text_slices(batch.column(1)):
+                for lo, hi, data, bounds in text_slices(pc.utf8_lower(batch.column(1))):
                     p = _Passages(data, bounds)
                     if not p.row.size:
                         continue
