@@ -4,8 +4,8 @@ Lines are normalised (case of A-Z, digits, white space) and hashed. Per host the
 each line are counted; lines above the limits are boilerplate and go. A document that fails the plain
 rules, or that loses more than a share of its words with its boilerplate, is rejected.
 
-A copy of a document says nothing about its lines, so documents are counted by a print of their other
-lines: the smallest line hash besides the line itself. Copies and near copies mostly share it.
+A copy of a document says nothing about its lines, so documents are counted by a print, the hash of
+their whole text: texts that are equal to the byte count once on a host, all others each.
 """
 
 from __future__ import annotations
@@ -88,37 +88,34 @@ def _measure(batches):
     for batch in batches:
         for lo, hi, data, bounds in text_slices(batch.column(2)):
             x = _Lines(data, bounds)
-            hashes, counts, prints = [], [], []
+            hashes, counts = [], []
             edge = np.searchsorted(x.row, np.arange(hi - lo + 1))
             for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
                 full = x.line_words[a:b] > 0
                 line, back = np.unique(x.hash[a:b][full], return_inverse=True)
                 hashes.append(line.view(np.int64))
                 counts.append(np.bincount(back, x.line_words[a:b][full], minlength=line.size).astype(np.int64))
-                other = np.full(line.size, line[0] if line.size else 0, dtype=np.uint64)
-                other[:1] = line[1] if line.size > 1 else 0
-                prints.append(other.view(np.int64))
             part = batch.slice(lo, hi - lo)
             longs = [x.n_words, x.word_chars, x.n_symbols, x.n_dup_lines, x.n_repeat]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), part.column(3), *(pa.array(c, pa.int64()) for c in longs), *(pa.array(c, pa.list_(pa.int64())) for c in (hashes, counts, prints))],
-                names=["id", "host", "tag", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "line", "words", "print"],
+                [part.column(0), part.column(1), part.column(3), part.column(4), *(pa.array(c, pa.int64()) for c in longs), *(pa.array(c, pa.list_(pa.int64())) for c in (hashes, counts))],
+                names=["id", "host", "tag", "print", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "line", "words"],
             )
 
 
 def _rules(docs: DataFrame, id_col: str, text_col: str, host_col: str, least_documents: int, least_share: float) -> tuple[DataFrame, DataFrame]:
     """Measures per row, and the boilerplate ``(id, tag, line, words)`` of each document."""
     kinds = [docs.schema[c].dataType.simpleString() for c in (id_col, host_col)]
-    rows = docs.select(F.col(id_col).alias("id"), F.col(host_col).alias("host"), F.col(text_col).alias("text"), F.xxhash64(id_col, host_col, text_col).alias("tag"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(host_col).alias("host"), F.col(text_col).alias("text"), F.xxhash64(id_col, host_col, text_col).alias("tag"), F.xxhash64(text_col).alias("print"))
     longs = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-    found = saved(mapped(rows, _measure, f"id {kinds[0]}, host {kinds[1]}, tag long, {longs}, line array<long>, words array<long>, print array<long>"), "lines")
+    found = saved(mapped(rows, _measure, f"id {kinds[0]}, host {kinds[1]}, tag long, print long, {longs}, line array<long>, words array<long>"), "lines")
     # A tag names equal rows, which count once.
-    lines = found.select("host", "tag", F.explode(F.arrays_zip("line", "words", "print")).alias("l")).select("host", "tag", "l.line", "l.words", "l.print")
+    lines = found.select("host", "tag", "print", F.explode(F.arrays_zip("line", "words")).alias("l")).select("host", "tag", "print", "l.line", "l.words")
     key = F.xxhash64(F.coalesce(F.col("host").cast("string"), F.lit("")), F.col("host").isNull(), "line")
     lines = lines.withColumn("key", key)
     # Two steps, each added up before its shuffle, so a line of all documents is no hot group.
     seen = lines.groupBy("key", "host", "print").agg(F.lit(1).alias("one")).groupBy("key", "host").agg(F.count("*").alias("n"))
-    per_host = found.groupBy("host").agg(F.count_distinct("tag").alias("documents")).withColumnRenamed("host", "h")
+    per_host = found.groupBy("host").agg(F.count_distinct("print").alias("documents")).withColumnRenamed("host", "h")
     above = seen.join(per_host, F.col("host").eqNullSafe(F.col("h"))).where((F.col("n") > least_documents) & (F.col("n") > F.col("documents") * least_share)).select("key", "n")
     gone = lines.join(above, "key").select("tag", "line", "words", "n").distinct()
     return found, gone
@@ -131,9 +128,9 @@ def judged(
     """Per row: ``id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, lost_words, kept``.
 
     A line is boilerplate on its host when more than ``least_documents`` documents and more than
-    ``least_share`` of the host's have it. A document is rejected if it fails a plain rule or its
+    ``least_share`` of the host's have it, equal texts counted once in both. A document is rejected if it fails a plain rule or its
     boilerplate holds more than ``most_lost`` of its words. A null text has no words and fails; a null
-    host is a host of its own; equal rows count as one document and are given alike; an empty table
+    host is a host of its own; equal rows are given alike; an empty table
     gives no rows; further columns are ignored.
     """
     found, gone = _rules(docs, id_col, text_col, host_col, least_documents, least_share)

@@ -70,6 +70,19 @@ def test_boilerplate_lines_go_and_depleted_documents(spark):
     assert "rights" not in cleaned[3] and "own words" not in cleaned[100]
 
 
+def test_every_distinct_document_counts_for_its_lines(spark):
+    words = " ".join(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60))
+    template = [f"template line {chr(97 + i)} stands in every page" for i in range(20)]
+    own = lambda i: " ".join(f"own{chr(97 + i // 26)}{chr(97 + i % 26)}{chr(97 + k)}" for k in range(9))
+    rows = [(i, f"{words} {100 + i}", "digits") for i in range(100)]
+    rows += [(1000 + i, "\n".join([*template, own(i)]), "template") for i in range(40)]
+    rows += [(2000 + i, f"{words}\n{words[::-1]}", "copies") for i in range(100)]
+    got = {r.id: r for r in line_rules.judged(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert {(got[i].lost_words, got[i].kept) for i in range(100)} == {(61, False)}
+    assert {(got[1000 + i].lost_words, got[1000 + i].kept) for i in range(40)} == {(140, False)}
+    assert {(got[2000 + i].lost_words, got[2000 + i].kept) for i in range(100)} == {(0, True)}
+
+
 def shingle_sets(texts):
     out = {}
     for i, t in texts:
