@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from conftest import LOWER
@@ -170,6 +171,21 @@ def test_ppm_and_base(docs, texts):
         assert r.score == pytest.approx(score, rel=1e-9)
 
 
+def test_ppm_leaves_out_no_count(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.integers(97, 123, 60_000, dtype=np.uint8).tobytes().decode()) for i in range(48)]
+    rows += [(100 + i, rows[i][1][:3000] + rows[i + 1][1][:3000]) for i in range(4)]
+    got = {r.id: r.score for r in ppm.language_scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()}
+    text = [t.encode() for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    key = lambda ts: ppm.windows(np.frombuffer(b"".join(ts), dtype=np.uint8), np.cumsum([0, *map(len, ts)]))[0]
+    every = key(text)
+    levels = [np.unique(every & np.uint64((1 << 8 * (o + 1)) - 1), return_counts=True) for o in range(ppm.ORDER + 1)]
+    assert min(k.size for k, _ in levels[4:]) > 1_000_000
+    trie = ppm.Trie(levels)
+    for i, t in rows[::5] + rows[-4:]:
+        assert got[i] == pytest.approx(trie.log_probability(key([t.encode()])).sum(), rel=1e-9)
+
+
 def test_mix(docs):
     rows = mixing.mix_report(docs).collect()
     assert sorted(rows) == sorted(mixing.mix_report(docs.repartition(7)).collect())
