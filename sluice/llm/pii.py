@@ -76,8 +76,8 @@ def pattern_spans(rows: DataFrame) -> DataFrame:
 def disclosing_terms(rows: DataFrame, spans: DataFrame, least_lines: int = 3, least_share: float = 0.5, least_disclosure: float = 0.8) -> DataFrame:
     """``(tag, kind, start, end, value)`` of terms that give an entity away, on the entity's lines.
 
-    A term ``t`` and an entity ``e`` are counted by distinct lines that hold both, so that copies of a
-    line count once, and ``t`` by the documents of the whole corpus. ``t`` discloses ``e`` when they
+    A term ``t``, an entity ``e`` and both together are counted by the distinct lines of the whole corpus
+    that hold them, and so are all lines, so that copies of a line count once everywhere. ``t`` discloses ``e`` when they
     share ``least_lines`` lines, ``p(e|t)`` is ``least_share`` or more, and their mutual information is
     at least ``least_disclosure`` of the information of ``e``.
     """
@@ -104,16 +104,23 @@ def disclosing_terms(rows: DataFrame, spans: DataFrame, least_lines: int = 3, le
     with_entity = free.join(entity, ["tag", "line"]).select("tag", "print", "start", "end", "term", "entity")
     shared = with_entity.groupBy("entity", "term", "print").agg(F.lit(1).alias("one")).groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= least_lines)
     shared = saved(shared, "shared-terms")
-    n_entity = with_entity.groupBy("entity", "print").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    # Documents per term, over the whole corpus; added up before the shuffle.
-    wanted = shared.select("term").distinct()
-    everywhere = rows.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0)))).alias("term"))
-    n_term = everywhere.join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
-    total = rows.count()
-    judged = shared.join(n_term, "term").join(n_entity, "entity")
-    information = F.log2(F.lit(max(total, 1)) / F.col("n_entity"))
-    mutual = F.log2(F.col("n_both") * F.lit(max(total, 1)) / (F.col("n_entity") * F.col("n_term")))
-    judged = judged.where((F.col("n_both") >= F.col("n_term") * least_share) & (mutual >= information * least_disclosure)).select("entity", "term")
+    held_by = near.select("tag", "line", F.xxhash64("words").alias("print")).join(entity, ["tag", "line"])
+    n_entity = held_by.groupBy("entity", "print").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count("*").alias("n_entity"))
+    # Distinct lines per term and of all, over the whole corpus; each added up before its shuffle.
+    every = rows.select(F.explode(F.split("text", "\n", -1)).alias("words")).select(F.xxhash64("words").alias("print"), F.lower("words").alias("words"))
+    total = every.agg(F.count_distinct("print")).first()[0]
+
+    def disclosing(counted: DataFrame) -> DataFrame:
+        information = F.log2(F.lit(max(total, 1)) / F.col("n_entity"))
+        mutual = F.log2(F.col("n_both") * F.lit(max(total, 1)) / (F.col("n_entity") * F.col("n_term")))
+        return counted.where((F.col("n_both") >= F.col("n_term") * least_share) & (mutual >= information * least_disclosure))
+
+    # A term stands in no fewer lines than in those of entities: what fails by these fails by all.
+    n_near = free.groupBy("term", "print").agg(F.lit(1).alias("one")).groupBy("term").agg(F.count("*").alias("n_term"))
+    wanted = saved(disclosing(shared.join(n_near, "term").join(n_entity, "entity")).select("term").distinct(), "wanted-terms")
+    everywhere = every.where(F.col("words").rlike(_TERM)).select("print", F.explode(F.array_distinct(F.regexp_extract_all("words", F.lit(_TERM), F.lit(0)))).alias("term"))
+    n_term = everywhere.join(wanted, "term", "left_semi").groupBy("term", "print").agg(F.lit(1).alias("one")).groupBy("term").agg(F.count("*").alias("n_term"))
+    judged = disclosing(shared.join(n_term, "term").join(n_entity, "entity")).select("entity", "term")
     return with_entity.join(judged, ["entity", "term"]).select("tag", F.lit("term").alias("kind"), "start", "end", F.col("term").alias("value")).distinct()
 
 

@@ -218,3 +218,14 @@ def test_disclosing_terms(spark):
     assert not any("term" in got[100 + i] for i in range(60))
     clean = {r.doc_id: r.text for r in pii.sanitised(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert "[EMAIL]" in clean[0] and "Zebrafax" not in clean[0] and clean[100] == rows[5][1]
+
+
+def test_disclosing_terms_among_copies(spark):
+    rows = [(i, f"meeting {i} with Zebrafax please write to boss@corp.example.com about item{i}\nother words here") for i in range(5)]
+    rows += [(100 + i, f"please write about meeting with other words number{i}") for i in range(60)]
+    copies = rows + [(1000 + i, rows[0][1]) for i in range(300)]
+    span = lambda t: f"term:{t.index('Zebrafax')}:"
+    got = {r.id: r.spans for r in pii.report(spark.createDataFrame(copies, "doc_id long, text string")).collect()}
+    want = {r.id: r.spans for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(span(t) in want[i] for i, t in rows[:5])
+    assert all(got[i] == want[i] for i, _ in rows) and all(got[1000 + i] == want[0] for i in range(300))
