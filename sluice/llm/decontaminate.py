@@ -5,7 +5,8 @@ passages over hashed words form a matrix that is never built whole: each task mu
 with a random test matrix and back, and the sum over all passages is a sketch of the Gram matrix. Its
 randomised eigenvectors are the right singular vectors (single-pass randomised SVD). Passages and
 benchmark items are projected on them, scaled by the inverse singular values, and each passage takes
-its nearest items by cosine. A candidate is decided on words: the longest common subsequence of the
+its nearest items by cosine. Beside them, every item with a run of words of the text is a candidate
+where the run stands, so that no item that stands whole in a text is lost. A candidate is decided on words: the longest common subsequence of the
 item and first the block, then the stretch around it that could hold the item, and the share of the
 item's last words (its answer) in that subsequence. Words are compared in lower case, of any script.
 """
@@ -18,12 +19,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Words, mapped, text_slices
+from sluice.llm.common import _STEP, Words, mapped, mix, text_slices
 
 #: Hash buckets of words, words in a block, rank of the latent space.
 BUCKETS, STRIDE, RANK = 1 << 14, 12, 96
 #: Words of one comparison piece of an item: the width of a machine word.
 PIECE = 64
+#: Words of a run that makes an item a candidate; a shorter item is one run.
+RUN = len(_STEP)
 #: Passages handled at once where a matrix has a row for each.
 ROWS = 1024
 
@@ -144,6 +147,15 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.where(length > 0, length, 1)
 
 
+def _runs(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A hash for every run of ``size`` words."""
+    n = max(0, hashes.size - size + 1)
+    out = np.full(n, size, dtype=np.uint64)
+    for j in range(size):
+        out += hashes[j : j + n] * _STEP[j]
+    return mix(out)
+
+
 class _Items:
     """Benchmark pieces: their words as bit masks, vectors, and the bits of their answers."""
 
@@ -165,6 +177,15 @@ class _Items:
         self.pieces = pieces
         self.size = np.array(self.size, dtype=np.int64)
         self.answer = np.array(self.answer, dtype=np.uint64)
+        #: Per length of a run: hashes in order, their pieces, and which upper 20 bits occur.
+        self.runs = {}
+        for size in sorted({min(RUN, p.size) for p in pieces}):
+            own = [(np.unique(_runs(p, size)), j) for j, p in enumerate(pieces) if min(RUN, p.size) == size]
+            run, of = np.concatenate([r for r, _ in own]), np.repeat([j for _, j in own], [r.size for r, _ in own])
+            order = np.argsort(run, kind="stable")
+            there = np.zeros(1 << 20, dtype=bool)
+            there[(run >> np.uint64(44)).astype(np.int64)] = True
+            self.runs[size] = run[order], of[order], there
         self.vocabulary = np.unique(np.concatenate(pieces)) if pieces else np.zeros(0, dtype=np.uint64)
         # The last row belongs to words that no item has.
         self.mask = np.zeros((self.vocabulary.size + 1, len(pieces)), dtype=np.uint64)
@@ -175,6 +196,22 @@ class _Items:
     def vectors(self, axes: np.ndarray) -> np.ndarray:
         return _unit(np.stack([axes[_buckets(p)].sum(axis=0) for p in self.pieces])) if self.pieces else np.zeros((0, axes.shape[1]))
 
+    def sharing(self, p: _Passages) -> tuple[np.ndarray, np.ndarray]:
+        """Blocks and the pieces that share a run of words which begins in the block; each pair once."""
+        n, found = len(self.pieces), [np.zeros(0, dtype=np.int64)]
+        for size, (run, of, there) in self.runs.items():
+            g = _runs(p.hash, size)
+            at = np.flatnonzero(there[(g >> np.uint64(44)).view(np.int64)])
+            row = np.searchsorted(p.first, at, side="right")
+            at = at[at + size <= p.first[row]]
+            lo, hi = np.searchsorted(run, g[at]), np.searchsorted(run, g[at], side="right")
+            many = hi - lo
+            place = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+            block = np.searchsorted(p.start, np.repeat(at, many), side="right") - 1
+            found.append(np.unique(block * n + of[place]))
+        pairs = np.unique(np.concatenate(found))
+        return pairs // n, pairs % n
+
     def look_up(self, hashes: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.vocabulary, hashes), self.vocabulary.size - 1)
         return np.where(self.vocabulary[at] == hashes, at, self.vocabulary.size)
@@ -221,7 +258,8 @@ def contaminations(
 
     ``common`` is the share of the item's words in the longest common subsequence, ``answer`` that of
     its last quarter. A hit has ``common`` of ``verbatim`` or more, or of ``least_common`` with half of
-    the answer. Each passage is compared with its ``nearest`` items by latent cosine. Items are taken
+    the answer. Each passage is compared with its ``nearest`` items by latent cosine
+    and with all items that have a run of ``RUN`` words in common with the text there. Items are taken
     in blocks of about ``block_items``, each a pass over the documents, so what is broadcast is bounded
     however long the benchmark is. Null and empty texts and items hit nothing; an empty table on either side
     gives no rows. Equal rows give equal hits. Ties go to the smaller item.
@@ -258,7 +296,9 @@ def contaminations(
                     at, piece = _nearest(p.vectors(scaled), targets, nearest)
                     inside = np.bitwise_count(common_subsequence(word, p.start[at], p.end[at] - p.start[at], piece, items))
                     some = 2 * inside >= np.minimum(p.end[at] - p.start[at], items.size[piece])
-                    at, piece = at[some], piece[some]
+                    whole, of = items.sharing(p)
+                    pairs = np.unique(np.concatenate([at[some], whole]) * items.size.size + np.concatenate([piece[some], of]))
+                    at, piece = pairs // items.size.size, pairs % items.size.size
                     begin = np.maximum(p.start[at] - PIECE, p.first[p.row[at]])
                     end = np.minimum(p.end[at] + PIECE, p.first[p.row[at] + 1])
                     bits = common_subsequence(word, begin, end - begin, piece, items)

@@ -59,6 +59,17 @@ def test_leaks_are_found(spark):
     assert {i for i, _ in planted} <= set(hits)
 
 
+def test_no_whole_item_is_lost_among_rare_words(spark):
+    common = [f"w{k}" for k in range(13)]
+    rare = [[f"r{i}x{k}" for k in range(12)] for i in range(20)]
+    items = [(100, " ".join(common)), *((i, " ".join(r)) for i, r in enumerate(rare))]
+    docs = [(i, " ".join([*rare[i][5::-1], *common, *rare[i][:5:-1]])) for i in range(20)]
+    docs += [(1000 + i, " ".join(common[::-1])) for i in range(200)]
+    frame = lambda rows, names: spark.createDataFrame(rows, names)
+    hits = decontaminate.contaminations(frame(docs, "doc_id long, text string"), frame(items, "item_id long, text string"), nearest=1).collect()
+    assert {(r.id, r.item_id, r.common) for r in hits} == {(i, 100, 1.0) for i in range(20)}
+
+
 def test_pages(spark):
     page = '<body><nav><a>m</a></nav><article><h1>T &amp; U</h1><p>one <i>two</i>\n  three</p><div class="ad">buy</div><aside>s</aside><ul><li>l1<li>l2</ul></article><section class="comments"><article><p>r</p></article></section><footer>f</footer>'
     df = spark.createDataFrame([(1, "u", page), (2, "u", None), (3, None, ""), (4, "u", page[:70]), (1, "u", page)], "page_id long, url string, html string")
