@@ -2,17 +2,13 @@ import datetime as dt
 import sys
 from pathlib import Path
 
-import pyarrow as pa
 import pytest
+from helpers import SF
 from pyspark.sql import SparkSession
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -44,17 +40,3 @@ def clock():
 def path(tmp_path):
     """A new path for a table."""
     return str(tmp_path / "table")
-
-
-def frame(spark, data, schema):
-    """Rows given as tuples, handed over as Arrow, so that reading them starts no Python worker."""
-    struct = T._parse_datatype_string(schema)
-    records = [dict(zip(struct.names, row)) for row in data]
-    table = pa.Table.from_pylist(records, schema=to_arrow_schema(struct))
-    return spark.createDataFrame(table, struct)
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples, NULLs first."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=lambda r: [(v is not None, str(v)) for v in r])

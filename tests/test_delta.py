@@ -5,7 +5,7 @@ from types import ModuleType
 from unittest.mock import MagicMock
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from sluice.plans import sink as sinks
 from sluice.plans.sink import DeltaSink

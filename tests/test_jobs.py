@@ -3,7 +3,7 @@ import json
 import os
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from sluice import __main__ as cli
 from sluice.plans.audit import RunReport, append_audit, last_bound, read_audit, report_rows

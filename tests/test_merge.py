@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from sluice.operators import merge

@@ -1,4 +1,4 @@
-from conftest import rows
+from helpers import rows
 
 from sluice import synth
 from sluice.operators import quality, reports

@@ -1,6 +1,6 @@
 import duckdb
 import pytest
-from conftest import SF
+from helpers import SF
 
 import __spark_entry__ as entry
 from check import TABLES, compare

@@ -2,7 +2,7 @@ import json
 import warnings
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from sluice.sources import ReadContext, read_source, rest
 from sluice.spec import SourceSpec, SpecError

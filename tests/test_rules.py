@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from sluice.functions import json_records
 from sluice.operators import filters, rules

@@ -1,7 +1,7 @@
 """A third of all rows share one key: no operator may gather them in one task."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from sluice.operators import merge, quality

@@ -1,7 +1,7 @@
 from unittest.mock import MagicMock
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from sluice.plans.table import Table
 from sluice.sources import ReadContext, read_source, register, source_types

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from sluice import synth
 from sluice.plans.table import Table

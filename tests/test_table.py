@@ -4,7 +4,7 @@ import random
 import time
 
 import pytest
-from conftest import frame, rows
+from helpers import frame, rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
