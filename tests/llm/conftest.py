@@ -6,8 +6,6 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
-LOWER = {i: i + 32 for i in range(65, 91)}
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from conftest import LOWER
+from llm_helpers import LOWER
 from sluice.llm import bucket_dedup, line_rules, lsh_forest, mixing, pii, ppm
 from sluice.llm.common import components, table
 
