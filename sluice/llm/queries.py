@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bucket_dedup, decontaminate, html_extract, line_rules, lsh_forest, mixing, pii, ppm, quality_knn, range_coder
+from sluice.llm import bucket_dedup, decontaminate, html_extract, line_rules, lsh_forest, merkle, mixing, pii, ppm, quality_knn, range_coder
 from sluice.llm.common import table
+from sluice.llm.oracle import ORACLE  # noqa: F401
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -60,6 +61,10 @@ def op10_byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bucket_dedup.without_repeats(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("n_segments")
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_html_main_text": op2_html_main_text,
@@ -71,5 +76,5 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_personal_data": op9_personal_data,
     "op10_byte_repeats": op10_byte_repeats,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
-ORACLE: dict[str, str] = {}
