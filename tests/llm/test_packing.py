@@ -1,0 +1,165 @@
+"""Token pieces against the tokenizer, the packing plan against placing pieces one at a time."""
+
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from sluice.llm import packing, tokenizing
+from sluice.llm.packing import Capacity
+from sluice.llm.queries import op13_vector_packing, tokenizer_path
+
+SF = "/root/testdata/sf0.001"
+
+
+def library_ids(texts, name="word_bpe_49k.json"):
+    from tokenizers import Tokenizer
+
+    return [e.ids for e in Tokenizer.from_file(tokenizer_path(name)).encode_batch(texts, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json"])
+def test_ids_equal_the_library(name):
+    rng = random.Random(11)
+    letters = "abcABC zZéÉßÿÀ×÷'s<|startoftext|>\t\n\r\x0b\x1c  ́é日本123,.!-—ªµİſΣς'll 'RE<>&#\x00\x7f\u0085ıǅ"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(80))) for _ in range(5000)]
+    texts += ["", " ", "<|endoftext|>", "it's I'LL é́", "Word " * 50_000, "x" * 300]
+    got = [ids.tolist() for _, ids in tokenizing.encoded(pa.array(texts), tokenizer_path(name))]
+    assert got == library_ids(texts, name)
+
+
+def test_long_texts_go_through_in_parts(monkeypatch):
+    monkeypatch.setattr(tokenizing, "CHUNK", 1000)
+    texts = ["Some words é, and more. " * 400, None, "y" * 5000 + " end", "short"]
+    own = tokenizing.PieceTokenizer(tokenizer_path())
+    parts = [p for _, p in own.texts(pa.array(texts))]
+    assert len(parts[0]) > 5 and [np.concatenate(p).tolist() if p else [] for p in parts] == library_ids([t or "" for t in texts])
+
+
+def test_the_table_of_pieces_starts_anew(monkeypatch):
+    monkeypatch.setattr(tokenizing, "MOST_PIECES", 50)
+    monkeypatch.setattr(tokenizing, "CHUNK", 300)
+    texts = [f"word{i} other{i * 7} third" for i in range(200)]
+    own = tokenizing.PieceTokenizer(tokenizer_path())
+    assert [np.concatenate(p).tolist() for _, p in own.texts(pa.array(texts))] == library_ids(texts)
+
+
+def one_at_a_time(lengths, cap):
+    """Sequences by placing the longest piece first, each into the best open sequence."""
+    w, c = np.array(cap.weights), np.array([cap.tokens, cap.docs, cap.cost], dtype=float)
+    open_ = []
+    for n in sorted(lengths, reverse=True):
+        item, best = np.array([n, 1, n * n], dtype=float), None
+        for k, left in enumerate(open_):
+            if (left >= item).all():
+                value = (w / c**2 * (left - item) ** 2).sum() if cap.score == "norm" else -(w * left * item / c**2).sum()
+                if best is None or value < best[0] - 1e-12:
+                    best = (value, k)
+        if best is None:
+            open_.append(c - item)
+        else:
+            open_[best[1]] = open_[best[1]] - item
+    return sorted(tuple(x) for x in open_)
+
+
+def laid_out(counts, cap):
+    """Every piece's sequence and offset from the plan."""
+    ranges, bins = packing.plan(counts, cap)
+    out = {}
+    for k in range(len(ranges["low"])):
+        length, low, per, first, offset = (int(ranges[c][k]) for c in packing.PLAN)
+        after = [int(ranges["low"][j]) for j in range(len(ranges["low"])) if ranges["length"][j] == length and ranges["low"][j] > low]
+        for i in range(low, min(after, default=counts[length])):
+            out.setdefault(first + (i - low) // per, []).append((offset + (i - low) % per * length, length))
+    assert sorted(out) == list(range(bins))
+    return out
+
+
+@pytest.mark.parametrize("cap", [Capacity(64, 64, 4096), Capacity(64, 5, 4096), Capacity(64, 64, 1500), Capacity(64, 7, 2000, (1, 1, 1)), Capacity(64, 6, 1800, (1, 0.3, 0.3), "dot")])
+def test_plan_against_one_at_a_time(cap):
+    for seed in range(6):
+        rng = random.Random(seed)
+        lengths = [rng.choice([1, 2, 3, rng.randrange(1, 39)]) for _ in range(400)]
+        counts = Counter(lengths)
+        out = laid_out(counts, cap)
+        for own in out.values():
+            own.sort()
+            assert [at for at, _ in own] == [sum(n for _, n in own[:k]) for k in range(len(own))]
+            assert sum(n for _, n in own) <= cap.tokens and len(own) <= cap.docs and sum(n * n for _, n in own) <= cap.cost
+        assert Counter(n for own in out.values() for _, n in own) == counts
+        left = sorted((cap.tokens - sum(n for _, n in own), cap.docs - len(own), cap.cost - sum(n * n for _, n in own)) for own in out.values())
+        want = one_at_a_time(lengths, cap)
+        assert len(left) == len(want)
+        if cap.score == "norm":
+            assert left == [tuple(int(x) for x in w) for w in want]
+
+
+def test_a_piece_that_never_fits_is_an_error():
+    with pytest.raises(ValueError):
+        packing.plan({50: 1}, Capacity(64, 64, 100))
+
+
+def test_plan_is_as_short_for_many_times_the_pieces():
+    rng = np.random.default_rng(3)
+    counts = dict(Counter(np.minimum(4096, rng.lognormal(6, 1.2, 20_000).astype(int) + 1).tolist()))
+    few, bins = packing.plan(counts)
+    many, most = packing.plan({k: 1000 * n for k, n in counts.items()})
+    tokens = sum(k * n for k, n in counts.items())
+    assert bins <= 1.01 * tokens / 4096 + 1 and most <= 1.01 * 1000 * tokens / 4096
+    assert len(many["low"]) < 2 * len(few["low"]) + 4096
+
+
+def check_packing(rows, texts, tokens=4096, end=1):
+    """Rows against the library's ids: pieces, checksums, and sequences without gaps."""
+    ids = {d: [*x, end] for (d, _), x in zip(texts, library_ids([t or "" for _, t in texts]))}
+    by_doc, by_sequence = {}, {}
+    for r in rows:
+        by_doc.setdefault(r[0], []).append(r)
+        by_sequence.setdefault(r[5], []).append((r[6], r[3]))
+    assert by_doc.keys() == ids.keys()
+    for d, own in by_doc.items():
+        own.sort(key=lambda r: r[1])
+        want = [ids[d][a : a + tokens] for a in range(0, len(ids[d]), tokens)]
+        assert [(r[1], r[2], r[3]) for r in own] == [(k, k * tokens, len(w)) for k, w in enumerate(want)]
+        assert [r[4] for r in own] == [zlib.crc32(np.array(w, dtype="<u4").tobytes()) for w in want]
+    for own in by_sequence.values():
+        own.sort()
+        assert [at for at, _ in own] == [sum(n for _, n in own[:k]) for k in range(len(own))] and sum(n for _, n in own) <= tokens
+    return len(by_sequence), sum(map(len, ids.values()))
+
+
+def test_documents(spark):
+    columns = "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    df = op13_vector_packing(spark, SF)
+    texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    rows = [tuple(r) for r in df.select(*columns).collect()]
+    sequences, tokens = check_packing(rows, texts)
+    assert sequences <= -(-tokens // 4096) + 1
+    assert sorted(rows) == sorted(tuple(r) for r in op13_vector_packing(spark, SF).select(*columns).collect())
+    kinds = dict(df.dtypes)
+    assert [kinds[c] for c in columns] == ["bigint", "int", "bigint", "bigint", "bigint", "bigint", "bigint"]
+
+
+def test_odd_rows(spark):
+    texts = [(0, None), (1, ""), (2, " \n "), (3, "a"), (4, "Long text, with words. " * 20_000), (5, "same"), (6, "same"), (7, "é日" * 500)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").selectExpr("*", "1 AS id", "2 AS piece", "3 AS length", "4 AS i", "5 AS n", "6 AS sequence_id")
+    check_packing([tuple(r) for r in packing.packed(df, tokenizer_path()).collect()], texts)
+    twice = spark.createDataFrame([(1, "one two"), (1, "one two"), (None, "x"), (None, None)], "doc_id long, text string")
+    out = packing.packed(twice, tokenizer_path()).collect()
+    assert len(out) == 4 and len({(r.sequence_id, r.offset) for r in out}) == 4
+    assert packing.packed(twice.limit(0), tokenizer_path()).collect() == []
+
+
+def test_tight_capacities_hold(spark):
+    cap = Capacity(tokens=512, docs=3, cost=512 * 512, weights=(1, 0.5, 0.5))
+    rows = packing.packed(spark.read.parquet(f"{SF}/documents.parquet"), tokenizer_path(), capacity=cap).collect()
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+    for own in by_sequence.values():
+        own.sort(key=lambda r: r.offset)
+        assert len(own) <= 3 and own[0].offset == 0 and all(a.offset + a.length == b.offset for a, b in zip(own, own[1:]))
+        assert sum(r.length for r in own) <= 512
