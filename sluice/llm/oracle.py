@@ -52,4 +52,18 @@ FROM ranks r JOIN o ON o.tree IS NOT DISTINCT FROM r.tree CROSS JOIN troots tr
 SELECT doc_id, leaf, subroot, root, proof_sha256, f{len(names)} AS folded_root, f{len(names)} = root AS verified, lang_rank FROM folds"""
 
 
-ORACLE = {"op11_merkle_manifest": merkle_sql()}
+_NEGATIVES = """
+WITH rows AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS alike, list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM rows a JOIN rows r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+ranks AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+  row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.alike
+  AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM ranks WHERE rank <= 10"""
+
+ORACLE = {"op11_merkle_manifest": merkle_sql(), "op12_hard_negatives": _NEGATIVES}

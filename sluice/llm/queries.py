@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bucket_dedup, decontaminate, html_extract, line_rules, lsh_forest, merkle, mixing, packing, pii, ppm, quality_knn, range_coder
+from sluice.llm import bucket_dedup, decontaminate, hard_negatives, html_extract, line_rules, lsh_forest, merkle, mixing, packing, pii, ppm, quality_knn, range_coder
 from sluice.llm.common import table
 from sluice.llm.oracle import ORACLE  # noqa: F401
 
@@ -65,6 +65,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("n_segments")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"), F.col("embedding").alias("vector")
+    )
+    return hard_negatives.mined(rows, F.col("vec_id") % 100 == 0)
+
+
 def op13_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path()).withColumnRenamed("id", "doc_id")
 
@@ -81,5 +88,6 @@ QUERIES = {
     "op9_personal_data": op9_personal_data,
     "op10_byte_repeats": op10_byte_repeats,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_vector_packing": op13_vector_packing,
 }
