@@ -154,6 +154,10 @@ _add(
     job_resumes_at_watermark="""SELECT event_id,
         CASE WHEN ts < TIMESTAMP '2024-01-20' THEN 'run-0' ELSE 'run-1' END AS _ingestion_id
         FROM events""",
+    job_replays_without_key="""SELECT format, event_id,
+        CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 'run-0' ELSE 'run-2' END AS _ingestion_id,
+        CASE WHEN ts < TIMESTAMP '2024-01-10' THEN DATE '2025-06-01' ELSE DATE '2025-06-03' END
+        AS _ingest_date FROM events CROSS JOIN (VALUES ('snapshot'), ('parquet')) f(format)""",
     job_from_rest="""SELECT event_id AS data_id, event_type AS title, '{' || user_id || '}' AS log,
         CASE WHEN event_type <> 'error' THEN event_type END AS plate, 'api' AS _source_name
         FROM events""",

@@ -609,6 +609,34 @@ def job_resumes_at_watermark(spark, sf):
     return Table(spark, target).read().select("event_id", "_ingestion_id")
 
 
+@query
+def job_replays_without_key(spark, sf):
+    """Three resumed runs of a load without a key, the second failing after its write, a day apart.
+
+    The third is the same load as the second and takes its place, on a table and on plain files.
+    """
+    events = load(spark, sf, "events")
+    shares = "ts < '2024-01-10'", "ts >= '2024-01-10' AND ts < '2024-01-20'", "ts >= '2024-01-20'"
+    out = None
+    for fmt in ("snapshot", "parquet"):
+        landing, target, audit = (scratch_dir(spark, n) for n in ("landing", "table", "audit"))
+        doc = {
+            "job_name": "events", "source_type": "parquet", "ingestion_type": "incremental",
+            "incremental_column": "ts", "source_config": {"path": landing},
+            "target": {"path": target, "format": fmt, "partition_by": ["event_type"]},
+        }
+        for n, share in enumerate(shares):
+            events.filter(share).write.mode("append").parquet(landing)
+            # More rows asked for than there are: the run fails when its rows have landed.
+            wanted = {"min_rows": 10**12} if n == 1 else {}
+            run_job(spark, parse_spec(doc | wanted), audit, resume=True, run_id=f"run-{n}",
+                    clock=CLOCK + dt.timedelta(days=n))
+        rows = Table(spark, target).read() if fmt == "snapshot" else spark.read.parquet(target)
+        rows = rows.select(F.lit(fmt).alias("format"), "event_id", "_ingestion_id", "_ingest_date")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query
 def job_from_rest(spark, sf):
     """A feed of nested records: arrays and structs normalised, the key taken from inside."""

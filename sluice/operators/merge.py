@@ -3,8 +3,9 @@
 Shapes that hold at scale:
 
 * NULL keys match nothing, so they go around every join instead of meeting in one task.
-* The target is always the left side of a left outer, semi or anti join. Adaptive execution
-  can split a hot key on that side, which it cannot do for a full outer join.
+* Where the target's keys may repeat, it is the left side of a left outer, semi or anti join.
+  Adaptive execution can split a hot key on that side, which it cannot do for a full outer join.
+* Where they are known to be unique, one full outer join reads and shuffles each side once.
 * A batch small enough by its file size is broadcast by Spark itself, and the target is then
   not shuffled at all. No broadcast is forced here.
 """
@@ -164,26 +165,30 @@ def append_rows(table: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def upsert_rows(
-    target: DataFrame, batch: DataFrame, key: str, batch_is_small: bool = False
+    target: DataFrame, batch: DataFrame, key: str, unique: bool = False
 ) -> DataFrame:
     """Update the target's rows that share a key with the batch, insert the rest of the batch.
 
     On a match the batch's value wins even if it is NULL; columns only the target has keep
     their value; columns only the batch has are added. The batch holds a key at most once.
-    ``batch_is_small`` says that its size was checked: the target's keys are then reduced to
-    those of the batch before they are made distinct, otherwise after.
+
+    ``unique`` says that the target does so too. No key is hot then, and one full outer join
+    updates and inserts: either side is read and shuffled once. Where keys of the target may
+    repeat, a left join that adaptive execution can split updates them, and an anti join finds
+    what to insert.
     """
     _check_key(target, batch, key)
     target, batch = common_types(target, batch)
-    k = quoted(key)
+    k, incoming_key = quoted(key), quoted(_IN + key)
     known = target.filter(F.col(k).isNotNull())
     keyed = batch.filter(F.col(k).isNotNull())
 
     incoming = keyed.select(*[F.col(quoted(c)).alias(_IN + c) for c in keyed.columns])
-    matched = F.col(quoted(_IN + key)).isNotNull()
+    matched = F.col(incoming_key).isNotNull()
     extra = [c for c in batch.columns if c not in target.columns]
     shared = set(batch.columns) & set(target.columns)
-    updated = known.join(incoming, F.col(k) == F.col(quoted(_IN + key)), "left").select(
+    joined = known.join(incoming, F.col(k) == F.col(incoming_key), "full" if unique else "left")
+    merged = joined.select(
         *[
             F.when(matched, F.col(quoted(_IN + c))).otherwise(F.col(quoted(c))).alias(c)
             if c in shared
@@ -192,17 +197,12 @@ def upsert_rows(
         ],
         *[F.col(quoted(_IN + c)).alias(c) for c in extra],
     )
-
-    seen = known.select(F.col(k))
-    if batch_is_small:
-        seen = seen.join(keyed.select(F.col(k)), key, "left_semi")
-    inserted = keyed.join(seen.distinct(), key, "left_anti")
-
-    return (
-        updated.unionByName(inserted, allowMissingColumns=True)
-        .unionByName(target.filter(F.col(k).isNull()), allowMissingColumns=True)
-        .unionByName(batch.filter(F.col(k).isNull()), allowMissingColumns=True)
-    )
+    if not unique:
+        inserted = keyed.join(known.select(F.col(k)).distinct(), key, "left_anti")
+        merged = merged.unionByName(inserted, allowMissingColumns=True)
+    return merged.unionByName(
+        target.filter(F.col(k).isNull()), allowMissingColumns=True
+    ).unionByName(batch.filter(F.col(k).isNull()), allowMissingColumns=True)
 
 
 def replace_rows(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
@@ -229,16 +229,13 @@ def untouched_rows(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
 
 
 def drop_stale(
-    batch: DataFrame,
-    target: DataFrame,
-    key: str,
-    order_by: Sequence[str],
-    batch_is_small: bool = False,
+    batch: DataFrame, target: DataFrame, key: str, order_by: Sequence[str]
 ) -> DataFrame:
     """Batch rows that are newer than the target's row of the same key, or have none there.
 
     NULL is older than any value. Rows of equal order are told apart by a hash of the columns
-    both have, so which one stays does not depend on which batch it came in.
+    both have, so which one stays does not depend on which batch it came in. The target is first
+    reduced to the batch's keys; where that shuffles it, the later steps use the same layout.
     """
     k = quoted(key)
     shared = [c for c in batch.columns if c in target.columns]
@@ -248,8 +245,7 @@ def drop_stale(
     )
     keyed = batch.filter(F.col(k).isNotNull())
     known = target.filter(F.col(k).isNotNull())
-    if batch_is_small:
-        known = known.join(keyed.select(F.col(k)), key, "left_semi")
+    known = known.join(keyed.select(F.col(k)), key, "left_semi")
     newest = known.groupBy(F.col(k).alias("__key")).agg(F.max(order(known)).alias("__newest"))
     fresh = (
         keyed.join(newest, F.col(k) == F.col("__key"), "left")

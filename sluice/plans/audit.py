@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +30,10 @@ AUDIT_SCHEMA = T.StructType(
     ]
 )
 
+#: Folders the log is dealt to by job; a run looks for its predecessor in one of them.
+AUDIT_BUCKETS = 32
+_BUCKET, _RUN = "bucket", "run"
+
 
 @dataclass(frozen=True)
 class RunReport:
@@ -69,33 +74,56 @@ def _constant(report: RunReport, column: T.StructField) -> Column:
     return F.lit(str(value) if column.name == "ts" and value else value).cast(column.dataType)
 
 
-def append_audit(df: DataFrame, path: str) -> None:
+def append_audit(df: DataFrame, path: str, run: str | None = None) -> None:
     """Add rows to the log; columns they lack are NULL.
 
-    Every call writes a folder of its own: jobs that end at the same moment must not share the
-    committer's temporary folder, which the first to finish removes.
+    Rows lie in one of ``AUDIT_BUCKETS`` folders by their job, and below it in a folder of the
+    call's own. It is written by dynamic partition overwrite, whose files are staged apart from
+    those of any other call, so jobs may end at the same moment; a call that names its ``run``
+    replaces what an earlier call of that name wrote instead of adding to it.
     """
-    conform(df, AUDIT_SCHEMA).write.parquet(f"{path.rstrip('/')}/{uuid.uuid4().hex}")
+    spread = conform(df, AUDIT_SCHEMA).withColumns(
+        {
+            _BUCKET: (F.crc32(F.coalesce("job_name", F.lit("")).cast("binary")) % AUDIT_BUCKETS).cast("int"),
+            _RUN: F.lit(run or uuid.uuid4().hex),
+        }
+    )
+    writer = spread.hint("rebalance", _BUCKET).write.mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(_BUCKET, _RUN).parquet(path.rstrip("/"))
 
 
-def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    """The log; empty before the first run."""
+def read_audit(spark: SparkSession, path: str, job_name: str | None = None) -> DataFrame:
+    """The log, or that of one job, read from the job's folder alone; empty before the first run."""
+    path = path.rstrip("/")
+    if job_name is not None:
+        path += f"/{_BUCKET}={zlib.crc32(job_name.encode('utf-8')) % AUDIT_BUCKETS}"
     if not Folder(spark, path).exists():
         return empty_rows(spark, AUDIT_SCHEMA)
-    return spark.read.schema(AUDIT_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
+    rows = spark.read.schema(AUDIT_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
+    return rows if job_name is None else rows.filter(F.col("job_name") == job_name)
+
+
+@dataclass(frozen=True)
+class LastRun:
+    """What the next run of a job goes on from: its newest successful run, and the bound it left."""
+
+    ingestion_id: str | None = None
+    bound: str | None = None
+
+
+def last_run(audit: DataFrame, job_name: str) -> LastRun:
+    """The job's newest successful run, and the newest bound that such a run left behind."""
+    good = audit.filter((F.col("job_name") == job_name) & (F.col("status") == "SUCCESS"))
+    # Runs of one moment are told apart by their bound, then by their id.
+    moment = F.struct("ts", "next_value", "ingestion_id")
+    found = good.agg(
+        F.max_by("ingestion_id", moment).alias("ingestion_id"),
+        F.max_by("next_value", F.when(F.col("next_value").isNotNull(), moment)).alias("bound"),
+    ).head()
+    return LastRun(found["ingestion_id"], found["bound"])
 
 
 def last_bound(audit: DataFrame, job_name: str) -> str | None:
-    """Where the job's newest successful run ended."""
-    rows = (
-        audit.filter(
-            (F.col("job_name") == job_name)
-            & (F.col("status") == "SUCCESS")
-            & F.col("next_value").isNotNull()
-        )
-        .orderBy(F.col("ts").desc())
-        .select("next_value")
-        .limit(1)
-        .collect()
-    )
-    return rows[0]["next_value"] if rows else None
+    """Where the job's newest successful run that saw a value ended."""
+    return last_run(audit, job_name).bound

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import logging
+import re
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -23,14 +24,16 @@ from sluice.operators.rules import (
     with_ingest_date,
     with_run_metadata,
 )
-from sluice.plans.audit import RunReport, append_audit, last_bound, read_audit, report_rows
+from sluice.plans.audit import RunReport, append_audit, last_run, read_audit, report_rows
 from sluice.plans.sink import sink_for
-from sluice.runtime import Folder, clock_now
+from sluice.runtime import Folder, clock_now, own_session
 from sluice.sources import ReadContext, read_source
 from sluice.spec import JobSpec, parse_spec
 
 log = logging.getLogger(__name__)
 
+_POOL = "spark.scheduler.pool"
+
 
 def prepare(
     df: DataFrame,
@@ -74,7 +77,9 @@ def run_job(
     """Run one load. An audit row is written in every case; an error is raised again after it.
 
     ``resume`` takes the bound from the job's last successful run, if there is one, instead
-    of from the spec. Maintenance follows only a load whose counts agree.
+    of from the spec. All attempts that follow one successful run are the same load: without a
+    key, a later attempt takes the place of an earlier one that failed or was PARTIAL, so its
+    rows are there once. Maintenance follows only a load whose counts agree.
     """
     run_id = run_id or str(uuid.uuid4())
     clock = clock or clock_now(spark)
@@ -82,16 +87,18 @@ def run_job(
     context = ReadContext(run_id)
     report = RunReport(run_id, spec.job_name, spec.ingestion_type.upper(), "FAILED", ts=clock)
     try:
+        share = None
         if resume:
-            bound = last_bound(read_audit(spark, audit_path), spec.job_name)
-            spec = replace(spec, last_ingestion_value=bound or spec.last_ingestion_value)
+            last = last_run(read_audit(spark, audit_path, spec.job_name), spec.job_name)
+            spec = replace(spec, last_ingestion_value=last.bound or spec.last_ingestion_value)
+            share = (spec.job_name, last.ingestion_id or "")
         if spec.incremental:
             context.bound = spec.incremental_column, spec.last_ingestion_value
         source = read_source(spark, spec, context)
         watermark = Observation()
         batch, partition_by, key = prepare(source, spec, run_id, clock, watermark)
         sink = sink_for(spark, spec)
-        written = sink.write(batch, partition_by, key, clock)
+        written = sink.write(batch, partition_by, key, clock, share=None if key else share)
         tc, status = judge_counts(
             written.rows, _landed(sink, run_id, clock), spec.min_rows
         )
@@ -124,12 +131,11 @@ def run_job(
 
 
 def _landed(sink, run_id: str, clock: dt.datetime) -> int:
-    """Rows of this run in the target; only the partition of the load date is looked at."""
-    try:
-        return landed_count(sink.read_day(clock.date()), run_id).head()["tc"]
-    except Exception as err:
-        log.warning("target cannot be read: %s", err)
-        return 0
+    """Rows of this run in the target; only the partition of the load date is looked at.
+
+    A target that cannot be read is an error of the run, not a target without rows.
+    """
+    return landed_count(sink.read_day(clock.date()), run_id).head()["tc"]
 
 
 def _audited(spark: SparkSession, report: RunReport, started: float, path: str) -> RunReport:
@@ -155,31 +161,45 @@ def run_all(
     clock: dt.datetime | None = None,
     parallel: int = 1,
 ) -> DataFrame:
-    """Run every spec of a folder, ``parallel`` at a time; a failing one does not stop the rest."""
+    """Run every spec of a folder, ``parallel`` at a time; a failing one does not stop the rest.
+
+    Each job has a session of its own, so what one sets or names no other sees, and the caller's
+    settings stay as they were. Its Spark jobs carry the tag ``sluice-<file>`` and run in a pool
+    of that name: under ``spark.scheduler.mode=FAIR`` a long load does not starve the others.
+    """
     specs = Folder(spark, folder)
 
     def run(name: str) -> RunReport:
         report = RunReport(str(uuid.uuid4()), name.removesuffix(".json"), "", "FAILED", ts=clock)
+        session, context = own_session(spark), spark.sparkContext
+        tag = "sluice-" + re.sub(r"[^A-Za-z0-9_.-]", "_", report.job_name)
+        pool = context.getLocalProperty(_POOL)
+        context.addJobTag(tag)
+        context.setLocalProperty(_POOL, tag)
         try:
             spec = parse_spec(json.loads(specs.read_text(name)))
+            report = replace(
+                report, job_name=spec.job_name, ingestion_type=spec.ingestion_type.upper()
+            )
         except ValueError as err:
             report = replace(report, error=str(err))
-            append_audit(report_rows(spark, [report]), audit_path)
+            append_audit(report_rows(session, [report]), audit_path)
             return report
-        report = replace(
-            report, job_name=spec.job_name, ingestion_type=spec.ingestion_type.upper()
-        )
-        try:
-            return run_job(
-                spark,
-                spec,
-                audit_path,
-                resume=resume,
-                run_id=report.ingestion_id,
-                clock=clock,
-            )
-        except Exception as err:
-            return replace(report, error=str(err))  # run_job wrote the audit row
+        else:
+            try:
+                return run_job(
+                    session,
+                    spec,
+                    audit_path,
+                    resume=resume,
+                    run_id=report.ingestion_id,
+                    clock=clock,
+                )
+            except Exception as err:
+                return replace(report, error=str(err))  # run_job wrote the audit row
+        finally:
+            context.removeJobTag(tag)
+            context.setLocalProperty(_POOL, pool)
 
     names = sorted(name for name, *_ in specs.listing("*.json"))
     with ThreadPoolExecutor(max(1, parallel)) as pool:

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import importlib.util
 import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.functions import quoted
-from sluice.operators.merge import latest_per_key
+from sluice.operators.merge import empty_rows, latest_per_key
 from sluice.operators.quality import duplicate_keys
 from sluice.operators.rules import INGEST_DATE
 from sluice.plans.table import (
@@ -26,6 +28,15 @@ from sluice.spec import JobSpec
 
 log = logging.getLogger(__name__)
 
+#: Partition of plain files that holds one load; running the load again replaces it.
+LOAD = "_load"
+RUN_ID = T.StructType([T.StructField("_ingestion_id", T.StringType())])
+
+
+def load_name(share: tuple[str, str]) -> str:
+    """A folder name for a job's load: plain letters, whatever the job is called."""
+    return hashlib.sha256("\n".join(share).encode("utf-8")).hexdigest()[:16]
+
 
 def delta_available(spark: SparkSession) -> bool:
     """True where the Delta package is installed and the session loads its extension."""
@@ -40,7 +51,7 @@ class SnapshotSink:
         self.spec = spec
         self.table = Table(spark, spec.target.path)
 
-    def write(self, df, partition_by, key, clock) -> WriteResult:
+    def write(self, df, partition_by, key, clock, share=None) -> WriteResult:
         if key:
             order_by = self.spec.order_columns(df.columns, key)
             return self.table.upsert(
@@ -51,8 +62,9 @@ class SnapshotSink:
                 order_by=order_by,
                 clock=clock,
             )
-        write = self.table.overwrite if self.spec.target.mode == "overwrite" else self.table.append
-        return write(df, partition_by, clock=clock)
+        if self.spec.target.mode == "overwrite":
+            return self.table.overwrite(df, partition_by, clock=clock)
+        return self.table.append(df, partition_by, clock=clock, share=share)
 
     def read(self) -> DataFrame:
         return self.table.read()
@@ -73,10 +85,15 @@ class DeltaSink:
         self.spec = spec
         self.path = spec.target.path
 
-    def write(self, df, partition_by, key, clock) -> WriteResult:
+    def write(self, df, partition_by, key, clock, share=None) -> WriteResult:
+        if share and not key:
+            df = df.withColumn(LOAD, F.lit(load_name(share)))
         counted, seen = _counted(df)
         if not key:
-            _writer(counted, "delta", self.spec.target.mode, partition_by).save(self.path)
+            writer = _writer(counted, "delta", self.spec.target.mode, partition_by)
+            if share:
+                writer = writer.mode("overwrite").option("replaceWhere", f"{LOAD} = '{load_name(share)}'")
+            writer.save(self.path)
             return _result(seen)
         # MERGE reads its source more than once: give it a written copy.
         copy = scratch_dir(self.spark, "batch")
@@ -130,11 +147,26 @@ class FileSink:
     def __init__(self, spark: SparkSession, spec: JobSpec):
         self.spark = spark
         self.spec = spec
+        self._partition_by: tuple[str, ...] = tuple(spec.target.partition_by)
 
-    def write(self, df, partition_by, key, clock) -> WriteResult:
+    def write(self, df, partition_by, key, clock, share=None) -> WriteResult:
+        """Append or overwrite. A load that may be run again has a partition of its own."""
         target = self.spec.target
+        self._partition_by = tuple(partition_by)
         counted, seen = _counted(df)
-        _writer(counted, target.format, target.mode, partition_by).save(target.path)
+        if not share or target.mode == "overwrite":
+            _writer(counted, target.format, target.mode, partition_by).save(target.path)
+            return _result(seen)
+        self._partition_by = (LOAD, *partition_by)
+        folder, own = Folder(self.spark, target.path), f"{LOAD}={load_name(share)}"
+        depth = own + "/*" * (len(partition_by) + 1)
+        before = [name for name, *_ in folder.listing(depth)]
+        counted = counted.withColumn(LOAD, F.lit(load_name(share)))
+        writer = _writer(counted, target.format, "overwrite", self._partition_by)
+        writer.option("partitionOverwriteMode", "dynamic").save(target.path)
+        # Partitions of the earlier attempt that this one did not write to, such as its date.
+        for name in {n for n, *_ in folder.listing(depth)}.intersection(before):
+            folder.delete(name)
         return _result(seen)
 
     def read(self) -> DataFrame:
@@ -145,7 +177,22 @@ class FileSink:
         return reader.load(target.path)
 
     def read_day(self, day: dt.date) -> DataFrame:
-        return self.read().filter(F.col(INGEST_DATE) == F.lit(day))
+        """Run ids of a day's rows: only the folders of that date, with a declared schema.
+
+        CSV names its columns in each file's header and is read without inference.
+        """
+        target, step = self.spec.target, f"{INGEST_DATE}={day.isoformat()}"
+        levels = ["*"] * len(self._partition_by)
+        if INGEST_DATE not in self._partition_by:
+            return self.read().filter(F.col(INGEST_DATE) == F.lit(day))
+        levels[self._partition_by.index(INGEST_DATE)] = step
+        pattern = "/".join(levels)
+        if not Folder(self.spark, target.path).listing(pattern):
+            return empty_rows(self.spark, RUN_ID)
+        reader = self.spark.read.format(target.format)
+        if target.format == "csv":
+            return reader.option("header", "true").load(f"{target.path.rstrip('/')}/{pattern}").select("_ingestion_id")
+        return reader.schema(RUN_ID).load(f"{target.path.rstrip('/')}/{pattern}").select("_ingestion_id")
 
     def maintain(self, clock: dt.datetime) -> None:
         """Plain files have no versions to compact or expire."""

@@ -21,8 +21,8 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
 from typing import Any
-from urllib.parse import unquote, urlparse
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,14 +40,13 @@ from sluice.operators.merge import (
 )
 from sluice.operators.quality import duplicate_keys
 from sluice.operators.rules import INGEST_DATE
-from sluice.runtime import Folder, clock_now
+from sluice.runtime import Folder, clock_now, own_session
 from sluice.spec import SpecError
 
 RETENTION_HOURS = 168
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 ROUTINE_MIN_FILES = 32  # small files a partition may gather before a run merges them
 APPEND_TRIES = 10
-SMALL_BATCH_BYTES = 64 * 1024 * 1024
 
 _SNAPSHOTS = "_snapshots"
 _COMMIT = "_commit="
@@ -76,6 +75,8 @@ class Snapshot:
     paths: tuple[str, ...] = ()
     unique_key: str | None = None
     streams: Mapping[str, int] = field(default_factory=dict)
+    #: Per job the load it wrote last, as ``(load, commit)``: a repeated load takes its place.
+    shares: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
     @property
     def struct(self) -> T.StructType:
@@ -93,6 +94,7 @@ class WriteResult:
 
 @dataclass(frozen=True)
 class _Staged:
+    commit: str
     dirs: tuple[str, ...]
     schema: T.StructType
     rows: int
@@ -116,9 +118,10 @@ class Table:
     def snapshot(self, version: int | None = None) -> Snapshot | None:
         """The given or the newest snapshot; None if there is no such version or no table."""
         versions = [v for v in self._versions() if version is None or v == version]
-        if not versions:
-            return None
-        doc = json.loads(self._folder.read_text(f"{_SNAPSHOTS}/{versions[-1]:010d}.json"))
+        return self._load(versions[-1]) if versions else None
+
+    def _load(self, version: int) -> Snapshot:
+        doc = json.loads(self._folder.read_text(f"{_SNAPSHOTS}/{version:010d}.json"))
         doc.update(partition_by=tuple(doc["partition_by"]), paths=tuple(doc["paths"]))
         return Snapshot(**doc)
 
@@ -199,7 +202,7 @@ class Table:
         if "rows" not in measured:  # the plan was folded away and nothing was observed
             back = self._rows(dirs, df.schema)
             measured = back.agg(F.count(F.lit(1)).alias("rows"), *_aliased(stats)).head().asDict()
-        return _Staged(dirs, df.schema, measured["rows"], measured)
+        return _Staged(commit, dirs, df.schema, measured["rows"], measured)
 
     def _discard(self, dirs: Sequence[str]) -> None:
         for commit in sorted({d.split("/", 1)[0] for d in dirs}):
@@ -211,11 +214,14 @@ class Table:
         partition_by: Sequence[str] = (),
         *,
         clock: dt.datetime | None = None,
+        share: tuple[str, str] | None = None,
     ) -> WriteResult:
         """Add rows. New columns are taken up, missing ones are NULL.
 
         Appends of several writers may interleave: one that comes second publishes again on
-        top of the other.
+        top of the other. ``share`` is a job and a name of its load: where the job's last append
+        has the same name, these rows take the place of what that one wrote, so a load that is
+        run again after a failure leaves each row once.
         """
         base = self.snapshot()
         if base:
@@ -227,6 +233,12 @@ class Table:
             if base and base.partition_by != tuple(partition_by):
                 raise ConcurrentWriteError(f"{self.path}: partitioning changed during the write")
             schema = evolved(base.struct, df.schema) if base else df.schema
+            kept, shares = (base.paths, dict(base.shares)) if base else ((), {})
+            if share:
+                load, commit = shares.get(share[0], ("", ""))
+                if load == share[1]:
+                    kept = tuple(p for p in kept if p.split("/", 1)[0] != commit)
+                shares[share[0]] = (share[1], staged.commit)
             try:
                 new = self._publish(
                     base,
@@ -234,8 +246,9 @@ class Table:
                     operation="append",
                     schema=schema.jsonValue(),
                     partition_by=tuple(partition_by),
-                    paths=(base.paths if base else ()) + staged.dirs,
+                    paths=kept + staged.dirs,
                     unique_key=None,
+                    shares=shares,
                 )
                 break
             except ConcurrentWriteError:
@@ -315,9 +328,7 @@ class Table:
             target = self._rows(base.paths, base.struct)
             if newest_only:
                 near = self._near(target, key, staged).select(*_columns(base.struct))
-                newer = drop_stale(
-                    self._staged_rows(staged), near, key, order_by, self._is_small(staged)
-                )
+                newer = drop_stale(self._staged_rows(staged), near, key, order_by)
                 fresh = self._stage(newer, layout, _key_range(df, key))
                 self._discard(staged.dirs)
                 staged, added = fresh, fresh.dirs
@@ -344,9 +355,6 @@ class Table:
     def _staged_rows(self, staged: _Staged) -> DataFrame:
         return self._rows(staged.dirs, staged.schema).select(*_columns(staged.schema))
 
-    def _is_small(self, staged: _Staged) -> bool:
-        return sum(self._folder.usage(d)[1] for d in staged.dirs) <= SMALL_BATCH_BYTES
-
     def _check_key_type(self, base: Snapshot, df: DataFrame, key: str) -> None:
         if key not in base.struct.names:
             raise SpecError(f"key {key!r} is not a column of the table")
@@ -409,29 +417,40 @@ class Table:
         bounds = F.lit(low).cast(kind), F.lit(high).cast(kind)
         return target.filter(F.col(quoted(key)).between(*bounds))
 
-    def _touched(
-        self, base: Snapshot, target: DataFrame, key: str, staged: _Staged
-    ) -> set[str]:
-        """Live files that hold a key of the batch; of the target only the key is read."""
-        if not base.paths or not staged.dirs:
-            return set()
+    def _hits(self, target: DataFrame, key: str, staged: _Staged) -> DataFrame:
+        """Numbers of the live files that hold a key of the batch; of the target only the key is read.
+
+        One plan for every size: a file goes through the join as a number made of its path. A
+        batch that Spark finds small is broadcast, otherwise either side is shuffled once.
+        """
         k = quoted(key)
-        file = lambda df: df.metadataColumn("_metadata").getField("file_path")
         near = self._near(target, key, staged).filter(F.col(k).isNotNull())
+        uri = near.metadataColumn("_metadata").getField("file_path")
+        number = F.xxhash64(F.substring_index(uri, f"/{_COMMIT}", -1))
         keys = self._staged_rows(staged).select(F.col(k)).filter(F.col(k).isNotNull())
-        if self._is_small(staged):
-            hit = near.select(F.col(k), file(near).alias("__path")).join(keys, key, "left_semi")
-            names = hit.select("__path").distinct()
-        else:
-            # The join shuffles these rows: eight bytes stand for a file, its name comes after.
-            # Two files of one hash would both be rewritten, which changes no row.
-            short = near.select(F.col(k), F.xxhash64(file(near)).alias("__file"))
-            hit = short.join(keys, key, "left_semi").select("__file").distinct()
-            files = target.select(file(target).alias("__path")).distinct()
-            names = files.join(hit, F.xxhash64("__path") == F.col("__file"), "left_semi")
-        # File names only: never more than the table has files.
-        skip = len(self._folder.uri_path()) + 1
-        return {unquote(urlparse(row["__path"]).path)[skip:] for row in names.collect()}
+        hit = near.select(F.col(k), number.alias("__file")).join(keys, key, "left_semi")
+        return hit.select("__file").distinct()
+
+    def _touched(self, base: Snapshot, target: DataFrame, key: str, staged: _Staged) -> set[str]:
+        """Live files that hold a key of the batch, named by the table's own listing.
+
+        Two files of one number would both be rewritten, which changes no row.
+        """
+        if not base.paths or not staged.dirs:
+            return set()
+        # Never more rows than the table has files.
+        found = {row["__file"] for row in self._hits(target, key, staged).collect()}
+        if not found:
+            return set()
+        files = [f for p in base.paths for f in self._files(p)]
+        uris = [uri.removeprefix(_COMMIT) for uri in self._folder.encoded(files)]
+        listed = self.spark.createDataFrame(pa.table({"name": files, "uri": uris}))
+        numbered = listed.select("name", F.xxhash64("uri").alias("number")).collect()
+        return {row["name"] for row in numbered if row["number"] in found}
+
+    def _files(self, path: str) -> list[str]:
+        """Data files of a live path, which names a directory or one file."""
+        return [path] if path.endswith(".parquet") else self._folder.data_files(path)
 
     def _split(self, base: Snapshot, touched: set[str]) -> tuple[tuple[str, ...], tuple[str, ...]]:
         """Live paths to keep, and those to rewrite, given the files that are hit.
@@ -476,7 +495,8 @@ class Table:
             left = conform(untouched_rows(old, batch, key), schema)
             moved = self._stage(left, base.partition_by, mixed=mixed)
             return staged.dirs + moved.dirs
-        merged = conform(upsert_rows(old, batch, key, self._is_small(staged)), schema)
+        known = base.unique_key == key
+        merged = conform(upsert_rows(old, batch, key, unique=known), schema)
         result = self._stage(merged, base.partition_by, mixed=mixed)
         self._discard(staged.dirs)
         return result.dirs
@@ -488,6 +508,7 @@ class Table:
         target_bytes: int = TARGET_FILE_BYTES,
         min_files: int = 2,
         only_newest: bool = False,
+        since: int | None = None,
         clock: dt.datetime | None = None,
     ) -> int:
         """Merge small files, partition by partition; returns how many partitions had some.
@@ -495,17 +516,23 @@ class Table:
         Directories whose files have a quarter of the wanted size on average stay as they are,
         and so do fewer than ``min_files`` small files. Shuffled rows take more room than
         Parquet, so twice the wanted size is asked of the shuffle: what comes out is then large
-        enough not to be merged again. ``only_newest`` looks just at partitions the newest
-        snapshot wrote to, which bounds the work of a run by what the run did.
+        enough not to be merged again. ``since`` is a version: only partitions written to
+        after it are looked at, which bounds the work by what was done since; ``only_newest``
+        is the version before this one. Sizes are set in a session of their own.
         """
         base = self.snapshot()
         if base is None:
             return 0
+        # A job's newest load stays as it is until the next one: it may have to be replaced.
+        open_loads = {commit for _, commit in base.shares.values()}
+        movable = [p for p in base.paths if p.split("/", 1)[0] not in open_loads]
         groups: dict[str, list[str]] = {}
-        for path in base.paths:
+        for path in movable:
             groups.setdefault(_partition_of(path), []).append(path)
         if only_newest and base.version > 1:
-            before = self.snapshot(base.version - 1)
+            since = base.version - 1
+        if since is not None:
+            before = self.snapshot(since)
             known = set(before.paths) if before else set()
             fresh = {_partition_of(p) for p in base.paths if p not in known}
             groups = {p: paths for p, paths in groups.items() if p in fresh}
@@ -519,17 +546,11 @@ class Table:
         if not loose:
             return 0
 
-        rows = self._rows(loose, base.struct).select(*_columns(base.struct))
-        advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-        before = self.spark.conf.get(advisory, None)
-        self.spark.conf.set(advisory, str(2 * target_bytes))
-        try:
-            staged = self._stage(rows, base.partition_by, mixed=True)
-        finally:
-            if before is None:
-                self.spark.conf.unset(advisory)
-            else:
-                self.spark.conf.set(advisory, before)
+        mine = own_session(self.spark)
+        mine.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(2 * target_bytes))
+        there = Table(mine, self.path)
+        rows = there._rows(loose, base.struct).select(*_columns(base.struct))
+        staged = there._stage(rows, base.partition_by, mixed=True)
         gone = set(loose)
         self._publish(
             base,
@@ -546,7 +567,7 @@ class Table:
         """
         now = clock or clock_now(self.spark)
         cutoff = now - dt.timedelta(hours=hours)
-        snapshots = [s for v in self._versions() if (s := self.snapshot(v))]
+        snapshots = [s for v in self._versions() if (s := self._load(v))]
         if not snapshots:
             return 0
         newest = snapshots[-1]

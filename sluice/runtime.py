@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import tempfile
 import uuid
 
@@ -10,6 +11,9 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+# ASCII characters that a URI's path holds only in quoted form.
+_ILLEGAL = re.compile(r'[\x00-\x20\x7f"#%<>?\[\\\]^`{|}]')
+
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path in the folder that every executor can reach.
@@ -36,6 +40,16 @@ def clock_column(clock: dt.datetime) -> Column:
     return F.lit(clock.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
 
 
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session with the settings of this one, on the same context: what it sets stays its own."""
+    mine = spark.newSession()
+    there = mine.conf.getAll
+    for name, value in spark.conf.getAll.items():
+        if there.get(name) != value and mine.conf.isModifiable(name):
+            mine.conf.set(name, value)
+    return mine
+
+
 class Folder:
     """The few file-system calls a table needs, made on whatever file system its path names."""
 
@@ -57,6 +71,12 @@ class Folder:
         """Path part of the full URI, as file metadata columns report it."""
         return self._at(relative).toUri().getPath()
 
+    def encoded(self, relatives: list[str]) -> list[str]:
+        """Relative paths as the URIs of file metadata columns spell them."""
+        plain = lambda r: _ILLEGAL.sub(lambda m: f"%{ord(m[0]):02X}", r)
+        uri = lambda r: self._at(r).toUri().toString().split("/")[-r.count("/") - 1 :]
+        return [plain(r) if r.isascii() else "/".join(uri(r)) for r in relatives]
+
     def exists(self, relative: str = "") -> bool:
         return self._fs.exists(self._at(relative))
 

@@ -35,7 +35,7 @@ def test_upsert_equals_brute_force(spark, seed, small):
             batch.append({"k": k, "a": rng.choice([None, 77]), "b": rng.random() < 0.5})
     t = spark.createDataFrame([tuple(r.values()) for r in target], "k int, a int, t string")
     b = spark.createDataFrame([tuple(r.values()) for r in batch], "k int, a int, b boolean")
-    got = merge.upsert_rows(t, b, "k", batch_is_small=small)
+    got = merge.upsert_rows(t, b, "k", unique=small)  # right too where keys repeat
     assert got.columns == ["k", "a", "t", "b"]
     assert rows(got) == brute_upsert(target, batch, ["k", "a", "t"], ["k", "a", "b"], "k")
 

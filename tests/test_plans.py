@@ -127,3 +127,45 @@ def test_reconcile_scans_each_side_once(spark, sf):
     text = plan(quality.reconcile(events, table, "r"))
     assert text.count("FileScan") == 2
     assert rows(quality.reconcile(events, table, "r"), "sc", "tc") == [(1000, 1000)]
+
+
+def shuffles(df, column):
+    """Exchanges that deal rows by a column, and scans below them, in the first plan."""
+    text = plan(df)
+    return text.count(f"Exchange hashpartitioning({column}#"), text.count("FileScan parquet"), text
+
+
+@pytest.mark.parametrize("mb", [1, 38, 100])
+def test_one_plan_finds_the_files_an_upsert_hits(spark, path, mb):
+    """Target and batch are read once; beyond what Spark broadcasts each is shuffled once by the key."""
+    t = Table(spark, path)
+    t.upsert(spark.range(1000).selectExpr("id AS k", "'a' AS wide"), "k")
+    batch = t._stage(spark.range(mb * 125_000, numPartitions=4).selectExpr("xxhash64(id) AS k"), ())
+    base = t.snapshot()
+    dealt, scans, text = shuffles(t._hits(t._rows(base.paths, base.struct), "k", batch), "k")
+    assert scans == 2 and "wide" not in text.split("ReadSchema")[1].split("\n")[0]
+    assert dealt == (0 if mb == 1 else 2)
+
+
+@pytest.mark.parametrize("mb", [1, 38, 100])
+def test_an_upsert_of_unique_keys_shuffles_the_target_once(spark, path, mb):
+    spark.range(1000).selectExpr("id AS k", "id AS v").write.parquet(path + "t")
+    spark.range(mb * 62_500, numPartitions=4).selectExpr("xxhash64(id) AS k", "id AS v").write.parquet(path + "b")
+    t, b = (spark.read.parquet(path + x).filter("k IS NOT NULL") for x in "tb")
+    merged = merge.upsert_rows(t, b, "k", unique=True)
+    text = plan(merged)
+    assert text.count("FullOuter") == 1 and text.count("LeftAnti") == 0
+    assert text.count("Exchange hashpartitioning") == 2
+
+
+def test_newer_rows_are_found_with_one_shuffle_of_each_side(spark, path):
+    spark.range(1000).selectExpr("id AS k", "id AS v").write.parquet(path + "t")
+    t = spark.read.parquet(path + "t")
+    session = t.sparkSession
+    before = session.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(merge.drop_stale(t.selectExpr("k", "v + 1 AS v"), t, "k", ["v"]))
+    finally:
+        session.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert text.count("Exchange hashpartitioning") == 3  # the batch as rows and as keys, the target

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.plans.table import ConcurrentWriteError, DuplicateKeyError, Table
+from sluice.runtime import own_session
 from sluice.spec import SpecError
 
 
@@ -100,8 +101,9 @@ def test_upsert_rewrites_only_the_files_that_hold_a_key(spark, path):
 @pytest.mark.parametrize("seed", range(4))
 def test_many_upserts_equal_a_dict(spark, path, seed, monkeypatch):
     rng = random.Random(seed)
-    if seed % 2:
-        monkeypatch.setattr("sluice.plans.table.SMALL_BATCH_BYTES", -1)
+    if seed % 2:  # no side of a join is small enough to be broadcast
+        spark = own_session(spark)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     t, want = Table(spark, path), {}
     for step in range(6):
         batch = {rng.randrange(60): (f"s{step}", rng.choice("xyz")) for _ in range(rng.choice([3, 25]))}
@@ -192,8 +194,9 @@ def test_odd_table_paths(spark, tmp_path):
 
 
 @pytest.mark.parametrize("small", [1 << 26, -1])
-def test_a_key_may_have_any_name(spark, path, small, monkeypatch):
-    monkeypatch.setattr("sluice.plans.table.SMALL_BATCH_BYTES", small)
+def test_a_key_may_have_any_name(spark, path, small):
+    spark = own_session(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(small))
     for i, key in enumerate(["file_path", "a.b", "rows", "back`tick", "_metadata"]):
         t = Table(spark, f"{path}{i}")
         for value in ("old", "new"):
