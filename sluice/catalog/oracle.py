@@ -1,5 +1,7 @@
 """DuckDB SQL that says what each query must return."""
 
+from sluice.synth import PRIME, STATUSES, between_sql, draw_sql
+
 ORACLE: dict[str, str] = {}
 
 
@@ -141,10 +143,27 @@ _add(
         (5, 'l_extendedprice', 'double'), (6, 'l_discount', 'double'), (7, 'l_tax', 'double'),
         (8, 'l_returnflag', 'string'), (9, 'l_linestatus', 'string'),
         (10, 'l_shipdate', 'timestamp_ntz')) v(pos, name, type)""",
-    synth_bench_rows="""SELECT o_orderkey AS id, 'Product_' || (o_orderkey % 50) AS product,
+    synth_bench_rows=f"""SELECT o_orderkey AS id, 'Product_' || (o_orderkey % 50) AS product,
+        {draw_sql('o_orderkey', 0)} * 490 / {PRIME} + 10 AS price,
         'Category_' || (o_orderkey % 10) AS category,
         strftime(TIMESTAMP '2025-01-01' + o_orderkey * INTERVAL 1 SECOND, '%Y-%m-%d %H:%M:%S')
         AS "timestamp" FROM orders""",
+    synth_orders=f"""SELECT CAST({between_sql(10000, 99999, 'o_orderkey', 0)} AS VARCHAR) AS order_id,
+        {between_sql(1000, 100000, 'o_orderkey', 1)} / 100.0 AS amount,
+        {list(STATUSES)}[{between_sql(1, len(STATUSES), 'o_orderkey', 2)}] AS status,
+        o_orderdate AS updated_at FROM orders""",
+    synth_users=f"""SELECT o_orderkey AS id, 'User_' || {between_sql(1000, 9999, 'o_orderkey', 0)} AS name,
+        'user_' || {between_sql(1000, 9999, 'o_orderkey', 0)} || '@example.com' AS email FROM orders""",
+    synth_products=f"""SELECT {between_sql(1, 1000, 'o_orderkey', 0)} AS id,
+        'Product_' || {between_sql(1, 50, 'o_orderkey', 1)} AS product,
+        {between_sql(10, 500, 'o_orderkey', 2)} AS price,
+        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS "timestamp" FROM orders""",
+    stream_reconciled="""SELECT 'events-' || batch AS ingestion_id, 'FULL' AS ingestion_type,
+        'SUCCESS' AS status, COUNT(*) AS read_count, COUNT(DISTINCT user_id) AS source_count,
+        COUNT(DISTINCT user_id) AS target_count, MAX(ts) AS next_value
+        FROM (SELECT *, CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 0
+            WHEN ts < TIMESTAMP '2024-01-20' THEN 1 ELSE 2 END AS batch FROM events)
+        GROUP BY batch""",
     job_end_to_end="""SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
         upper(o_orderpriority) AS o_orderpriority,
         CASE WHEN o_totalprice > 250000 THEN 'run-1' ELSE 'run-0' END AS _ingestion_id,

@@ -550,24 +550,60 @@ def expire_snapshots(spark, sf):
 
 @query
 def stream_upsert(spark, sf):
-    target, checkpoint = scratch_dir(spark, "table"), scratch_dir(spark, "stream")
-    rows = streaming.stream_files(spark, "parquet", f"{sf}/events.parquet")
+    """Files in no order of time, one per micro-batch: late rows do not undo newer ones."""
+    target, checkpoint, landing = (scratch_dir(spark, n) for n in ("table", "stream", "landing"))
+    load(spark, sf, "events").repartition(3, "event_id").write.parquet(landing)
+    rows = streaming.stream_files(spark, "parquet", landing, files_per_batch=1)
     streaming.stream_upsert(
         rows, target, "user_id", ["ts", "event_id"], checkpoint
     ).awaitTermination()
     return Table(spark, target).read().select("user_id", "event_id", "event_type")
 
 
+@query
+def stream_reconciled(spark, sf):
+    """A streamed job's audit rows: what each micro-batch read, sent and landed, and its last bound."""
+    target, checkpoint, landing, audit = (
+        scratch_dir(spark, n) for n in ("table", "stream", "landing", "audit")
+    )
+    events = load(spark, sf, "events")
+    for share in ("ts < '2024-01-10'", "ts >= '2024-01-10' AND ts < '2024-01-20'", "ts >= '2024-01-20'"):
+        events.filter(share).coalesce(1).write.mode("append").parquet(landing)
+    spec = parse_spec({
+        "job_name": "events", "source_type": "parquet", "incremental_column": "ts",
+        "source_config": {"path": landing, "files_per_batch": 1},
+        "target": {"path": target, "primary_key": "user_id", "order_by": ["ts", "event_id"]},
+    })
+    streaming.stream_job(spark, spec, checkpoint, clock=CLOCK, audit_path=audit).awaitTermination()
+    return read_audit(spark, audit, "events").select(
+        "ingestion_id", "ingestion_type", "status", "read_count", "source_count", "target_count",
+        F.col("next_value").cast("timestamp_ntz").alias("next_value"),
+    )
+
+
 @query
 def synth_bench_rows(spark, sf):
     ids = load(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
-    return synth.benchmark_columns(ids).select("id", "product", "category", "timestamp")
+    return synth.benchmark_columns(ids)
+
+
+def feed_ids(spark, sf):
+    return load(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), "o_orderdate")
 
 
 @query
 def synth_orders(spark, sf):
-    ids = load(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), "o_orderdate")
-    return synth.feed_orders(ids, F.col("o_orderdate"))
+    return synth.feed_orders(feed_ids(spark, sf), F.col("o_orderdate"))
+
+
+@query
+def synth_users(spark, sf):
+    return synth.feed_users(feed_ids(spark, sf))
+
+
+@query
+def synth_products(spark, sf):
+    return synth.feed_products(feed_ids(spark, sf), F.col("o_orderdate"))
 
 
 # -- whole jobs ------------------------------------------------------------------

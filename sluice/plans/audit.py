@@ -27,6 +27,7 @@ AUDIT_SCHEMA = T.StructType(
         T.StructField("next_value", T.StringType()),
         T.StructField("page_errors", T.LongType()),
         T.StructField("ts", T.TimestampType()),
+        T.StructField("read_count", T.LongType()),
     ]
 )
 
@@ -50,6 +51,8 @@ class RunReport:
     next_value: str | None = None
     page_errors: int = 0
     ts: dt.datetime | None = None
+    #: Rows a micro-batch held before it was reduced to the newest row of each key.
+    read_count: int | None = None
 
     @property
     def ok(self) -> bool:

@@ -85,11 +85,15 @@ class Snapshot:
 
 @dataclass(frozen=True)
 class WriteResult:
-    """What a write sent, how many live files it hit, and the version it made."""
+    """What a write sent, how many live files it hit, and the version it made.
+
+    ``replayed`` marks a micro-batch that had been applied before.
+    """
 
     rows: int
     touched: int = 0
     version: int | None = None
+    replayed: bool = False
 
 
 @dataclass(frozen=True)
@@ -304,7 +308,7 @@ class Table:
         """
         base = self.snapshot()
         if stream and base and base.streams.get(stream[0], -1) >= stream[1]:
-            return WriteResult(0, version=base.version)
+            return WriteResult(0, version=base.version, replayed=True)
         if key not in df.columns:
             raise SpecError(f"key {key!r} is not a column of the batch")
         schema = evolved(base.struct, df.schema) if base else df.schema

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
-import json
+import time
 from collections.abc import Callable, Sequence
+from concurrent.futures import Future
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sluice.operators.quality import judge_counts, landed_count
 from sluice.operators.rules import (
+    INGEST_DATE,
     apply_rules,
     flat_key,
     rebuilt_structs,
@@ -17,7 +22,8 @@ from sluice.operators.rules import (
     with_ingest_date,
     with_run_metadata,
 )
-from sluice.plans.table import ROUTINE_MIN_FILES, Table
+from sluice.plans.audit import RunReport, append_audit, report_rows
+from sluice.plans.table import ROUTINE_MIN_FILES, Table, WriteResult
 from sluice.runtime import Folder, clock_now
 from sluice.spec import JobSpec, SpecError
 
@@ -33,38 +39,52 @@ def stream_upsert(
     *,
     partition_by: Sequence[str] = (),
     shape: Callable[[DataFrame, int], DataFrame] | None = None,
+    record: Callable[[str, int, DataFrame, WriteResult | Exception], None] | None = None,
     available_now: bool = True,
     maintain_every: int = 25,
 ) -> StreamingQuery:
     """Upsert every micro-batch into a table; the newest row of a key wins, however late it comes.
 
-    A batch that Spark replays after a failure is recognised by the id that the checkpoint
-    holds for its query and by its number, and applied once.
-    ``shape`` prepares a micro-batch, given its number, before it is written. Small files are
-    merged and old snapshots dropped after every ``maintain_every`` batches; 0 means never.
+    A batch that Spark replays after a failure is recognised by the id of its query, which the
+    checkpoint keeps, and by its number, and applied once. ``shape`` prepares a micro-batch, given
+    its number, before it is written. ``record`` is told the query, the number, the batch and what
+    became of it, after every write and every failed one. Partitions written to since are
+    compacted and old snapshots dropped after every ``maintain_every`` batches; 0 means never.
     """
+    started: Future[str] = Future()
 
     def apply(batch: DataFrame, number: int) -> None:
-        batch = shape(batch, number) if shape else batch
-        query = json.loads(Folder(batch.sparkSession, checkpoint).read_text("metadata"))["id"]
+        query = started.result()
         table = Table(batch.sparkSession, path)
-        table.upsert(
-            batch,
-            key,
-            partition_by,
-            dedupe="latest",
-            order_by=order_by,
-            newest_only=True,
-            stream=(query, number),
-        )
+        try:
+            result = table.upsert(
+                shape(batch, number) if shape else batch,
+                key,
+                partition_by,
+                dedupe="latest",
+                order_by=order_by,
+                newest_only=True,
+                stream=(query, number),
+            )
+        except Exception as err:
+            if record:
+                record(query, number, batch, err)
+            raise
+        if record:
+            record(query, number, batch, result)
         if maintain_every and (number + 1) % maintain_every == 0:
-            table.compact(min_files=ROUTINE_MIN_FILES)
+            # A batch makes one version; compaction itself makes one more at most.
+            table.compact(
+                min_files=ROUTINE_MIN_FILES, since=max(0, result.version - 2 * maintain_every)
+            )
             table.expire()
 
     writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start()
+    query = writer.start()
+    started.set_result(query.id)
+    return query
 
 
 def stream_files(
@@ -89,9 +109,19 @@ def stream_files(
 
 
 def stream_job(
-    spark: SparkSession, spec: JobSpec, checkpoint: str, *, clock: dt.datetime | None = None
+    spark: SparkSession,
+    spec: JobSpec,
+    checkpoint: str,
+    *,
+    clock: dt.datetime | None = None,
+    audit_path: str | None = None,
 ) -> StreamingQuery:
-    """A spec over a folder of files as a stream. The checkpoint takes the place of the bound."""
+    """A spec over a folder of files as a stream. The checkpoint takes the place of the bound.
+
+    With ``audit_path`` every micro-batch leaves one audit row: the rows it read and the greatest
+    value of its incremental column, seen in the write pass; the rows it sent, which are the newest
+    of their keys; and the rows found in the target. A batch that is replayed replaces its row.
+    """
     source, target = spec.source, spec.target
     if not target.primary_key:
         raise SpecError("a streamed job needs target.primary_key")
@@ -109,17 +139,50 @@ def stream_job(
     order_by = spec.order_columns(rows.columns, key)
     if not order_by:
         raise SpecError("a streamed job needs a column that orders the rows of a key")
+    bound = spec.incremental_column or order_by[0]
+    counts = [F.count(F.lit(1)).alias("rows"), F.max(F.col(bound)).cast("string").alias("bound")]
+    partition_by = target.partition_by
+    if INGEST_DATE not in partition_by:
+        partition_by = (*partition_by, INGEST_DATE)
+    now_of: dict[int, tuple[dt.datetime, Observation, float]] = {}
+
+    def run_id(number: int) -> str:
+        return f"{spec.job_name}-{number}"
 
     def shape(batch: DataFrame, number: int) -> DataFrame:
-        now = clock or clock_now(batch.sparkSession)
-        run_id = f"{spec.job_name}-{number}"
-        batch = with_run_metadata(batch, run_id, spec.ingestion_type, source.type, now)
+        now, seen = clock or clock_now(batch.sparkSession), Observation()
+        now_of[number] = now, seen, time.monotonic()
+        batch = batch.observe(seen, *counts)
+        batch = with_run_metadata(batch, run_id(number), spec.ingestion_type, source.type, now)
         batch = apply_rules(batch, target.transformations, now)
         return with_ingest_date(batch, target.partition_by)[0]
 
-    partition_by = target.partition_by
-    if "_ingest_date" not in partition_by:
-        partition_by = (*partition_by, "_ingest_date")
+    def record(query: str, number: int, batch: DataFrame, result: WriteResult | Exception) -> None:
+        now, seen, began = now_of.pop(number, (clock, None, time.monotonic()))
+        session = batch.sparkSession
+        report = RunReport(
+            run_id(number), spec.job_name, spec.ingestion_type.upper(), "FAILED",
+            ts=now or clock_now(session), duration=round(time.monotonic() - began, 6),
+        )
+        if isinstance(result, Exception):
+            report = replace(report, error=str(result))
+        else:
+            # A replayed batch was not written again, so nothing was observed: count it.
+            known = {} if result.replayed or seen is None else seen.get
+            if "rows" not in known:
+                known = batch.agg(*counts).head().asDict()
+            written = Table(session, target.path)
+            day = now and not result.replayed and now.date().isoformat()
+            table = written.read_partition(INGEST_DATE, day) if day else written.read()
+            landed = landed_count(table, run_id(number)).head()["tc"]
+            sent = landed if result.replayed else result.rows
+            tc, status = judge_counts(sent, landed)
+            report = replace(
+                report, status=status, source_count=sent, target_count=tc,
+                read_count=known["rows"], next_value=known["bound"],
+            )
+        append_audit(report_rows(session, [report]), audit_path, run=f"{query}-{number}")
+
     return stream_upsert(
         rows,
         target.path,
@@ -128,4 +191,5 @@ def stream_job(
         checkpoint,
         partition_by=partition_by,
         shape=shape,
+        record=record if audit_path else None,
     )

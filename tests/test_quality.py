@@ -55,7 +55,7 @@ def test_benchmark_rows(spark):
 
 
 def test_feed_rows_stay_in_their_ranges(spark):
-    ids = spark.range(2000)
+    ids = spark.range(20_000)  # enough for both ends of every range
     moment = F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")
     orders = synth.feed_orders(ids, moment)
     assert {r[0] for r in orders.select("status").distinct().collect()} == set(synth.STATUSES)
@@ -64,3 +64,22 @@ def test_feed_rows_stay_in_their_ranges(spark):
     products = synth.feed_products(ids, moment)
     assert tuple(products.agg(F.min("price"), F.max("price"), F.min("id"), F.max("id")).head()) == (10, 500, 1, 1000)
     assert synth.feed_users(ids).head()["email"].endswith("@example.com")
+
+
+def test_draws_are_even_and_neither_ids_nor_seeds_are_alike(spark):
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    ids = spark.range(-50, 40_000).unionByName(spark.range(2**40, 2**40 + 10_000))
+    got = ids.select("id", *[synth.draw(s).alias(f"s{s}") for s in range(3)]).collect()
+    for s in range(3):
+        draws = [r[f"s{s}"] for r in got]
+        assert min(draws) >= 0 and max(draws) < synth.PRIME and len(set(draws)) > 0.999 * len(draws)
+        tenths = Counter(10 * d // synth.PRIME for d in draws)
+        assert all(abs(n - len(draws) / 10) < 350 for n in tenths.values())
+        steps = Counter(((b - a) % synth.PRIME) * 10 // synth.PRIME for a, b in zip(draws, draws[1:]))
+        assert all(abs(n - len(draws) / 10) < 350 for n in steps.values())
+    pairs = Counter((10 * r["s0"] // synth.PRIME, 10 * r["s1"] // synth.PRIME) for r in got)
+    assert all(abs(n - len(got) / 100) < 130 for n in pairs.values()) and len(pairs) == 100
+    assert spark.range(5).select(F.min(synth.draw(7)) == F.min(synth.draw(7))).head()[0]

@@ -4,8 +4,10 @@ import pytest
 from helpers import rows
 
 from sluice import synth
+from sluice.plans.audit import read_audit
 from sluice.plans.table import Table
 from sluice.spec import SpecError, parse_spec
+from sluice.streaming import upsert
 from sluice.streaming.upsert import stream_files, stream_job, stream_upsert
 
 
@@ -84,3 +86,58 @@ def test_stream_job_applies_the_spec(spark, tmp_path, path, clock):
 
 def test_feed_ids_are_a_stream(spark):
     assert synth.stream_ids(spark).isStreaming
+
+
+def audited_spec(tmp_path, path):
+    return parse_spec({
+        "job_name": "feed", "source_type": "parquet", "incremental_column": "o",
+        "source_config": {"path": str(tmp_path / "in"), "files_per_batch": 1, "schema": "k int, o int, v string"},
+        "target": {"path": path, "primary_key": "k"}})
+
+
+def audit_rows(spark, tmp_path):
+    columns = "ingestion_id", "status", "read_count", "source_count", "target_count", "next_value"
+    return rows(read_audit(spark, str(tmp_path / "audit"), "feed"), *columns)
+
+
+def test_every_micro_batch_is_on_record(spark, tmp_path, path, clock):
+    folder = str(tmp_path / "in")
+    put(spark, folder, [(1, 5, "a"), (2, 1, "b"), (2, 2, "c")])
+    put(spark, folder, [(1, 4, "late"), (3, 1, "d")])
+    put(spark, folder, [(1, 3, "later still")])
+    spec = audited_spec(tmp_path, path)
+    go = lambda: stream_job(spark, spec, str(tmp_path / "c"), clock=clock, audit_path=str(tmp_path / "audit")).awaitTermination()
+    go()
+    want = [("feed-0", "SUCCESS", 3, 2, 2, "5"), ("feed-1", "SUCCESS", 2, 1, 1, "4"), ("feed-2", "SUCCESS", 1, 0, 0, "3")]
+    assert audit_rows(spark, tmp_path) == want
+    go()
+    assert audit_rows(spark, tmp_path) == want
+    put(spark, folder, [(9, 9, "z")])
+    go()
+    assert audit_rows(spark, tmp_path) == [*want, ("feed-3", "SUCCESS", 1, 1, 1, "9")]
+
+
+def test_a_batch_lost_between_write_and_record_is_recorded_once(spark, tmp_path, path, clock, monkeypatch):
+    put(spark, str(tmp_path / "in"), [(1, 5, "a"), (2, 1, "b")])
+    spec, audit = audited_spec(tmp_path, path), str(tmp_path / "audit")
+    with monkeypatch.context() as m:
+        m.setattr(upsert, "append_audit", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(Exception, match="lost"):
+            stream_job(spark, spec, str(tmp_path / "c"), clock=clock, audit_path=audit).awaitTermination()
+    version = Table(spark, path).snapshot().version
+    later = clock + dt.timedelta(days=1)
+    stream_job(spark, spec, str(tmp_path / "c"), clock=later, audit_path=audit).awaitTermination()
+    assert Table(spark, path).snapshot().version == version
+    assert audit_rows(spark, tmp_path) == [("feed-0", "SUCCESS", 2, 2, 2, "5")]
+
+
+def test_a_batch_that_cannot_be_written_is_recorded_as_failed(spark, tmp_path, path, clock, monkeypatch):
+    put(spark, str(tmp_path / "in"), [(1, 5, "a")])
+    spec, audit = audited_spec(tmp_path, path), str(tmp_path / "audit")
+    with monkeypatch.context() as m:
+        m.setattr(Table, "upsert", lambda *a, **k: (_ for _ in ()).throw(OSError("no room")))
+        with pytest.raises(Exception, match="no room"):
+            stream_job(spark, spec, str(tmp_path / "c"), clock=clock, audit_path=audit).awaitTermination()
+    assert [r[:2] for r in audit_rows(spark, tmp_path)] == [("feed-0", "FAILED")]
+    stream_job(spark, spec, str(tmp_path / "c"), clock=clock, audit_path=audit).awaitTermination()
+    assert audit_rows(spark, tmp_path) == [("feed-0", "SUCCESS", 1, 1, 1, "5")]
