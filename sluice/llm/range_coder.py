@@ -1,24 +1,23 @@
 """Token ids as files: an adaptive context-mixing range coder in independently reset, checksummed blocks.
 
 A file is a sequence of frames. A frame holds whole documents: their ids and lengths, then their
-token ids in blocks of ``BLOCK`` tokens. Each block starts from an empty model, so any block can be
+token ids in blocks of ``BLOCK`` tokens. Each block starts from the same model, so any block can be
 decoded alone, and carries the crc32 of its ids.
 
 Per token the model makes three predictions: the id that last followed the two ids before (order 2),
-the id that last followed the id before (order 1), and the recent ids of a small table (order 0).
-Which of them is right (or none: the id itself is spelled) is one symbol. Its probabilities are a
-mixture of two adaptive tables, one indexed by the confidence of order 2 and one by that of order 1,
-with a weight per block that moves to the table which predicted better. A carry-propagating range
-coder with 64-bit state writes 32-bit words. The blocks of a frame are coded side by side in numpy.
+the id that last followed the id before (order 1), and a distribution over all ids (order 0), which
+the frame's header holds. Which of the first two is right, or neither, is one symbol. Its
+probabilities are a mixture of two adaptive tables, one indexed by the confidence of order 2 and one
+by that of order 1, with a weight per block that moves to the table which predicted better. An id
+that neither predicted is coded by the order-0 distribution, which counts what blocks see for the
+first time. A carry-propagating range coder with 64-bit state writes 32-bit words. The blocks of a
+frame are coded side by side in numpy.
 """
 
 from __future__ import annotations
 
-import json
-import re
 import zlib
 from collections.abc import Callable
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,44 +25,45 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import mapped, saved
+from sluice.llm.tokenizing import whole_texts
 from sluice.runtime import scratch_dir
 
 BLOCK = 2048
 #: Blocks coded side by side; a frame holds at most so many, unless one document alone is longer.
 LANES = 4096
-MAGIC = b"CMRC0001"
-_SLOTS, _CELLS = 256, 512
+MAGIC = b"CMRC0002"
+_CELLS = 512
 _U = np.uint64
 _TOP = _U(1 << 32)
 _32 = _U(32)
-#: An event table entry holds the cumulative frequencies of events 0, 1 and 2 as 16-bit fields.
-#: They sum to _UNIT; _FLOOR is added per event when coding, so none becomes impossible.
+#: An event table entry holds the cumulative frequencies of events 0 and 1 as 16-bit fields; event 2
+#: is an id that neither context predicted. They sum to _UNIT; _FLOOR is added per event when coding,
+#: so none becomes impossible.
+_EVENTS, _FIELD_COUNT = 3, 2
 _UNIT, _FLOOR, _RATE = 1 << 13, 16, _U(5)
-_TOTAL = _UNIT + 4 * _FLOOR
-_FIELDS = sum(1 << 16 * i for i in range(3))
-_START = _U(sum(_UNIT * (i + 1) // 4 << 16 * i for i in range(3)))
+_TOTAL = _UNIT + _EVENTS * _FLOOR
+_FIELDS = sum(1 << 16 * i for i in range(_FIELD_COUNT))
+_START = _U(sum(_UNIT * (i + 1) // _EVENTS << 16 * i for i in range(_FIELD_COUNT)))
 _CEIL, _STEP = _U(31 * _FIELDS), _U(0x07FF * _FIELDS)
 _MIXED = _U(0x3FFF * _FIELDS)
-_GAIN = np.array([sum(_UNIT >> 5 << 16 * i for i in range(3) if i >= e) for e in range(4)], dtype=np.uint64)
-_BASE = _U(sum(_FLOOR * (i + 1) << 16 * i for i in range(3)) + (_TOTAL << 48))
+_GAIN = np.array([sum(_UNIT >> 5 << 16 * i for i in range(_FIELD_COUNT) if i >= e) for e in range(_EVENTS)], dtype=np.uint64)
+_BASE = _U(sum(_FLOOR * (i + 1) << 16 * i for i in range(_FIELD_COUNT)) + (_TOTAL << 16 * _FIELD_COUNT))
 
 
 class _Model:
     """State of all blocks of a frame: prediction tables, event tables, mixing weights."""
 
-    def __init__(self, lanes: int, literal_bits: int):
+    def __init__(self, lanes: int):
         self.t1 = np.full(lanes * _CELLS, -8, dtype=np.int32)
         self.t2 = np.full(lanes * _CELLS, -8, dtype=np.int32)
-        self.t0 = np.full(lanes * _SLOTS, -1, dtype=np.int32)
         self.e1 = np.full(lanes * 16, _START)
         self.e2 = np.full(lanes * 8, _START)
         self.weight = np.full(lanes, 16, dtype=np.int64)
         self.p1 = np.zeros(lanes, dtype=np.int64)
         self.p2 = np.zeros(lanes, dtype=np.int64)
         lane = np.arange(lanes, dtype=np.int64)
-        self.cell, self.slot = lane * _CELLS, lane * _SLOTS
+        self.cell = lane * _CELLS
         self.k1, self.k2 = lane * 16, lane * 8
-        self.shift = np.array([literal_bits, literal_bits, literal_bits - 8, 0], dtype=np.uint64)
 
     def predict(self, n: int) -> np.ndarray:
         """Predicted ids (``g2``, ``g1``) and the mixed cumulative frequencies of the first ``n`` blocks."""
@@ -92,20 +92,15 @@ class _Model:
         for table, at, old, guess in ((self.t2, self.i2, self.a, self.g2), (self.t1, self.i1, self.b, self.g1)):
             sure = old & 7
             table[at] = np.where(guess == ids, old + (sure < 7), np.where(sure > 1, old - 2, fresh))
-        self.t0[self.slot[:n] + _slot(ids)] = ids
         self.p2[:n] = self.p1[:n]
         self.p1[:n] = ids
 
 
-def _slot(ids: np.ndarray) -> np.ndarray:
-    return ids * 2654435761 >> 9 & _SLOTS - 1
-
-
-def _range(cum: np.ndarray, event: np.ndarray, bits: int, shift: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start of each block's event and the width of one of its details, in units of the total."""
+def _event_range(cum: np.ndarray, event: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start of each block's event in units of the total, and the event's frequency."""
     at = (event << 4).view(np.uint64)
     low = (cum << _U(16) >> at) & _U(0xFFFF)
-    return low << _U(bits), ((cum >> at) & _U(0xFFFF)) - low << shift.take(event)
+    return low << _U(bits), ((cum >> at) & _U(0xFFFF)) - low
 
 
 def _lanes(n: int) -> tuple[int, np.ndarray]:
@@ -123,8 +118,28 @@ def _bits(vocabulary: int) -> int:
     return bits
 
 
+def _order0(ids: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids of a frame and their order-0 frequencies, at least 1 each, ``2**bits`` in all.
+
+    An id counts once for every block it occurs in: that is how often no context can know it yet.
+    """
+    block = np.arange(ids.size, dtype=np.int64) // BLOCK
+    seen = np.unique((block << 32) + ids) & 0xFFFFFFFF
+    distinct, count = np.unique(seen, return_counts=True)
+    if not distinct.size:
+        return distinct.astype("<u4"), count.astype("<u4")
+    room = (1 << bits) - distinct.size
+    share = count * room // int(count.sum())
+    share[np.argmax(count)] += room - int(share.sum())
+    return distinct.astype("<u4"), (share + 1).astype("<u4")
+
+
 def encode(ids: np.ndarray, vocabulary: int = 65536) -> bytes:
-    """One frame's ids as bytes: magic, literal bits, token count, then per block its words, length and crc32."""
+    """One frame's ids as bytes.
+
+    Magic, bits of the order-0 total, block size, token count, the packed order-0 table, then per
+    block its number of words and its crc32, and the words of all blocks.
+    """
     ids = np.ascontiguousarray(ids, dtype=np.uint32)
     n, bits = ids.size, _bits(vocabulary)
     if n and int(ids.max()) >= 1 << bits:
@@ -133,30 +148,33 @@ def encode(ids: np.ndarray, vocabulary: int = 65536) -> bytes:
     padded = np.zeros(lanes * BLOCK, dtype=np.uint32)
     padded[:n] = ids
     steps = np.ascontiguousarray(padded.reshape(lanes, BLOCK).T)
-    model = _Model(lanes, bits)
+    distinct, share = _order0(ids, bits)
+    width_of = np.zeros(1 << bits, dtype=np.uint64)
+    width_of[distinct] = share
+    start_of = np.zeros(1 << bits, dtype=np.uint64)
+    start_of[distinct] = np.cumsum(share, dtype=np.uint64) - share
+    model = _Model(lanes)
     low = np.zeros(lanes, dtype=np.uint64)
     span = np.full(lanes, ~_U(0), dtype=np.uint64)
     out = np.zeros(lanes * (BLOCK + 3), dtype=np.uint32)
     at = np.arange(lanes, dtype=np.int64) * (BLOCK + 3)
-    begin, total = at.copy(), _U(_TOTAL << bits)
+    begin, total, whole = at.copy(), _U(_TOTAL << bits), _U(1 << bits)
     for t in range(int(size[0])):
         m = lanes if t < size[-1] else lanes - 1
         token = steps[t, :m].astype(np.int64)
         cum = model.predict(m)
-        slot = _slot(token)
-        recent = model.t0.take(model.slot[:m] + slot) == token
-        event = np.where(token == model.g2, 0, np.where(token == model.g1, 1, 3 - recent))
-        start, unit = _range(cum, event, bits, model.shift)
-        detail = np.where(event == 3, token, slot * (event == 2)).view(np.uint64)
+        event = np.where(token == model.g2, 0, 2 - (token == model.g1))
+        start, unit = _event_range(cum, event, bits)
+        spelled = event == 2
         step = span[:m] // total
-        moved = low[:m] + (start + detail * unit) * step
+        moved = low[:m] + (start + np.where(spelled, start_of.take(token), _U(0)) * unit) * step
         carry = np.flatnonzero(moved < low[:m])
         if carry.size:
             back = at[carry] - 1
             while back.size:
                 out[back] += np.uint32(1)
                 back = back[out[back] == 0] - 1
-        width = unit * step
+        width = np.where(spelled, width_of.take(token), whole) * unit * step
         full = np.flatnonzero(width < _TOP)
         out[at[full]] = moved[full] >> _32
         at[full] += 1
@@ -169,7 +187,9 @@ def encode(ids: np.ndarray, vocabulary: int = 65536) -> bytes:
         at += 1
     raw = ids.astype("<u4").tobytes()
     sums = np.array([zlib.crc32(raw[4 * i : 4 * (i + BLOCK)]) for i in range(0, max(n, 1), BLOCK)], dtype="<u4")
+    table = zlib.compress(np.diff(distinct.astype("<i8"), prepend=0).astype("<u4").tobytes() + share.tobytes())
     head = MAGIC + np.array([bits, BLOCK], dtype="<u4").tobytes() + np.array([n], dtype="<u8").tobytes()
+    head += np.array([len(table)], dtype="<u4").tobytes() + table
     words = b"".join(out[i:j].astype("<u4").tobytes() for i, j in zip(begin.tolist(), at.tolist()))
     return head + (at - begin).astype("<u4").tobytes() + sums.tobytes() + words
 
@@ -182,17 +202,29 @@ def decode(data: bytes) -> np.ndarray:
     n = int(np.frombuffer(data, "<u8", 1, 16)[0])
     if block != BLOCK:
         raise ValueError("frame has another block size")
+    packed = int(np.frombuffer(data, "<u4", 1, 24)[0])
+    try:
+        table = np.frombuffer(zlib.decompress(data[28 : 28 + packed]), "<u4").reshape(2, -1)
+    except zlib.error as err:
+        raise ValueError("the frame's order-0 table is damaged") from err
+    distinct, share = np.cumsum(table[0], dtype=np.int64), table[1].astype(np.uint64)
+    if n and int(share.sum()) != 1 << bits:
+        raise ValueError("the frame's order-0 table is damaged")
+    place = np.repeat(np.arange(distinct.size), share.astype(np.int64))
+    first = np.cumsum(share) - share
     lanes, size = _lanes(n)
-    used = np.frombuffer(data, "<u4", lanes, 24).astype(np.int64)
-    sums = np.frombuffer(data, "<u4", lanes, 24 + 4 * lanes)
-    words = np.frombuffer(data, "<u4", int(used.sum()), 24 + 8 * lanes)
+    at = 28 + packed
+    used = np.frombuffer(data, "<u4", lanes, at).astype(np.int64)
+    sums = np.frombuffer(data, "<u4", lanes, at + 4 * lanes)
+    words = np.frombuffer(data, "<u4", int(used.sum()), at + 8 * lanes)
     words = np.concatenate([words, np.zeros(4, dtype=np.uint32)]).astype(np.uint64)
     at = np.concatenate([[0], np.cumsum(used)[:-1]])
     code = (words[at] << _32) | words[at + 1]
     at = at + 2
     span = np.full(lanes, ~_U(0), dtype=np.uint64)
-    model = _Model(lanes, bits)
-    total, most = _U(_TOTAL << bits), _U((_TOTAL << bits) - 1)
+    model = _Model(lanes)
+    total, most, whole = _U(_TOTAL << bits), _U((_TOTAL << bits) - 1), _U(1 << bits)
+    last = _U((1 << bits) - 1)
     steps = np.zeros((BLOCK, lanes), dtype=np.uint32)
     for t in range(int(size[0])):
         m = lanes if t < size[-1] else lanes - 1
@@ -200,15 +232,14 @@ def decode(data: bytes) -> np.ndarray:
         step = span[:m] // total
         value = np.minimum(code[:m] // step, most)
         mark = value >> _U(bits)
-        event = (mark >= (cum & _U(0xFFFF))).astype(np.int64) + (mark >= (cum >> _U(16) & _U(0xFFFF))) + (mark >= (cum >> _32 & _U(0xFFFF)))
-        start, unit = _range(cum, event, bits, model.shift)
-        detail = (value - start) // unit
-        token = np.where(event == 0, model.g2, np.where(event == 1, model.g1, detail.view(np.int64)))
-        seen = np.flatnonzero(event == 2)
-        token[seen] = model.t0[model.slot[seen] + token[seen]]
-        detail *= event > 1
-        rest = code[:m] - (start + detail * unit) * step
-        width = unit * step
+        event = (mark >= (cum & _U(0xFFFF))).astype(np.int64) + (mark >= (cum >> _U(16) & _U(0xFFFF)))
+        start, unit = _event_range(cum, event, bits)
+        spelled = event == 2
+        # Where a block is damaged the value may point anywhere; its sum will tell.
+        entry = place.take(np.minimum((value - start) // np.maximum(unit, _U(1)), last).view(np.int64))
+        token = np.where(event == 0, model.g2, np.where(event == 1, model.g1, distinct.take(entry)))
+        rest = code[:m] - (start + np.where(spelled, first.take(entry), _U(0)) * unit) * step
+        width = np.where(spelled, share.take(entry), whole) * unit * step
         full = np.flatnonzero(width < _TOP)
         rest[full] = (rest[full] << _32) | words.take(at[full], mode="clip")
         at[full] += 1
@@ -224,107 +255,35 @@ def decode(data: bytes) -> np.ndarray:
     return ids
 
 
-#: Runs of letters and of other characters, in parts that a tokenizer cuts between the two.
-_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
-_RUNS = re.compile(f"[{_LETTER}]+|[^{_LETTER}]+")
-#: Parts to be cut into runs: without apostrophes (contractions) and "<" (special tokens).
-_PLAIN = re.compile("[!-&(-;=-~À-ÿ]+")
-
-
-class WordTokenizer:
-    """Ids of whole texts by a tokenizer that drops white space, through a bounded cache of words.
-
-    The tokenizer's pieces never reach over a blank or a line feed, so a text's ids are those of its
-    parts between them, one after the other. Parts seen before are looked up; the cache is emptied
-    when it is full. Where the tokenizer marks the last token of a word, a new part is put together
-    from its runs of letters and of other characters, and many new runs of letters are encoded in one
-    call and told apart by those marks. With ``by_words=False`` whole texts are encoded.
-    """
-
-    def __init__(self, path: str, by_words: bool = True, most: int = 1 << 19):
-        from tokenizers import Tokenizer
-
-        self._tokenizer, self._by_words, self._most = Tokenizer.from_file(path), by_words, most
-        self._known: dict[str, bytes] = {"": b""}
-        suffix = json.loads(self._tokenizer.to_str())["model"].get("end_of_word_suffix")
-        vocabulary = self._tokenizer.get_vocab()
-        self._ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self._ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
-        normalizer = self._tokenizer.normalizer
-        self._folds = normalizer is not None and normalizer.normalize_str("AÉ") == "aé"
-
-    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype="<u4") for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, parts: list[str]) -> None:
-        known = self._known
-        runs = {p: _RUNS.findall(p.lower() if self._folds else p) for p in parts if _PLAIN.fullmatch(p)} if self._ends.any() else {}
-        new = [r for r in dict.fromkeys(r for own in runs.values() for r in own) if r not in known]
-        words = [r for r in new if r[0].isalpha()]
-        single = [r for r in new if not r[0].isalpha()] + [p for p in parts if p not in runs]
-        for lo in range(0, len(words), 4096):
-            some = words[lo : lo + 4096]
-            ids = self._encoded([" ".join(some)])[0]
-            end = np.flatnonzero(self._ends[ids]) + 1
-            if end.size != len(some):
-                single += some
-                continue
-            raw, cut = ids.tobytes(), (4 * end).tolist()
-            known.update(zip(some, (raw[i:j] for i, j in zip([0, *cut], cut))))
-        known.update(zip(single, (x.tobytes() for x in self._encoded(single))))
-        for p, own in runs.items():
-            known[p] = b"".join(map(known.__getitem__, own))
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if not self._by_words:
-            return [np.array(e.ids, dtype=np.uint32) for e in self._tokenizer.encode_batch(texts, add_special_tokens=False)]
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        if len(self._known) > self._most:
-            self._known = {"": b""}
-        new = set(chain.from_iterable(split)).difference(self._known)
-        if new:
-            self._learn(list(new))
-        known = self._known
-        return [np.frombuffer(b"".join(map(known.__getitem__, parts)), dtype="<u4") for parts in split]
-
-
-_tokenizers: dict[tuple, WordTokenizer] = {}
-
-
 def _frames(path: str, end_id: int, by_words: bool, vocabulary: int) -> Callable:
     def run(batches):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from pyspark import TaskContext
 
-        key = (path, by_words)
-        if key not in _tokenizers:
-            _tokenizers[key] = WordTokenizer(path, by_words)
-        tokenizer, shard = _tokenizers[key], TaskContext.get().partitionId()
+        shard = TaskContext.get().partitionId()
         end = np.array([end_id], dtype=np.uint32)
-        docs, parts, held, frame, first = [], [], 0, 0, 0
+        docs, parts, sizes, held, frame, first = [], [], [], 0, 0, 0
 
         def flush():
-            nonlocal docs, parts, held, frame, first
-            sizes = np.array([p.size for p in parts], dtype="<i8")
+            nonlocal docs, parts, sizes, held, frame, first
             row = pa.RecordBatch.from_arrays(
-                [pa.array([shard], pa.int32()), pa.array([frame], pa.int32()), pa.array([first], pa.int64()), pa.array([docs], pa.list_(pa.int64())), pa.array([sizes.tobytes()], pa.binary()), pa.array([encode(np.concatenate(parts), vocabulary)], pa.binary())],
+                [
+                    pa.array([shard], pa.int32()), pa.array([frame], pa.int32()), pa.array([first], pa.int64()), pa.array([docs], pa.list_(pa.int64())),
+                    pa.array([np.array(sizes, dtype="<i8").tobytes()], pa.binary()), pa.array([encode(np.concatenate(parts), vocabulary)], pa.binary()),
+                ],
                 names=["shard", "frame", "first", "docs", "sizes", "payload"],
             )
-            first, frame, docs, parts, held = first + held, frame + 1, [], [], 0
+            first, frame, docs, parts, sizes, held = first + held, frame + 1, [], [], [], 0
             return row
 
         for batch in batches:
-            ids, column = batch.column(0), batch.column(1)
-            for lo in range(0, batch.num_rows, 64):
-                texts = [t or "" for t in column.slice(lo, 64).to_pylist()]
-                for doc, tokens in zip(ids.slice(lo, 64).to_pylist(), tokenizer(texts)):
-                    if held and held + tokens.size + 1 > BLOCK * LANES:
-                        yield flush()
-                    docs.append(doc)
-                    parts.append(np.concatenate([tokens, end]))
-                    held += tokens.size + 1
+            ids = batch.column(0).to_pylist()
+            for k, tokens in whole_texts(batch.column(1), path, by_words):
+                if held and held + tokens.size + 1 > BLOCK * LANES:
+                    yield flush()
+                docs.append(ids[k])
+                parts += [tokens, end]
+                sizes.append(tokens.size + 1)
+                held += tokens.size + 1
         if held:
             yield flush()
 

@@ -13,7 +13,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 
 from sluice.llm.common import text_bytes
 
@@ -59,7 +58,7 @@ class PieceTokenizer:
         self._start = np.zeros(0, dtype=np.int32)
         self._pool = np.zeros(0, dtype="<u4")
 
-    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+    def encoded(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype="<u4") for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, new: list[str]) -> None:
@@ -71,7 +70,7 @@ class PieceTokenizer:
         order: list[str] = []
         for lo in range(0, len(words), 4096):
             some = words[lo : lo + 4096]
-            got = self._encoded([" ".join(some)])[0]
+            got = self.encoded([" ".join(some)])[0]
             end = np.flatnonzero(self._ends[got]) + 1
             if end.size != len(some):
                 single = single + some
@@ -81,7 +80,7 @@ class PieceTokenizer:
             order += some
         for lo in range(0, len(single), 4096):
             some = single[lo : lo + 4096]
-            got = self._encoded(some)
+            got = self.encoded(some)
             ids += got
             sizes.append(np.array([x.size for x in got], dtype=np.int64))
             order += some
@@ -203,7 +202,17 @@ def tokenizer(path: str) -> PieceTokenizer:
     return _ready[path]
 
 
-def encoded(column: pa.Array, path: str) -> Iterator[tuple[int, np.ndarray]]:
-    """Row and ids of every text of a column."""
-    for k, parts in tokenizer(path).texts(pc.fill_null(column, "")):
-        yield k, parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, dtype="<u4")
+def whole_texts(column: pa.Array, path: str, by_words: bool = True) -> Iterator[tuple[int, np.ndarray]]:
+    """Row and ids of every text of a column; a null is empty.
+
+    ``by_words=False`` gives each text to the tokenizer whole, for one whose tokens reach over blanks.
+    """
+    own = tokenizer(path)
+    if by_words:
+        for k, parts in own.texts(column):
+            yield k, parts[0] if len(parts) == 1 else np.concatenate(parts)
+        return
+    for lo in range(0, len(column), 64):
+        texts = [t or "" for t in column.slice(lo, 64).to_pylist()]
+        for k, ids in enumerate(own.encoded(texts)):
+            yield lo + k, ids
