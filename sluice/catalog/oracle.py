@@ -28,6 +28,8 @@ _add(
     scan_parquet="SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem",
     scan_csv_inferred="SELECT * FROM customer",
     scan_csv_declared="SELECT * FROM orders",
+    csv_bounded_by_timestamp="""SELECT event_id, ts, event_type, value, 'run-1' AS _ingestion_id
+        FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00'""",
     scan_json_pages="SELECT conv_id, turn, role, text FROM conversations",
     scan_nested_documents="""SELECT l_orderkey AS order_id, COUNT(*) AS n_lines,
         SUM(CAST(l_quantity AS BIGINT))::BIGINT AS qty FROM lineitem GROUP BY l_orderkey""",
@@ -177,6 +179,10 @@ _add(
         CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 'run-0' ELSE 'run-2' END AS _ingestion_id,
         CASE WHEN ts < TIMESTAMP '2024-01-10' THEN DATE '2025-06-01' ELSE DATE '2025-06-03' END
         AS _ingest_date FROM events CROSS JOIN (VALUES ('snapshot'), ('parquet')) f(format)""",
+    job_takes_late_rows="""SELECT format, event_id, date_trunc('day', ts)::TIMESTAMP AS day,
+        CASE WHEN ts < TIMESTAMP '2024-01-10 12:00:00' THEN 'run-0' ELSE 'run-2' END AS _ingestion_id
+        FROM (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_type = 'error')
+        CROSS JOIN (VALUES ('snapshot'), ('parquet')) f(format)""",
     job_from_rest="""SELECT event_id AS data_id, event_type AS title, '{' || user_id || '}' AS log,
         CASE WHEN event_type <> 'error' THEN event_type END AS plate, 'api' AS _source_name
         FROM events""",

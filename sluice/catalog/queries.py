@@ -77,11 +77,31 @@ def scan_csv_declared(spark, sf):
     return read_source(spark, SourceSpec("csv", {"path": path, "schema": schema}))
 
 
+@query
+def csv_bounded_by_timestamp(spark, sf):
+    """A load from CSV without declared types, bounded by a timestamp that its text shows."""
+    path, target = scratch_dir(spark, "csv"), scratch_dir(spark, "table")
+    whole = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+    load(spark, sf, "events").write.options(**whole).csv(path)
+    spec = parse_spec({
+        "job_name": "events", "source_type": "csv", "source_config": {"path": path},
+        "ingestion_type": "incremental", "incremental_column": "ts",
+        "last_ingestion_value": "2024-01-15 00:00:00",
+        "target": {"path": target, "primary_key": "event_id"},
+    })
+    run_job(spark, spec, scratch_dir(spark, "audit"), run_id=RUN, clock=CLOCK)
+    return Table(spark, target).read().select(
+        F.col("event_id").cast("bigint").alias("event_id"), *ntz("ts"), "event_type", "value", "_ingestion_id"
+    )
+
+
 @query
 def scan_json_pages(spark, sf):
+    """Pages of many records each, their types taken from the records themselves in one read."""
     path = scratch_dir(spark, "json")
     chat = load(spark, sf, "conversations")
-    chat.select(F.to_json(F.array(F.struct(*chat.columns)))).write.text(path)
+    page = F.to_json(F.collect_list(F.struct(*chat.columns)))
+    chat.groupBy("conv_id").agg(page.alias("value")).select("value").write.text(path)
     return read_source(spark, SourceSpec("json", {"path": path})).select(*chat.columns)
 
 
@@ -673,6 +693,37 @@ def job_replays_without_key(spark, sf):
     return out
 
 
+@query
+def job_takes_late_rows(spark, sf):
+    """Loads bounded by a day, with many rows at each bound, some of them late, some twice.
+
+    The second run fails after its write and is run again; every row of the landing folder arrives
+    once, on a table and on plain files.
+    """
+    events = load(spark, sf, "events").select(
+        "event_id", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"), "event_type", "ts"
+    )
+    twice = events.unionByName(events.filter("event_type = 'error'"))
+    shares = "ts < '2024-01-10 12:00:00'", "ts >= '2024-01-10 12:00:00' AND ts < '2024-01-20 12:00:00'", "ts >= '2024-01-20 12:00:00'"
+    out = None
+    for fmt in ("snapshot", "parquet"):
+        landing, target, audit = (scratch_dir(spark, n) for n in ("landing", "table", "audit"))
+        doc = {
+            "job_name": "events", "source_type": "parquet", "ingestion_type": "incremental",
+            "incremental_column": "day", "late_rows": True, "source_config": {"path": landing},
+            "target": {"path": target, "format": fmt},
+        }
+        for n, share in enumerate(shares):
+            twice.filter(share).write.mode("append").parquet(landing)
+            wanted = {"min_rows": 10**12} if n == 1 else {}
+            run_job(spark, parse_spec(doc | wanted), audit, resume=True, run_id=f"run-{n}",
+                    clock=CLOCK + dt.timedelta(days=n))
+        rows = Table(spark, target).read() if fmt == "snapshot" else spark.read.parquet(target)
+        rows = rows.select(F.lit(fmt).alias("format"), "event_id", "day", "_ingestion_id")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query
 def job_from_rest(spark, sf):
     """A feed of nested records: arrays and structs normalised, the key taken from inside."""

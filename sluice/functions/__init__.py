@@ -6,6 +6,8 @@ from sluice.functions.columns import (
     present_columns,
     quoted,
     rebuilt_struct,
+    row_digest,
+    row_hash,
     typed_bound,
 )
 
@@ -15,5 +17,7 @@ __all__ = [
     "present_columns",
     "quoted",
     "rebuilt_struct",
+    "row_digest",
+    "row_hash",
     "typed_bound",
 ]

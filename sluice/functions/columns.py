@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,41 @@ def present_columns(df: DataFrame, names: Iterable[str]) -> list[str]:
     return [name for name in names if name in have]
 
 
+def row_hash(df: DataFrame, columns: Iterable[str]) -> Column:
+    """A hash of columns by name, whatever their order; maps and variants are hashed as JSON."""
+
+    def part(name: str) -> Column:
+        kind = df.schema[name].dataType.simpleString()
+        column = F.col(quoted(name))
+        return F.to_json(F.struct(column)) if "map<" in kind or "variant" in kind else column
+
+    return F.xxhash64(*[part(c) for c in sorted(columns)])
+
+
+# Timestamps in JSON with all their digits.
+_WHOLE_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
+def row_digest(df: DataFrame) -> Column:
+    """A hash of a row's values and their columns' names, in any order of the columns.
+
+    A NULL adds nothing, so a column that appears later leaves the digests of rows without a
+    value as they were; a value that moves to another column changes the digest. Nested
+    values are hashed as JSON.
+    """
+
+    def part(name: str, kind: T.DataType) -> Column:
+        column = F.col(quoted(name))
+        nested = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
+        value = F.to_json(F.struct(column), _WHOLE_TIMES) if isinstance(kind, nested) else column
+        return F.when(column.isNotNull(), F.xxhash64(F.lit(name), value)).otherwise(F.lit(0))
+
+    return reduce(Column.bitwiseXOR, [part(f.name, f.dataType) for f in df.schema.fields])
+
+
 def column_type(df: DataFrame, name: str) -> T.DataType:
     """Type of a column or dotted field."""
     try:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.functions import quoted
+from sluice.functions import quoted, row_hash
 from sluice.spec import SpecError
 
 _RANK = "__rank"
@@ -34,23 +34,12 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order_by: Sequence[s
     """
     keys = [key] if isinstance(key, str) else list(key)
     window = Window.partitionBy(*[F.col(quoted(k)) for k in keys]).orderBy(
-        *[F.col(c).desc_nulls_last() for c in order_by], _row_hash(df, df.columns).desc()
+        *[F.col(c).desc_nulls_last() for c in order_by], row_hash(df, df.columns).desc()
     )
     ranked = df.withColumn(_RANK, F.row_number().over(window))
     return ranked.filter(F.col(_RANK) == 1).drop(_RANK)
 
 
-def _row_hash(df: DataFrame, columns: Sequence[str]) -> Column:
-    """A hash of columns by name, whatever their order; maps and variants are hashed as JSON."""
-
-    def part(name: str) -> Column:
-        kind = df.schema[name].dataType.simpleString()
-        column = F.col(quoted(name))
-        return F.to_json(F.struct(column)) if "map<" in kind or "variant" in kind else column
-
-    return F.xxhash64(*[part(c) for c in sorted(columns)])
-
-
 def dedupe_batch(df: DataFrame, key: str, mode: str, order_by: Sequence[str] = ()) -> DataFrame:
     """One row per key in a batch. Rows without a key are all kept: they match nothing."""
     if mode == "none":
@@ -241,7 +230,7 @@ def drop_stale(
     shared = [c for c in batch.columns if c in target.columns]
     order = lambda df: F.struct(
         *[F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)],
-        _row_hash(df, shared).alias("hash"),
+        row_hash(df, shared).alias("hash"),
     )
     keyed = batch.filter(F.col(k).isNotNull())
     known = target.filter(F.col(k).isNotNull())

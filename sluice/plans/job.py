@@ -41,16 +41,18 @@ def prepare(
     run_id: str,
     clock: dt.datetime,
     watermark: Observation | None = None,
+    known: DataFrame | None = None,
 ) -> tuple[DataFrame, tuple[str, ...], str | None]:
     """Source rows as the target takes them, with its partition columns and key.
 
     The order is fixed: shape, bound, run metadata, rules, load date. ``watermark`` notes the
     greatest value of the incremental column as the source typed it, before a rule changes it.
+    ``known`` is what the target holds, where rows at the bound may have come late.
     """
     df = strings_in_arrays(df, spec.source.array_columns)
     df = rebuilt_structs(df, spec.source.struct_columns)
     df, key = flat_key(df, spec.target.primary_key)
-    df = incremental(df, spec)
+    df = incremental(df, spec, known)
     if watermark is not None:
         df = df.observe(watermark, F.max(_bounded(df, spec)).cast("string").alias("next_value"))
     df = with_run_metadata(df, run_id, spec.ingestion_type, spec.source.type, clock)
@@ -79,7 +81,8 @@ def run_job(
     ``resume`` takes the bound from the job's last successful run, if there is one, instead
     of from the spec. All attempts that follow one successful run are the same load: without a
     key, a later attempt takes the place of an earlier one that failed or was PARTIAL, so its
-    rows are there once. Maintenance follows only a load whose counts agree.
+    rows are there once. With ``late_rows`` in the spec a load reads from its bound on and
+    leaves out what the target holds at it. Maintenance follows only a load whose counts agree.
     """
     run_id = run_id or str(uuid.uuid4())
     clock = clock or clock_now(spark)
@@ -96,9 +99,11 @@ def run_job(
             context.bound = spec.incremental_column, spec.last_ingestion_value
         source = read_source(spark, spec, context)
         watermark = Observation()
-        batch, partition_by, key = prepare(source, spec, run_id, clock, watermark)
         sink = sink_for(spark, spec)
-        written = sink.write(batch, partition_by, key, clock, share=None if key else share)
+        share = None if spec.target.primary_key else share
+        known = sink.read_known(share) if spec.late_rows and spec.incremental else None
+        batch, partition_by, key = prepare(source, spec, run_id, clock, watermark, known)
+        written = sink.write(batch, partition_by, key, clock, share=share)
         tc, status = judge_counts(
             written.rows, _landed(sink, run_id, clock), spec.min_rows
         )

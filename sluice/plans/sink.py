@@ -34,8 +34,8 @@ RUN_ID = T.StructType([T.StructField("_ingestion_id", T.StringType())])
 
 
 def load_name(share: tuple[str, str]) -> str:
-    """A folder name for a job's load: plain letters, whatever the job is called."""
-    return hashlib.sha256("\n".join(share).encode("utf-8")).hexdigest()[:16]
+    """A folder name for a job's load: plain letters, and never a number to partition discovery."""
+    return "load-" + hashlib.sha256("\n".join(share).encode("utf-8")).hexdigest()[:16]
 
 
 def delta_available(spark: SparkSession) -> bool:
@@ -69,6 +69,10 @@ class SnapshotSink:
     def read(self) -> DataFrame:
         return self.table.read()
 
+    def read_known(self, share: tuple[str, str] | None) -> DataFrame | None:
+        """What stays in the target when a load is written; None where there is no target yet."""
+        return self.table.read(without=share) if self.table.exists() else None
+
     def read_day(self, day: dt.date) -> DataFrame:
         return self.table.read_partition(INGEST_DATE, day.isoformat())
 
@@ -133,6 +137,13 @@ class DeltaSink:
     def read(self) -> DataFrame:
         return self.spark.read.format("delta").load(self.path)
 
+    def read_known(self, share: tuple[str, str] | None) -> DataFrame | None:
+        from delta.tables import DeltaTable
+
+        if not DeltaTable.isDeltaTable(self.spark, self.path):
+            return None
+        return _without_load(self.read(), share)
+
     def read_day(self, day: dt.date) -> DataFrame:
         return self.read().filter(F.col(INGEST_DATE) == F.lit(day))
 
@@ -176,6 +187,13 @@ class FileSink:
             reader = reader.option("header", "true")
         return reader.load(target.path)
 
+    def read_known(self, share: tuple[str, str] | None) -> DataFrame | None:
+        # Hidden names do not count, those of partitions such as ``_load=`` do, as in Spark's listing.
+        names = [name for name, *_ in Folder(self.spark, self.spec.target.path).listing("*")]
+        if not any("=" in name or name[0] not in "_." for name in names):
+            return None
+        return _without_load(self.read(), share)
+
     def read_day(self, day: dt.date) -> DataFrame:
         """Run ids of a day's rows: only the folders of that date, with a declared schema.
 
@@ -208,6 +226,13 @@ def sink_for(spark: SparkSession, spec: JobSpec) -> SnapshotSink | DeltaSink | F
     return FileSink(spark, spec)
 
 
+def _without_load(rows: DataFrame, share: tuple[str, str] | None) -> DataFrame:
+    """Rows but for those of one load, which the next write replaces."""
+    if share is None or LOAD not in rows.columns:
+        return rows
+    return rows.filter(~F.col(LOAD).eqNullSafe(load_name(share)))
+
+
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen

@@ -149,12 +149,18 @@ class Table:
 
     # -- reading -----------------------------------------------------------------
 
-    def read(self, version: int | None = None) -> DataFrame:
-        """The rows of a snapshot. Its schema is stored, so no file footer is read to plan."""
+    def read(
+        self, version: int | None = None, without: tuple[str, str] | None = None
+    ) -> DataFrame:
+        """The rows of a snapshot. Its schema is stored, so no file footer is read to plan.
+
+        ``without`` is a share (see ``append``) whose rows are left out.
+        """
         snap = self.snapshot(version)
         if snap is None:
             raise FileNotFoundError(f"no table at {self.path}")
-        return self._rows(snap.paths, snap.struct).select(*_columns(snap.struct))
+        paths = _kept(snap, without) if without else snap.paths
+        return self._rows(paths, snap.struct).select(*_columns(snap.struct))
 
     def read_partition(self, column: str, value: str) -> DataFrame:
         """The rows of one partition value, without a look at the directories of the others."""
@@ -239,9 +245,7 @@ class Table:
             schema = evolved(base.struct, df.schema) if base else df.schema
             kept, shares = (base.paths, dict(base.shares)) if base else ((), {})
             if share:
-                load, commit = shares.get(share[0], ("", ""))
-                if load == share[1]:
-                    kept = tuple(p for p in kept if p.split("/", 1)[0] != commit)
+                kept = _kept(base, share) if base else kept
                 shares[share[0]] = (share[1], staged.commit)
             try:
                 new = self._publish(
@@ -603,6 +607,12 @@ class Table:
         return len(dead)
 
 
+def _kept(snap: Snapshot, share: tuple[str, str]) -> tuple[str, ...]:
+    """Live paths but for those that an earlier attempt at the same load of the job wrote."""
+    load, commit = snap.shares.get(share[0], ("", ""))
+    return snap.paths if load != share[1] else tuple(p for p in snap.paths if p.split("/", 1)[0] != commit)
+
+
 def _partition_of(path: str) -> str:
     """Partition part of a live path: neither the commit nor, if it is a file, its name."""
     return "/".join(step for step in path.split("/")[1:] if "=" in step)

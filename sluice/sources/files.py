@@ -9,8 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from sluice.plans.sink import delta_available
 from sluice.plans.table import Table
 from sluice.sources.registry import ReadContext, register
+from sluice.sources.typed import csv_rows, json_rows
 from sluice.spec import SourceSpec, SpecError
 
+# Reader options, in lower case, that say how values are typed or records found.
+READER_DECIDES = frozenset(
+    "inferschema dateformat timestampformat timestampntzformat locale multiline mode samplingratio "
+    "prefersdecimal primitivesasstring prefersdate columnnameofcorruptrecord inferTimestamp".lower().split()
+)
 SFTP_FILE_SYSTEM = "org.apache.hadoop.fs.sftp.SFTPFileSystem"
 
 
@@ -21,22 +27,37 @@ def _path(source: SourceSpec) -> str:
     return path
 
 
-def _read(spark: SparkSession, source: SourceSpec, fmt: str, path: str, **more: str) -> DataFrame:
-    reader = spark.read.format(fmt).options(**more)
-    reader = reader.options(**{k: str(v) for k, v in source.options.get("options", {}).items()})
+def _read(
+    spark: SparkSession,
+    source: SourceSpec,
+    fmt: str,
+    path: str,
+    context: ReadContext,
+    **more: str,
+) -> DataFrame:
+    own = {k: str(v) for k, v in source.options.get("options", {}).items()}
+    options = {**more, **own}
+    schema = source.options.get("schema")
+    # Options that change what a value means leave the types to Spark's own reader.
+    if not schema and not {k.lower() for k in own} & READER_DECIDES:
+        if fmt == "csv":
+            return csv_rows(spark, path, options, context)
+        if fmt == "json":
+            return json_rows(spark, path, options, context)
+    reader = spark.read.format(fmt).options(**options)
     if fmt == "csv":
         reader = reader.option("header", "true")
-        if not source.options.get("schema"):
+        if not schema:
             reader = reader.option("inferSchema", "true")
-    if source.options.get("schema"):
-        reader = reader.schema(source.options["schema"])
-    return reader.load(path)
+    return (reader.schema(schema) if schema else reader).load(path)
 
 
 @register("csv", "parquet", "json", "orc", "text", "xml")
 def read_files(spark: SparkSession, source: SourceSpec, context: ReadContext) -> DataFrame:
-    """Files under a path. A ``schema`` in the spec spares text formats the inference pass."""
-    return _read(spark, source, source.type.lower(), _path(source))
+    """Files under a path. Without a ``schema`` in the spec, CSV and JSON are read and parsed once
+    into a staged copy that shows their types.
+    """
+    return _read(spark, source, source.type.lower(), _path(source), context)
 
 
 @register("table", "delta")
@@ -69,6 +90,6 @@ def read_sftp(spark: SparkSession, source: SourceSpec, context: ReadContext) ->
     """
     path = _path(source)
     if source.ingest_method == "addFile" or "://" in path or not source.options.get("host"):
-        return _read(spark, source, "csv", path)
+        return _read(spark, source, "csv", path, context)
     uri = f"sftp://{source.options['host']}/{quote(path.lstrip('/'))}"
-    return _read(spark, source, "csv", uri, **sftp_options(source))
+    return _read(spark, source, "csv", uri, context, **sftp_options(source))

@@ -86,6 +86,7 @@ class JobSpec:
     ingestion_type: str = "full"
     incremental_column: str | None = None
     last_ingestion_value: str | None = None
+    late_rows: bool = False
     min_rows: int = 0
     schedule: Mapping[str, Any] = field(default_factory=dict)
 
@@ -165,6 +166,13 @@ def parse_spec(doc: Mapping[str, Any], env: Mapping[str, str] | None = None) ->
 
     _one_of("on_page_error", source.get("on_page_error", "fail"), PAGE_ERROR_MODES)
     bound = doc.get("last_ingestion_value")
+    late = _one_of("late_rows", doc.get("late_rows", False), (False, True))
+    rules = tuple(_parse_rule(r) for r in target.get("transformations", ()))
+    changed = {c for r in rules if r.type != "add_ingestion_timestamp" for c in r.columns}
+    if late and not doc.get("incremental_column"):
+        raise SpecError("late_rows needs incremental_column")
+    if late and doc["incremental_column"] in changed:
+        raise SpecError(f"late_rows needs {doc['incremental_column']} as the source has it; a rule changes it")
     is_rest = doc["source_type"].lower() in REST_TYPES
     return JobSpec(
         job_name=doc.get("job_name", "unknown"),
@@ -181,7 +189,7 @@ def parse_spec(doc: Mapping[str, Any], env: Mapping[str, str] | None = None) ->
             mode=_one_of("target.mode", target.get("mode", "append"), ("append", "overwrite")),
             primary_key=target.get("primary_key"),
             partition_by=tuple(target.get("partition_by", ())),
-            transformations=tuple(_parse_rule(r) for r in target.get("transformations", ())),
+            transformations=rules,
             dedupe=target.get("dedupe") and _one_of("target.dedupe", target["dedupe"], DEDUPE_MODES),
             order_by=tuple(target.get("order_by", ())),
         ),
@@ -190,6 +198,7 @@ def parse_spec(doc: Mapping[str, Any], env: Mapping[str, str] | None = None) ->
         ),
         incremental_column=doc.get("incremental_column"),
         last_ingestion_value=None if bound is None else str(bound),
+        late_rows=late,
         min_rows=int(doc.get("min_rows", 0)),
         schedule=MappingProxyType(dict(doc.get("dag_params", {}))),
     )

@@ -109,10 +109,10 @@ def test_database_reads_go_through_their_format(kind, fmt, options):
 
 def test_sftp_reads_the_host_through_the_file_system():
     session = MagicMock()
-    options = {"host": "h", "username": "u", "password": "secret", "file_path": "up load/a.csv"}
+    options = {"host": "h", "username": "u", "password": "secret", "file_path": "up load/a.csv", "schema": "a int"}
     read_source(session, SourceSpec("sftp", options))
-    reader = session.read.format.return_value.options.return_value.options.return_value
-    loaded = [call.args[0] for call in reader.option.return_value.option.return_value.load.call_args_list]
+    reader = session.read.format.return_value.options.return_value.option.return_value
+    loaded = [call.args[0] for call in reader.schema.return_value.load.call_args_list]
     assert loaded == ["sftp://h/up%20load/a.csv"]
     given = session.read.format.return_value.options.call_args.kwargs
     assert given["fs.sftp.password.h.u"] == "secret" and "secret" not in loaded[0]
