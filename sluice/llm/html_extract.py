@@ -1,12 +1,13 @@
 """Main text of web pages by a tree-structured graphical model over DOM nodes.
 
 Every node is part of the page's frame (above the article), content, or something else. A parent-child
-potential says how a node's state follows from its parent's, given the node's tag, whether most of its
-text is in links, and the words of its class, id and role. Sum-product messages run from the leaves to the root and back;
-their product is each node's exact marginal. Potentials are smoothed counts over labelled pages: a few
-pages written below, and all pages of the table that mark their article themselves. Counts are added
-up in Spark; what reaches the driver is one row per kind of node, most frequent kinds first, at most
-``MOST_KINDS``; rarer kinds share the potentials of unknown ones.
+potential says how a node's state follows from its parent's, given the node's tag, whether it holds a
+paragraph's worth of text outside links or has most of its text in links, and the words of its class,
+id and role. Sum-product messages run from the leaves to the root and back; their product is each node's
+exact marginal. Potentials are smoothed counts over labelled pages: a few pages of several makes written
+below, and all pages of the table that mark their article themselves. Counts are added up in Spark.
+Words and unusual tags are counted in ``BUCKETS`` buckets by their crc32, so what reaches the driver is
+bounded whatever the table holds, and every word counts.
 
 Text of nodes that are content with a marginal over one half is joined to blocks: one line per
 block-level element, white space inside a block as one space.
@@ -17,6 +18,7 @@ from __future__ import annotations
 import html
 import math
 import re
+import zlib
 from collections import Counter
 
 import pyarrow as pa
@@ -25,7 +27,10 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import mapped
 
-MOST_KINDS = 20_000
+#: Buckets that class words and tags outside HTML share; two words meet in one in 1 of so many cases.
+BUCKETS = 1 << 14
+#: Characters outside links that make a node's text a paragraph's worth.
+RICH = 80
 #: States of a node.
 FRAME, CONTENT, OTHER = STATES = (0, 1, 2)
 
@@ -45,9 +50,21 @@ _ENDS = {
     "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "tr": (("tr", "td", "th"), ("table",)),
     "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "option": (("option",), ("select",)),
 }
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)|<(?=/?[a-zA-Z]).*\Z", re.S)
+#: A quote opens a value only behind an equals sign; one that never ends takes the rest of the page.
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
+    r"((?:=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s\"'>][^\s>]*+)?|[^>=])*+)(>|\Z)",
+    re.S,
+)
 _ATTRIBUTE = re.compile(r"(?:^|[\s\"'/])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[a-z]{2,}")
+#: Tags that are counted by their own names.
+_TAGS = _VOID | _RAW | _MARKUP | _INLINE | _ENDS_P | frozenset("#root #text html head body li dt dd tr td th thead tbody tfoot caption colgroup legend summary label".split())
+
+
+def bucket(word: str) -> str:
+    """The bucket of a class word or of a tag that HTML does not know."""
+    return f"w{zlib.crc32(word.encode('utf-8', 'surrogatepass')) % BUCKETS}"
 
 
 class Tree:
@@ -55,30 +72,32 @@ class Tree:
 
     def __init__(self, source: str):
         self.parent, self.tag, self.words, self.text = [-1], ["#root"], [()], [""]
-        stack, at, n = [0], 0, len(source)
+        at, n = 0, len(source)
+        self._stack, self._open = [0], {"#root": [0]}
         while at < n:
             m = _TOKEN.search(source, at)
-            self._add_text(stack[-1], source[at : m.start() if m else n])
+            self._add_text(self._stack[-1], source[at : m.start() if m else n])
             if not m:
                 break
             at, tag = m.end(), (m[2] or "").lower()
             if not tag or not m[4]:
                 continue
             if m[1]:
-                self._close(stack, tag)
+                self._close(tag)
                 continue
             if tag in _ENDS_P:
-                self._close(stack, "p", ("button", "td", "th", "table", "#root"))
+                self._close("p", ("button", "td", "th", "table", "#root"))
             if tag in _ENDS:
                 for sibling in _ENDS[tag][0]:
-                    self._close(stack, sibling, _ENDS[tag][1])
-            node = self._add(stack[-1], tag, self._marks(m[3]))
+                    self._close(sibling, _ENDS[tag][1])
+            node = self._add(self._stack[-1], tag, self._marks(m[3]))
             if tag in _RAW:
                 end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(source, at)
                 self._add_text(node, source[at : end.start() if end else n])
                 at = end.end() if end else n
             elif tag not in _VOID and not m[3].endswith("/"):
-                stack.append(node)
+                self._open.setdefault(tag, []).append(len(self._stack))
+                self._stack.append(node)
 
     @staticmethod
     def _marks(attributes: str) -> tuple[str, ...]:
@@ -97,26 +116,35 @@ class Tree:
         if text:
             self._add(parent, "#text", (), text if self.tag[parent] in ("script", "style") else html.unescape(text))
 
-    def _close(self, stack: list[int], tag: str, limits: tuple = ()) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[k]] == tag:
-                del stack[k:]
-                return
-            if self.tag[stack[k]] in limits:
-                return
+    def _close(self, tag: str, limits: tuple = ()) -> None:
+        """Close the innermost open element of a tag, unless one of the limits is further in.
+
+        Every tag knows where it is open, so a stray end tag costs nothing and an element is closed once.
+        """
+        innermost = lambda name: (self._open.get(name) or (-1,))[-1]
+        at = innermost(tag)
+        if at < 1 or any(innermost(x) > at for x in limits):
+            return
+        for node in self._stack[at:]:
+            self._open[self.tag[node]].pop()
+        del self._stack[at:]
 
     def kinds(self) -> list[str]:
-        """Tag of each node, whether it has class words, and whether most of its text lies in links."""
+        """Tag of each node, whether it has class words, and what its text is like."""
         size, linked = [0] * len(self.tag), [0] * len(self.tag)
         for i in range(len(self.tag) - 1, 0, -1):
             if self.tag[i] == "#text":
-                size[i] = len(self.text[i].strip())
+                size[i] = 0 if self.tag[self.parent[i]] in _MARKUP else len(self.text[i].strip())
             if self.tag[i] == "a":
                 linked[i] = size[i]
             size[self.parent[i]] += size[i]
             linked[self.parent[i]] += linked[i]
-        most = lambda t, s, k: "~links" if t not in ("a", "#text", "#root") and s and 2 * k > s else ""
-        return [t + ("." if w else "") + most(t, s, k) for t, w, s, k in zip(self.tag, self.words, size, linked)]
+        out = []
+        for t, w, s, k in zip(self.tag, self.words, size, linked):
+            name = t if t in _TAGS else bucket(t)
+            like = "" if t in ("a", "#root") else "~links" if s and 2 * k > s else "~rich" if s - k >= RICH else ""
+            out.append(name + ("." if w else "") + like)
+        return out
 
 
 #: Labelled pages: what is inside an element marked ``data-main="1"`` is content, ``"0"`` is not.
@@ -125,6 +153,12 @@ SEED_PAGES = (
     '<html><body><div class="cookie notice banner"><p>t</p></div><div class="menu nav"><a>x</a></div><article data-main="1"><header data-main="0"><p>t</p></header><h2>T</h2><p>t <em>e</em><span>s</span></p><blockquote><p>q</p></blockquote><div data-main="0" class="ad advert ads advertisement sponsor promo"><p>t</p></div><form data-main="0"><label>t</label><p>t</p></form><footer data-main="0"><p>t</p></footer></article><section data-main="0" class="comments comment discussion replies"><h3>x</h3><article><p>t</p></article><div class="comment"><p>t</p></div></section><footer class="footer"><p>t</p></footer></body></html>',
     '<html><body><div class="header masthead"><p>t</p></div><div class="content post entry article main story" data-main="1"><h1>T</h1><p>t</p><table><tr><td>t</td></tr></table><pre>t</pre><ol><li>t</li></ol><div><p>t</p></div><figure><figcaption>t</figcaption></figure><nav data-main="0"><a>x</a></nav><div data-main="0" class="share social newsletter subscribe popup"><p>t</p></div><div data-main="0" class="comments"><p>t</p></div></div><div class="sidebar widget"><p>t</p></div><div class="footer copyright"><p>t</p></div></body></html>',
     '<html><body><div role="banner"><p>t</p></div><div role="navigation"><a>x</a></div><div role="main" data-main="1"><section><h2>t</h2><p>t<br>t</p><dl><dt>t</dt><dd>t</dd></dl></section><aside data-main="0"><p>t</p></aside><div data-main="0" class="ad"><p>t</p></div><div data-main="0" class="notice warning cookie consent"><p>t</p></div></div><div role="complementary"><p>t</p></div><div role="contentinfo"><p>t</p></div><form><p>t</p></form></body></html>',
+    # Makes without landmarks: what tells the article is its text.
+    '<html><body><h1 data-main="1">T</h1><p data-main="1">LONG</p><p data-main="1">LONG <a>l</a></p><p data-main="1">t</p><h2 data-main="1">t</h2><p data-main="1">LONG</p><p data-main="0"><a>x</a> <a>x</a></p><ul data-main="0"><li><a>x</a></li></ul></body></html>',
+    '<html><body><div class="wrapper"><div class="top"><a>x</a></div><div class="post body text entry" data-main="1"><h1>T</h1><p>LONG</p><p>t</p><p>LONG</p></div><div class="right"><p>t</p><ul><li><a>x</a></li></ul></div></div></body></html>',
+    '<html><body><table><tr><td data-main="0">t</td></tr><tr><td data-main="0"><a>x</a><br><a>x</a></td><td data-main="1"><h1>T</h1><p>LONG</p><p>LONG</p><p>t</p></td></tr><tr><td data-main="0">t</td></tr></table></body></html>',
+    '<html><body><center data-main="0"><a>x</a> <a>x</a></center><div data-main="1"><font><b>T</b><br>LONG<br>LONG</font></div><div data-main="0">t</div></body></html>',
+    '<html><body><div><div data-main="0"><a>x</a></div><div><div data-main="1"><h1>T</h1><div>LONG</div><div>LONG</div><div>t</div></div></div><div data-main="0"><span>t</span></div></div></body></html>',
 )
 _SEED_WEIGHT, _TABLE_WEIGHT = 20, 40
 #: An unknown kind of node mostly goes with its parent. Rows: parent's state; columns: its own.
@@ -140,14 +174,18 @@ def _labels(tree: Tree, marked: list[str | None] | None = None) -> list[int] | N
     if marked is None and not _MAIN & set(tree.tag):
         return None
     state = [OTHER] * len(tree.tag)
+    # Whether a node stands inside an element that is not content, such as a comment.
+    blocked = [False] * len(tree.tag)
     for i in range(1, len(state)):
         p = tree.parent[i]
+        aside = tree.tag[i] in _OTHER or not _OTHER_WORDS.isdisjoint(tree.words[i])
+        blocked[i] = blocked[p] or aside
         if marked:
             own = {"1": CONTENT, "0": OTHER}.get(marked[i] or "")
-        elif tree.tag[i] in _OTHER or _OTHER_WORDS & set(tree.words[i]):
+        elif aside:
             own = OTHER
         else:
-            own = CONTENT if tree.tag[i] in _MAIN and not _blocked(tree, i) else None
+            own = CONTENT if tree.tag[i] in _MAIN and not blocked[i] else None
         state[i] = (state[p] if state[p] == CONTENT else OTHER) if own is None else own
         if state[i] == CONTENT and state[p] != CONTENT:
             while p >= 0 and state[p] == OTHER:
@@ -156,27 +194,18 @@ def _labels(tree: Tree, marked: list[str | None] | None = None) -> list[int] | N
     return state
 
 
-def _blocked(tree: Tree, i: int) -> bool:
-    """Whether a landmark stands inside an element that is not content, such as a comment."""
-    p = tree.parent[i]
-    while p > 0:
-        if tree.tag[p] in _OTHER or _OTHER_WORDS & set(tree.words[p]):
-            return True
-        p = tree.parent[p]
-    return False
-
-
 def _counts(tree: Tree, state: list[int], weight: int, out: Counter) -> None:
     kinds = tree.kinds()
     for i in range(1, len(state)):
         out["edge", kinds[i], state[tree.parent[i]], state[i]] += weight
         for w in tree.words[i]:
-            out["word", w, state[tree.parent[i]], state[i]] += weight
+            out["word", bucket(w), state[tree.parent[i]], state[i]] += weight
 
 
 def _seed_counts() -> Counter:
     out: Counter = Counter()
     for page in SEED_PAGES:
+        page = page.replace("LONG", "long text " * 20)
         tree = Tree(re.sub(r'\sdata-main="(.)"', r' role="datamark\1"', page))
         names = {"datamark": None}
         marks = [m for m in re.finditer(r"<([a-z][a-z0-9]*)([^>]*)>", page)]
@@ -203,10 +232,10 @@ def train(pages: DataFrame, html_col: str = "html") -> dict:
                     _counts(tree, state, 1, out)
         if out:
             kind, name, up, down = zip(*out)
-            yield pa.RecordBatch.from_pydict({"kind": kind, "name": [n[:100] for n in name], "up": pa.array(up, pa.int32()), "down": pa.array(down, pa.int32()), "n": pa.array(out.values(), pa.int64())})
+            yield pa.RecordBatch.from_pydict({"kind": kind, "name": name, "up": pa.array(up, pa.int32()), "down": pa.array(down, pa.int32()), "n": pa.array(out.values(), pa.int64())})
 
     rows = mapped(pages.select(html_col), count, "kind string, name string, up int, down int, n long")
-    total = rows.groupBy("kind", "name", "up", "down").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "kind", "name", "up", "down").limit(MOST_KINDS).collect()
+    total = rows.groupBy("kind", "name", "up", "down").agg(F.sum("n").alias("n")).collect()
     mine: dict[tuple, list] = {}
     for (kind, name, up, down), n in _seed_counts().items():
         mine.setdefault((kind, name, up), [0.0] * 3)[down] += n
@@ -234,8 +263,8 @@ def marginals(tree: Tree, model: dict) -> list[float]:
     n, kinds = len(tree.tag), tree.kinds()
     psi = []
     for i in range(n):
-        table = model["edge"].get(kinds[i]) or model["edge"].get(kinds[i].removesuffix("~links")) or _UNKNOWN
-        known = [model["word"][w] for w in tree.words[i] if w in model["word"]]
+        table = model["edge"].get(kinds[i]) or model["edge"].get(kinds[i].split("~")[0]) or _UNKNOWN
+        known = [model["word"][b] for b in map(bucket, tree.words[i]) if b in model["word"]]
         if known:
             table = [[x * math.exp(max(-30.0, min(30.0, sum(k[up][s] for k in known)))) for s, x in enumerate(row)] for up, row in enumerate(table)]
         psi.append(table)
