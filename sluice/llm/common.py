@@ -134,24 +134,35 @@ _STEP = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037E
 def shingles(words: Words, size: int = 5) -> list[np.ndarray]:
     """Sorted distinct hashes of each row's word n-grams; a shorter row counts as one whole sequence."""
     h = words.hashes()
+    grams = _grams(h, size)
+    out = []
+    for lo, hi in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
+        out.append(np.unique(grams[lo : hi - size + 1]) if hi - lo >= size else _whole(h[lo:hi]))
+    return out
+
+
+def shingle_set(hashes: np.ndarray, size: int = 5) -> np.ndarray:
+    """The set of one text, given the hashes of its words."""
+    return np.unique(_grams(hashes, size)) if hashes.size >= size else _whole(hashes)
+
+
+def _grams(h: np.ndarray, size: int) -> np.ndarray:
     n = max(0, h.size - size + 1)
     grams = np.zeros(n, dtype=np.uint64)
     for j in range(size):
         grams += h[j : j + n] * _STEP[j % 5] if j < 5 else mix(h[j : j + n] * _STEP[j % 5])
-    grams = mix(grams)
-    out = []
-    for lo, hi in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
-        if hi - lo >= size:
-            out.append(np.unique(grams[lo : hi - size + 1]))
-        elif hi > lo:
-            whole = np.uint64(hi - lo)
-            with np.errstate(over="ignore"):
-                for j, x in enumerate(h[lo:hi]):
-                    whole = whole + x * _STEP[j % 5]
-            out.append(mix(np.array([whole], dtype=np.uint64) ^ np.uint64(0x5851F42D4C957F2D)))
-        else:
-            out.append(np.zeros(0, dtype=np.uint64))
-    return out
+    return mix(grams)
+
+
+def _whole(h: np.ndarray) -> np.ndarray:
+    """The one hash of a text of a few words; none for a text without words."""
+    if not h.size:
+        return np.zeros(0, dtype=np.uint64)
+    whole = np.uint64(h.size)
+    with np.errstate(over="ignore"):
+        for j, x in enumerate(h):
+            whole = whole + x * _STEP[j % 5]
+    return mix(np.array([whole], dtype=np.uint64) ^ np.uint64(0x5851F42D4C957F2D))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
