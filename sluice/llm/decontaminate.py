@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import _STEP, Words, mapped, mix, text_slices
+from sluice.llm.common import _STEP, Words, dropped, mapped, mix, saved, slices, text_slices
 
 #: Hash buckets of words, words in a block, rank of the latent space.
 BUCKETS, STRIDE, RANK = 1 << 14, 12, 96
@@ -38,16 +38,14 @@ def _buckets(hashes: np.ndarray) -> np.ndarray:
 class _Passages:
     """Blocks of a slice of documents, the last of a document as long as its words last."""
 
-    def __init__(self, data: np.ndarray, bounds: np.ndarray):
-        words = Words(data, bounds)
-        self.hash = words.hashes()
-        self.bucket = _buckets(self.hash)
-        self.first = words.first
-        per = -(-words.count // STRIDE)
+    def __init__(self, bucket: np.ndarray, first: np.ndarray):
+        """The buckets of all words, and where each document's words begin and end."""
+        self.bucket, self.first = bucket, first
+        per = -(-np.diff(first) // STRIDE)
         self.row = np.repeat(np.arange(per.size), per)
         order = np.arange(self.row.size) - np.repeat(np.cumsum(per) - per, per)
-        self.start = words.first[self.row] + order * STRIDE
-        self.end = np.minimum(self.start + STRIDE, words.first[self.row + 1])
+        self.start = first[self.row] + order * STRIDE
+        self.end = np.minimum(self.start + STRIDE, first[self.row + 1])
         n = self.row.size
         #: Whether the next block belongs to the same document.
         self.joined = np.zeros(n, dtype=bool)
@@ -80,36 +78,57 @@ def _padded(axes: np.ndarray) -> np.ndarray:
     return np.vstack([axes, np.zeros((1, axes.shape[1]))]).astype(np.float32)
 
 
-def _document_frequencies(rows: DataFrame) -> np.ndarray:
-    def count(batches):
+def bucketed(rows: DataFrame) -> DataFrame:
+    """The buckets of every text's words, two bytes each, and per task the documents of each bucket.
+
+    Written once: rows with ``words`` are texts, the others are counts (``bucket`` -1 counts texts).
+    """
+
+    def run(batches):
         total, n = np.zeros(BUCKETS, dtype=np.int64), 0
         for batch in batches:
             for lo, hi, data, bounds in text_slices(pc.utf8_lower(batch.column(0))):
                 words = Words(data, bounds)
-                total += np.bincount(np.unique(words.row * BUCKETS + _buckets(words.hashes())) % BUCKETS, minlength=BUCKETS)
+                own = _buckets(words.hashes())
+                # A few texts at a time: a mark per bucket, then the marks are counted.
+                for a in range(0, hi - lo, 64):
+                    b = min(a + 64, hi - lo)
+                    some = slice(words.first[a], words.first[b])
+                    marks = np.zeros((b - a, BUCKETS), dtype=bool)
+                    marks[words.row[some] - a, own[some]] = True
+                    total += marks.sum(axis=0)
                 n += hi - lo
-        yield pa.RecordBatch.from_pydict({"bucket": np.arange(-1, BUCKETS, dtype=np.int32), "n": np.concatenate([[n], total])})
+                raw = own.astype("<u2").tobytes()
+                cut = (2 * words.first).tolist()
+                texts = pa.array([raw[i:j] for i, j in zip(cut[:-1], cut[1:])], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.nulls(hi - lo, pa.int32()), pa.nulls(hi - lo, pa.int64()), texts], names=["bucket", "n", "words"])
+        counts = pa.array(np.concatenate([[n], total]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, BUCKETS, dtype=np.int32)), counts, pa.nulls(BUCKETS + 1, pa.binary())], names=["bucket", "n", "words"])
+
+    return saved(mapped(rows.select("text"), run, "bucket int, n long, words binary"), "buckets")
 
+
+def _document_frequencies(buckets: DataFrame) -> np.ndarray:
     out = np.zeros(BUCKETS + 1)
-    for r in mapped(rows.select("text"), count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+    for r in buckets.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         out[r["bucket"]] = r["n"]
     return out
 
 
-def latent_axes(rows: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """Right singular vectors and singular values of the TF-IDF passage matrix of all rows (``text``).
+def latent_axes(buckets: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Right singular vectors and singular values of the TF-IDF passage matrix of all bucketed texts.
 
     Each task sends one ``BUCKETS x width`` sketch; the width is fixed, so what the driver gets is too.
     """
     width = rank + 8
     test = np.random.default_rng(seed).standard_normal((BUCKETS, width)).astype(np.float32)
-    scaled = rows.sparkSession.sparkContext.broadcast(_padded(test * idf[:, None]))
+    scaled = buckets.sparkSession.sparkContext.broadcast(_padded(test * idf[:, None]))
 
     def sketch(batches):
         total, seen = np.zeros((width, BUCKETS)), False
         for batch in batches:
-            for _, _, data, bounds in text_slices(pc.utf8_lower(batch.column(0))):
-                p = _Passages(data, bounds)
+            for bucket, first in _word_slices(batch.column(0)):
+                p = _Passages(bucket, first)
                 if not p.row.size:
                     continue
                 seen = True
@@ -127,7 +146,7 @@ def latent_axes(rows: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int =
             full = np.flatnonzero(total.any(axis=0))
             yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(list(total.T[full]), pa.list_(pa.float64()))], names=["bucket", "y"])
 
-    sums = mapped(rows.select("text"), sketch, "bucket int, y array<double>").groupBy("bucket").agg(F.array(*[F.sum(F.col("y")[i]) for i in range(width)]).alias("y")).collect()
+    sums = mapped(buckets.where("words IS NOT NULL").select("words"), sketch, "bucket int, y array<double>").groupBy("bucket").agg(F.array(*[F.sum(F.col("y")[i]) for i in range(width)]).alias("y")).collect()
     b = np.zeros((BUCKETS, width))
     for r in sums:
         b[r["bucket"]] = r["y"]
@@ -142,6 +161,16 @@ def latent_axes(rows: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int =
     return u[:, :rank].astype(np.float32), s[:rank]
 
 
+def _word_slices(column: pa.Array):
+    """Buckets of a few hundred thousand words at a time, and where each text's begin and end."""
+    column = column.cast(pa.large_binary())
+    bounds = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    raw = column.buffers()[2]
+    for lo, hi in slices(bounds, 1 << 20):
+        words = np.frombuffer(raw, "<u2", int(bounds[hi] - bounds[lo]) // 2, int(bounds[lo])) if raw is not None else np.zeros(0, "<u2")
+        yield words.astype(np.int64), (bounds[lo : hi + 1] - bounds[lo]) // 2
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     length = np.linalg.norm(x, axis=1, keepdims=True)
     return x / np.where(length > 0, length, 1)
@@ -165,14 +194,18 @@ class _Items:
         for item, text in items:
             raw = np.frombuffer(pc.utf8_lower(text or "").as_py().encode(), dtype=np.uint8)
             words = Words(raw, np.array([0, raw.size])).hashes()
+            whole_answer = words.size - max(1, round(words.size * answer_share))
             for lo in range(0, words.size, PIECE):
+                if lo and words.size - lo < PIECE // 4:
+                    lo = words.size - PIECE  # a short end is one piece with words of the piece before it
                 part = words[lo : lo + PIECE]
-                if lo and part.size < PIECE // 4:
-                    continue  # the end of a long item counts with the piece before it
-                last = max(1, round(part.size * answer_share))
+                # The item's last words, as far as they are here; a piece before them has its own.
+                first = max(0, whole_answer - lo)
+                if first >= part.size:
+                    first = part.size - max(1, round(part.size * answer_share))
                 self.item.append(item)
                 self.size.append(part.size)
-                self.answer.append(((1 << part.size) - 1) ^ ((1 << part.size - last) - 1))
+                self.answer.append(((1 << part.size) - 1) ^ ((1 << first) - 1))
                 pieces.append(part)
         self.pieces = pieces
         self.size = np.array(self.size, dtype=np.int64)
@@ -196,11 +229,11 @@ class _Items:
     def vectors(self, axes: np.ndarray) -> np.ndarray:
         return _unit(np.stack([axes[_buckets(p)].sum(axis=0) for p in self.pieces])) if self.pieces else np.zeros((0, axes.shape[1]))
 
-    def sharing(self, p: _Passages) -> tuple[np.ndarray, np.ndarray]:
+    def sharing(self, p: _Passages, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Blocks and the pieces that share a run of words which begins in the block; each pair once."""
         n, found = len(self.pieces), [np.zeros(0, dtype=np.int64)]
         for size, (run, of, there) in self.runs.items():
-            g = _runs(p.hash, size)
+            g = _runs(hashes, size)
             at = np.flatnonzero(there[(g >> np.uint64(44)).view(np.int64)])
             row = np.searchsorted(p.first, at, side="right")
             at = at[at + size <= p.first[row]]
@@ -272,9 +305,11 @@ def contaminations(
     blocks = -(-wanted.count() // block_items)
     if not blocks:
         return spark.createDataFrame([], schema)
-    frequency = _document_frequencies(rows)
+    buckets = bucketed(rows)
+    frequency = _document_frequencies(buckets)
     idf = np.log((1 + frequency[-1]) / (1 + frequency[:BUCKETS])) + 0.05
-    axes, strength = latent_axes(rows, idf)
+    axes, strength = latent_axes(buckets, idf)
+    dropped(buckets)
     scaled = _padded(axes * idf[:, None] / np.maximum(strength, 1e-9))
     found = None
     for block in range(blocks):
@@ -289,14 +324,16 @@ def contaminations(
             for batch in batches:
                 ids = batch.column(0)
                 for lo, hi, data, bounds in text_slices(pc.utf8_lower(batch.column(1))):
-                    p = _Passages(data, bounds)
+                    words = Words(data, bounds)
+                    hashes = words.hashes()
+                    p = _Passages(_buckets(hashes), words.first)
                     if not p.row.size:
                         continue
-                    word = items.look_up(p.hash)
+                    word = items.look_up(hashes)
                     at, piece = _nearest(p.vectors(scaled), targets, nearest)
                     inside = np.bitwise_count(common_subsequence(word, p.start[at], p.end[at] - p.start[at], piece, items))
                     some = 2 * inside >= np.minimum(p.end[at] - p.start[at], items.size[piece])
-                    whole, of = items.sharing(p)
+                    whole, of = items.sharing(p, hashes)
                     pairs = np.unique(np.concatenate([at[some], whole]) * items.size.size + np.concatenate([piece[some], of]))
                     at, piece = pairs // items.size.size, pairs % items.size.size
                     begin = np.maximum(p.start[at] - PIECE, p.first[p.row[at]])

@@ -96,7 +96,7 @@ def draws(
     rows = saved(word_counts(docs, id_col, text_col, source_col), "sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = saved(targets(sizes, weights, share, cap), "targets")
-    per_row = rows.join(F.broadcast(plan) if plan.count() <= 100_000 else plan, rows["source"].eqNullSafe(plan["source"])).select(rows["id"], rows["source"], "size", "source_size", "target")
+    per_row = rows.join(plan, rows["source"].eqNullSafe(plan["source"])).select(rows["id"], rows["source"], "size", "source_size", "target")
 
     units = per_row.where("size > 0").groupBy("id", "source", "source_size", "target").agg(F.sum("size").alias("words"))
     n_blocks = F.least(F.lit(MOST_BLOCKS), F.ceil(F.col("source_size") / LEAST_WORDS)).cast("long")
@@ -147,11 +147,13 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     numbers of blocks.
     """
     taken, _ = draws(docs, id_col, text_col, source_col, **options)
-    taken = taken.select(F.col("id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("epoch").alias("_mix_epoch"), F.col("shard").alias("_mix_shard"))
-    both = docs.join(taken, docs[id_col].eqNullSafe(taken["_mix_id"]) & docs[source_col].eqNullSafe(taken["_mix_source"]))
+    # The row travels as one value, so that none of its columns can meet one of the draw's.
+    rows = docs.select(F.struct("*").alias("row"))
+    same = F.col("row")[id_col].eqNullSafe(F.col("id")) & F.col("row")[source_col].eqNullSafe(F.col("source"))
+    both = rows.join(taken, same)
     seed = options.get("seed", 17)
-    dealt = both.repartition("_mix_shard").sortWithinPartitions("_mix_shard", _hash(seed + 4, "_mix_epoch", "_mix_id"), "_mix_epoch", "_mix_id")
-    return dealt.select(*[docs[c] for c in docs.columns])
+    dealt = both.repartition("shard").sortWithinPartitions("shard", _hash(seed + 4, "epoch", "id"), "epoch", "id")
+    return dealt.select("row.*")
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:

@@ -143,7 +143,8 @@ def classify(
 
     ``labels`` holds ``id_col`` and ``label``; rows without either are ignored. The classifier is
     fitted on at most ``max_labelled`` labelled documents, those with the smallest hash of their id;
-    with fewer, on all. A null text counts as empty. Empty texts, and all texts when nothing is
+    with fewer, on all; where rows share a labelled id, on the least of their texts. Of known documents
+    equally near, those that come first in the order of their features vote. A null text counts as empty. Empty texts, and all texts when nothing is
     labelled, get the mean label (0.5 without any). Repeated rows get equal scores. An empty table
     gives an empty result. Further columns of ``docs`` are ignored, whatever their names.
     """
@@ -170,7 +171,9 @@ def classify(
                     names=["mark", "at", "value"],
                 )
 
-    sample = mapped(rows.join(F.broadcast(known), "id").select("mark", "text"), sparse, "mark int, at binary, value binary").limit(2 * max_labelled).toArrow()
+    # One text per labelled id, the least, so that the sample is bounded however often an id repeats.
+    labelled = rows.join(F.broadcast(known), "id").groupBy("id", "mark").agg(F.min("text").alias("text"))
+    sample = mapped(labelled.select("mark", "text"), sparse, "mark int, at binary, value binary").toArrow()
     x = np.zeros((sample.num_rows, WIDTH), dtype=np.float32)
     for r, (at, value) in enumerate(zip(sample["at"].to_pylist(), sample["value"].to_pylist())):
         x[r, np.frombuffer(at, np.int16)] = np.frombuffer(value, np.float32)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from sluice.llm import bucket_dedup, decontaminate, hard_negatives, html_extract, line_rules, lsh_forest, merkle, mixing, packing, pii, ppm, quality_knn, range_coder
 from sluice.llm.common import table
-from sluice.llm.oracle import ORACLE  # noqa: F401
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:

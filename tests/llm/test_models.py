@@ -106,3 +106,48 @@ def test_pipeline_stages(spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {r.doc_id for r in docs.collect()} - low
     out = corpus_pipeline.run(spark, DATA).collect()
     assert out and sum(r.n_tokens for r in out) == max(r.start + r.n_tokens for r in out)
+
+
+def test_pipeline_judges_rows_without_an_id(spark):
+    """A leak, a copy and a clean text with null ids, repeated rows, and an empty table."""
+    item = spark.read.parquet(f"{DATA}/benchmark.parquet").where("length(text) > 60").head()["text"]
+    clean = spark.read.parquet(f"{DATA}/documents.parquet").where("doc_id < 40 AND length(text) > 400").limit(6).collect()
+    rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in clean]
+    base = rows[0][1]
+    rows += [(None, "some words before " + item + " some words after", "en", "s", 1), (None, base, "en", "s", 2), (None, None, None, None, None), rows[1], rows[1]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_copies(spark, docs, DATA)
+    assert kept.columns == docs.columns
+    texts = [(r.doc_id, r.text) for r in kept.collect()]
+    assert (None, base) not in texts and (rows[0][0], base) in texts and texts.count(rows[1][:2]) == 3
+    left = corpus_pipeline.benchmark_leaks(spark, docs, DATA).collect()
+    assert not any(r.text and item in r.text for r in left) and len(left) == len(rows) - 1
+    assert corpus_pipeline.quality(spark, docs, DATA).columns == docs.columns
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), DATA).collect() == []
+
+
+def test_mixture_of_tables_with_any_names(spark):
+    docs = spark.createDataFrame([(i, "a b c", "s") for i in range(30)], "doc_id long, text string, source string")
+    odd = docs.selectExpr("*", "1 AS _mix_id", "2 AS id", "3 AS shard", "4 AS epoch", "5 AS row", "6 AS `a.b`")
+    out = mixing.mixed(odd)
+    assert out.columns == odd.columns and out.count() > 0
+
+
+def test_long_items_are_compared_to_their_end():
+    words = [f"w{i}" for i in range(70)]
+    items = decontaminate._Items([(1, " ".join(words)), (2, " ".join(words[:64])), (3, "one two")], 0.25)
+    assert items.size.tolist() == [64, 64, 64, 2]
+    # The second piece of the first item ends with the item, and the answer is the item's last words.
+    assert bin(int(items.answer[1])).count("1") == 18 and int(items.answer[1]) >> 63 == 1
+    assert (items.pieces[1][-6:] != items.pieces[0][-6:]).all() and (items.pieces[1][:58] == items.pieces[0][6:]).all()
+
+
+def test_coder_packs_better_than_deflate(spark):
+    import pyarrow as pa
+
+    from sluice.llm import tokenizing
+
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    ids = np.concatenate([i for _, i in tokenizing.whole_texts(pa.array(texts), tokenizer_path())])
+    assert len(range_coder.encode(ids)) < len(zlib.compress(ids.astype("<u2").tobytes(), 6))
