@@ -6,6 +6,7 @@ import datetime as dt
 import re
 import tempfile
 import uuid
+from functools import cache
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, SparkSession
@@ -15,6 +16,12 @@ from pyspark.sql import functions as F
 _ILLEGAL = re.compile(r'[\x00-\x20\x7f"#%<>?\[\\\]^`{|}]')
 
 
+@cache
+def _local_scratch() -> str:
+    """One temporary folder per process; a running session does not let this setting be made."""
+    return tempfile.mkdtemp(prefix="sluice-")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path in the folder that every executor can reach.
 
@@ -25,8 +32,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="sluice-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_scratch()
     return f"{root.rstrip('/')}/sluice/{label}-{uuid.uuid4().hex[:12]}"
 
 
