@@ -125,6 +125,12 @@ _add(
         SUM(CASE WHEN c > 1 THEN 1 ELSE 0 END)::BIGINT AS dups,
         round(SUM(CASE WHEN c > 1 THEN 1 ELSE 0 END) / SUM(c) * 100, 2) AS rate
         FROM (SELECT l_orderkey, COUNT(*) AS c FROM lineitem GROUP BY 1)""",
+    duplicate_texts="""SELECT length(text) AS n_chars, n, COUNT(*) AS texts FROM (
+        SELECT text, COUNT(*) AS n FROM documents GROUP BY text HAVING COUNT(*) > 1) GROUP BY 1, 2""",
+    duplicate_text_rate="""SELECT SUM(c)::BIGINT AS total,
+        SUM(CASE WHEN c > 1 THEN 1 ELSE 0 END)::BIGINT AS dups,
+        round(SUM(CASE WHEN c > 1 THEN 1 ELSE 0 END) / SUM(c) * 100, 2) AS rate
+        FROM (SELECT text, COUNT(*) AS c FROM documents GROUP BY 1)""",
     count_by_type="SELECT event_type, COUNT(*) AS n FROM events GROUP BY event_type",
     audit_append=f"""SELECT job_name, ingestion_type, source_count, NULL::BIGINT AS target_count, ts
         FROM ({_LOG})""",

@@ -487,6 +487,20 @@ def duplicate_rate(spark, sf):
     return quality.duplicate_rate(load(spark, sf, "lineitem"), "l_orderkey")
 
 
+@query
+def duplicate_texts(spark, sf):
+    """A wide key: whole texts that occur more than once, by number of occurrences and length."""
+    found = quality.duplicate_keys(load(spark, sf, "documents"), "text")
+    return found.select(F.length("text").cast("bigint").alias("n_chars"), "n").groupBy("n_chars", "n").agg(
+        F.count(F.lit(1)).alias("texts")
+    )
+
+
+@query
+def duplicate_text_rate(spark, sf):
+    return quality.duplicate_rate(load(spark, sf, "documents"), "text")
+
+
 @query
 def count_by_type(spark, sf):
     return quality.count_by(load(spark, sf, "events"), "event_type")

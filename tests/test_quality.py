@@ -83,3 +83,27 @@ def test_draws_are_even_and_neither_ids_nor_seeds_are_alike(spark):
     pairs = Counter((10 * r["s0"] // synth.PRIME, 10 * r["s1"] // synth.PRIME) for r in got)
     assert all(abs(n - len(got) / 100) < 130 for n in pairs.values()) and len(pairs) == 100
     assert spark.range(5).select(F.min(synth.draw(7)) == F.min(synth.draw(7))).head()[0]
+
+
+def test_wide_keys_are_shuffled_only_where_their_hash_repeats(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    data = spark.range(3000).selectExpr("IF(id % 500 = 0, NULL, repeat(CAST(id % 2900 AS string), 20)) AS k", "id")
+    data.write.parquet(path)
+    df = spark.read.parquet(path)
+    got = {r.k: r.n for r in quality.duplicate_keys(df, "k").collect()}
+    want = {r.k: r.n for r in df.groupBy("k").count().filter("count > 1").withColumnRenamed("count", "n").collect()}
+    assert got == want and len(got) > 90 and None in got
+    assert rows(quality.duplicate_rate(df, "k")) == [(3000, len(want), round(100 * len(want) / 3000, 2))]
+    text = quality.duplicate_keys(df, "k")._jdf.queryExecution().executedPlan().toString()
+    below = text.split("Join")[1]
+    assert "hashpartitioning(__hash" in below and "hashpartitioning(k" not in below and "LeftSemi" in text
+    # Rows that go to the count by value: those of repeated keys, and no others.
+    counted = quality.repeated(df, "k").agg(F.sum("n")).head()[0]
+    assert counted == sum(want.values())
+
+
+def test_rates_of_empty_tables_and_narrow_keys(spark):
+    assert rows(quality.duplicate_rate(spark.range(0).selectExpr("CAST(id AS string) AS k"), "k")) == [(0, 0, 0.0)]
+    narrow = spark.range(10).selectExpr("id % 4 AS k")
+    assert rows(quality.duplicate_rate(narrow, "k")) == [(10, 4, 40.0)]
+    assert "LeftSemi" not in quality.duplicate_keys(narrow, "k")._jdf.queryExecution().executedPlan().toString()
