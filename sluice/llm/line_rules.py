@@ -10,12 +10,14 @@ their whole text: texts that are equal to the byte count once on a host, all oth
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Running, Words, mapped, mix, powers, saved, text_slices
+from sluice.llm.common import SLICE_BYTES, Running, Words, mapped, mix, powers, saved, text_slices
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -39,40 +41,37 @@ def _line_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 class _Lines:
-    """Counts of the plain rules and hashes of normalised lines for a slice of documents."""
+    """Counts of the plain rules and hashes of normalised lines for a slice of documents.
+
+    A single document that is longer than a slice is taken in parts that end behind a line feed; what
+    is kept of all parts is a hash per word and per line. A longer line stays whole.
+    """
 
     def __init__(self, data: np.ndarray, bounds: np.ndarray):
         n = bounds.size - 1
-        words = Words(data, bounds)
-        self.n_words = words.count
-        solid = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-        self.word_chars = np.bincount(words.row, solid[words.end] - solid[words.start], minlength=n).astype(np.int64)
-        marks = np.concatenate([[0], np.cumsum(_SYMBOL[data])])
-        self.n_symbols = marks[bounds[1:]] - marks[bounds[:-1]]
-        self.start, self.end, self.row = _line_bounds(data, bounds)
-        first = np.searchsorted(words.start, self.start)
-        last = np.searchsorted(words.start, self.end)
-        self.line_words = last - first
+        parts = [_Part(d, b) for d, b in _parts(data, bounds)]
+        for p in parts[:-1]:
+            p.drop_rest()
+        joined = lambda name: np.concatenate([getattr(p, name) for p in parts])
+        added = lambda name: np.add.reduce([getattr(p, name) for p in parts])
+        offset = np.cumsum([0] + [p.size for p in parts[:-1]])
+        self.start, self.end = (np.concatenate([getattr(p, name) + o for p, o in zip(parts, offset)]) for name in ("start", "end"))
+        self.row, self.line_words, self.hash, raw = (joined(x) for x in ("row", "line_words", "hash", "raw"))
+        self.n_words, self.word_chars, self.n_symbols = (added(x) for x in ("n_words", "word_chars", "n_symbols"))
         full = self.line_words > 0
-        raw = mix(Running(data).span(self.start, self.end) + (self.end - self.start).astype(np.uint64))
         pairs = mix(raw + self.row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         _, once = np.unique(pairs[full], return_index=True)
         self.n_dup_lines = np.bincount(self.row[full], minlength=n) - np.bincount(self.row[full][once], minlength=n)
-        own = Words(_DIGITS[data], bounds).hashes()
-        total = np.zeros(own.size + 1, dtype=np.uint64)
-        np.cumsum(own * powers(_STEP, own.size)[: own.size], out=total[1:])
-        self.hash = mix((total[last] - total[first]) * powers(_BACK, own.size)[first] + self.line_words.astype(np.uint64))
-        self.n_repeat = self._repeats(words, n)
+        self.n_repeat = self._repeats(joined("words"), joined("word_row"), n)
 
     @staticmethod
-    def _repeats(words: Words, n: int) -> np.ndarray:
+    def _repeats(h: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
         """Words inside three-word windows that occur twice or more in their text."""
-        h = words.hashes(fold=False)
         m = max(0, h.size - 2)
         gram = mix(h[:m] + h[1 : m + 1] * np.uint64(0xA0761D6478BD642F) + h[2:] * np.uint64(0xE7037ED1A0B428DB) if m else h[:0])
-        inside = words.row[:m] == words.row[2:] if m else np.zeros(0, dtype=bool)
+        inside = row[:m] == row[2:] if m else np.zeros(0, dtype=bool)
         at = np.flatnonzero(inside)
-        key = mix(gram[at] + words.row[at].astype(np.uint64) * np.uint64(0x8EBC6AF09C88C6E3))
+        key = mix(gram[at] + row[at].astype(np.uint64) * np.uint64(0x8EBC6AF09C88C6E3))
         order = np.argsort(key)
         same = key[order][1:] == key[order][:-1]
         twice = np.zeros(at.size, dtype=bool)
@@ -81,7 +80,50 @@ class _Lines:
         hit = np.zeros(h.size, dtype=bool)
         for j in range(3):
             hit[at[twice] + j] = True
-        return np.bincount(words.row[hit], minlength=n)
+        return np.bincount(row[hit], minlength=n)
+
+
+class _Part:
+    """What a part of the bytes says: counts per document, hashes per word and per line."""
+
+    def __init__(self, data: np.ndarray, bounds: np.ndarray):
+        n, self.size = bounds.size - 1, data.size
+        words = Words(data, bounds)
+        self.n_words, self.word_row = words.count, words.row
+        solid = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        self.word_chars = np.bincount(words.row, solid[words.end] - solid[words.start], minlength=n).astype(np.int64)
+        marks = np.concatenate([[0], np.cumsum(_SYMBOL[data])])
+        self.n_symbols = marks[bounds[1:]] - marks[bounds[:-1]]
+        self.start, self.end, self.row = _line_bounds(data, bounds)
+        first = np.searchsorted(words.start, self.start)
+        last = np.searchsorted(words.start, self.end)
+        self.line_words = last - first
+        self.raw = mix(Running(data).span(self.start, self.end) + (self.end - self.start).astype(np.uint64))
+        own = Words(_DIGITS[data], bounds).hashes()
+        total = np.zeros(own.size + 1, dtype=np.uint64)
+        np.cumsum(own * powers(_STEP, own.size)[: own.size], out=total[1:])
+        self.hash = mix((total[last] - total[first]) * powers(_BACK, own.size)[first] + self.line_words.astype(np.uint64))
+        self.words = words.hashes(fold=False)
+
+    def drop_rest(self) -> None:
+        """Drop the empty rest behind the last line feed: the line there begins in the next part."""
+        for name in ("start", "end", "row", "line_words", "raw", "hash"):
+            setattr(self, name, getattr(self, name)[:-1])
+
+
+def _parts(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Bytes and bounds: all of a slice, or a longer document in parts that end behind a line feed."""
+    if data.size <= SLICE_BYTES or bounds.size != 2:
+        yield data, bounds
+        return
+    lo = 0
+    while lo < data.size:
+        hi = min(lo + SLICE_BYTES, data.size)
+        while hi < data.size and data[hi - 1] != 10:
+            feed = np.flatnonzero(data[hi : hi + SLICE_BYTES] == 10)
+            hi = hi + int(feed[0]) + 1 if feed.size else min(hi + SLICE_BYTES, data.size)
+        yield data[lo:hi], np.array([0, hi - lo])
+        lo = hi
 
 
 def _measure(batches):
