@@ -18,7 +18,6 @@ from sluice.operators.quality import duplicate_keys
 from sluice.operators.rules import INGEST_DATE
 from sluice.plans.table import (
     RETENTION_HOURS,
-    ROUTINE_MIN_FILES,
     DuplicateKeyError,
     Table,
     WriteResult,
@@ -77,7 +76,7 @@ class SnapshotSink:
         return self.table.read_partition(INGEST_DATE, day.isoformat())
 
     def maintain(self, clock: dt.datetime) -> None:
-        self.table.compact(min_files=ROUTINE_MIN_FILES, only_newest=True, clock=clock)
+        self.table.compact(min_files=self.spec.target.merge_files, only_newest=True, clock=clock)
         self.table.expire(RETENTION_HOURS, clock=clock)
 
 

@@ -45,7 +45,6 @@ from sluice.spec import SpecError
 
 RETENTION_HOURS = 168
 TARGET_FILE_BYTES = 512 * 1024 * 1024
-ROUTINE_MIN_FILES = 32  # small files a partition may gather before a run merges them
 APPEND_TRIES = 10
 
 _SNAPSHOTS = "_snapshots"

@@ -74,6 +74,8 @@ class TargetSpec:
     transformations: tuple[Rule, ...] = ()
     dedupe: str | None = None
     order_by: tuple[str, ...] = ()
+    #: Small files a partition may gather before a run merges them.
+    merge_files: int = 32
 
 
 @dataclass(frozen=True)
@@ -192,6 +194,7 @@ def parse_spec(doc: Mapping[str, Any], env: Mapping[str, str] | None = None) ->
             transformations=rules,
             dedupe=target.get("dedupe") and _one_of("target.dedupe", target["dedupe"], DEDUPE_MODES),
             order_by=tuple(target.get("order_by", ())),
+            merge_files=int(target.get("merge_files", 32)),
         ),
         ingestion_type=_one_of(
             "ingestion_type", doc.get("ingestion_type", "full").lower(), LOAD_TYPES

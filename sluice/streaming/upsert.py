@@ -23,7 +23,7 @@ from sluice.operators.rules import (
     with_run_metadata,
 )
 from sluice.plans.audit import RunReport, append_audit, report_rows
-from sluice.plans.table import ROUTINE_MIN_FILES, Table, WriteResult
+from sluice.plans.table import Table, WriteResult
 from sluice.runtime import Folder, clock_now
 from sluice.spec import JobSpec, SpecError
 
@@ -42,6 +42,7 @@ def stream_upsert(
     record: Callable[[str, int, DataFrame, WriteResult | Exception], None] | None = None,
     available_now: bool = True,
     maintain_every: int = 25,
+    merge_files: int = 2,
 ) -> StreamingQuery:
     """Upsert every micro-batch into a table; the newest row of a key wins, however late it comes.
 
@@ -49,7 +50,8 @@ def stream_upsert(
     checkpoint keeps, and by its number, and applied once. ``shape`` prepares a micro-batch, given
     its number, before it is written. ``record`` is told the query, the number, the batch and what
     became of it, after every write and every failed one. Partitions written to since are
-    compacted and old snapshots dropped after every ``maintain_every`` batches; 0 means never.
+    compacted, where they have ``merge_files`` small files, and old snapshots dropped after every
+    ``maintain_every`` batches; 0 means never.
     """
     started: Future[str] = Future()
 
@@ -75,7 +77,7 @@ def stream_upsert(
         if maintain_every and (number + 1) % maintain_every == 0:
             # A batch makes one version; compaction itself makes one more at most.
             table.compact(
-                min_files=ROUTINE_MIN_FILES, since=max(0, result.version - 2 * maintain_every)
+                min_files=merge_files, since=max(0, result.version - 2 * maintain_every)
             )
             table.expire()
 
@@ -192,4 +194,5 @@ def stream_job(
         partition_by=partition_by,
         shape=shape,
         record=record if audit_path else None,
+        merge_files=target.merge_files,
     )
