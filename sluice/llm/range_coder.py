@@ -123,9 +123,14 @@ def _order0(ids: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
     An id counts once for every block it occurs in: that is how often no context can know it yet.
     """
-    block = np.arange(ids.size, dtype=np.int64) // BLOCK
-    seen = np.unique((block << 32) + ids) & 0xFFFFFFFF
-    distinct, count = np.unique(seen, return_counts=True)
+    blocks = np.zeros(1 << bits, dtype=np.int64)
+    for lo in range(0, ids.size, 64 * BLOCK):
+        some = ids[lo : lo + 64 * BLOCK]
+        marks = np.zeros((64, 1 << bits), dtype=bool)
+        marks[np.arange(some.size) // BLOCK, some] = True
+        blocks += np.count_nonzero(marks, axis=0)
+    distinct = np.flatnonzero(blocks)
+    count = blocks[distinct]
     if not distinct.size:
         return distinct.astype("<u4"), count.astype("<u4")
     room = (1 << bits) - distinct.size
@@ -301,6 +306,7 @@ def write_tokens(
     encoded whole; one of more than ``BLOCK * LANES`` tokens has a frame to itself. An empty table
     writes no frames. Other columns are ignored. The folder holds Parquet files whose rows are frames
     (``payload``) with the ids and lengths of their documents; Spark commits each task's file once.
+    Ids have at most 18 bits; a larger ``vocabulary`` is an error.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     if shards is None:
