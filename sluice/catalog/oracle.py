@@ -87,6 +87,12 @@ _add(
         UNION ALL SELECT s_name, s_acctbal, NULL, s_nationkey FROM supplier""",
     merge_upsert=_UPSERT,
     merge_by_anti_union=_UPSERT,
+    merge_repeated_keys=f"""WITH s AS ({_NEW})
+        SELECT l_orderkey AS o_orderkey, l_linenumber,
+        CASE WHEN s.o_orderkey IS NULL THEN l_linestatus ELSE 'U' END AS o_orderstatus
+        FROM lineitem l LEFT JOIN s ON l.l_orderkey = s.o_orderkey
+        UNION ALL SELECT s.o_orderkey, NULL, 'U' FROM s
+        WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = s.o_orderkey)""",
     merge_schema_evolution=f"""WITH t AS ({_OLD}), s AS ({_NEW})
         SELECT COALESCE(s.o_orderkey, t.o_orderkey) AS o_orderkey,
         CASE WHEN s.o_orderkey IS NULL THEN t.o_orderstatus

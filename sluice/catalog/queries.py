@@ -379,9 +379,19 @@ def merge_upsert(spark, sf):
         old_orders(spark, sf).select(*ORDER_COLUMNS),
         new_orders(spark, sf).select(*ORDER_COLUMNS),
         "o_orderkey",
+        unique=True,
     )
 
 
+@query
+def merge_repeated_keys(spark, sf):
+    """A target whose keys repeat: every line of an order takes the order's new status."""
+    lines = load(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", F.col("l_linestatus").alias("o_orderstatus")
+    )
+    return merge.upsert_rows(lines, new_orders(spark, sf).select("o_orderkey", "o_orderstatus"), "o_orderkey")
+
+
 @query
 def merge_by_anti_union(spark, sf):
     return merge.replace_rows(
@@ -397,7 +407,9 @@ def merge_schema_evolution(spark, sf):
     batch = new_orders(spark, sf).select(
         "o_orderkey", status.alias("o_orderstatus"), F.col("o_orderpriority").alias("extra")
     )
-    return merge.upsert_rows(old_orders(spark, sf).select(*ORDER_COLUMNS), batch, "o_orderkey")
+    return merge.upsert_rows(
+        old_orders(spark, sf).select(*ORDER_COLUMNS), batch, "o_orderkey", unique=True
+    )
 
 
 @query
