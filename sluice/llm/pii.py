@@ -27,8 +27,8 @@ _TERM = r"\p{L}{3,}"
 #: A value that may be a secret, and a cue before one; a secret holds letters and digits.
 _VALUE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9][A-Za-z0-9+/_-]{11,}+"
 _CUED = r"\p{L}[\p{L}_-]{1,29}[\x20\t]{0,3}[=:][\x20\t]{0,3}[\x22\x27]?[A-Za-z0-9][A-Za-z0-9+/_-]{11,}+"
-#: An entity that stands for all values of a kind.
-_ANY = "any "
+#: An entity that stands for all values of a kind, and how far before a value its cue may end.
+_ANY, _NEXT_TO = "any ", 12
 
 
 def _matches(kind: str, text: Column, pattern: str) -> Column:
@@ -37,6 +37,17 @@ def _matches(kind: str, text: Column, pattern: str) -> Column:
     return F.transform(F.filter(parts, lambda z: z["value"].isNotNull()), lambda z: F.struct(F.lit(kind).alias("kind"), F.length(z["gap"]).alias("gap"), z["value"].alias("value")))
 
 
+def _may_hold(text: Column) -> dict[str, Column]:
+    """Per kind what a text must show to hold one; cheap beside the search itself."""
+    return {
+        "email": text.contains("@"),
+        "ip": text.rlike(r"[0-9]\.[0-9]+\.[0-9]"),
+        "card": text.rlike(r"[0-9](?:[\x20-]?[0-9]){12}"),
+        "phone": text.rlike(r"\+[0-9]"),
+        "secret": text.rlike("[0-9][A-Za-z]|[A-Za-z][0-9]"),
+    }
+
+
 def _digits(value: str) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -59,14 +70,15 @@ def _placed(rows: DataFrame, by: list[str]) -> DataFrame:
 def pattern_spans(rows: DataFrame) -> DataFrame:
     """``(tag, kind, start, end, value)`` of valid pattern matches in rows ``(tag, text)``."""
     text = F.col("text")
+    may = _may_hold(text)
     loose = F.regexp_replace(text, r"\.(?![A-Za-z0-9-])|(?<![A-Za-z0-9-])\.", "_")
     joined = F.regexp_replace(text, r"[\x20-](?![0-9])|(?<![0-9])[\x20-]", "x")
     none = F.array().cast("array<struct<kind:string,gap:int,value:string>>")
     found = F.concat(
-        F.when(text.contains("@"), _matches("email", loose, r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++\.[A-Za-z0-9.-]++")).otherwise(none),
-        F.when(text.rlike(r"[0-9]\.[0-9]"), _matches("ip", text, r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")).otherwise(none),
-        F.when(text.rlike(r"[0-9](?:[\x20-]?[0-9]){12}"), _matches("card", joined, r"(?<![0-9])[0-9][0-9\x20-]++")).otherwise(none),
-        F.when(text.rlike(r"\+[0-9]"), _matches("phone", text, r"\+[0-9][\x20().0-9-]+[0-9]")).otherwise(none),
+        F.when(may["email"], _matches("email", loose, r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++\.[A-Za-z0-9.-]++")).otherwise(none),
+        F.when(may["ip"], _matches("ip", text, r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")).otherwise(none),
+        F.when(may["card"], _matches("card", joined, r"(?<![0-9])[0-9][0-9\x20-]++")).otherwise(none),
+        F.when(may["phone"], _matches("phone", text, r"\+[0-9][\x20().0-9-]+[0-9]")).otherwise(none),
     )
     # Equal rows have equal tags and are searched once.
     each = rows.where(text.rlike("[0-9@]")).select("tag", F.posexplode(found).alias("i", "m")).select("tag", "i", "m.*").dropDuplicates(["tag", "i"])
@@ -95,7 +107,8 @@ def secret_spans(rows: DataFrame, least_values: int = 3, most_repeats: float = 2
     text that holds them, with a cue or without.
     """
     text = F.col("text")
-    lines = rows.where(text.rlike(_CUED)).select(F.explode(F.split("text", "\n", -1)).alias("words")).where(F.col("words").rlike(_CUED))
+    # Looked for in texts that can hold them alone: these patterns cost much at every word.
+    lines = rows.where((text.contains("=") | text.contains(":")) & text.rlike(_CUED)).select(F.explode(F.split("text", "\n", -1)).alias("words")).where(F.col("words").rlike(_CUED))
     each = lines.select(F.xxhash64("words").alias("print"), F.explode(F.regexp_extract_all("words", F.lit(_CUED), F.lit(0))).alias("m"))
     cue = F.lower(F.regexp_extract("m", r"^\p{L}[\p{L}_-]*", 0))
     each = each.select("print", cue.alias("cue"), F.regexp_extract("m", r"[A-Za-z0-9][A-Za-z0-9+/_-]*$", 0).alias("value")).distinct()
@@ -103,7 +116,7 @@ def secret_spans(rows: DataFrame, least_values: int = 3, most_repeats: float = 2
     good = per_value.groupBy("cue").agg(F.sum("n").alias("lines"), F.count("*").alias("values"), F.count_if(_mixed(F.col("value"))).alias("mixed"))
     good = good.where((F.col("mixed") >= least_values) & (2 * F.col("mixed") >= F.col("values")) & (F.col("lines") <= most_repeats * F.col("values")))
     values = saved(per_value.where(_mixed(F.col("value"))).join(good.select("cue"), "cue", "left_semi").select("value").distinct(), "secrets")
-    found = rows.where(text.rlike(_VALUE)).select("tag", F.posexplode(_matches("secret", text, _VALUE)).alias("i", "m"))
+    found = rows.where(_may_hold(text)["secret"] & text.rlike(_VALUE)).select("tag", F.posexplode(_matches("secret", text, _VALUE)).alias("i", "m"))
     placed = _placed(found.select("tag", "i", "m.*").dropDuplicates(["tag", "i"]), ["tag"])
     return placed.where(_mixed(F.col("value"))).join(values, "value", "left_semi").select("tag", "kind", "start", "end", "value")
 
@@ -113,39 +126,51 @@ def disclosing_terms(
 ) -> DataFrame:
     """``(tag, kind, start, end, value)`` of terms that give an entity away, on the entity's lines.
 
-    The value of a span begins with ``any `` where its term discloses no single entity but a kind; that
-    takes ``least_kind_lines`` shared lines, since a kind stands on many.
+    A kind of values is an entity too. What can disclose it is the term right before a value; that takes
+    ``least_kind_lines`` shared lines, since a kind stands on many. The value of such a span begins with
+    ``any ``.
 
     A term ``t``, an entity ``e`` and both together are counted by the distinct lines of the whole corpus
     that hold them, and so are all lines, so that copies of a line count once everywhere. ``t`` discloses ``e`` when they
     share ``least_lines`` lines, ``p(e|t)`` is ``least_share`` or more, and their mutual information is
     at least ``least_disclosure`` of the information of ``e``.
     """
-    held = rows.join(spans.select("tag").distinct(), "tag", "left_semi").dropDuplicates(["tag"])
+    # The texts are joined with what was found in them; those that cannot hold anything stay out of it.
+    may = _may_hold(F.col("text"))
+    long_value = may["secret"] & F.col("text").rlike(_VALUE)
+    held = rows.where(may["email"] | may["ip"] | may["card"] | may["phone"] | long_value)
+    held = held.join(spans.select("tag").distinct(), "tag", "left_semi").dropDuplicates(["tag"])
     lines = held.select("tag", F.posexplode(F.split("text", "\n", -1)).alias("line", "words"))
     begin = F.sum(F.length("words") + 1).over(Window.partitionBy("tag").orderBy("line")) - F.length("words") - 1
     lines = lines.withColumn("at", begin.cast("int"))
     # The line of a span is the last one that starts at or before it.
     both = lines.select("tag", "at", "line", F.lit(None).cast("string").alias("value"), F.lit(0).alias("is_span"))
-    both = both.unionByName(spans.select("tag", F.col("start").alias("at"), F.lit(None).cast("int").alias("line"), F.explode(F.array(F.lower("value"), F.concat(F.lit(_ANY), "kind"))).alias("value"), F.lit(1).alias("is_span")))
+    both = both.unionByName(spans.select("tag", F.col("start").alias("at"), F.lit(None).cast("int").alias("line"), F.lower("value").alias("value"), F.lit(1).alias("is_span"), "kind"), allowMissingColumns=True)
     order = Window.partitionBy("tag").orderBy("at", "is_span")
-    entity = both.withColumn("line", F.last("line", ignorenulls=True).over(order)).where("is_span = 1").select("tag", "line", F.col("value").alias("entity")).distinct()
+    entity = both.withColumn("line", F.last("line", ignorenulls=True).over(order)).where("is_span = 1").select("tag", "line", F.col("value").alias("entity"), F.concat(F.lit(_ANY), "kind").alias("any")).distinct()
     near = lines.join(entity.select("tag", "line").distinct(), ["tag", "line"], "left_semi")
     each = near.select("tag", "line", "at", F.xxhash64("words").alias("print"), F.posexplode(_matches("term", F.col("words"), _TERM)).alias("i", "m")).select("tag", "line", "at", "print", "i", "m.*")
     terms = _placed(each, ["tag", "line"]).select("tag", "line", "print", (F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("end")).alias("end"), "value")
     # Terms inside a span are part of the entity, not signs of it.
-    mark = terms.withColumn("is_span", F.lit(0)).unionByName(spans.select("tag", "start", "end", F.lit(1).alias("is_span")), allowMissingColumns=True)
+    mark = terms.withColumn("is_span", F.lit(0)).unionByName(spans.select("tag", "start", "end", F.concat(F.lit(_ANY), "kind").alias("any"), F.lit(1).alias("is_span")), allowMissingColumns=True)
     order = Window.partitionBy("tag").orderBy("start", F.col("is_span").desc())
     before = F.max(F.when(F.col("is_span") == 1, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
     after = F.min(F.when(F.col("is_span") == 1, F.col("start"))).over(order.rowsBetween(0, Window.unboundedFollowing))
     free = mark.withColumns({"before": before, "after": after}).where("is_span = 0 AND coalesce(before <= start, true) AND coalesce(after >= end, true)")
     free = free.select("tag", "line", "print", "start", "end", F.lower("value").alias("term"))
     free = saved(free, "terms")
-    with_entity = free.join(entity, ["tag", "line"]).select("tag", "print", "start", "end", "term", "entity")
+    with_entity = free.join(entity.select("tag", "line", "entity").distinct(), ["tag", "line"]).select("tag", "print", "start", "end", "term", "entity")
+    # What discloses a kind is the last term before a value of it, a few characters off.
+    term = F.struct("print", "start", "end", F.lower("value").alias("term"))
+    last = F.last(F.when(F.col("is_span") == 0, term), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    cues = mark.withColumn("last", last).where("is_span = 1").where(F.col("start") - F.col("last.end") <= _NEXT_TO)
+    with_entity = with_entity.unionByName(cues.where("last.end <= start").select("tag", "last.print", F.col("last.start").alias("start"), F.col("last.end").alias("end"), "last.term", F.col("any").alias("entity")))
+    with_entity = saved(with_entity, "near-terms")
     shared = with_entity.groupBy("entity", "term", "print").agg(F.lit(1).alias("one")).groupBy("entity", "term").agg(F.count("*").alias("n_both"))
     shared = shared.where(F.col("n_both") >= F.when(F.col("entity").startswith(_ANY), least_kind_lines).otherwise(least_lines))
     shared = saved(shared, "shared-terms")
     held_by = near.select("tag", "line", F.xxhash64("words").alias("print")).join(entity, ["tag", "line"])
+    held_by = held_by.select("print", F.explode(F.array("entity", "any")).alias("entity"))
     n_entity = held_by.groupBy("entity", "print").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count("*").alias("n_entity"))
     # Distinct lines per term and of all, over the whole corpus; each added up before its shuffle.
     every = rows.select(F.explode(F.split("text", "\n", -1)).alias("words")).select(F.xxhash64("words").alias("print"), F.lower("words").alias("words"))

@@ -79,10 +79,10 @@ def test_a_term_that_discloses_a_kind_is_generalised(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.id: r for r in pii.report(df).collect()}
     at = rows[0][1].index("api")
-    assert {f"term:{at}:{at + 3}", f"term:{at + 4}:{at + 7}"} <= set(got[0].spans.split(","))
-    assert got[0].n_term == 2 and all(got[i].n_term == 0 for i in range(400, 440))
+    assert f"term:{at + 4}:{at + 7}" in got[0].spans.split(",")
+    assert got[0].n_term == 1 and all(got[i].n_term == 0 for i in range(400, 440))
     clean = {r.doc_id: r.text for r in pii.sanitised(df).collect()}
-    assert clean[0] == "some words here then [TERM]_[TERM]: '[SECRET]' and more number0"
+    assert clean[0] == "some words here then api_[TERM]: '[SECRET]' and more number0"
     assert clean[300] == "only [SECRET] alone" and clean[400] == rows[-40][1]
 
 
