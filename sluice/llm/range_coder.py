@@ -40,67 +40,75 @@ _32 = _U(32)
 #: is an id that neither context predicted. They sum to _UNIT; _FLOOR is added per event when coding,
 #: so none becomes impossible.
 _EVENTS, _FIELD_COUNT = 3, 2
-_UNIT, _FLOOR, _RATE = 1 << 13, 16, _U(5)
+_UNIT, _FLOOR, _RATE = 1 << 13, 16, np.uint32(5)
 _TOTAL = _UNIT + _EVENTS * _FLOOR
 _FIELDS = sum(1 << 16 * i for i in range(_FIELD_COUNT))
-_START = _U(sum(_UNIT * (i + 1) // _EVENTS << 16 * i for i in range(_FIELD_COUNT)))
-_CEIL, _STEP = _U(31 * _FIELDS), _U(0x07FF * _FIELDS)
-_MIXED = _U(0x3FFF * _FIELDS)
-_GAIN = np.array([sum(_UNIT >> 5 << 16 * i for i in range(_FIELD_COUNT) if i >= e) for e in range(_EVENTS)], dtype=np.uint64)
+_START = np.uint32(sum(_UNIT * (i + 1) // _EVENTS << 16 * i for i in range(_FIELD_COUNT)))
+_CEIL, _STEP = np.uint32(31 * _FIELDS), np.uint32(0x07FF * _FIELDS)
+_MIXED = np.uint32(0x3FFF * _FIELDS)
+_GAIN = np.array([sum(_UNIT >> 5 << 16 * i for i in range(_FIELD_COUNT) if i >= e) for e in range(_EVENTS)], dtype=np.uint32)
+#: Multipliers of the ids before in the number of a cell, modulo 2**16.
+_SPREAD, _SPREAD_2 = np.uint16(40503), np.uint16(2654435761 & 0xFFFF)
+#: Where an id of the order-0 distribution starts, and its share, packed into one number with the id.
+_SHARE = _U(19)
+_LOW = _U((1 << 19) - 1)
 _BASE = _U(sum(_FLOOR * (i + 1) << 16 * i for i in range(_FIELD_COUNT)) + (_TOTAL << 16 * _FIELD_COUNT))
 
 
 class _Model:
-    """State of all blocks of a frame: prediction tables, event tables, mixing weights."""
+    """State of all blocks of a frame: prediction tables, event tables, mixing weights.
+
+    Arrays of two rows hold what order 2 and order 1 say, in that order.
+    """
 
     def __init__(self, lanes: int):
-        self.t1 = np.full(lanes * _CELLS, -8, dtype=np.int32)
-        self.t2 = np.full(lanes * _CELLS, -8, dtype=np.int32)
-        self.e1 = np.full(lanes * 16, _START)
-        self.e2 = np.full(lanes * 8, _START)
-        self.weight = np.full(lanes, 16, dtype=np.int64)
-        self.p1 = np.zeros(lanes, dtype=np.int64)
-        self.p2 = np.zeros(lanes, dtype=np.int64)
+        self.table = np.full(2 * lanes * _CELLS, -8, dtype=np.int32)
+        self.events = np.full(lanes * 24, _START)
+        self.weight = np.full(lanes, 16, dtype=np.int8)
+        self.p1 = np.zeros(lanes, dtype=np.uint16)
+        self.p2 = np.zeros(lanes, dtype=np.uint16)
         lane = np.arange(lanes, dtype=np.int64)
-        self.cell = lane * _CELLS
-        self.k1, self.k2 = lane * 16, lane * 8
+        self.cell = np.stack([lane, lane + lanes]) * _CELLS
+        self.k2, self.k1 = lane * 8, lane * 16 + lanes * 8
 
     def predict(self, n: int) -> np.ndarray:
-        """Predicted ids (``g2``, ``g1``) and the mixed cumulative frequencies of the first ``n`` blocks."""
-        p1 = self.p1[:n]
-        self.i1 = ((p1 * 40503 >> 3) & (_CELLS - 1)) + self.cell[:n]
-        self.i2 = ((p1 * 2654435761 + self.p2[:n] * 40503 >> 7) & (_CELLS - 1)) + self.cell[:n]
-        self.a, self.b = self.t2.take(self.i2), self.t1.take(self.i1)
-        self.g2, self.g1 = self.a >> 3, self.b >> 3
-        self.j2 = (self.a & 7) + self.k2[:n]
-        self.j1 = ((self.b & 7) << 1) + (self.g1 == self.g2) + self.k1[:n]
-        self.f2, self.f1 = self.e2.take(self.j2), self.e1.take(self.j1)
-        w = (self.weight[:n] >> 3).view(np.uint64)
-        return ((self.f2 * w + self.f1 * (_U(4) - w) >> _U(2)) & _MIXED) + _BASE
-
-    def learn(self, n: int, ids: np.ndarray, event: np.ndarray) -> None:
+        """Predicted ids (``guess``) and the mixed cumulative frequencies of the first ``n`` blocks."""
+        # Cells are bits 7 to 15 and 3 to 11 of the products, so 16 bits of them are enough.
+        p1 = self.p1[:n] * _SPREAD
+        self.at = np.empty((2, n), dtype=np.int64)
+        np.add(self.p1[:n] * _SPREAD_2 + self.p2[:n] * _SPREAD >> 7, self.cell[0, :n], out=self.at[0])
+        np.add(p1 >> 3 & (_CELLS - 1), self.cell[1, :n], out=self.at[1])
+        self.old = self.table.take(self.at)
+        self.guess, self.sure = self.old >> 3, self.old & 7
+        self.place = np.empty((2, n), dtype=np.int64)
+        np.add(self.sure[0], self.k2[:n], out=self.place[0])
+        np.add((self.sure[1] << 1) + (self.guess[0] == self.guess[1]), self.k1[:n], out=self.place[1])
+        self.freq = self.events.take(self.place)
+        w = (self.weight[:n] >> 3).astype(np.uint32)
+        return ((self.freq[0] * w + self.freq[1] * (np.uint32(4) - w) >> np.uint32(2)) & _MIXED) + _BASE
+
+    def learn(self, n: int, ids: np.ndarray, hit: np.ndarray, event: np.ndarray) -> None:
         """Move the weight to the table that saw order 2 better, then count the event and the id."""
-        gain = _GAIN.take(event)
-        second = (self.f2 & _U(0xFFFF)) > (self.f1 & _U(0xFFFF))
+        first = self.freq.astype(np.uint16)
+        right = (first[0] > first[1]) == hit[0]
         weight = self.weight[:n]
-        weight += np.where(second == (event == 0), 1, -1)
+        weight += (right.view(np.int8) << 1) - 1
         np.minimum(weight, 31, out=weight)
         np.maximum(weight, 8, out=weight)
-        self.e2[self.j2] = self.f2 - ((self.f2 + _CEIL >> _RATE) & _STEP) + gain
-        self.e1[self.j1] = self.f1 - ((self.f1 + _CEIL >> _RATE) & _STEP) + gain
-        fresh = (ids << 3).astype(np.int32)
-        for table, at, old, guess in ((self.t2, self.i2, self.a, self.g2), (self.t1, self.i1, self.b, self.g1)):
-            sure = old & 7
-            table[at] = np.where(guess == ids, old + (sure < 7), np.where(sure > 1, old - 2, fresh))
+        self.events[self.place] = self.freq - ((self.freq + _CEIL >> _RATE) & _STEP) + _GAIN.take(event)
+        # No branches: a miss takes the id in where it was not sure, else less sure; a hit is surer.
+        fresh = ids << 3
+        missed = fresh ^ ((fresh ^ self.old - 2) & (1 - self.sure >> 31))
+        self.table[self.at] = missed ^ ((missed ^ self.old - (self.sure - 7 >> 31)) & -hit.astype(np.int32))
         self.p2[:n] = self.p1[:n]
         self.p1[:n] = ids
 
 
-def _event_range(cum: np.ndarray, event: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Start of each block's event in units of the total, and the event's frequency."""
+def _event_range(cum: np.ndarray, event: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and frequency of each block's event."""
     at = (event << 4).view(np.uint64)
     low = (cum << _U(16) >> at) & _U(0xFFFF)
-    return low << _U(bits), ((cum >> at) & _U(0xFFFF)) - low
+    return low, ((cum >> at) & _U(0xFFFF)) - low
 
 
 def _lanes(n: int) -> tuple[int, np.ndarray]:
@@ -124,11 +132,9 @@ def _order0(ids: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     An id counts once for every block it occurs in: that is how often no context can know it yet.
     """
     blocks = np.zeros(1 << bits, dtype=np.int64)
-    for lo in range(0, ids.size, 64 * BLOCK):
-        some = ids[lo : lo + 64 * BLOCK]
-        marks = np.zeros((64, 1 << bits), dtype=bool)
-        marks[np.arange(some.size) // BLOCK, some] = True
-        blocks += np.count_nonzero(marks, axis=0)
+    for lo in range(0, ids.size, BLOCK):
+        # An id that repeats in the index is still written once.
+        blocks[ids[lo : lo + BLOCK].astype(np.int64)] += 1
     distinct = np.flatnonzero(blocks)
     count = blocks[distinct]
     if not distinct.size:
@@ -150,53 +156,60 @@ def encode(ids: np.ndarray, vocabulary: int = 65536) -> bytes:
     if n and int(ids.max()) >= 1 << bits:
         raise ValueError("an id lies outside the vocabulary")
     lanes, size = _lanes(n)
-    padded = np.zeros(lanes * BLOCK, dtype=np.uint32)
+    padded = np.zeros(lanes * BLOCK, dtype=np.int32)
     padded[:n] = ids
     steps = np.ascontiguousarray(padded.reshape(lanes, BLOCK).T)
     distinct, share = _order0(ids, bits)
-    width_of = np.zeros(1 << bits, dtype=np.uint64)
-    width_of[distinct] = share
-    start_of = np.zeros(1 << bits, dtype=np.uint64)
-    start_of[distinct] = np.cumsum(share, dtype=np.uint64) - share
+    # By id; the last entry is for ids that a context predicted, which have all of their event.
+    share_of = np.zeros((1 << bits) + 1, dtype=np.uint64)
+    share_of[distinct] = ((np.cumsum(share, dtype=np.uint64) - share) << _SHARE) + share
+    share_of[-1] = 1 << bits
     model = _Model(lanes)
     low = np.zeros(lanes, dtype=np.uint64)
     span = np.full(lanes, ~_U(0), dtype=np.uint64)
-    out = np.zeros(lanes * (BLOCK + 3), dtype=np.uint32)
-    at = np.arange(lanes, dtype=np.int64) * (BLOCK + 3)
-    begin, total, whole = at.copy(), _U(_TOTAL << bits), _U(1 << bits)
+    # Row by row a word of each block, as blocks fill about evenly.
+    out = np.empty((BLOCK + 3) * lanes, dtype=np.uint32)
+    at = np.arange(lanes, dtype=np.int64)
+    total, scale, known = _U(_TOTAL << bits), _U(bits), np.int32(1 << bits)
     for t in range(int(size[0])):
         m = lanes if t < size[-1] else lanes - 1
-        token = steps[t, :m].astype(np.int64)
+        token = steps[t, :m]
         cum = model.predict(m)
-        event = np.where(token == model.g2, 0, 2 - (token == model.g1))
-        start, unit = _event_range(cum, event, bits)
-        spelled = event == 2
+        hit = token == model.guess
+        missed = ~hit
+        event = ((missed[1].view(np.int8) + np.int8(1)) * missed[0]).astype(np.int64)
+        start, unit = _event_range(cum, event)
         step = span[:m] // total
-        moved = low[:m] + (start + np.where(spelled, start_of.take(token), _U(0)) * unit) * step
-        carry = np.flatnonzero(moved < low[:m])
+        unit *= step
+        packed = share_of.take((token - known) * (event == 2) + known)
+        moved = low[:m] + ((start << scale) * step + (packed >> _SHARE) * unit)
+        carry = (moved < low[:m]).nonzero()[0]
         if carry.size:
-            back = at[carry] - 1
+            back = at[carry] - lanes
             while back.size:
                 out[back] += np.uint32(1)
-                back = back[out[back] == 0] - 1
-        width = np.where(spelled, width_of.take(token), whole) * unit * step
-        full = np.flatnonzero(width < _TOP)
-        out[at[full]] = moved[full] >> _32
-        at[full] += 1
-        moved[full] <<= _32
+                back = back[out[back] == 0] - lanes
+        width = (packed & _LOW) * unit
+        full = (width < _TOP).nonzero()[0]
+        ready, there = moved[full], at[full]
+        out[there] = ready >> _32
+        at[full] = there + lanes
+        moved[full] = ready << _32
         width[full] <<= _32
         low[:m], span[:m] = moved, width
-        model.learn(m, token, event)
+        model.learn(m, token, hit, event)
     for shift in (32, 0):
         out[at] = (low >> _U(shift)) & _U(0xFFFFFFFF)
-        at += 1
+        at += lanes
+    used = at // lanes
     raw = ids.astype("<u4").tobytes()
     sums = np.array([zlib.crc32(raw[4 * i : 4 * (i + BLOCK)]) for i in range(0, max(n, 1), BLOCK)], dtype="<u4")
     table = zlib.compress(np.diff(distinct.astype("<i8"), prepend=0).astype("<u4").tobytes() + share.tobytes())
     head = MAGIC + np.array([bits, BLOCK], dtype="<u4").tobytes() + np.array([n], dtype="<u8").tobytes()
     head += np.array([len(table)], dtype="<u4").tobytes() + table
-    words = b"".join(out[i:j].astype("<u4").tobytes() for i, j in zip(begin.tolist(), at.tolist()))
-    return head + (at - begin).astype("<u4").tobytes() + sums.tobytes() + words
+    rows = np.ascontiguousarray(out.reshape(-1, lanes)[: int(used.max())].T)
+    words = b"".join(row[:k].astype("<u4").tobytes() for row, k in zip(rows, used.tolist()))
+    return head + used.astype("<u4").tobytes() + sums.tobytes() + words
 
 
 def decode(data: bytes) -> np.ndarray:
@@ -212,11 +225,12 @@ def decode(data: bytes) -> np.ndarray:
         table = np.frombuffer(zlib.decompress(data[28 : 28 + packed]), "<u4").reshape(2, -1)
     except zlib.error as err:
         raise ValueError("the frame's order-0 table is damaged") from err
-    distinct, share = np.cumsum(table[0], dtype=np.int64), table[1].astype(np.uint64)
+    distinct, share = np.cumsum(table[0], dtype=np.uint64), table[1].astype(np.uint64)
     if n and int(share.sum()) != 1 << bits:
         raise ValueError("the frame's order-0 table is damaged")
-    place = np.repeat(np.arange(distinct.size), share.astype(np.int64))
-    first = np.cumsum(share) - share
+    # By place in the distribution; the last entry is for ids that a context predicted.
+    whole = np.array([1 << bits], dtype=np.uint64)
+    share_of = np.concatenate([np.repeat((distinct << _SHARE * _U(2)) + ((np.cumsum(share) - share) << _SHARE) + share, share.astype(np.int64)), whole])
     lanes, size = _lanes(n)
     at = 28 + packed
     used = np.frombuffer(data, "<u4", lanes, at).astype(np.int64)
@@ -228,30 +242,36 @@ def decode(data: bytes) -> np.ndarray:
     at = at + 2
     span = np.full(lanes, ~_U(0), dtype=np.uint64)
     model = _Model(lanes)
-    total, most, whole = _U(_TOTAL << bits), _U((_TOTAL << bits) - 1), _U(1 << bits)
-    last = _U((1 << bits) - 1)
+    total, most, scale = _U(_TOTAL << bits), _U((_TOTAL << bits) - 1), _U(bits)
+    last, known = _U((1 << bits) - 1), 1 << bits
     steps = np.zeros((BLOCK, lanes), dtype=np.uint32)
     for t in range(int(size[0])):
         m = lanes if t < size[-1] else lanes - 1
         cum = model.predict(m)
         step = span[:m] // total
         value = np.minimum(code[:m] // step, most)
-        mark = value >> _U(bits)
-        event = (mark >= (cum & _U(0xFFFF))).astype(np.int64) + (mark >= (cum >> _U(16) & _U(0xFFFF)))
-        start, unit = _event_range(cum, event, bits)
+        mark = value >> scale
+        beyond = mark >= (cum & _U(0xFFFF))
+        event = (beyond.view(np.int8) + (mark >= (cum >> _U(16) & _U(0xFFFF)))).astype(np.int64)
+        start, unit = _event_range(cum, event)
+        start <<= scale
         spelled = event == 2
         # Where a block is damaged the value may point anywhere; its sum will tell.
-        entry = place.take(np.minimum((value - start) // np.maximum(unit, _U(1)), last).view(np.int64))
-        token = np.where(event == 0, model.g2, np.where(event == 1, model.g1, distinct.take(entry)))
-        rest = code[:m] - (start + np.where(spelled, first.take(entry), _U(0)) * unit) * step
-        width = np.where(spelled, share.take(entry), whole) * unit * step
-        full = np.flatnonzero(width < _TOP)
-        rest[full] = (rest[full] << _32) | words.take(at[full], mode="clip")
-        at[full] += 1
+        entry = np.minimum((value - start) // np.maximum(unit, _U(1)), last)
+        packed = share_of.take((entry.view(np.int64) - known) * spelled + known)
+        token = model.guess[0] + (model.guess[1] - model.guess[0]) * beyond
+        token += ((packed >> _SHARE * _U(2)).astype(np.int32) - token) * spelled
+        unit *= step
+        rest = code[:m] - (start * step + ((packed >> _SHARE) & _LOW) * unit)
+        width = (packed & _LOW) * unit
+        full = (width < _TOP).nonzero()[0]
+        there = at[full]
+        rest[full] = (rest[full] << _32) | words.take(there, mode="clip")
+        at[full] = there + 1
         width[full] <<= _32
         code[:m], span[:m] = rest, width
         steps[t, :m] = token
-        model.learn(m, token, event)
+        model.learn(m, token, token == model.guess, event)
     ids = np.ascontiguousarray(steps.T).reshape(-1)[:n]
     raw = ids.astype("<u4").tobytes()
     for i in range(lanes):

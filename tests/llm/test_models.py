@@ -27,6 +27,22 @@ def test_damaged_block_is_found():
         range_coder.decode(bytes(raw))
 
 
+def test_coder_writes_the_same_words():
+    n = np.arange(30_000)
+    ids = (n * n // 7 + (n % 13) * (n // 900)) % 4999
+    ids = np.concatenate([ids, ids[:7000], n % 50, np.full(3000, 65535)])
+    raw = range_coder.encode(ids)
+    table = int.from_bytes(raw[24:28], "little")
+    assert zlib.crc32(raw[28 + table :]) == 2455328450
+    assert (range_coder.decode(raw) == ids).all()
+
+
+def test_ids_count_once_for_every_block():
+    ids = np.concatenate([np.full(range_coder.BLOCK, 7), np.arange(range_coder.BLOCK) % 2 * 7, np.full(9, 7)]).astype(np.uint32)
+    distinct, share = range_coder._order0(ids, 16)
+    assert distinct.tolist() == [0, 7] and share.tolist() == [16384, 49152]
+
+
 def test_token_index(spark, odd_rows):
     from tokenizers import Tokenizer
 
