@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import _STEP, Words, dropped, mapped, mix, saved, slices, text_slices
+from sluice.llm.common import _STEP, Words, dropped, mapped, mix, release, saved, slices, text_slices
 
 #: Hash buckets of words, words in a block, rank of the latent space.
 BUCKETS, STRIDE, RANK = 1 << 14, 12, 96
@@ -110,8 +110,8 @@ def bucketed(rows: DataFrame) -> DataFrame:
 
 def _document_frequencies(buckets: DataFrame) -> np.ndarray:
     out = np.zeros(BUCKETS + 1)
-    for r in buckets.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        out[r["bucket"]] = r["n"]
+    rows = buckets.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    out[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
     return out
 
 
@@ -146,10 +146,12 @@ def latent_axes(buckets: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int
             full = np.flatnonzero(total.any(axis=0))
             yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(list(total.T[full]), pa.list_(pa.float64()))], names=["bucket", "y"])
 
-    sums = mapped(buckets.where("words IS NOT NULL").select("words"), sketch, "bucket int, y array<double>").groupBy("bucket").agg(F.array(*[F.sum(F.col("y")[i]) for i in range(width)]).alias("y")).collect()
+    sums = mapped(buckets.where("words IS NOT NULL").select("words"), sketch, "bucket int, y array<double>").groupBy("bucket").agg(F.array(*[F.sum(F.col("y")[i]) for i in range(width)]).alias("y")).toArrow()
+    # As Arrow, since a Python number for each of the sketch's would take several times its size.
     b = np.zeros((BUCKETS, width))
-    for r in sums:
-        b[r["bucket"]] = r["y"]
+    for part in sums.to_batches():
+        b[part.column(0).to_numpy()] = part.column(1).flatten().to_numpy().reshape(part.num_rows, width)
+    del sums
     b *= idf[:, None]
     core = test.astype(np.float64).T @ b
     core = (core + core.T) / 2
@@ -157,7 +159,8 @@ def latent_axes(buckets: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int
     keep = value > max(value.max(), 0) * 1e-9 if value.size else value > 0
     if not keep.any():
         return np.zeros((BUCKETS, 1), dtype=np.float32), np.zeros(1)
-    u, s, _ = np.linalg.svd(b @ (vector[:, keep] / np.sqrt(value[keep])), full_matrices=False)
+    b = b @ (vector[:, keep] / np.sqrt(value[keep]))
+    u, s, _ = np.linalg.svd(b, full_matrices=False)
     return u[:, :rank].astype(np.float32), s[:rank]
 
 
@@ -310,6 +313,7 @@ def contaminations(
     idf = np.log((1 + frequency[-1]) / (1 + frequency[:BUCKETS])) + 0.05
     axes, strength = latent_axes(buckets, idf)
     dropped(buckets)
+    release(spark)
     scaled = _padded(axes * idf[:, None] / np.maximum(strength, 1e-9))
     found = None
     for block in range(blocks):

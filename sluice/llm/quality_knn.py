@@ -15,13 +15,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Words, crc_bucket, mapped, mix, powers, text_slices
+from sluice.llm.common import Words, crc_bucket, mapped, mix, powers, release, text_slices
 
 #: Hash buckets of word shapes, of words, and bins of whole-document traits.
 SHAPES, WORDS, TRAITS = 1024, 1024, 64
 WIDTH = SHAPES + WORDS + TRAITS
 #: Weight of each feature family in the cosine.
 WEIGHTS = (1.0, 0.35, 0.6)
+#: Labelled rows whose counts the driver lays out at once.
+ROWS = 256
 
 _CLASS = np.arange(256, dtype=np.uint8)
 _CLASS[97:123] = 97
@@ -79,6 +81,14 @@ def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return out
 
 
+def _dense(at: list[bytes], value: list[bytes], rows: np.ndarray) -> np.ndarray:
+    """Counts of some rows of the sample, from the places and values of those that are not zero."""
+    out = np.zeros((rows.size, WIDTH), dtype=np.float32)
+    for k, r in enumerate(rows.tolist()):
+        out[k, np.frombuffer(at[r], np.int16)] = np.frombuffer(value[r], np.float32)
+    return out
+
+
 def document_frequencies(docs: DataFrame, text: str) -> np.ndarray:
     """In how many texts each feature occurs, over all rows; at most WIDTH rows reach the driver."""
 
@@ -174,20 +184,30 @@ def classify(
     # One text per labelled id, the least, so that the sample is bounded however often an id repeats.
     labelled = rows.join(F.broadcast(known), "id").groupBy("id", "mark").agg(F.min("text").alias("text"))
     sample = mapped(labelled.select("mark", "text"), sparse, "mark int, at binary, value binary").toArrow()
-    x = np.zeros((sample.num_rows, WIDTH), dtype=np.float32)
-    for r, (at, value) in enumerate(zip(sample["at"].to_pylist(), sample["value"].to_pylist())):
-        x[r, np.frombuffer(at, np.int16)] = np.frombuffer(value, np.float32)
     marks = sample["mark"].to_numpy().astype(np.float64) if sample.num_rows else np.zeros(0)
-    order = np.lexsort((*x[:, :4].T, x.sum(axis=1), marks)) if marks.size else np.zeros(0, dtype=int)
-    x, marks = weighted(x[order], idf), marks[order]
+    # The sample's matrix is the largest thing on the driver: it is there once, and counts a few rows at a time.
+    own, parts = (sample["at"].to_pylist(), sample["value"].to_pylist()), [slice(lo, lo + ROWS) for lo in range(0, marks.size, ROWS)]
+    del sample
+    keys = np.zeros((5, marks.size), dtype=np.float32)
+    for part in parts:
+        counts = _dense(*own, np.arange(marks.size)[part])
+        keys[:4, part], keys[4, part] = counts[:, :4].T, counts.sum(axis=1)
+    order = np.lexsort((*keys, marks)) if marks.size else np.zeros(0, dtype=int)
+    x, marks = np.empty((marks.size, WIDTH), dtype=np.float32), marks[order]
+    for part in parts:
+        x[part] = weighted(_dense(*own, order[part]), idf)
+    del own
     prior = float(marks.mean()) if marks.size else 0.5
     full = x.any(axis=1)
     if full.any():
-        axes = singular_vectors(x[full], rank)
-        vectors, marks = unit(x[full] @ axes), marks[full]
+        x, marks = x if full.all() else x[full], marks[full]
+        axes = singular_vectors(x, rank)
+        vectors = unit(x @ axes)
     else:
         axes, vectors, marks = np.zeros((WIDTH, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0)
+    del x
     model = spark.sparkContext.broadcast((idf, axes, vectors, marks, prior))
+    release(spark)
 
     def score(batches):
         idf, axes, vectors, marks, prior = model.value
